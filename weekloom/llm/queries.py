@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weekloom.llm.packing import op3_packing
+from weekloom.llm.simhash import op8_simhash
 from weekloom.llm.token_files import op7_token_files
 
 
@@ -14,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_packing": op3_packing,
         "op7_token_files": op7_token_files,
+        "op8_simhash": op8_simhash,
     }
 
 
