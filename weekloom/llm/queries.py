@@ -6,18 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weekloom.llm.bitslice import SQL as OP2_SQL
+from weekloom.llm.bitslice import op2_bitslice_topk
 from weekloom.llm.packing import op3_packing
 from weekloom.llm.simhash import op8_simhash
+from weekloom.llm.stable_nn import op6_stable_nn
 from weekloom.llm.token_files import op7_token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_bitslice_topk": op2_bitslice_topk,
         "op3_packing": op3_packing,
+        "op6_stable_nn": op6_stable_nn,
         "op7_token_files": op7_token_files,
         "op8_simhash": op8_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_bitslice_topk": OP2_SQL}
