@@ -2,8 +2,8 @@
 
 Directions are unit vectors, so the largest cosine is the least distance. Each group of rows projects its directions on
 a few Gaussian axes: (projected distance / distance)^2 follows a chi-square law with that many degrees of freedom. A
-kd-tree over the projections hands out neighbours leaf by leaf in order of projected distance, and each one's true
-cosine is computed. Once the next leaf lies at projected distance r, a row nearer than the k-th best distance d would
+kd-tree over the projections hands out neighbours in order of projected distance, and each one's true cosine is
+computed. Once the next neighbour lies at projected distance r, a row nearer than the k-th best distance d would
 have had to be projected beyond r; the search stops when the chi-square law gives that a probability below 1 - SURE.
 Equal directions are one tree entry with all its ids, so any number of copies costs one verification.
 
@@ -24,7 +24,9 @@ from weekloom.llm import blocks, common
 K = 5
 EVERY = 50
 #: Projections (even, for the closed form of the law), rows of a leaf, and the least probability at which a search stops.
-AXES, LEAF, SURE = 10, 32, 0.97
+AXES, LEAF, SURE = 16, 64, 0.96
+#: Neighbours that are verified between two tests.
+STEP = 512
 SEED = 20
 
 
@@ -79,7 +81,7 @@ class Group:
         self.first = np.concatenate([[0], np.cumsum(counts)])
         self.norms = np.linalg.norm(self.x, axis=1)
         self.axes = np.random.default_rng(SEED).standard_normal((dims, AXES))
-        projected = (self.x / self.norms[:, None]) @ self.axes
+        self.projected = projected = (self.x / self.norms[:, None]) @ self.axes
         heads = np.arange(0, m, LEAF)
         self.low, self.high = np.minimum.reduceat(projected, heads), np.maximum.reduceat(projected, heads)
         self.entries = m
@@ -90,29 +92,39 @@ class Group:
         at = query / norm @ self.axes
         gap = np.maximum(np.maximum(self.low - at, at - self.high), 0)
         bound = np.einsum("ij,ij->i", gap, gap)
-        order = np.argsort(bound, kind="stable")
-        bound = bound[order]
-        rows = np.zeros(0, np.int64)
-        cosines = np.zeros(0)
-        done, step = 0, 8
-        while done < len(order):
-            leaves = order[done : done + step]
-            fresh = (leaves[:, None] * LEAF + np.arange(LEAF)).ravel()
+        leaves = np.argsort(bound, kind="stable")
+        bound = np.append(bound[leaves], np.inf)
+        rows, cosines = np.zeros(0, np.int64), np.zeros(0)
+        waiting, away = np.zeros(0, np.int64), np.zeros(0)
+        opened, stop = 0, False
+        while not stop and (opened < len(leaves) or len(waiting)):
+            # Open the next leaves, then verify what is nearer than all that is still closed.
+            until = min(len(leaves), opened + max(8, opened))
+            fresh = (leaves[opened:until, None] * LEAF + np.arange(LEAF)).ravel()
             fresh = fresh[fresh < self.entries]
-            self.verified += len(fresh)
-            scores = np.einsum("ij,j->i", self.x[fresh], query) / (self.norms[fresh] * norm)
-            # An entry may be the query's own, so one more than k stay; of an entry, its k + 1 smallest ids can matter.
-            rows, cosines = np.concatenate([rows, fresh]), np.concatenate([cosines, scores])
-            if len(rows) > k + 1:
-                cut = np.partition(cosines, -(k + 1))[-(k + 1)]
-                kept = cosines >= cut
-                rows, cosines = rows[kept], cosines[kept]
-            done += step
-            step = min(64, step * 2)
-            if len(rows) > k and done < len(order):
-                far = max(2 - 2 * np.sort(cosines)[-(k + 1)], 1e-12)
-                if chi_square(np.float64(bound[done] / far), AXES) >= SURE:
-                    break
+            opened = until
+            waiting = np.concatenate([waiting, fresh])
+            away = np.concatenate([away, np.square(self.projected[fresh] - at).sum(axis=1)])
+            order = np.argsort(away, kind="stable")
+            waiting, away = waiting[order], away[order]
+            ready, done = int(np.searchsorted(away, bound[opened], side="right")), 0
+            while done < ready and not stop:
+                now = waiting[done : min(done + STEP, ready)]
+                done += len(now)
+                self.verified += len(now)
+                rows = np.concatenate([rows, now])
+                cosines = np.concatenate([cosines, self.x[now] @ query / (self.norms[now] * norm)])
+                # An entry may be the query's own, so one more than k stay.
+                if len(rows) > k + 1:
+                    kept = cosines >= np.partition(cosines, -(k + 1))[-(k + 1)]
+                    rows, cosines = rows[kept], cosines[kept]
+                if len(rows) > k:
+                    far = max(2 - 2 * np.partition(cosines, -(k + 1))[-(k + 1)], 1e-12)
+                    r = away[done] if done < len(away) else bound[opened]
+                    stop = bool(chi_square(np.float64(min(r, bound[opened]) / far), AXES) >= SURE)
+            waiting, away = waiting[done:], away[done:]
+        # Of an entry, its k + 1 smallest ids can matter.
+        cosines = np.einsum("ij,j->i", self.x[rows], query) / (self.norms[rows] * norm)
         many = np.minimum(self.first[rows + 1] - self.first[rows], k + 1)
         take = np.repeat(self.first[rows], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         found, scores = self.ids[take], np.repeat(cosines, many)
