@@ -53,16 +53,13 @@ def held_out(doc_id: str | Column) -> Column:
     return fold(doc_id) == 0
 
 
-def bounded_sample(ids: DataFrame, key: str, most: int) -> DataFrame:
-    """At most about `most` rows of `ids`, chosen by a hash of the key, alike on every run.
+def drawn(rows: int, key: str, most: int) -> Column:
+    """A condition that holds for about `most` of so many rows, chosen by a hash of the key, alike on every run.
 
-    The share is set from a count, so that no row is sorted or sent anywhere to draw the sample.
+    The share is set from a count, so no row is sorted or sent anywhere to draw the sample.
     """
-    n = ids.count()
-    if n <= most:
-        return ids
-    share = int(most / n * (1 << 31))
-    return ids.where(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 31)) < share)
+    share = (1 << 31) if rows <= most else int(most / rows * (1 << 31))
+    return F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 31)) < share
 
 
 def bytes_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

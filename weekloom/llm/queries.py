@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weekloom.llm.bitslice import SQL as OP2_SQL
 from weekloom.llm.bitslice import op2_bitslice_topk
+from weekloom.llm.langid import op4_langid
 from weekloom.llm.packing import op3_packing
 from weekloom.llm.simhash import op8_simhash
 from weekloom.llm.stable_nn import op6_stable_nn
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bitslice_topk": op2_bitslice_topk,
         "op3_packing": op3_packing,
+        "op4_langid": op4_langid,
         "op6_stable_nn": op6_stable_nn,
         "op7_token_files": op7_token_files,
         "op8_simhash": op8_simhash,
