@@ -10,6 +10,7 @@ from weekloom.llm.bitslice import SQL as OP2_SQL
 from weekloom.llm.bitslice import op2_bitslice_topk
 from weekloom.llm.langid import op4_langid
 from weekloom.llm.packing import op3_packing
+from weekloom.llm.quality import op5_quality
 from weekloom.llm.simhash import op8_simhash
 from weekloom.llm.stable_nn import op6_stable_nn
 from weekloom.llm.token_files import op7_token_files
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bitslice_topk": op2_bitslice_topk,
         "op3_packing": op3_packing,
         "op4_langid": op4_langid,
+        "op5_quality": op5_quality,
         "op6_stable_nn": op6_stable_nn,
         "op7_token_files": op7_token_files,
         "op8_simhash": op8_simhash,
