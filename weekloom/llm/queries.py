@@ -14,6 +14,7 @@ from weekloom.llm.quality import op5_quality
 from weekloom.llm.simhash import op8_simhash
 from weekloom.llm.stable_nn import op6_stable_nn
 from weekloom.llm.token_files import op7_token_files
+from weekloom.llm.toxicity import op9_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_stable_nn": op6_stable_nn,
         "op7_token_files": op7_token_files,
         "op8_simhash": op8_simhash,
+        "op9_toxicity": op9_toxicity,
     }
 
 
