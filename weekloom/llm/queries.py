@@ -10,6 +10,7 @@ from weekloom.llm.bitslice import SQL as OP2_SQL
 from weekloom.llm.bitslice import op2_bitslice_topk
 from weekloom.llm.langid import op4_langid
 from weekloom.llm.packing import op3_packing
+from weekloom.llm.pii import op1_pii
 from weekloom.llm.quality import op5_quality
 from weekloom.llm.simhash import op8_simhash
 from weekloom.llm.stable_nn import op6_stable_nn
@@ -19,6 +20,7 @@ from weekloom.llm.toxicity import op9_toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii": op1_pii,
         "op2_bitslice_topk": op2_bitslice_topk,
         "op3_packing": op3_packing,
         "op4_langid": op4_langid,
