@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weekloom.llm.bitslice import SQL as OP2_SQL
 from weekloom.llm.bitslice import op2_bitslice_topk
 from weekloom.llm.langid import op4_langid
+from weekloom.llm.mixing import op10_mixing
 from weekloom.llm.packing import op3_packing
 from weekloom.llm.pii import op1_pii
 from weekloom.llm.quality import op5_quality
@@ -29,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_files": op7_token_files,
         "op8_simhash": op8_simhash,
         "op9_toxicity": op9_toxicity,
+        "op10_mixing": op10_mixing,
     }
 
 
