@@ -96,7 +96,7 @@ def page_url(url: Column, page: Column) -> Column:
     """The url of another page: a page parameter or a /page/N part is rewritten, or else a page parameter is added."""
     number = page.cast("string")
     parameter = r"([?&](?:page|p|pg|pageNo|pageNum)=)\d+"
-    by_parameter = F.regexp_replace(url, F.lit(parameter), F.concat(F.lit("${1}"), number))
+    by_parameter = F.regexp_replace(url, F.lit(parameter), F.concat(F.lit("$1"), number))
     by_path = F.regexp_replace(url, F.lit(r"/page/\d+"), F.concat(F.lit("/page/"), number))
     added = F.concat(url, F.when(F.contains(url, F.lit("?")), "&page=").otherwise("?page="), number)
     return F.when(url.rlike(parameter), by_parameter).when(url.rlike(r"/page/\d+"), by_path).otherwise(added)
