@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weekloom import session
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -38,7 +40,7 @@ def query(name: str, sql: str | None = None, *needs: str) -> Callable[[Query], Q
     """Registers a query under its inventory name."""
 
     def add(f: Query) -> Query:
-        QUERIES[name] = f
+        QUERIES[name] = lambda spark, folder: f(session.prepare(spark), folder)
         if sql:
             SQL[name] = with_tables(sql, *needs)
         return f
