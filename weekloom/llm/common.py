@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom import session
+
 #: Rows that one Arrow batch hands to Python, so that a batch of whole texts stays at a few MB.
 ARROW_ROWS = 512
 
@@ -19,7 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of the session, whatever the length of its texts."""
+    """Bounds the Arrow batches of the session, whatever the length of its texts, and lets its workers import us."""
+    session.prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 

@@ -144,6 +144,8 @@ class WordEncoder:
 
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts back to back, and n + 1 offsets into them. raw, at: as from bytes_of()."""
+        if not len(raw):
+            return np.zeros(0, self.width), np.zeros(len(at), np.int64)
         if len(raw) <= CHUNK or len(at) == 2:
             return self._encode(raw, at)
         parts, k = [], 0
