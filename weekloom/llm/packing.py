@@ -25,7 +25,7 @@ from weekloom.llm import common, encoding
 SIZE = 4096
 END_ID = 2
 #: Pieces of one length are ranked in so many groups at least, and in so many that a group has about RANKED rows at most.
-BUCKETS, RANKED, MOST_BUCKETS = 64, 1 << 18, 4096
+BUCKETS, RANKED, MOST_BUCKETS = 64, 1 << 18, 1024
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -133,9 +133,9 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
     n = cut.count()
     buckets = int(min(MOST_BUCKETS, max(BUCKETS, n // RANKED)))
     keyed = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int"))
-    counts = keyed.groupBy("length", "bucket").count().toPandas()  # at most size * buckets rows
+    counts = keyed.groupBy("length", "bucket").count().toArrow()  # at most size * buckets rows of 16 bytes
     table = np.zeros((size + 1, buckets), np.int64)
-    table[counts["length"].to_numpy(), counts["bucket"].to_numpy()] = counts["count"].to_numpy()
+    table[counts.column("length").to_numpy(), counts.column("bucket").to_numpy()] = counts.column("count").to_numpy()
     before = spark.sparkContext.broadcast((np.cumsum(table, axis=1) - table, Places(table.sum(axis=1))))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
