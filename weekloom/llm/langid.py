@@ -1,6 +1,7 @@
 """Operator 4: language identification by sparse multinomial logistic regression on TF-IDF character n-grams.
 
 N-grams of one to three characters (lower case; runs of other signs count as a blank) are hashed into BUCKETS features.
+Document frequencies are counted over all texts that aren't held out.
 Weights are trained by follow-the-regularised-leader with elastic-net penalties on a bounded, documented sample of
 labelled rows (TRAIN_ROWS), of which one fold sets the temperature of the probabilities. Scoring covers every character
 of every text, in Arrow batches. Only text is an input of a prediction.
@@ -126,6 +127,27 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
+def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """How many texts there are that aren't null, and how many of them have each of the BUCKETS n-grams."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n = np.zeros(BUCKETS, np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            points, at = characters.code_points(*common.bytes_of(batch.column("text")))
+            for a, b in characters.runs(at, TEXTS, POINTS):
+                df += np.count_nonzero(ngram_counts(points[at[a] : at[b]], at[a : b + 1] - at[a])[0], axis=0)
+        some = np.flatnonzero(df)
+        # The row with bucket -1 has the number of texts.
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1).astype(np.int32)), pa.array(np.append(df[some], n))], names=["bucket", "n"])
+
+    texts = docs.where(F.col("text").isNotNull()).select(F.col("text").cast("string").alias("text"))
+    got = texts.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(BUCKETS + 1, np.int64)
+    out[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
+    return int(out[-1]), out[:-1]
+
+
 def train(docs: DataFrame, most: int = TRAIN_ROWS) -> Model | None:
     """Fits the model on about `most` rows with a lang that aren't held out; None without such rows."""
     common.small_batches(docs.sparkSession)
@@ -152,10 +174,8 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS) -> Model | None:
     tested = (got["fold"] == CALIBRATION_FOLD).to_numpy()
     if tested.all():
         tested[:] = False
-    df = np.zeros(BUCKETS)
-    for at in got["index"][~tested]:
-        df[at] += 1
-    idf = (np.log((1 + (~tested).sum()) / (1 + df)) + 1)
+    texts, df = document_frequencies(docs.where(common.fold("doc_id") != 0))
+    idf = np.log((1 + texts) / (1 + df)) + 1
     rows = []
     for at, count in zip(got["index"], got["count"], strict=True):
         rows.append((np.asarray(at), tf_idf(np.asarray(count), idf[at])))
