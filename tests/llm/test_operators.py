@@ -247,11 +247,28 @@ def test_toxicity(written, empty):
     assert not toxicity.score(empty, None).collect()
 
 
-def test_restoration():
-    model = toxicity.LanguageModel({"idiot": 50, "stupid": 50, "loser": 50, "stone": 50, "see": 50, "boss": 50})
+def test_restoration(spark):
+    words = ["idiot", "stupid", "loser", "stone", "see", "boss"]
+    docs = spark.createDataFrame([(k, " ".join(words[: 6 - k % 2]) + ", x1y idiot") for k in range(50)] + [(90, None), (91, "")], "doc_id long, text string")
+    model = toxicity.fit_language(docs)
+    want = {}
+    for word in words:
+        n, padded = 25 if word == "boss" else 50, f"^^^{word}$"
+        for i in range(3, len(padded)):
+            for k in range(4):
+                for gram in (padded[i - k : i + 1], padded[i - k : i] + " "):
+                    want[toxicity.gram_key(gram)] = want.get(toxicity.gram_key(gram), 0) + n
+    assert dict(zip(model.keys.tolist(), model.sums.tolist(), strict=True)) == want and model.floor == 1 / (len(set("".join(words))) + 30)
     read = toxicity.Restorer(model).word
     assert [read(w) for w in ("1d10t", "i d i o t", "stuuupid", "l.o.s.e.r", "$tone", "boss")] == ["idiot", "idiot", "stupid", "loser", "stone", "boss"]
-    assert read("a1@mail.example.com") == "a1@mail.example.com"
+    assert read("st" + "u" * 200 + "pid") == "stupid" and read("a1@mail.example.com") == "a1@mail.example.com"
+    assert toxicity.fit_language(docs.limit(0)).cost("^^^", "a") == pytest.approx(np.log(30))
+
+
+def test_document_frequencies(spark):
+    docs = spark.createDataFrame([(1, "ab a"), (2, "A"), (3, None), (4, "")], "doc_id long, text string")
+    n, df = langid.document_frequencies(docs)
+    assert n == 3 and df.max() == 2 and df.sum() == 9  # a in two texts; b, blank, ab, "b ", " a", "ab ", "b a" in one
 
 
 def plain_spans(text):

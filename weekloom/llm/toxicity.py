@@ -7,8 +7,9 @@ letters alone without such signs have one reading, themselves, and skip the sear
 character n-grams of its words: a logistic model (follow-the-regularised-leader with L1) over the n-grams that training
 rows show to be tied to the label.
 
-Models are fitted on a bounded, documented sample of labelled rows (TRAIN_ROWS); all characters of all texts are
-restored and scored. A null text is an empty text. A null doc_id is never held out and never learnt from. Repeated rows
+The language model counts the character n-grams of all words of all documents, hashed into a table of fixed size. The
+logistic model is fitted on a bounded, documented sample of labelled rows (TRAIN_ROWS). All characters of all texts are
+restored and scored; words of any length are decoded, in time that is linear in it. A null text is an empty text. A null doc_id is never held out and never learnt from. Repeated rows
 are scored like any other; other columns are not read. Without labelled rows every score is 0. An empty table gives no
 rows.
 """
@@ -17,7 +18,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +35,10 @@ CHANNEL = {"0": "ou", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t
 FILLERS = " .-_*~'`^,:;/\\​‌‍﻿"
 #: Costs in nats: a sign read as a letter, a sign dropped, a filler dropped, a letter dropped as a repetition, anything kept as it is.
 READ, DROP, FILL, REPEAT, KEEP = 0.7, 3.0, 0.3, 0.4, 0.0
-#: Order of the language model, weight of the longer context at each step, and words it is fitted on at most.
-ORDER, LONGER, MODEL_WORDS = 4, 0.8, 25_000
-#: Longest word that is decoded; a longer one is no disguised word but data.
-LONGEST = 40
+#: Order of the language model, weight of the longer context at each step, and bits of the hash of its n-grams.
+ORDER, LONGER, LANGUAGE_BITS = 4, 0.8, 22
+#: After so many characters of a word, its cheapest reading goes on alone.
+SETTLED = 40
 #: Word n-grams (a blank marks where a word starts or ends) and the bits of their hash.
 GRAMS, HASH_BITS = (4, 5, 6, 8), 20
 #: Fewest toxic rows of an n-gram, its least log odds, and how many n-grams the model may use.
@@ -51,32 +51,49 @@ _TWIN = 0x9E3B5  # odd: h -> h * _TWIN is a permutation of the hashes
 
 
 class LanguageModel:
-    """Interpolated character model of words."""
-
-    def __init__(self, words: Counter):
-        self.counts: dict[str, int] = {}
-        self.totals: dict[str, int] = {}
-        letters = set()
-        for word, n in words.items():
-            padded = "^" * (ORDER - 1) + word + "$"
-            n = 1 + math.log(n)
-            letters.update(word)
-            for i in range(ORDER - 1, len(padded)):
-                for k in range(ORDER):
-                    gram = padded[i - k : i + 1]
-                    self.counts[gram] = self.counts.get(gram, 0) + n
-                    self.totals[gram[:-1]] = self.totals.get(gram[:-1], 0) + n
-        self.floor = 1 / (len(letters) + 30)
+    """Interpolated character model of words, from how often each n-gram and each context of one occurs.
+
+    keys, sums: gram_key() of n-grams, and of contexts with a blank behind them, and their counts. letters: how many
+    different letters words have.
+    """
+
+    def __init__(self, keys: np.ndarray, sums: np.ndarray, letters: int):
+        self.keys, self.sums, self.floor = keys, sums, 1 / (letters + 30)
+        self._ready()
+
+    def _ready(self) -> None:
+        self._counts = np.zeros(1 << LANGUAGE_BITS, np.float32)
+        self._counts[self.keys] = self.sums
+        self._costs: dict[tuple[str, str], float] = {}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k[0] != "_"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._ready()
 
     def cost(self, context: str, letter: str) -> float:
-        p = self.floor
-        for k in range(len(context) + 1):
-            c = context[len(context) - k :]
-            total = self.totals.get(c)
-            if not total:
-                break
-            p = (1 - LONGER) * p + LONGER * self.counts.get(c + letter, 0) / total
-        return -math.log(p)
+        got = self._costs.get((context, letter))
+        if got is None:
+            p = self.floor
+            for k in range(len(context) + 1):
+                c = context[len(context) - k :]
+                total = float(self._counts[gram_key(c + " ")])
+                if not total:
+                    break
+                p = (1 - LONGER) * p + LONGER * min(1.0, float(self._counts[gram_key(c + letter)]) / total)
+            if len(self._costs) > 500_000:
+                self._costs.clear()
+            got = self._costs[context, letter] = -math.log(p)
+        return got
+
+
+def gram_key(gram: str) -> int:
+    """The same as Spark's xxhash64(gram) modulo the table's size."""
+    from xxhash import xxh64_intdigest
+
+    return xxh64_intdigest(gram.encode("utf-8", "replace"), 42) & ((1 << LANGUAGE_BITS) - 1)
 
 
 def restore(word: str, model: LanguageModel) -> str:
@@ -84,6 +101,7 @@ def restore(word: str, model: LanguageModel) -> str:
     start = "^" * (ORDER - 1)
     # Keyed by the last letters and by how often the last one has come in a row.
     paths: dict[tuple[str, int], tuple[float, str]] = {(start, 0): (0.0, "")}
+    settled: list[str] = []
     for i, sign in enumerate(word):
         if sign.isalpha():
             readings = [(sign, KEEP)]
@@ -102,8 +120,13 @@ def restore(word: str, model: LanguageModel) -> str:
                 key = (context[1:] + letter, run + 1 if text[-1:] == letter else 1)
                 if key not in after or total < after[key][0]:
                     after[key] = (total, text + letter)
-        paths = dict(sorted(after.items(), key=lambda x: x[1][0])[:64])
-    return min((cost + model.cost(context, "$"), text) for (context, _), (cost, text) in paths.items())[1]
+        best = sorted(after.items(), key=lambda x: x[1][0])
+        paths = dict(best[:64])
+        if i % SETTLED == SETTLED - 1:
+            key, (cost, text) = best[0]
+            settled.append(text[:-1])
+            paths = {key: (cost, text[-1:])}
+    return "".join(settled) + min((cost + model.cost(context, "$"), text) for (context, _), (cost, text) in paths.items())[1]
 
 
 def _signs(letters: str) -> np.ndarray:
@@ -156,7 +179,7 @@ def disguised(points: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
         k = m + 1
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
-        if (not out or a >= out[-1][1]) and 3 <= b - a <= LONGEST:
+        if (not out or a >= out[-1][1]) and b - a >= 3:
             out.append((a, b))
     return out
 
@@ -179,7 +202,8 @@ class Restorer:
             got = written if _ADDRESS.search(core) or not any(c.isalpha() for c in core) else lower[:at] + restore(core, self.model) + lower[at + len(core) :]
             if len(self.known) > 100_000:
                 self.known.clear()
-            self.known[written] = got
+            if len(written) <= 2 * SETTLED:
+                self.known[written] = got
         return got
 
     def texts(self, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,12 +298,26 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def fit_language(sample: DataFrame) -> LanguageModel:
-    """The language model of the words of the sampled texts, at most MODEL_WORDS of them, the most frequent first."""
-    words = sample.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![^\s])\p{L}{2,20}(?=[.,;:!?]?(\s|$))"), F.lit(0)))).alias("word"))
-    counted = words.groupBy("word").agg(F.count("*").alias("n"))
-    got = counted.orderBy(F.col("n").desc(), "word").limit(MODEL_WORDS).toPandas()
-    return LanguageModel(Counter(dict(zip(got["word"], got["n"].astype(int), strict=True))))
+def fit_language(docs: DataFrame) -> LanguageModel:
+    """The language model of the words of letters of all texts; a word counts once for each text that has it.
+
+    What is gathered at the driver is at most a row for each of the 2^LANGUAGE_BITS keys; all before it is shuffled by
+    word and by key, after counts of each task's own.
+    """
+    found = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"(?<![^\s])\p{L}{2,}+(?=[.,;:!?]?(\s|$))"), F.lit(0)))
+    words = common.stored(docs.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n")), "words")
+    letters = words.select(F.explode(F.split("word", "")).alias("letter")).distinct().count()
+    padded = words.select(F.concat(F.lit("^" * (ORDER - 1)), "word", F.lit("$")).alias("padded"), "n")
+
+    def ending(i):
+        grams = [F.col("padded").substr(i - k, F.lit(k + 1)) for k in range(ORDER)]
+        contexts = [F.concat(F.col("padded").substr(i - k, F.lit(k)), F.lit(" ")) for k in range(ORDER)]
+        return F.array(*grams, *contexts)
+
+    grams = padded.select(F.explode(F.flatten(F.transform(F.sequence(F.lit(ORDER), F.length("padded")), ending))).alias("gram"), "n")
+    key = F.pmod(F.xxhash64("gram"), F.lit(1 << LANGUAGE_BITS)).cast("int").alias("key")
+    got = grams.groupBy(key).agg(F.sum("n").cast("double").alias("n")).toArrow()
+    return LanguageModel(got.column("key").to_numpy(), got.column("n").to_numpy().astype(np.float32), letters)
 
 
 def fit_weights(rows: list[tuple[np.ndarray, int]], features: int) -> tuple[float, np.ndarray]:
@@ -310,7 +348,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model |
     rows = {y: n for y, n in sample.groupBy("y").count().collect()}
     if not rows:
         return None
-    language = spark.sparkContext.broadcast(fit_language(sample))  # of MODEL_WORDS words at most
+    language = spark.sparkContext.broadcast(fit_language(docs))  # 2^LANGUAGE_BITS counts at most
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 << HASH_BITS), np.int32)
@@ -360,7 +398,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if model is None:
         return rows.select("doc_id", F.lit(0.0).alias("score"))
-    shared = spark.sparkContext.broadcast(model)  # MOST_GRAMS weights and a language model of MODEL_WORDS words
+    shared = spark.sparkContext.broadcast(model)  # MOST_GRAMS weights and 2^LANGUAGE_BITS counts at most
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
