@@ -335,6 +335,28 @@ def test_mixing(spark, written, empty):
     assert not mixing.mix(empty).collect()
 
 
+@pytest.mark.parametrize("shares", [(0.97, 0.01, 0.01, 0.01), (0.9, 0.05, 0.04, 0.01), (0.998, 0.0018, 0.0001, 0.0001)])
+@pytest.mark.parametrize("soft", [0.0, 0.1])
+def test_mixing_meets_small_domains(spark, shares, soft):
+    cells = [([1 - 3 * soft if j == k else soft for j in range(4)], int(s * 1_000_000)) for k, s in enumerate(shares)]
+    cells += [([0.5, 0.5, 0.0, 0.0], 500), ([1.0, 0.0, 0.0, 0.0], 700), ([0.0, 0.0, 1.0, 0.0], 70), ([0.0, 1.0, 0.0, 0.0], 70), ([0.0, 0.0, 0.0, 1.0], 70)]
+    table = spark.createDataFrame(cells, "posterior array<double>, tokens long").repartition(1).cache()
+    for targets, least in (([0.25] * 4, 0.0), ([1.2 * sum(t * p[k] for p, t in cells) / sum(t for _, t in cells) for k in range(4)], 1.0), ([0.6, 0.398, 0.001, 0.001], 0.0)):
+        rates = mixing.fit(table, targets, least)
+        rows = table.withColumn("rate", rates.of(table.posterior)).collect()
+        got = [sum(r.tokens * r.rate * r.posterior[k] for r in rows) / sum(r.tokens for r in rows) for k in range(4)]
+        assert np.allclose(got, rates.reached, rtol=1e-6, atol=1e-9) and min(r.rate for r in rows) >= least
+        assert np.allclose(got, targets, rtol=2e-3, atol=0) and not rates.missed()
+
+
+def test_mixing_says_which_targets_are_missed(spark, written):
+    cells = spark.createDataFrame([([1.0, 0.0], 90), ([0.5, 0.5], 10)], "posterior array<double>, tokens long")
+    rates = mixing.fit(cells, [0.25, 0.75], 0.0)
+    assert rates.missed() == [0, 1] and np.allclose(rates.reached, [0.5, 0.5], atol=1e-4)  # least squares on rate >= 0
+    with pytest.warns(UserWarning, match="de .* of 0.01"):
+        mixing.weigh(written[0], targets={"de": 0.01, "en": 0.5, "fr": 0.5}, least=1.0)
+
+
 def test_digest(spark, tmp_path):
     text = "write to a@b.cd now"
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")

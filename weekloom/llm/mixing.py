@@ -3,9 +3,10 @@
 A table classifier learns how often each of a few letters occurs in the rows of each label (its domain) and gives every
 document a posterior over the domains. Rates, one for each document and never below `least`, are then fitted by
 projected-gradient least squares: the expected tokens of each domain, summed over documents as rate * tokens *
-posterior, are to meet the target weights. A step needs one number for each domain, summed over all documents by Spark.
+posterior, are to meet the target weights. A step needs a few numbers for each pair of domains, summed by Spark.
 Posteriors are rounded to three places, and documents with equal posteriors have equal rates, so the sums run over a
-table of distinct posteriors and their tokens that was aggregated once.
+table of distinct posteriors and their tokens that was aggregated once. The shares that were reached come with the
+rates, and a warning names the domains whose targets no rates can meet.
 
 All of it is DataFrame expressions. A null or empty text has no tokens and the prior as posterior. Labels that are null
 teach nothing; without labels every rate is 1. A null doc_id is never learnt from. Repeated rows are separate documents
@@ -14,6 +15,9 @@ with equal rates. Columns other than doc_id, text and the label are not read. An
 
 from __future__ import annotations
 
+import warnings
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +27,9 @@ from weekloom.llm import common
 LETTERS = "eaonisthrdcwéñóüßçöä"
 #: A text counts as so many letters at most, so that long texts keep soft posteriors.
 EVIDENCE = 200.0
-#: Most domains, steps, the miss of a target share at which steps end, and the pull of rates toward 1.
-MOST_DOMAINS, STEPS, NEAR, PULL = 32, 40, 2e-3, 0.001
+#: Most domains and steps, the miss relative to a target share that counts as met, the share below which targets
+#: count as this share for that, the pull of rates toward a centre (1 at first), and how often the centre moves.
+MOST_DOMAINS, STEPS, NEAR, TINY, PULL, ROUNDS = 32, 100, 1e-3, 1e-6, 1e-8, 6
 
 
 def with_letters(df: DataFrame, text: str = "text") -> DataFrame:
@@ -101,47 +106,77 @@ def learn(rows: DataFrame) -> Classifier | None:
 
 
 class Rates:
-    """The fitted rate as a function of a posterior: the steps from rate 1."""
+    """The fitted rate as a function of a posterior, and the target and reached share of each domain."""
 
-    def __init__(self, step: float, least: float):
-        self.step, self.least, self.pulls = step, least, []
+    def __init__(self, least: float, weights: list[float] | None = None):
+        self.least, self.weights = least, weights or []
+        self.targets: list[float] = []
+        self.reached: list[float] = []
 
     def of(self, posterior: Column) -> Column:
-        if not self.pulls:
+        if not self.weights:
             return F.greatest(F.lit(1.0), F.lit(float(self.least)))
-        keep = 1 - self.step * PULL
-        pulls = F.array(*(_doubles(g) for g in self.pulls))
-        return F.aggregate(pulls, F.lit(1.0), lambda r, g: F.greatest(F.lit(float(self.least)), keep * r + self.step * PULL - self.step * _dot(posterior, g)))
+        return F.greatest(F.lit(float(self.least)), 1.0 + _dot(posterior, _doubles(self.weights)))
+
+    def missed(self) -> list[int]:
+        """Domains whose share is not near its target."""
+        return [k for k, (d, t) in enumerate(zip(self.reached, self.targets, strict=True)) if abs(d - t) > NEAR * max(t, TINY)]
 
 
-def fit(cells: DataFrame, targets: list[float], least: float) -> tuple[Rates, list[float]]:
-    """Rates for the cells (posterior, tokens), and the shares of the domains that they give.
+def fit(cells: DataFrame, targets: list[float], least: float) -> Rates:
+    """Rates for the cells (posterior, tokens), with the shares of the domains that they give.
 
     Shares and targets are of all tokens at rate 1, so a sum of targets over 1 asks for more tokens than there are.
+    The rates of least squares are the projection of 1 + posterior * weights onto rates >= least. The gradient by the
+    weights is the miss of each domain (and the pull); a step is the gradient scaled by the Gram matrix of the domains
+    over the cells that may still move, so small domains and overlapping ones move as fast as others. Steps end when
+    every miss is small relative to its target. The pull is toward the rates at which its gradient was last nil; when
+    that has moved ROUNDS times and targets are still missed, no rates meet them, and these have the least squares.
     """
     k = len(targets)
+    rates = Rates(least)
+    rates.targets, rates.reached = list(targets), [0.0] * k
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     if not total:
-        return Rates(1.0, least), [0.0] * k
+        return rates
     share = F.col("tokens") / F.lit(float(total))
     item = lambda j: F.element_at("posterior", j + 1)
-    gram = cells.agg(*(F.sum(share * item(i) * item(j)).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k))).first()
-    vector, steepest = [1.0] * k, 1.0
-    for _ in range(100):  # the largest eigenvalue, of a matrix of at most MOST_DOMAINS rows
-        product = [sum(gram[f"g{min(i, j)}_{max(i, j)}"] * vector[j] for j in range(k)) for i in range(k)]
-        steepest = max(product) or 1.0
-        vector = [x / steepest for x in product]
-    steepest = 1.05 * steepest + PULL
-    rates = Rates(1 / steepest, least)
-    now: list[float] = []
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    wanted, small = np.array(targets), np.maximum(targets, TINY)
+
+    def look(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The convex function whose gradient is the miss, the shares, and the Gram matrix."""
+        free = cells.select("posterior", share.alias("share"), _dot(F.col("posterior"), _doubles(weights)).alias("pull"))
+        free = free.withColumn("moves", F.col("pull") + 1 >= least).withColumn("rate", F.greatest(F.lit(float(least)), F.col("pull") + 1))
+        area = F.when(F.col("moves"), F.col("pull") + F.col("pull") * F.col("pull") / 2).otherwise(least * F.col("pull") - (least - 1) ** 2 / 2)
+        held = F.when(F.col("moves"), F.col("share")).otherwise(0.0)
+        row = free.agg(F.sum(F.col("share") * area), *(F.sum(F.col("share") * F.col("rate") * item(j)) for j in range(k)), *(F.sum(held * item(i) * item(j)) for i, j in upper)).first()
+        shares, gram = np.array(row[1 : k + 1]), np.zeros((k, k))
+        for (i, j), v in zip(upper, row[k + 1 :], strict=True):
+            gram[i, j] = gram[j, i] = v
+        return row[0] - wanted @ weights, shares, gram
+
+    weights, centre, rounds = np.zeros(k), np.zeros(k), ROUNDS
+    value, shares, gram = look(weights)
     for _ in range(STEPS):
-        rate = rates.of(F.col("posterior"))
-        now = list(cells.withColumn("rate", rate).agg(*(F.sum(share * F.col("rate") * item(j)).alias(f"d{j}") for j in range(k))).first())
-        miss = [d - t for d, t in zip(now, targets, strict=True)]
-        if max(map(abs, miss)) < NEAR:
+        slope = shares - wanted + PULL * (weights - centre)
+        if (np.abs(shares - wanted) <= NEAR / 2 * small).all():
             break
-        rates.pulls.append(miss)
-    return rates, now
+        if (np.abs(slope) <= NEAR / 10 * small).all():
+            if not rounds:
+                break
+            rounds, centre = rounds - 1, weights
+            slope = shares - wanted
+        move = -np.linalg.solve(gram + PULL * np.eye(k), slope)
+        held = value + PULL / 2 * np.square(weights - centre).sum()
+        for half in range(30):
+            there = weights + move / 2**half
+            at = look(there)
+            if at[0] + PULL / 2 * np.square(there - centre).sum() <= held + 1e-4 * slope @ move / 2**half or np.abs(at[1] - wanted + PULL * (there - centre)).max() < 0.9 * np.abs(slope).max():
+                break
+        weights, (value, shares, gram) = there, at
+    rates.weights, rates.reached = weights.tolist(), shares.tolist()
+    return rates
 
 
 def weigh(docs: DataFrame, targets: dict[str, float] | None = None, least: float = 0.0, label: str = "lang", flat: float = 0.0) -> tuple[Classifier | None, Rates, DataFrame]:
@@ -154,7 +189,7 @@ def weigh(docs: DataFrame, targets: dict[str, float] | None = None, least: float
     counted = common.stored(with_letters(counted.withColumn("tokens", token_count(F.col("text")))).drop("text"), "letters")
     classifier = learn(counted.where(F.coalesce(common.fold("doc_id") != 0, F.lit(False))))
     if classifier is None:
-        return None, Rates(1.0, least), counted.select("doc_id", "tokens", F.array().cast("array<double>").alias("posterior"))
+        return None, Rates(least), counted.select("doc_id", "tokens", F.array().cast("array<double>").alias("posterior"))
     rows = classifier.with_posterior(counted).select("doc_id", "tokens", "posterior")
     cells = common.stored(rows.groupBy("posterior").agg(F.sum("tokens").alias("tokens")), "cells")
     k = len(classifier.domains)
@@ -171,7 +206,10 @@ def weigh(docs: DataFrame, targets: dict[str, float] | None = None, least: float
             wanted = [w * up * least for w in wanted]
     else:
         wanted = [targets.get(d, 0.0) for d in classifier.domains]
-    rates, _ = fit(cells, wanted, least)
+    rates = fit(cells, wanted, least)
+    if missed := rates.missed():
+        says = ", ".join(f"{classifier.domains[j]} {rates.reached[j]:.4g} of {wanted[j]:.4g}" for j in missed)
+        warnings.warn(f"mixing: no rates of at least {least} meet these target shares: {says}", stacklevel=2)
     return classifier, rates, rows
 
 
