@@ -2,6 +2,7 @@
 
 import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +105,40 @@ def test_text(spark):
     )
     assert r.a == ["One.", "Two!", "셋？", "Four"] and (r.b, r.c) == ("slot_abc가", "slot_unknown") and r.d == ["a", "b"] and r.e == [] and r.f == 'x & "y"' and r.g == ["a", "b"]
     assert tuple(r.h) == ("lamp", "it sells") and r.i == "y of y" and r.j == '{"a": 1}' and r.k is None and r.m == "http://h/a?page=3&z=1" and r.n == "http://h/page/3" and r.o == "http://h/a?page=3" and r.p == 0.5
+
+
+def plain_senses(x, threshold):
+    """Average linkage by definition, over all rows of a group."""
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    far, clusters = 1 - unit @ unit.T, [[k] for k in range(len(x))]
+    while len(clusters) > 1:
+        d, i, j = min((far[np.ix_(a, b)].mean(), i, j) for i, a in enumerate(clusters) for j, b in enumerate(clusters) if i < j)
+        if d >= threshold:
+            break
+        clusters[i] += clusters.pop(j)
+    return {k: n for n, c in enumerate(sorted(clusters, key=lambda c: (-len(c), min(c)))) for k in c}
+
+
+@pytest.mark.parametrize("block", [7, 1024])
+def test_senses_of_all_rows_against_average_linkage(spark, block):
+    from weekloom.operators import enrich
+
+    r = np.random.default_rng(4)
+    x = np.repeat(r.normal(size=(9, 6)), 9, axis=0) + 0.6 * r.normal(size=(81, 6))
+    x[20:45] = x[20]
+    rows = [(k, "ab"[k % 2], [float(v) for v in x[k]]) for k in range(81)]
+    found = enrich.split_senses(spark.createDataFrame(rows, "id long, word string, e array<double>"), ["word"], "id", "e", 0.3, block=block)
+    got = {r.id: r.sense_id for r in found.collect()}
+    want = {}
+    for word in range(2):
+        want |= {2 * k + word: s for k, s in plain_senses(x[word::2], 0.3).items()}
+    assert found.columns == ["word", "id", "sense_id"] and got == want and len(set(want.values())) > 4
+
+
+def test_senses_query_covers_every_embedding(spark):
+    import __spark_entry__
+
+    folder = "/root/testdata/sf0.001"
+    ids = {r.vec_id for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
+    rows = __spark_entry__.queries()["vec12_senses"](spark, folder).collect()
+    assert len(rows) == len(ids) and {r.id for r in rows} == ids

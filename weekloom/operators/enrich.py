@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import text
+from weekloom.operators import graph
 
 Llm = Callable[[str], str]
 
@@ -45,37 +46,88 @@ def ranked_items(df: DataFrame, reply: str, keep: int) -> DataFrame:
     return parsed.select(*(c for c in df.columns if c != reply), (F.col("_nr") + 1).alias("rank"), F.col("_item.name").alias("name"), F.col("_item.reason").alias("reason")).where("name <> ''")
 
 
-def average_linkage(x: np.ndarray, threshold: float) -> np.ndarray:
-    """Labels of agglomerative clustering by mean cosine distance, merged while the nearest two are below the threshold."""
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
+
+def average_linkage(x: np.ndarray, threshold: float, weights: np.ndarray | None = None) -> np.ndarray:
+    """Labels of agglomerative clustering by mean cosine distance, merged while the nearest two are below the threshold.
+
+    weights: how many equal rows each row stands for; larger clusters have smaller labels.
+    """
     n = len(x)
-    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    unit = unit_rows(x)
+    size = np.ones(n) if weights is None else np.array(weights, float)
     far = 1 - unit @ unit.T
     np.fill_diagonal(far, np.inf)
     members = {k: [k] for k in range(n)}
+    nearest, least = far.argmin(axis=1), far.min(axis=1)
     while len(members) > 1:
-        a, b = divmod(int(np.argmin(far)), n)
+        a = int(np.argmin(least))
+        b = int(np.argmin(far[a]))
         if far[a, b] >= threshold:
             break
-        na, nb = len(members[a]), len(members[b])
-        far[a] = far[:, a] = (na * far[a] + nb * far[b]) / (na + nb)
+        far[a] = far[:, a] = (size[a] * far[a] + size[b] * far[b]) / (size[a] + size[b])
         far[a, a] = np.inf
         far[b], far[:, b] = np.inf, np.inf
+        size[a] += size[b]
         members[a] += members.pop(b)
+        # A mean of two distances is no less than the smaller one, so only rows that were nearest to these two change.
+        stale = np.flatnonzero((nearest == a) | (nearest == b) | (np.arange(n) == a) | (np.arange(n) == b))
+        nearest[stale], least[stale] = far[stale].argmin(axis=1), far[stale].min(axis=1)
     labels = np.zeros(n, int)
-    for k, rows in enumerate(sorted(members.values(), key=lambda r: (-len(r), min(r)))):
+    for k, (_, rows) in enumerate(sorted(members.items(), key=lambda m: (-size[m[0]], min(m[1])))):
         labels[rows] = k
     return labels
 
 
-def split_senses(df: DataFrame, keys: list[str], id_col: str, vector: str, threshold: float = 0.45, most: int = 80) -> DataFrame:
-    """The sense of each context of a keyword. A keyword's contexts are few: the caller keeps the `most` best of each."""
+def _reached(near: np.ndarray) -> np.ndarray:
+    """For each row of a table of who is near whom, the first row of its connected component."""
+    first = np.full(len(near), -1)
+    for k in range(len(near)):
+        if first[k] < 0:
+            front = np.array([k])
+            while len(front):
+                first[front] = k
+                front = np.flatnonzero(near[front].any(axis=0) & (first < 0))
+    return first
+
+
+def split_senses(df: DataFrame, keys: list[str], id_col: str, vector: str, threshold: float = 0.45, block: int = 1024) -> DataFrame:
+    """The sense of each context of a keyword: average linkage, the largest sense first. Ids are distinct.
+
+    Equal vectors of a keyword are one weighted vector. Two clusters never merge unless some pair of their vectors is
+    below the threshold, so linkage runs within components of such pairs. These are found between blocks of at most
+    about `block` vectors; no task sees more than two blocks, or the distinct vectors of one component.
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    named = ", ".join(f"`{k}` {types[k]}" for k in keys)
+    rows = df.select(*keys, F.col(id_col).alias("_id"), F.col(vector).alias("_v"))
+    distinct = graph.stored(rows.groupBy(*keys, "_v").agg(F.min("_id").alias("node"), F.count("*").alias("n")), "distinct")
+    counts = distinct.groupBy(*keys).agg(F.ceil(F.count("*") / block).alias("blocks"))
+    dealt = distinct.join(counts, keys).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select(*keys, "node", "_v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("node")
+        unit, node = unit_rows(np.stack(group["_v"].to_numpy())), group["node"].to_numpy()
+        first = _reached(1 - unit @ unit.T < threshold + 1e-9)
+        return pd.DataFrame({"a": node, "b": node[first]})
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(id_col)
-        return group[[*keys, id_col]].assign(sense_id=average_linkage(np.stack(group[vector].to_numpy()), threshold))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys, id_col).schema)
-    return df.groupBy(*keys).applyInPandas(cluster, f"{schema}, sense_id int")
+        group = group.sort_values("node")
+        label = average_linkage(np.stack(group["_v"].to_numpy()), threshold, group["n"].to_numpy())
+        return group[[*keys, "node", "n"]].assign(first=group["node"].groupby(label).transform("min"))
+
+    links = dealt.groupBy(*keys, "lo", "hi").applyInPandas(link, f"a {types[id_col]}, b {types[id_col]}")
+    parts = graph.components(distinct.select("node"), links)
+    grouped = distinct.join(parts, "node").groupBy(*keys, "component")
+    clustered = graph.stored(grouped.applyInPandas(cluster, f"{named}, node {types[id_col]}, n long, first {types[id_col]}"), "senses")
+    nr = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("size"), "first"))
+    ranked = clustered.groupBy(*keys, "first").agg(F.sum("n").alias("size")).withColumn("sense_id", nr - 1).drop("size")
+    sense = clustered.join(ranked, [*keys, "first"]).select("node", "sense_id").join(distinct.drop("n"), "node").drop("node")
+    return rows.join(sense, [*keys, "_v"]).select(*keys, F.col("_id").alias(id_col), "sense_id")
 
 
 def token_bucket(events: DataFrame, key: str, ts: str, capacity: float, per_second: float) -> DataFrame:
