@@ -265,6 +265,37 @@ def test_restoration(spark):
     assert toxicity.fit_language(docs.limit(0)).cost("^^^", "a") == pytest.approx(np.log(30))
 
 
+def test_restoration_of_every_disguise(spark):
+    words = ["idiot", "stupid", "asshole", "ass", "scum", "moron", "stone", "see"]
+    docs = spark.createDataFrame([(k, " ".join(words)) for k in range(50)], "doc_id long, text string")
+    restorer = toxicity.Restorer(toxicity.fit_language(docs))
+    written = {"asshol3": "asshole", "you idio7.": "you idiot.", "a55": "ass", "a$$": "ass", "s....c....u....m": "scum", "s t u p 1 d": "stupid", "m 0 r 0 n": "moron", "see s  t  u p i d": "see stupid", '"$tone': '"stone', "5 c u m": "scum"}
+    plain = ["stone", "see stone!", "1 0 5", "455", "see. stone", "a b", "stone (see)"]
+    texts = [*written, *plain, "s", ".tone", ""]
+    raw = ["".join(texts), np.cumsum([0, *map(len, texts)])]
+    points, at = restorer.texts(np.array([ord(c) for c in raw[0]], np.uint32), raw[1])
+    got = ["".join(map(chr, points[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert got == [*written.values(), *plain, "s", ".tone", ""]
+
+
+def test_restoration_finds_the_cheapest_reading():
+    import itertools
+
+    r = np.random.default_rng(2)
+    model = toxicity.LanguageModel(np.array([], np.int64), np.array([], np.float32), 20)
+    table = {}
+    model.cost = lambda context, letter: table.setdefault((context, letter), float(r.gamma(1.0, 3.0)))
+    for word in ("a0183!", "b7@$10"):
+        every = []
+        for parts in itertools.product(*([(c, 0.0)] if c.isalpha() else [*((x, toxicity.READ) for x in toxicity.CHANNEL[c]), ("", toxicity.DROP)] for c in word)):
+            context, cost = "^^^", sum(p for _, p in parts)
+            for letter, _ in parts:
+                if letter:
+                    cost, context = cost + model.cost(context, letter), context[1:] + letter
+            every.append((cost + model.cost(context, "$"), "".join(x for x, _ in parts)))
+        assert toxicity.restore(word, model) == min(every)[1]
+
+
 def test_document_frequencies(spark):
     docs = spark.createDataFrame([(1, "ab a"), (2, "A"), (3, None), (4, "")], "doc_id long, text string")
     n, df = langid.document_frequencies(docs)

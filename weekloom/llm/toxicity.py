@@ -99,8 +99,8 @@ def gram_key(gram: str) -> int:
 def restore(word: str, model: LanguageModel) -> str:
     """The cheapest reading of a lower-case word (which may hold blanks between its letters)."""
     start = "^" * (ORDER - 1)
-    # Keyed by the last letters and by how often the last one has come in a row.
-    paths: dict[tuple[str, int], tuple[float, str]] = {(start, 0): (0.0, "")}
+    # Keyed by the last letters, on which alone the cost of what follows depends: no path is cut that could be cheapest.
+    paths: dict[str, tuple[float, str]] = {start: (0.0, "")}
     settled: list[str] = []
     for i, sign in enumerate(word):
         if sign.isalpha():
@@ -109,24 +109,21 @@ def restore(word: str, model: LanguageModel) -> str:
             readings = [(c, READ) for c in CHANNEL.get(sign, "")]
         again = i > 0 and word[i - 1] == sign and (word[i - 2 : i - 1] == sign or word[i + 1 : i + 2] == sign)
         drop = (FILL if sign in FILLERS else DROP) if not sign.isalpha() else REPEAT if again else None
-        after: dict[tuple[str, int], tuple[float, str]] = {}
-        for (context, run), (cost, text) in paths.items():
-            if drop is not None:
-                key = (context, run)
-                if key not in after or cost + drop < after[key][0]:
-                    after[key] = (cost + drop, text)
+        after: dict[str, tuple[float, str]] = {}
+        for context, (cost, text) in paths.items():
+            if drop is not None and (context not in after or cost + drop < after[context][0]):
+                after[context] = (cost + drop, text)
             for letter, price in readings:
                 total = cost + price + model.cost(context, letter)
-                key = (context[1:] + letter, run + 1 if text[-1:] == letter else 1)
+                key = context[1:] + letter
                 if key not in after or total < after[key][0]:
                     after[key] = (total, text + letter)
-        best = sorted(after.items(), key=lambda x: x[1][0])
-        paths = dict(best[:64])
+        paths = after
         if i % SETTLED == SETTLED - 1:
-            key, (cost, text) = best[0]
+            key, (cost, text) = min(after.items(), key=lambda x: x[1][0])
             settled.append(text[:-1])
             paths = {key: (cost, text[-1:])}
-    return "".join(settled) + min((cost + model.cost(context, "$"), text) for (context, _), (cost, text) in paths.items())[1]
+    return "".join(settled) + min((cost + model.cost(context, "$"), text) for context, (cost, text) in paths.items())[1]
 
 
 def _signs(letters: str) -> np.ndarray:
@@ -134,10 +131,17 @@ def _signs(letters: str) -> np.ndarray:
 
 
 _READ_AS, _FILL = _signs("".join(CHANNEL)), _signs(FILLERS.replace(" ", "").replace("'", ""))
+#: Signs that stand for letters at the end of a word too; the others end a sentence or open a bracket there.
+_LAST = _signs("".join(c for c in CHANNEL if c not in "!("))
 
 
 def disguised(points: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
-    """(start, end) of the words that may hide another: a sign between letters or for a first letter, a letter three times in a row, or three letters or more that stand alone."""
+    """(start, end) of the words that may hide another.
+
+    These have signs between letters, a sign for a first or last letter, or a letter three times in a row; or they are
+    three single characters or more, letters and signs for letters, with blanks between them. A word needs a letter, as
+    signs alone are a number, and three characters.
+    """
     letter, lower = characters.tables()
     if len(points) < 3:
         return []
@@ -148,19 +152,16 @@ def disguised(points: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
     edge[at] = True  # a text starts here
     before_blank = np.concatenate([[True], blank[:-1]]) | edge[:-1]
     mark = np.zeros(len(points), bool)
-    # A sign run with a letter before and after it, within a word.
-    heads = np.flatnonzero(sign & ~np.concatenate([[False], sign[:-1]]))
-    tails = np.flatnonzero(sign & ~np.concatenate([sign[1:], [False]]))
-    inner = (tails - heads < 3) & (heads > 0) & (tails + 1 < len(points))
-    heads, tails = heads[inner], tails[inner]
-    letters = is_letter[heads - 1] & is_letter[tails + 1] | (before_blank[heads] & is_letter[tails + 1] & np.isin(points[heads], _READ_AS))
-    mark[heads[letters]] = True
+    # Runs of signs within a text: between letters, or with a sign for a letter and a letter on one side.
+    heads = np.flatnonzero(sign & (~np.concatenate([[False], sign[:-1]]) | edge[:-1]))
+    tails = np.flatnonzero(sign & (~np.concatenate([sign[1:], [False]]) | edge[1:])) + 1
+    after_letter = np.concatenate([[False], is_letter])[heads] & ~edge[heads]
+    to_letter = np.concatenate([is_letter, [False]])[tails] & ~edge[tails]
+    holds = lambda signs: np.add.reduceat(np.isin(points, signs), heads) if len(heads) else np.zeros(0, int)  # noqa: E731  (between two runs there are no signs)
+    mark[heads[(after_letter & to_letter) | (to_letter & (holds(_READ_AS) > 0)) | (after_letter & (holds(_LAST) > 0))]] = True
     small = lower[points]
     triple = is_letter[2:] & (small[2:] == small[1:-1]) & (small[1:-1] == small[:-2])
     mark[2:][triple] = True
-    # Single letters with single blanks between them.
-    alone = is_letter & before_blank & (np.concatenate([blank[1:], [True]]) | edge[1:])
-    chain = alone[4:] & alone[2:-2] & alone[:-4] & (points[1:-3] == 32) & (points[3:-1] == 32)
     where = np.flatnonzero(mark)
     breaks = np.flatnonzero(blank | edge[:-1])
     spans = set()
@@ -169,14 +170,16 @@ def disguised(points: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
         a = 0 if k < 0 else int(breaks[k]) + int(blank[breaks[k]])
         b = int(breaks[k + 1]) if k + 1 < len(breaks) else len(points)
         spans.add((a, b))
-    k = 0
-    first = np.flatnonzero(chain)
-    while k < len(first):
-        m = k
-        while m + 1 < len(first) and first[m + 1] == first[m] + 2:
-            m += 1
-        spans.add((int(first[k]), int(first[m]) + 5))
-        k = m + 1
+    # Words in order; those of one character, a letter or a sign for one, make chains within a text.
+    opens = np.flatnonzero(~blank & before_blank)
+    single = (np.concatenate([blank[1:], [True]]) | edge[1:])[opens] & (is_letter | np.isin(points, _READ_AS))[opens]
+    text = np.searchsorted(at, opens, side="right")
+    joins = single[1:] & single[:-1] & (text[1:] == text[:-1])
+    starts = np.flatnonzero(joins & ~np.concatenate([[False], joins[:-1]])) if len(joins) else joins
+    ends = np.flatnonzero(joins & ~np.concatenate([joins[1:], [False]])) + 1 if len(joins) else joins
+    for m, n in zip(starts.tolist(), ends.tolist(), strict=True):
+        if n - m >= 2 and is_letter[opens[m : n + 1]].any():
+            spans.add((int(opens[m]), int(opens[n]) + 1))
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
         if (not out or a >= out[-1][1]) and b - a >= 3:
