@@ -2,23 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to spark.checkpoint.dir (our own folder where that is unset) and read again, which ends its lineage."""
-    spark = df.sparkSession
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.weekloom.steps", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="weekloom-steps-")
-        spark.conf.set("spark.weekloom.steps", folder)
-    path = f"{folder.rstrip('/')}/weekloom-steps/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from weekloom.session import stored
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
