@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +9,8 @@ from pyspark.sql import functions as F
 
 from weekloom import session
 
-#: Rows that one Arrow batch hands to Python, so that a batch of whole texts stays at a few MB.
-ARROW_ROWS = 512
+#: Rows and bytes that one Arrow batch hands to Python, so that a batch of whole texts stays at a few MB.
+ARROW_ROWS, ARROW_BYTES = 512, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,30 +18,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of the session, whatever the length of its texts, and lets its workers import us."""
-    session.prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    """Bounds the Arrow batches of the session, whatever the length of its texts, and lets its workers import us.
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.weekloom.folder", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="weekloom-")
-        spark.conf.set("spark.weekloom.folder", folder)
-    return folder.rstrip("/")
+    The bounds are settings of the session, read when a result runs, so they stay; they are only ever lowered, and say
+    nothing on what a query returns.
+    """
+    session.prepare(spark)
+    for name, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{name}").rstrip("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/weekloom/{name}-{uuid.uuid4().hex}"
+new_path, stored = session.new_path, session.stored
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: its lineage ends there, and a lost executor loses nothing."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def unused(columns: list[str], name: str) -> str:
+    """`name`, or a longer name, that is none of these columns in any spelling."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def fold(doc_id: str | Column) -> Column:
@@ -56,13 +50,19 @@ def held_out(doc_id: str | Column) -> Column:
     return fold(doc_id) == 0
 
 
-def drawn(rows: int, key: str, most: int) -> Column:
-    """A condition that holds for about `most` of so many rows, chosen by a hash of the key, alike on every run.
+def drawn(rows: int, most: int, *keys: str) -> Column:
+    """A condition that holds for about `most` of so many rows, chosen by a hash of the keys, alike on every run.
 
-    The share is set from a count, so no row is sorted or sent anywhere to draw the sample.
+    The share is set from a count, so no row is sorted or sent anywhere to draw the sample. Rows with equal keys are
+    drawn together: bounded() holds the rest where one row is repeated very often.
     """
     share = (1 << 31) if rows <= most else int(most / rows * (1 << 31))
-    return F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 31)) < share
+    return F.pmod(F.xxhash64(*keys, F.lit(7)), F.lit(1 << 31)) < share
+
+
+def bounded(sample: DataFrame, most: int) -> DataFrame:
+    """A sample of about `most` rows, with a limit that acts only where copies of one row were drawn together."""
+    return sample.limit(2 * most + 1000)
 
 
 def bytes_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Additiv
             x = measured(*common.bytes_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
 
-    got = labelled.sample(docs, labels, "quality", most).select("text", "y").mapInArrow(features, "y int, x array<double>").toPandas()
+    got = common.bounded(labelled.sample(docs, labels, "quality", most).select("text", "y").mapInArrow(features, "y int, x array<double>"), most).toPandas()
     return fit(np.stack(got["x"].to_numpy()), got["y"].to_numpy(float)) if len(got) else None
 
 
