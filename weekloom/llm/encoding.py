@@ -2,9 +2,10 @@
 
 A tokenizer of the kinds handled here never joins characters across the white space between two words. A text is
 therefore the row of its units (a word with the white space before it), and a unit's ids never depend on its
-neighbours. Units are told apart by two 64-bit polynomial hashes computed over whole batches with numpy; only units
-that a worker has not met yet go through the tokenizers library. Texts with white space other than single blanks and
-line ends are encoded as a whole.
+neighbours. Units are looked up by a 64-bit polynomial hash computed over whole batches with numpy, and the bytes of
+each are compared with those of the unit that was found; only units that a worker has not met yet go through the
+tokenizers library. Texts with white space other than single blanks and line ends, or with a unit whose hash is that of
+another one, are encoded as a whole.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Odd multipliers of the two hashes.
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Odd multiplier of the hash.
+BASE = 0x9E3779B97F4A7C15
 #: Bytes that are hashed at a time, or else one text.
 CHUNK = 1 << 20
-#: Units that a worker keeps; beyond it the table starts anew, which costs time and changes nothing else.
-MOST_UNITS = 1_500_000
+#: Units that a worker keeps, and their bytes; beyond it the table starts anew, which costs time and changes nothing else.
+MOST_UNITS, MOST_BYTES = 1_500_000, 64 << 20
 
 
 @lru_cache(maxsize=4)
@@ -37,16 +38,27 @@ def _powers(bits: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def unit_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of every raw[start:end]."""
-    bits = max(CHUNK.bit_length() - 1, len(raw).bit_length())
-    out = []
-    for base in BASES:
-        up, down = _powers(bits, base)
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
-        out.append((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return out[0], out[1]
+def unit_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of every raw[start:end]."""
+    up, down = _powers(max(CHUNK.bit_length() - 1, len(raw).bit_length()), BASE)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of every run, back to back."""
+    done = np.cumsum(sizes)
+    return np.repeat(starts - (done - sizes), sizes) + np.arange(done[-1] if len(done) else 0)
+
+
+def differ(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which of the runs a[start:start + size] aren't b[start:start + size]."""
+    wrong = a[spread(a_starts, sizes)] != b[spread(b_starts, sizes)]
+    out = np.zeros(len(sizes), bool)
+    if wrong.any():
+        out[np.searchsorted(np.cumsum(sizes), np.flatnonzero(wrong), side="right")] = True
+    return out
 
 
 def plain_texts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -94,10 +106,12 @@ class WordEncoder:
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.checks = np.zeros(0, np.uint64)
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.pool = np.zeros(0, self.width)
+        self.byte_first = np.zeros(0, np.int64)
+        self.byte_count = np.zeros(0, np.int64)
+        self.bytes = np.zeros(0, np.uint8)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -130,17 +144,17 @@ class WordEncoder:
         first[rest] = len(ids) + np.cumsum(count[rest]) - count[rest]
         return np.concatenate([ids, *(np.array(p, self.width) for p in parts)]), first, count
 
-    def _learn(self, hashes: np.ndarray, checks: np.ndarray, units: list[bytes]) -> None:
-        if len(self.keys) + len(units) > MOST_UNITS:
-            self.clear()
+    def _learn(self, hashes: np.ndarray, units: list[bytes]) -> None:
         ids, first, count = self._encode_units(units)
-        first += len(self.pool)
-        self.pool = np.concatenate([self.pool, ids])
+        sizes = np.array([len(u) for u in units], np.int64)
         where = np.searchsorted(self.keys, hashes)
         self.keys = np.insert(self.keys, where, hashes)
-        self.checks = np.insert(self.checks, where, checks)
-        self.first = np.insert(self.first, where, first)
+        self.first = np.insert(self.first, where, first + len(self.pool))
         self.count = np.insert(self.count, where, count)
+        self.byte_first = np.insert(self.byte_first, where, np.cumsum(sizes) - sizes + len(self.bytes))
+        self.byte_count = np.insert(self.byte_count, where, sizes)
+        self.pool = np.concatenate([self.pool, ids])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(units), np.uint8)])
 
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts back to back, and n + 1 offsets into them. raw, at: as from bytes_of()."""
@@ -173,31 +187,31 @@ class WordEncoder:
         got = np.zeros(0, self.width)
         per_text = np.zeros(n, np.int64)
         if len(starts):
-            h, c = unit_hashes(raw, starts, ends)
+            h = unit_hashes(raw, starts, ends)
             order = np.argsort(h, kind="stable")
             sorted_h = h[order]
             new = np.concatenate([[True], sorted_h[1:] != sorted_h[:-1]])
             distinct, member = sorted_h[new], order[new]
             inverse = np.empty(len(h), np.int64)
             inverse[order] = np.cumsum(new) - 1
-            if not np.array_equal(c[member][inverse], c):  # two units with one hash: never met; then nothing is shared
-                raise ValueError("two different words have the same 64-bit hash")
             for _ in range(2):
                 where = np.minimum(np.searchsorted(self.keys, distinct), max(len(self.keys) - 1, 0))
                 known = self.keys[where] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
                 if known.all():
                     break
-                if len(self.keys) + int((~known).sum()) > MOST_UNITS:
+                if len(self.keys) + int((~known).sum()) > MOST_UNITS or len(self.bytes) > MOST_BYTES:
                     self.clear()
                     known[:] = False
                 fresh = member[~known]
                 data = raw.tobytes()
-                self._learn(distinct[~known], c[fresh], [data[s:e] for s, e in zip(starts[fresh], ends[fresh], strict=True)])
-            if not np.array_equal(self.checks[where], c[member]):
-                raise ValueError("two different words have the same 64-bit hash")
-            count, first = self.count[where][inverse], self.first[where][inverse]
-            done = np.cumsum(count)
-            got = self.pool[np.repeat(first - (done - count), count) + np.arange(done[-1])]
+                self._learn(distinct[~known], [data[s:e] for s, e in zip(starts[fresh], ends[fresh], strict=True)])
+            found = where[inverse]
+            sizes = ends - starts
+            other = self.byte_count[found] != sizes
+            other |= differ(raw, starts, self.bytes, self.byte_first[found], np.where(other, 0, sizes))
+            plain[owner[other]] = False  # the hash of another unit
+            count, first = self.count[found], self.first[found]
+            got = self.pool[spread(first, count)]
             per_text += np.bincount(owner, count, n).astype(np.int64)
         odd = np.flatnonzero(~plain & (at[1:] > at[:-1]))
         if not len(odd):
