@@ -7,12 +7,14 @@ which are three exclusive-ors and two ands for 64 rows a word. What is left is t
 its bits. The top rows are selected from the most significant score bitmap downward; rows that still tie on the
 boundary are resolved by their id, and scores are computed again as integer inner products.
 
-Vectors that are null or hold null or non-finite components take no part; rows without an id neither. Repeated rows
+Values are held at plus or minus 2^31 over the square root of the dimensions, far beyond any embedding, so that every
+score is a 64-bit integer. Vectors that are null or hold null or non-finite components take no part; rows without an id neither. Repeated rows
 with one id are separate candidates. Vectors of another length only meet their like. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 
 import numpy as np
@@ -28,7 +30,9 @@ ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def quantised(x: np.ndarray, scale: float = SCALE) -> np.ndarray:
-    return np.floor(scale * x).astype(np.int64)
+    """floor(scale * x), held where the score of two such vectors still is a 64-bit integer."""
+    most = float(math.isqrt((1 << 62) // max(1, x.shape[-1])))
+    return np.clip(np.floor(scale * x), -most, most).astype(np.int64)
 
 
 def build(ids: np.ndarray, x: np.ndarray) -> bytes:
@@ -137,13 +141,7 @@ class Group:
         return words[row] * 64 + bit
 
 
-_last: list = [b"", None]
-
-
-def probe(image: bytes, query_ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if image != _last[0]:
-        _last[:] = [image, Group(image)]
-    group: Group = _last[1]
+def probe(group: Group, query_ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at, found, scores = [], [], []
     for i, (own, query) in enumerate(zip(query_ids, quantised(x), strict=True)):
         others = group.rows.copy()
@@ -159,7 +157,7 @@ def probe(image: bytes, query_ids: np.ndarray, x: np.ndarray, k: int) -> tuple[n
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", **sizes: int) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k rows with the largest integer inner product for every query."""
     rows, asked = blocks.usable(vectors, id_col, vector_col), blocks.usable(queries, id_col, vector_col)
-    return blocks.search(rows, asked, build, probe, k, "long", **sizes)
+    return blocks.search(rows, asked, build, Group, probe, k, "long", **sizes)
 
 
 def op2_bitslice_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +178,6 @@ WITH v AS (
 )
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
 FROM scored
-QUALIFY row_number() OVER w <= {K}
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= {K}
 """

@@ -35,14 +35,16 @@ def matrix(batch: pa.RecordBatch | pa.Table, ids: str = "id", vectors: str = "x"
 
 
 Build = Callable[[np.ndarray, np.ndarray], bytes]
-#: index image, query ids, query vectors, k -> query positions, found ids, scores
-Probe = Callable[[bytes, np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: opened index, query ids, query vectors, k -> query positions, found ids, scores
+Probe = Callable[[object, np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def search(rows: DataFrame, queries: DataFrame, build: Build, probe: Probe, k: int, score: str, rows_per_group: int = 16384, queries_per_block: int = 256) -> DataFrame:
+def search(rows: DataFrame, queries: DataFrame, build: Build, opened: Callable[[bytes], object], probe: Probe, k: int, score: str, rows_per_group: int = 16384, queries_per_block: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of each query, best first, ties to the smaller id.
 
-    rows, queries: id and x, as from usable(). build makes the image of a group's index; probe answers queries with it.
+    rows, queries: id and x, as from usable(). build makes the image of a group's index, opened() reads it, and probe
+    answers queries with it. An image of some 16 MB travels once for every queries_per_block queries, which is a few KB
+    for each query and group, and little beside the scores that a query computes there.
     """
     spark = rows.sparkSession
     common.small_batches(spark)
@@ -60,11 +62,15 @@ def search(rows: DataFrame, queries: DataFrame, build: Build, probe: Probe, k: i
         return pa.table({"dim": pa.array([x.shape[1]], pa.int32()), "qids": pa.array([ids.astype("<i8").tobytes()], pa.binary()), "qx": pa.array([x.astype("<f8").tobytes()], pa.binary())})
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, index = None, None
         for batch in batches:
             for row in range(batch.num_rows):
+                group = batch.column("dim")[row].as_py(), batch.column("g")[row].as_py()
+                if group != own:
+                    own, index = group, opened(batch.column("index")[row].as_buffer().to_pybytes())
                 ids = np.frombuffer(batch.column("qids")[row].as_buffer(), "<i8")
                 x = np.frombuffer(batch.column("qx")[row].as_buffer(), "<f8").reshape(len(ids), -1)
-                at, found, values = probe(batch.column("index")[row].as_buffer().to_pybytes(), ids, x, k)
+                at, found, values = probe(index, ids, x, k)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(found), pa.array(values)], names=["query_id", "vec_id", "score"])
 
     def dealt(df: DataFrame, many: int, salt: int, name: str) -> DataFrame:
@@ -73,7 +79,6 @@ def search(rows: DataFrame, queries: DataFrame, build: Build, probe: Probe, k: i
     index = dealt(rows, groups, 1, "g").groupBy("dim", "g").applyInArrow(built, "dim int, g int, index binary")
     asked = dealt(queries, blocks, 2, "b").groupBy("dim", "b").applyInArrow(blocked, "dim int, qids binary, qx binary")
     asked = asked.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    found = index.join(asked.hint("shuffle_merge"), ["dim", "g"]).select("index", "qids", "qx").mapInArrow(probed, f"query_id long, vec_id long, score {score}")
+    found = index.join(asked.hint("shuffle_merge"), ["dim", "g"]).select("dim", "g", "index", "qids", "qx").mapInArrow(probed, f"query_id long, vec_id long, score {score}")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

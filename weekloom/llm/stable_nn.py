@@ -57,8 +57,15 @@ def tree_order(points: np.ndarray, leaf: int) -> np.ndarray:
     return order
 
 
+def in_range(x: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that puts its largest component between a half and one: cosines stay the same to
+    the last bit, and no square leaves the range of a double."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+
+
 def build(ids: np.ndarray, x: np.ndarray) -> bytes:
     """Image of a group: the distinct vectors in kd-tree order, their projections and the ids of each."""
+    x = in_range(x)
     distinct, entry = np.unique(x, axis=0, return_inverse=True)
     entry = entry.ravel()
     dims = distinct.shape[1]
@@ -134,13 +141,8 @@ class Group:
         return found[best], scores[best]
 
 
-_last: list = [b"", None]
-
-
-def probe(image: bytes, query_ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if image != _last[0]:
-        _last[:] = [image, Group(image)]
-    answers = [_last[1].nearest(int(own), query, k) for own, query in zip(query_ids, x, strict=True)]
+def probe(group: Group, query_ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    answers = [group.nearest(int(own), query, k) for own, query in zip(query_ids, in_range(x), strict=True)]
     at = np.repeat(np.arange(len(answers)), [len(a[0]) for a in answers])
     return at, np.concatenate([a[0] for a in answers]), np.concatenate([a[1] for a in answers])
 
@@ -151,7 +153,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
     def directed(df: DataFrame) -> DataFrame:
         return blocks.usable(df, id_col, vector_col).where(F.exists("x", lambda v: v != 0))
 
-    return blocks.search(directed(vectors), directed(queries), build, probe, k, "double", **sizes)
+    return blocks.search(directed(vectors), directed(queries), build, Group, probe, k, "double", **sizes)
 
 
 def op6_stable_nn(spark: SparkSession, sf_dir: str) -> DataFrame:
