@@ -7,7 +7,7 @@ table of each segment for all keys of that ball, and the whole distance is verif
 longer as classes get more, so that a key has few classes at any size; no link is ever left out.
 
 A null text is an empty text; texts without words have fingerprint zero. A null doc_id can't name a component, but its
-row is returned. Repeated rows are copies like any other. Columns other than doc_id and text are not read. An empty
+row is returned, and links others like any row; a component of null ids alone has a null component_id. Repeated rows are copies like any other. Columns other than doc_id and text are not read. An empty
 table gives no rows.
 """
 
@@ -24,6 +24,8 @@ from weekloom.llm import common
 from weekloom.llm.components import components
 
 WORDS, SEED, RADIUS, BITS = 3, 42, 3, 64
+#: One class of equal fingerprints is hot if it has one of so many parts of all rows.
+HOT = 1000
 #: Shingles whose bits are counted at a time.
 STEP = 1 << 16
 
@@ -111,7 +113,7 @@ def _segment(fp: Column, first: int, bits: int) -> Column:
 
 
 def links_between(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b), a < b: representatives of all pairs of classes whose fingerprints differ in at most `radius` bits.
+    """(a, b), a < b: the `rep` of all pairs of classes whose fingerprints differ in at most `radius` bits.
 
     classes: fp, and rep, a distinct long for each.
     """
@@ -134,19 +136,26 @@ def links_between(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """Per row of docs: doc_id, fp, component_id (the smallest doc_id that it reaches by links, itself included)."""
     prints = common.stored(fingerprints(docs, words), "fingerprints")
-    classes = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    named = classes.where("rep IS NOT NULL")
-    roots = components(links_between(named, radius)).select(F.col("a").alias("rep"), F.col("b").alias("root"))
-    whole = classes.join(roots, "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    return prints.join(whole, "fp").select("doc_id", "fp", "component_id")
+    classes = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "classes")
+    # Classes are linked by their fingerprints, so one without any doc_id still joins those around it.
+    roots = components(links_between(classes.select("fp", F.col("fp").alias("rep")), radius)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    rooted = common.stored(classes.join(roots, "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")), "rooted")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    whole = common.stored(rooted.join(named, "root").select("fp", "n", "component_id"), "components")
+    # A class with a thousandth of all rows or more (there are a thousand at most) is broadcast, so it is in no one task.
+    rows = whole.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(whole.where(F.col("n") * HOT >= rows).select("fp", "component_id"))
+    rest = prints.join(hot.select("fp"), "fp", "left_anti").join(whole.where(F.col("n") * HOT < rows).select("fp", "component_id"), "fp")
+    return prints.join(hot, "fp").select("doc_id", "fp", "component_id").union(rest.select("doc_id", "fp", "component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """The document with the smallest doc_id of each component, once; rows without doc_id stay."""
     found = near_duplicates(docs, words, radius)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    once = docs.join(kept, "doc_id", "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    nth = common.unused(docs.columns, "_nth")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
+    once = docs.join(kept, "doc_id", "left_semi").withColumn(nth, first).where(F.col(nth) == 1).drop(nth)
     return once.union(docs.where("doc_id IS NULL"))
 
 
