@@ -4,8 +4,9 @@ The patterns give the base spans. The model learns from labelled spans: base spa
 documents (TRAIN_DOCS), and the same contexts with personal data written in other ways (blanks around the sign of an
 address, numbers without the country's sign, other separators), against numbers and codes that are no personal data.
 It adds spans that no pattern allows; base spans stay, and an added span never touches one. Each added span holds a
-digit or an `@`, so stretches of text without such characters within reach need no decoding; all others are cut into
-overlapping windows, decoded and reconciled over the whole stretch.
+digit, an `@` or an `(at)`, so stretches of text without one within reach need no decoding. Stretches end with the words
+that they touch; they are cut into overlapping windows, decoded and reconciled over the whole stretch. A text of any
+length is decoded whole, with ten bytes for each character of its longest stretch.
 
 A null text is an empty text and has no spans. Rows are independent: repeated rows give repeated results, a null doc_id
 is returned as it is. Columns other than doc_id and text are not read. An empty table gives no rows.
@@ -13,8 +14,8 @@ is returned as it is. Columns other than doc_id and text are not read. An empty
 
 from __future__ import annotations
 
-import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,17 +26,18 @@ from pyspark.sql import functions as F
 from weekloom.llm import common, tagger
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents whose spans the model learns from, at most, about; windows and steps of its training.
-TRAIN_DOCS, TRAIN_WINDOWS, STEPS = 6000, 3000, 400
-#: Characters around a digit or `@` that are decoded with it.
-REACH = 24
+#: Documents whose spans the model learns from, at most, about; pieces drawn from each; windows and steps of its training.
+TRAIN_DOCS, PIECES, TRAIN_WINDOWS, STEPS = 6000, 3, 6000, 500
+#: Characters around a digit or `@` that are decoded with it, and those of a piece on each side.
+REACH, AROUND = 48, 160
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NEAR = re.compile(r"[0-9@]")
+_NEAR = re.compile(r"[0-9@]|[(\[] ?at ?[)\]]")
+_DIGITS = frozenset("0123456789")
 Span = tuple[int, int, int]  # start, kind, end
 
 
@@ -68,20 +70,28 @@ def base_spans(text: str) -> list[Span]:
         if 14 <= len(digits) <= 19 and luhn(digits):
             out.append((m.start(), 2, m.end()))
     for m in _PHONE.finditer(text):
-        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+        if 10 <= sum(c in _DIGITS for c in m[0]) <= 15:
             out.append((m.start(), 3, m.end()))
     return sorted(out)
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of a text within REACH of a digit or `@`; no added span can lie elsewhere."""
+    """Parts of a text within REACH of a digit, `@` or `(at)`, to the ends of the words there; no added span can lie
+    elsewhere."""
     out: list[list[int]] = []
     for m in _NEAR.finditer(text):
         a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
         if out and a <= out[-1][1]:
-            out[-1][1] = b
-        else:
-            out.append([a, b])
+            out[-1][1] = max(b, out[-1][1])
+            continue
+        while a > (out[-1][1] if out else 0) and not text[a - 1].isspace():
+            a -= 1
+        out.append([a, b])
+    for k, (_, b) in enumerate(out):
+        end = out[k + 1][0] if k + 1 < len(out) else len(text)
+        while b < end and not text[b].isspace():
+            b += 1
+        out[k][1] = b
     return [(a, b) for a, b in out]
 
 
@@ -90,15 +100,15 @@ def points_of(text: str) -> np.ndarray:
 
 
 def fits(kind: int, found: str) -> bool:
-    """Whether an added span could be what it is taken for."""
-    digits = sum(c.isdigit() for c in found)
+    """Whether an added span could be what it is taken for. Digits are those of ASCII."""
+    digits = "".join(c for c in found if c in _DIGITS)
     if kind == 0:
-        return bool(re.fullmatch(r"[\w.%+-]+ ?(?:@|\(at\)) ?[\w-]+(?: ?\. ?[\w-]+)+", found)) and "@" in found
+        return bool(re.fullmatch(r"[\w.%+-]+ ?(?:@|[(\[] ?at ?[)\]]) ?[\w-]+(?: ?(?:\.|[(\[] ?dot ?[)\]]) ?[\w-]+)+", found))
     if kind == 1:
         return bool(re.fullmatch(r"[0-9]{1,3}(?: ?[.,:] ?[0-9]{1,3}){3}", found)) and all(int(x) <= 255 for x in re.findall("[0-9]+", found))
     if kind == 2:
-        return 14 <= digits <= 19 and luhn("".join(c for c in found if c.isdigit()))
-    return 10 <= digits <= 15 and not found.isdigit()
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return 10 <= len(digits) <= 15 and len(digits) < len(found)
 
 
 def added_spans(model: tagger.Tagger, texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
@@ -129,7 +139,7 @@ def _variant(kind: int, r: np.random.Generator) -> tuple[str, bool]:
     name = "".join(chr(97 + x) for x in r.integers(0, 26, r.integers(3, 9)))
     host = "".join(chr(97 + x) for x in r.integers(0, 26, r.integers(3, 8)))
     if kind == 0:
-        return [f"{name}{d(2)}@{host}.com", f"{name} @ {host}.com", f"{name}@{host} . org", f"{name}.{host}@mail.{host}.net"][r.integers(4)], True
+        return [f"{name}{d(2)}@{host}.com", f"{name} @ {host}.com", f"{name}@{host} . org", f"{name}.{host}@mail.{host}.net", f"{name} (at) {host}.com", f"{name}[at]{host}.org", f"{name} (at) {host} (dot) com", f"{name}.{host} @ mail.{host}.net"][r.integers(8)], True
     if kind == 1:
         return ".,"[int(r.random() < 0.2)].join(str(x) for x in r.integers(0, 256, 4)), True
     if kind == 2:
@@ -160,11 +170,10 @@ def windows(texts: list[str], most: int, seed: int = 1) -> tuple[np.ndarray, np.
         x.append(cls)
         y.append(tag)
 
-    for text in texts:
-        spans = base_spans(text)
-        for a, b in stretches(text)[:20]:
-            if len(x) < most // 2:
-                add(text, spans, max(0, int(r.integers(a - 30, max(a - 29, b - 24)))))
+    real = [(text, a, b) for text in texts for a, b in stretches(text)]
+    for k in r.permutation(len(real))[: most // 2]:
+        text, a, b = real[k]
+        add(text, base_spans(text), max(0, int(r.integers(a - 30, max(a - 29, b - 24)))))
     while len(x) < most:
         context = contexts[r.integers(len(contexts))]
         at = int(r.integers(0, max(1, len(context) - 10)))
@@ -179,24 +188,29 @@ def windows(texts: list[str], most: int, seed: int = 1) -> tuple[np.ndarray, np.
     return np.stack(x), np.stack(y)
 
 
+def drawn_pieces(text: str, many: int = PIECES) -> list[str]:
+    """Parts of a text around some of its digits and `@`, drawn from all of it; or any part where it has none."""
+    r = np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace")))
+    found = [m.start() for m in _NEAR.finditer(text)]
+    at = sorted(r.choice(found, min(many, len(found)), replace=False)) if found else [int(r.integers(0, len(text) + 1))]
+    return [text[max(0, int(k) - AROUND) : int(k) + AROUND] for k in at]
+
+
 def train(docs: DataFrame, most: int = TRAIN_DOCS) -> tagger.Tagger:
-    """The model, fitted on the spans of about `most` documents; each is cut to what lies around its spans."""
+    """The model, fitted on the spans in PIECES parts of each of about `most` documents, drawn from whole texts."""
     common.small_batches(docs.sparkSession)
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for text in common.text_of(batch.column("text")):
-                found = stretches(text)
-                parts.append(text[max(0, found[0][0] - 60) : found[0][0] + 400] if found else text[:120])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(parts, pa.string())], names=["doc_id", "part"])
+            parts = [p for text in common.text_of(batch.column("text")) for p in drawn_pieces(text)]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string())], names=["part"])
 
     n = docs.agg(F.count("*")).first()[0]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = rows.where(common.drawn(n, "doc_id", most)).mapInArrow(around, "doc_id long, part string").toPandas()
-    texts = got.sort_values(["doc_id", "part"])["part"].tolist()
+    parts = rows.where(common.drawn(n, most, "doc_id", "text")).select("text").mapInArrow(around, "part string")
+    got = common.bounded(parts, PIECES * most).toPandas()
     model = tagger.Tagger(1 + 2 * len(KINDS))
-    model.fit(*windows(texts, TRAIN_WINDOWS), steps=STEPS)
+    model.fit(*windows(sorted(got["part"]), TRAIN_WINDOWS), steps=STEPS)
     return model
 
 
@@ -226,9 +240,9 @@ def find(docs: DataFrame, model: tagger.Tagger) -> DataFrame:
 
 
 def candidates(batch: pa.RecordBatch) -> tuple[list[int], list[str]]:
-    """Rows of a batch whose text has a digit or `@`, and those texts. No other text can have a span."""
+    """Rows of a batch whose text has a digit, `@` or a bracket, and those texts. No other text can have a span."""
     raw, at = common.bytes_of(batch.column("text"))
-    hits = np.concatenate([[0], np.cumsum((raw == 64) | ((raw >= 48) & (raw <= 57)))])
+    hits = np.concatenate([[0], np.cumsum((raw == 64) | ((raw >= 48) & (raw <= 57)) | (raw == 40) | (raw == 91))])
     near = np.flatnonzero(hits[at[1:]] > hits[at[:-1]]).tolist()
     data = raw.tobytes()
     return near, [data[at[k] : at[k + 1]].decode() for k in near]

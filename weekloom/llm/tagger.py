@@ -160,41 +160,75 @@ class Tagger:
         return out
 
 
-def decode(tagger: Tagger, stretches: list[np.ndarray], at_once: int = 1024) -> list[np.ndarray]:
-    """Tags of each stretch of classes. Long ones are cut into overlapping windows; where windows overlap, their scores
-    are weighed by the distance from the window's edge, and one Viterbi search reconciles the whole stretch."""
-    owner, start = [], []
-    for k, s in enumerate(stretches):
-        for a in range(0, max(1, len(s) - WINDOW + STRIDE), STRIDE):
-            owner.append(k)
-            start.append(a)
-    weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(float)
-    sums = [np.zeros((len(s), tagger.tags)) for s in stretches]
-    weights = [np.zeros(len(s)) for s in stretches]
-    for k in range(0, len(owner), at_once):
-        x = np.zeros((WINDOW, len(owner[k : k + at_once])), np.int16)
-        for j, (o, a) in enumerate(zip(owner[k : k + at_once], start[k : k + at_once], strict=True)):
-            part = stretches[o][a : a + WINDOW]
+#: Stretches longer than this are decoded one by one, so many characters at a time.
+LONG, PART = 1 << 16, 1 << 14
+_WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(float)
+
+
+def window_starts(n: int) -> range:
+    return range(0, max(1, n - WINDOW + STRIDE), STRIDE)
+
+
+def _scores(tagger: Tagger, cuts: list[tuple[int, np.ndarray]], at_once: int = 1024):
+    """(number, emissions) of windows of classes, computed at_once at a time."""
+    for k in range(0, len(cuts), at_once):
+        some = cuts[k : k + at_once]
+        x = np.zeros((WINDOW, len(some)), np.int16)
+        for j, (_, part) in enumerate(some):
             x[: len(part), j] = part
         e, _ = tagger.emissions(x)
-        for j, (o, a) in enumerate(zip(owner[k : k + at_once], start[k : k + at_once], strict=True)):
-            n = min(WINDOW, len(stretches[o]) - a)
-            sums[o][a : a + n] += e[:n, j] * weight[:n, None]
-            weights[o][a : a + n] += weight[:n]
-    out: list = [None] * len(stretches)
-    order = sorted(range(len(stretches)), key=lambda k: len(stretches[k]))
+        for j, (number, part) in enumerate(some):
+            yield number, e[: len(part), j]
+
+
+def _decode_long(tagger: Tagger, s: np.ndarray) -> np.ndarray:
+    """Tags of one stretch. Scores of a part are dropped once the search has passed it; a byte for each tag stays."""
+    n, starts = len(s), window_starts(len(s))
+    back = np.zeros((n, tagger.tags), np.int8)
+    best = np.zeros(0)
+    for a in range(0, n, PART):
+        b = min(n, a + PART)
+        sums, weights = np.zeros((b - a, tagger.tags)), np.zeros(b - a)
+        cuts = [(w, s[w : w + WINDOW]) for w in starts[max(0, -(-(a - WINDOW + 1) // STRIDE)) : -(-b // STRIDE)]]
+        for w, e in _scores(tagger, cuts):
+            lo, hi = max(w, a), min(w + len(e), b)
+            sums[lo - a : hi - a] += e[lo - w : hi - w] * _WEIGHT[lo - w : hi - w, None]
+            weights[lo - a : hi - a] += _WEIGHT[lo - w : hi - w]
+        scores = sums / weights[:, None]
+        for t in range(a, b):
+            if t == 0:
+                best = tagger.p["start"] + scores[0]
+            else:
+                moves = best[:, None] + tagger.p["moves"]
+                back[t] = moves.argmax(0)
+                best = moves.max(0) + scores[t - a]
+    out = np.zeros(n, np.int8)
+    tag = int(best.argmax())
+    for t in range(n - 1, -1, -1):
+        out[t] = tag
+        tag = int(back[t, tag])
+    return out
+
+
+def decode(tagger: Tagger, stretches: list[np.ndarray], long: int = LONG) -> list[np.ndarray]:
+    """Tags of each stretch of classes. It is cut into overlapping windows; where windows overlap, their scores are
+    weighed by the distance from the window's edge, and one Viterbi search reconciles the whole stretch."""
+    out: list = [_decode_long(tagger, s) if len(s) > long else None for s in stretches]
+    order = sorted((k for k in range(len(stretches)) if out[k] is None), key=lambda k: len(stretches[k]))
     k = 0
     while k < len(order):
-        longest = max(256, len(stretches[order[k]]))
-        m = k
-        while m < len(order) and m - k < 256 and (len(stretches[order[m]]) <= longest) and len(stretches[order[m]]) * (m - k + 1) <= 1 << 20 or m == k:
+        # So many stretches of like length that their scores stay at some MB.
+        m = k + 1
+        while m < len(order) and m - k < 256 and len(stretches[order[m]]) <= max(256, 2 * len(stretches[order[k]])) and len(stretches[order[m]]) * (m - k + 1) <= 1 << 19:
             m += 1
         rows = order[k:m]
         lengths = np.array([len(stretches[r]) for r in rows])
-        e = np.zeros((int(lengths.max()), len(rows), tagger.tags))
-        for j, r in enumerate(rows):
-            e[: lengths[j], j] = sums[r] / np.maximum(weights[r], 1)[:, None]
-        tags = tagger.viterbi(e, lengths)
+        e, weights = np.zeros((int(lengths.max(initial=1)), len(rows), tagger.tags)), np.zeros((int(lengths.max(initial=1)), len(rows)))
+        cuts = [((j, w), stretches[r][w : w + WINDOW]) for j, r in enumerate(rows) for w in window_starts(len(stretches[r]))]
+        for (j, w), scores in _scores(tagger, cuts):
+            e[w : w + len(scores), j] += scores * _WEIGHT[: len(scores), None]
+            weights[w : w + len(scores), j] += _WEIGHT[: len(scores)]
+        tags = tagger.viterbi(e / np.maximum(weights, 1)[:, :, None], lengths)
         for j, r in enumerate(rows):
             out[r] = tags[: lengths[j], j]
         k = m
