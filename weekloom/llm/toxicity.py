@@ -37,8 +37,10 @@ FILLERS = " .-_*~'`^,:;/\\​‌‍﻿"
 READ, DROP, FILL, REPEAT, KEEP = 0.7, 3.0, 0.3, 0.4, 0.0
 #: Order of the language model, weight of the longer context at each step, and bits of the hash of its n-grams.
 ORDER, LONGER, LANGUAGE_BITS = 4, 0.8, 22
-#: After so many characters of a word, its cheapest reading goes on alone.
-SETTLED = 40
+#: Readings of words up to this length are kept, as words come again; longer ones are read each time.
+KEPT_LENGTH = 80
+#: Distinct words that a task cuts into n-grams at a time.
+WORDS_PER_TASK = 50_000
 #: Word n-grams (a blank marks where a word starts or ends) and the bits of their hash.
 GRAMS, HASH_BITS = (4, 5, 6, 8), 20
 #: Fewest toxic rows of an n-gram, its least log odds, and how many n-grams the model may use.
@@ -97,11 +99,13 @@ def gram_key(gram: str) -> int:
 
 
 def restore(word: str, model: LanguageModel) -> str:
-    """The cheapest reading of a lower-case word (which may hold blanks between its letters)."""
-    start = "^" * (ORDER - 1)
-    # Keyed by the last letters, on which alone the cost of what follows depends: no path is cut that could be cheapest.
-    paths: dict[str, tuple[float, str]] = {start: (0.0, "")}
-    settled: list[str] = []
+    """The cheapest reading of a lower-case word (which may hold blanks between its letters).
+
+    A path's state is its last ORDER - 1 letters, on which alone the cost of what follows depends, so the search is exact
+    and no path is cut that could be cheapest. Paths share what they have in common: each points back at the one it
+    came from.
+    """
+    paths: dict[str, tuple[float, tuple | None]] = {"^" * (ORDER - 1): (0.0, None)}
     for i, sign in enumerate(word):
         if sign.isalpha():
             readings = [(sign, KEEP)]
@@ -109,21 +113,22 @@ def restore(word: str, model: LanguageModel) -> str:
             readings = [(c, READ) for c in CHANNEL.get(sign, "")]
         again = i > 0 and word[i - 1] == sign and (word[i - 2 : i - 1] == sign or word[i + 1 : i + 2] == sign)
         drop = (FILL if sign in FILLERS else DROP) if not sign.isalpha() else REPEAT if again else None
-        after: dict[str, tuple[float, str]] = {}
-        for context, (cost, text) in paths.items():
+        after: dict[str, tuple[float, tuple | None]] = {}
+        for context, (cost, back) in paths.items():
             if drop is not None and (context not in after or cost + drop < after[context][0]):
-                after[context] = (cost + drop, text)
+                after[context] = (cost + drop, back)
             for letter, price in readings:
                 total = cost + price + model.cost(context, letter)
                 key = context[1:] + letter
                 if key not in after or total < after[key][0]:
-                    after[key] = (total, text + letter)
+                    after[key] = (total, (back, letter))
         paths = after
-        if i % SETTLED == SETTLED - 1:
-            key, (cost, text) = min(after.items(), key=lambda x: x[1][0])
-            settled.append(text[:-1])
-            paths = {key: (cost, text[-1:])}
-    return "".join(settled) + min((cost + model.cost(context, "$"), text) for context, (cost, text) in paths.items())[1]
+    back = min(((cost + model.cost(context, "$"), context, back) for context, (cost, back) in paths.items()), key=lambda x: x[:2])[2]
+    letters = []
+    while back is not None:
+        back, letter = back
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def _signs(letters: str) -> np.ndarray:
@@ -205,7 +210,7 @@ class Restorer:
             got = written if _ADDRESS.search(core) or not any(c.isalpha() for c in core) else lower[:at] + restore(core, self.model) + lower[at + len(core) :]
             if len(self.known) > 100_000:
                 self.known.clear()
-            if len(written) <= 2 * SETTLED:
+            if len(written) <= KEPT_LENGTH:
                 self.known[written] = got
         return got
 
@@ -309,6 +314,8 @@ def fit_language(docs: DataFrame) -> LanguageModel:
     """
     found = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"(?<![^\s])\p{L}{2,}+(?=[.,;:!?]?(\s|$))"), F.lit(0)))
     words = common.stored(docs.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n")), "words")
+    # The table of words is small beside the texts, and cutting words is work: so many tasks as it has words, not bytes.
+    words = words.repartition(max(1, -(-words.count() // WORDS_PER_TASK)), "word")
     letters = words.select(F.explode(F.split("word", "")).alias("letter")).distinct().count()
     padded = words.select(F.concat(F.lit("^" * (ORDER - 1)), "word", F.lit("$")).alias("padded"), "n")
 
@@ -388,7 +395,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model |
                 found += np.split(np.searchsorted(hashes, h), np.searchsorted(text, np.arange(1, b - a)))
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.int64()))], names=["y", "at"])
 
-    got = sample.select("text", "y").mapInArrow(rows_of, "y int, at array<long>").toPandas()
+    got = common.bounded(sample.select("text", "y").mapInArrow(rows_of, "y int, at array<long>"), most).toPandas()
     base, weights = fit_weights([(np.asarray(at, np.int64), int(y)) for at, y in zip(got["at"], got["y"], strict=True)], len(hashes))
     some = weights != 0
     return Model(language.value, base, hashes[some], weights[some])
