@@ -7,8 +7,9 @@ labelled rows (TRAIN_ROWS), of which one fold sets the temperature of the probab
 of every text, in Arrow batches. Only text is an input of a prediction.
 
 A null text, an empty text and a text without letters get `und` and score 0. A null doc_id is in no fold: never held
-out, never learnt from. Repeated rows are scored like any other. Other columns are not read. Without labelled rows all
-predictions are `und`; an empty table gives no rows.
+out, never learnt from. Of languages that are equally likely the first in the alphabet is taken. Repeated rows are
+scored like any other. Other columns are not read. Without labelled rows all predictions are `und`; an empty table gives
+no rows. A text of any length is counted in one piece: 30 bytes a character.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from weekloom.llm import characters, common
 BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
 ORDERS = (1, 2, 3)
-#: Labelled rows that the model is fitted on, at most, about.
-TRAIN_ROWS = 4000
+#: Labelled rows that the model is fitted on, at most, about; each language has so many of them if there are.
+TRAIN_ROWS, ROWS_EACH = 4000, 100
 CALIBRATION_FOLD = 1
 #: Follow-the-regularised-leader: learning rate, its offset, L1 and L2 penalties, passes.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.02, 0.01, 3
@@ -148,13 +149,21 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     return int(out[-1]), out[:-1]
 
 
-def train(docs: DataFrame, most: int = TRAIN_ROWS) -> Model | None:
-    """Fits the model on about `most` rows with a lang that aren't held out; None without such rows."""
+def train(docs: DataFrame, most: int = TRAIN_ROWS, each: int = ROWS_EACH) -> Model | None:
+    """Fits the model on about `most` rows with a lang that aren't held out; None without such rows.
+
+    The sample has all languages in proportion, but about `each` rows of one at least (or all it has), so a rare
+    language is learnt from a table of any size. Its bound is `most` and `each` for every language.
+    """
     common.small_batches(docs.sparkSession)
-    labelled = (common.fold("doc_id") != 0) & F.col("lang").isNotNull()
-    rows = docs.where(labelled).agg(F.count("*")).first()[0]
-    sample = docs.where(labelled & F.col("text").isNotNull() & common.drawn(rows, "doc_id", most))
-    sample = sample.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), common.fold("doc_id").alias("fold"))
+    rows = docs.where((common.fold("doc_id") != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = rows.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), common.fold("doc_id").alias("fold"), F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"), F.lit(7)).alias("pick"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
+    if not counts:
+        return None
+    share = min(1.0, most / sum(counts.values()))
+    shares = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, max(share, each / n)) * (1 << 31)))))
+    sample = rows.where(F.pmod("pick", F.lit(1 << 31)) < F.element_at(shares, F.col("lang")))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,11 +173,13 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS) -> Model | None:
                 for row in ngram_counts(points[at[a] : at[b]], at[a : b + 1] - at[a])[0]:
                     index.append(np.flatnonzero(row))
                     count.append(row[index[-1]])
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("fold"), pa.array(index, pa.list_(pa.int32())), pa.array(count, pa.list_(pa.int32()))], names=["lang", "fold", "index", "count"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("lang", "fold", "pick")), pa.array(index, pa.list_(pa.int32())), pa.array(count, pa.list_(pa.int32()))], names=["lang", "fold", "pick", "index", "count"])
 
-    got: pd.DataFrame = sample.mapInArrow(features, "lang string, fold int, index array<int>, count array<int>").toPandas()
+    found = sample.mapInArrow(features, "lang string, fold int, pick long, index array<int>, count array<int>")
+    got: pd.DataFrame = common.bounded(found, most + each * len(counts)).toPandas()
     if not len(got):
         return None
+    got = got.sort_values(["pick", "lang"]).reset_index(drop=True)
     languages = sorted(got["lang"].unique())
     y = got["lang"].map({x: k for k, x in enumerate(languages)}).to_numpy()
     tested = (got["fold"] == CALIBRATION_FOLD).to_numpy()
@@ -178,7 +189,8 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS) -> Model | None:
     idf = np.log((1 + texts) / (1 + df)) + 1
     rows = []
     for at, count in zip(got["index"], got["count"], strict=True):
-        rows.append((np.asarray(at), tf_idf(np.asarray(count), idf[at])))
+        at = np.asarray(at, np.int64)
+        rows.append((at, tf_idf(np.asarray(count, np.int64), idf[at])))
     seen = np.flatnonzero(~tested)
     weights = fit_ftrl([rows[k] for k in seen], y[seen], len(languages))
     logits = np.array([x @ weights[at] for (at, x), t in zip(rows, tested, strict=True) if t]).reshape(-1, len(languages))
@@ -186,26 +198,37 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS) -> Model | None:
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """docs with the columns lang_pred and score before its own; none of docs' columns but text is an input."""
+    """docs with the columns lang_pred and score before its own; none of docs' columns but text is an input.
+
+    Columns of docs that have one of these two names are left out.
+    """
     spark = docs.sparkSession
     common.small_batches(spark)
-    rows = docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)}).select("lang_pred", "score", *(F.col(f"`{c}`") for c in docs.columns))
+    own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    rows = docs.select(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), *(F.col(f"`{c}`") for c in own))
     if model is None:
         return rows
     shared = spark.sparkContext.broadcast(model)  # BUCKETS x languages weights
+    place = own.index("text") + 2
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = shared.value.predict(*common.bytes_of(batch.column("text")))
+            names, scores = shared.value.predict(*common.bytes_of(batch.column(place)))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64()), *batch.columns[2:]], names=batch.schema.names)
 
     return rows.mapInArrow(predict, rows.schema)
 
 
 def filter_languages(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """docs without those that have no letters or no likely language."""
-    kept = identify(docs.select(*(F.col(f"`{c}`").alias(f"_{k}") if c != "text" else F.col("text") for k, c in enumerate(docs.columns))), train(docs))
-    kept = kept.where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    """docs without those that have no letters or no likely language.
+
+    Without any labelled rows no language is known, and all documents with a letter stay.
+    """
+    model = train(docs)
+    if model is None:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
+    named = docs.select(*(F.col(f"`{c}`").alias(f"_{k}") if c != "text" else F.col("text") for k, c in enumerate(docs.columns)))
+    kept = identify(named, model).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
     return kept.select(*(F.col(f"_{k}").alias(c) if c != "text" else F.col("text") for k, c in enumerate(docs.columns)))
 
 
