@@ -1,55 +1,80 @@
 """Operator 10: mixing sources to target weights by soft membership.
 
-A table classifier learns how often each of a few letters occurs in the rows of each label (its domain) and gives every
-document a posterior over the domains. Rates, one for each document and never below `least`, are then fitted by
+A table classifier learns how often each of some character n-grams occurs in the rows of each label (its domain), for a
+byte of text, and gives every document a posterior over the domains. The n-grams are learnt too: those of a bounded,
+documented sample of labelled rows (LEARN_ROWS) that tell most about each domain. How far evidence counts is set on a
+fold that the table has not seen. Rates, one for each document and never below `least`, are then fitted by
 projected-gradient least squares: the expected tokens of each domain, summed over documents as rate * tokens *
-posterior, are to meet the target weights. A step needs a few numbers for each pair of domains, summed by Spark.
-Posteriors are rounded to three places, and documents with equal posteriors have equal rates, so the sums run over a
-table of distinct posteriors and their tokens that was aggregated once. The shares that were reached come with the
+posterior, are to meet the target weights. A step needs a few numbers for each pair of domains, summed by Spark. First
+steps run over a table of posteriors rounded to three places and their tokens, aggregated once; the last ones over all
+documents with their exact posteriors, until the shares of these are met. The shares that were reached come with the
 rates, and a warning names the domains whose targets no rates can meet.
 
 All of it is DataFrame expressions. A null or empty text has no tokens and the prior as posterior. Labels that are null
-teach nothing; without labels every rate is 1. A null doc_id is never learnt from. Repeated rows are separate documents
-with equal rates. Columns other than doc_id, text and the label are not read. An empty table gives no rows.
+teach nothing; without labels every rate is 1. Any number of labels may occur; the work grows with it. Of domains that
+are equally likely, the first in the alphabet is named. A null doc_id is never learnt from. Repeated rows are separate
+documents with equal rates. Columns other than doc_id, text and the label are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import warnings
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weekloom.llm import common
 
-#: Letters whose counts tell domains apart; all other bytes of a text are one more class.
-LETTERS = "eaonisthrdcwéñóüßçöä"
-#: A text counts as so many letters at most, so that long texts keep soft posteriors.
-EVIDENCE = 200.0
-#: Most domains and steps, the miss relative to a target share that counts as met, the share below which targets
-#: count as this share for that, the pull of rates toward a centre (1 at first), and how often the centre moves.
-MOST_DOMAINS, STEPS, NEAR, TINY, PULL, ROUNDS = 32, 100, 1e-3, 1e-6, 1e-8, 6
+#: Rows that n-grams are learnt from, at most, about, and rows of each domain (if there are); n-grams in all and of each domain.
+LEARN_ROWS, ROWS_EACH, GRAMS, GRAMS_EACH = 10000, 100, 24, 2
+#: The fold that sets how far evidence counts: evidence is divided by T * size^G for one of these T and G.
+CALIBRATION_FOLD, SOFTNESS = 1, [(t, g) for g in (0.0, 0.5) for t in (0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)]
+#: Most steps, the miss relative to a target share that counts as met, the share below which targets count as this
+#: share for that, the pull of rates toward a centre (1 at first), and how often the centre moves.
+STEPS, NEAR, TINY, PULL, ROUNDS = 100, 1e-3, 1e-6, 1e-8, 6
 
 
-def with_letters(df: DataFrame, text: str = "text") -> DataFrame:
-    """df and `letters`, an array<double> of the bytes of each of LETTERS in a text, and of all else.
+def _plain(text: Column) -> Column:
+    """A text as n-grams are looked for in it: lower case, blanks for line ends and at both ends."""
+    return F.concat(F.lit(" "), F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("\n"), F.lit(" ")), F.lit(" "))
 
-    Each step is a column of its own, so that what several others use is computed once.
-    """
-    df = df.withColumn("_lower", F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    df = df.withColumn("_size", F.octet_length("_lower"))
-    df = df.select("*", *((F.col("_size") - F.octet_length(F.replace("_lower", F.lit(c), F.lit("")))).cast("double").alias(f"_c{k}") for k, c in enumerate(LETTERS)))
-    each = [F.col(f"_c{k}") for k in range(len(LETTERS))]
-    rest = F.greatest(F.lit(0.0), F.col("_size").cast("double") - _sum(each))
-    return df.withColumn("letters", F.array(*each, rest)).drop("_lower", "_size", *(f"_c{k}" for k in range(len(LETTERS))))
 
+def learn_grams(rows: DataFrame, counts: dict[str, int], most: int = LEARN_ROWS, each: int = ROWS_EACH) -> list[str]:
+    """N-grams of one to three characters within words and their edges: of each domain those that tell most about it.
 
-def _sum(columns: list[Column]) -> Column:
-    out = columns[0]
-    for c in columns[1:]:
-        out = out + c
-    return out
+    rows: doc_id, text, domain. An n-gram belongs to the domain where it is most frequent for a byte of text; it tells
+    the sum over domains of frequency * log(frequency / mean frequency). Words are counted before they are cut, so a
+    text's length matters only there.
+    """
+    share = min(1.0, most / max(1, sum(counts.values())))
+    wanted = F.create_map(*(F.lit(x) for d, n in counts.items() for x in (d, int(min(1.0, max(share, each / n)) * (1 << 31)))))
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 31)) < F.element_at(wanted, F.col("domain")))
+    sizes = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.sum(F.octet_length("text")).cast("double").alias("n")).collect()}
+    words = sample.select("domain", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{1,20}"), F.lit(0))).alias("word"))
+    padded = words.groupBy("domain", "word").agg(F.count("*").alias("n")).select("domain", "n", F.concat(F.lit(" "), "word", F.lit(" ")).alias("word"))
+    cut = lambda k: F.transform(F.sequence(F.lit(1), F.length("word") - k + 1), lambda i: F.substr("word", i, F.lit(k)))
+    every = F.concat(F.filter(cut(1), lambda g: g != " "), cut(2), cut(3))
+    grams = padded.select("domain", "n", F.explode(every).alias("gram")).groupBy("domain", "gram").agg(F.sum("n").alias("n"))
+    size = F.create_map(*(F.lit(x) for d, n in sizes.items() for x in (d, float(max(n or 0, 1)))))
+    rated = grams.withColumn("rate", F.col("n") / F.element_at(size, F.col("domain"))) if sizes else grams.withColumn("rate", F.lit(0.0))
+    told = rated.groupBy("gram").agg(F.sum("rate").alias("s"), F.sum(F.col("rate") * F.log("rate")).alias("e"), F.max_by("domain", F.struct("rate", "domain")).alias("domain"))
+    told = told.withColumn("told", F.round(F.col("e") - F.col("s") * F.log(F.col("s") / len(counts)), 15))
+    nth = F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("told"), "gram"))
+    kept = told.withColumn("nth", nth).where(F.col("nth") <= max(GRAMS_EACH, -(-GRAMS // len(counts))))
+    return sorted(r["gram"] for r in kept.select("gram").collect())
+
+
+def with_grams(df: DataFrame, grams: list[str], text: str = "text") -> DataFrame:
+    """df and `size`, the bytes of a text, and `grams`, how often each of the n-grams can be cut out of it.
+
+    Each step is a column of its own, so that what several others use is computed once.
+    """
+    df = df.withColumn("_lower", _plain(F.col(text).cast("string"))).withColumn("_size", F.octet_length("_lower"))
+    df = df.select("*", *(((F.col("_size") - F.octet_length(F.replace("_lower", F.lit(g), F.lit("")))) / len(g.encode())).alias(f"_c{k}") for k, g in enumerate(grams)))
+    counts = F.array(*(F.col(f"_c{k}") for k in range(len(grams)))) if grams else F.array().cast("array<double>")
+    return df.withColumn("grams", counts).withColumn("size", (F.col("_size") - 2).cast("double")).drop("_lower", "_size", *(f"_c{k}" for k in range(len(grams))))
 
 
 def token_count(text: Column) -> Column:
@@ -63,46 +88,71 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def _doubles(values: list[float]) -> Column:
-    return F.array(*(F.lit(float(v)) for v in values))
+def _doubles(values) -> Column:
+    return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
+
+
+def _tables(values) -> Column:
+    return F.expr("array(" + ", ".join(f"array({', '.join(f'{float(v)!r}D' for v in row)})" for row in values) + ")")
+
+
+def _soft(scores: Column) -> Column:
+    """exp of each score, over their sum."""
+    powers = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
+    return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda s, y: s + y))
 
 
 class Classifier:
-    """Log chances of letters for each domain, learnt from a table of letter counts and labels."""
+    """How often n-grams occur in each domain for a byte of text, and how far such evidence counts.
+
+    The evidence for a domain is that of Poisson counts: sum count * log(rate) - size * sum rate.
+    """
+
+    def __init__(self, grams: list[str], domains: list[str], prior: list[float], rates: list[list[float]], softness: tuple[float, float] = (1.0, 0.0)):
+        self.grams, self.domains, self.prior, self.rates, self.softness = grams, domains, prior, rates, softness
+
+    def evidence(self) -> Column:
+        logs = _tables([[*(math.log(r) for r in rates), -sum(rates)] for rates in self.rates])
+        return F.transform(logs, lambda row: _dot(F.concat(F.col("grams"), F.array("size")), row))
 
-    def __init__(self, domains: list[str], prior: list[float], logs: list[list[float]]):
-        self.domains, self.prior, self.logs = domains, prior, logs
+    def scores(self, evidence: Column, softness: tuple[float, float]) -> Column:
+        scale = F.lit(softness[0]) * F.pow(F.greatest(F.col("size"), F.lit(1.0)), F.lit(softness[1]))
+        return F.zip_with(evidence, _doubles(self.prior), lambda e, p: e / scale + p)
 
     def with_posterior(self, df: DataFrame) -> DataFrame:
-        """df and `posterior`, an array<double> over the domains, rounded to three places; df has `letters`."""
-        k = range(len(self.domains))
-        letter = [F.element_at("letters", j + 1) for j in range(len(LETTERS) + 1)]
-        df = df.withColumn("_share", F.least(F.lit(1.0), EVIDENCE / F.greatest(_sum(letter), F.lit(1.0))))
-        df = df.select("*", *((F.lit(self.prior[j]) + F.col("_share") * _sum([x * F.lit(w) for x, w in zip(letter, self.logs[j], strict=True)])).alias(f"_l{j}") for j in k))
-        df = df.withColumn("_top", F.greatest(*(F.col(f"_l{j}") for j in k)) if len(k) > 1 else F.col("_l0"))
-        df = df.select("*", *(F.exp(F.col(f"_l{j}") - F.col("_top")).alias(f"_p{j}") for j in k))
-        df = df.withColumn("_whole", _sum([F.col(f"_p{j}") for j in k]))
-        df = df.withColumn("posterior", F.array(*(F.round(F.col(f"_p{j}") / F.col("_whole"), 3) for j in k)))
-        return df.drop("_share", "_top", "_whole", *(f"_l{j}" for j in k), *(f"_p{j}" for j in k))
-
-
-def learn(rows: DataFrame) -> Classifier | None:
-    """rows: letters, domain. One aggregation; the result has at most MOST_DOMAINS rows."""
-    import math
-
-    sums = [F.sum(F.element_at("letters", k + 1)).alias(f"s{k}") for k in range(len(LETTERS) + 1)]
-    table = rows.where(F.col("domain").isNotNull()).groupBy("domain").agg(F.count("*").alias("n"), *sums).limit(MOST_DOMAINS + 1).collect()
-    if not table:
+        """df and `posterior`, an array<double> over the domains; df has `grams` and `size`."""
+        df = df.withColumn("_scores", self.scores(self.evidence(), self.softness))
+        df = df.withColumn("_powers", F.transform("_scores", lambda x: F.exp(x - F.array_max("_scores"))))
+        df = df.withColumn("_whole", F.aggregate("_powers", F.lit(0.0), lambda s, x: s + x))
+        return df.withColumn("posterior", F.transform("_powers", lambda x: x / F.col("_whole"))).drop("_scores", "_powers", "_whole")
+
+
+def learn(rows: DataFrame, grams: list[str]) -> Classifier | None:
+    """rows: doc_id, grams, size, domain. One aggregation, of a row or two for each domain, and one to set the softness."""
+    rows = rows.where(F.col("domain").isNotNull()).withColumn("tested", common.fold("doc_id") == CALIBRATION_FOLD)
+    sums = [F.sum(F.element_at("grams", k + 1)).alias(f"s{k}") for k in range(len(grams))]
+    found = rows.groupBy("domain", "tested").agg(F.count("*").alias("n"), F.sum("size").alias("size"), *sums).collect()
+    domains = sorted({r["domain"] for r in found})
+    if not domains:
         return None
-    if len(table) > MOST_DOMAINS:
-        raise ValueError(f"more than {MOST_DOMAINS} domains")
-    table = sorted(table, key=lambda r: r["domain"])
-    n = sum(r["n"] for r in table)
-    logs = []
-    for r in table:
-        counts = [r[f"s{k}"] + 1.0 for k in range(len(LETTERS) + 1)]
-        logs.append([math.log(c / sum(counts)) for c in counts])
-    return Classifier([r["domain"] for r in table], [math.log(r["n"] / n) for r in table], logs)
+
+    def table(of: list) -> Classifier:
+        mine = {d: [r for r in of if r["domain"] == d] for d in domains}
+        n = {d: sum(r["n"] for r in mine[d]) + 0.5 for d in domains}
+        rate = lambda d, k: (sum(r[f"s{k}"] for r in mine[d]) + 0.5) / (sum(r["size"] for r in mine[d]) + 1000.0)
+        return Classifier(grams, domains, [math.log(n[d] / sum(n.values())) for d in domains], [[rate(d, k) for k in range(len(grams))] for d in domains])
+
+    whole, part = table(found), table([r for r in found if not r["tested"]])
+    if any(r["tested"] for r in found) and not all(r["tested"] for r in found):
+        tested = rows.where("tested").withColumn("evidence", part.evidence()).withColumn("y", F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int"))
+
+        def loss(softness: tuple[float, float]) -> Column:
+            chance = F.element_at(_soft(part.scores(F.col("evidence"), softness)), F.col("y"))
+            return F.avg(-F.log(F.greatest(chance, F.lit(1e-12))))
+
+        losses = tested.agg(*(loss(s) for s in SOFTNESS)).first()
+        whole.softness = SOFTNESS[int(np.argmin(losses))]
+    return whole
 
 
 class Rates:
@@ -123,7 +173,7 @@ class Rates:
         return [k for k, (d, t) in enumerate(zip(self.reached, self.targets, strict=True)) if abs(d - t) > NEAR * max(t, TINY)]
 
 
-def fit(cells: DataFrame, targets: list[float], least: float) -> Rates:
+def fit(cells: DataFrame, targets: list[float], least: float, start: list[float] | None = None, rounds: int = ROUNDS) -> Rates:
     """Rates for the cells (posterior, tokens), with the shares of the domains that they give.
 
     Shares and targets are of all tokens at rate 1, so a sum of targets over 1 asks for more tokens than there are.
@@ -131,7 +181,8 @@ def fit(cells: DataFrame, targets: list[float], least: float) -> Rates:
     weights is the miss of each domain (and the pull); a step is the gradient scaled by the Gram matrix of the domains
     over the cells that may still move, so small domains and overlapping ones move as fast as others. Steps end when
     every miss is small relative to its target. The pull is toward the rates at which its gradient was last nil; when
-    that has moved ROUNDS times and targets are still missed, no rates meet them, and these have the least squares.
+    that has moved `rounds` times and targets are still missed, no rates meet them, and these have the least squares.
+    start: weights to begin with.
     """
     k = len(targets)
     rates = Rates(least)
@@ -139,24 +190,30 @@ def fit(cells: DataFrame, targets: list[float], least: float) -> Rates:
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     if not total:
         return rates
-    share = F.col("tokens") / F.lit(float(total))
-    item = lambda j: F.element_at("posterior", j + 1)
-    upper = [(i, j) for i in range(k) for j in range(i, k)]
     wanted, small = np.array(targets), np.maximum(targets, TINY)
 
     def look(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         """The convex function whose gradient is the miss, the shares, and the Gram matrix."""
-        free = cells.select("posterior", share.alias("share"), _dot(F.col("posterior"), _doubles(weights)).alias("pull"))
+        free = cells.select("posterior", (F.col("tokens") / F.lit(float(total))).alias("share"), _dot(F.col("posterior"), _doubles(weights)).alias("pull"))
         free = free.withColumn("moves", F.col("pull") + 1 >= least).withColumn("rate", F.greatest(F.lit(float(least)), F.col("pull") + 1))
         area = F.when(F.col("moves"), F.col("pull") + F.col("pull") * F.col("pull") / 2).otherwise(least * F.col("pull") - (least - 1) ** 2 / 2)
-        held = F.when(F.col("moves"), F.col("share")).otherwise(0.0)
-        row = free.agg(F.sum(F.col("share") * area), *(F.sum(F.col("share") * F.col("rate") * item(j)) for j in range(k)), *(F.sum(held * item(i) * item(j)) for i, j in upper)).first()
-        shares, gram = np.array(row[1 : k + 1]), np.zeros((k, k))
-        for (i, j), v in zip(upper, row[k + 1 :], strict=True):
-            gram[i, j] = gram[j, i] = v
-        return row[0] - wanted @ weights, shares, gram
-
-    weights, centre, rounds = np.zeros(k), np.zeros(k), ROUNDS
+        entry = lambda i, j, v: F.struct(i.alias("i"), j.alias("j"), v.alias("v"))
+        none, p = F.lit(-1), F.col("posterior")
+        of_one = F.transform(p, lambda x, j: entry(none, j, F.col("share") * F.col("rate") * x))
+        of_two = F.flatten(F.transform(p, lambda x, i: F.transform(p, lambda y, j: entry(i, j, F.when(F.col("moves"), F.col("share") * x * y).otherwise(0.0)))))
+        entries = F.concat(F.array(entry(none, none, F.col("share") * area)), of_one, of_two)
+        value, shares, gram = 0.0, np.zeros(k), np.zeros((k, k))
+        for i, j, v in free.select(F.inline(entries)).groupBy("i", "j").agg(F.sum("v")).collect():  # k * k + k + 1 rows
+            if j < 0:
+                value = v
+            elif i < 0:
+                shares[j] = v
+            else:
+                gram[i, j] = v
+        return value - wanted @ weights, shares, (gram + gram.T) / 2
+
+    weights = np.zeros(k) if start is None else np.array(start)
+    centre = weights
     value, shares, gram = look(weights)
     for _ in range(STEPS):
         slope = shares - wanted + PULL * (weights - centre)
@@ -179,25 +236,30 @@ def fit(cells: DataFrame, targets: list[float], least: float) -> Rates:
     return rates
 
 
-def weigh(docs: DataFrame, targets: dict[str, float] | None = None, least: float = 0.0, label: str = "lang", flat: float = 0.0) -> tuple[Classifier | None, Rates, DataFrame]:
-    """Classifier, rates, and the stored table doc_id, tokens, posterior of docs.
+def weigh(docs: DataFrame, targets: dict[str, float] | None = None, least: float = 0.0, label: str = "lang", flat: float = 0.0, keep: bool = False) -> tuple[Classifier | None, Rates, DataFrame]:
+    """Classifier, rates, and the stored table doc_id, tokens, posterior of docs; with `keep` also docs' columns c0, c1, ...
 
     targets: token share of each domain; by default each domain's share of the posterior tokens to the power `flat`
     (0: all alike), scaled to sum to 1, or, where `least` is 1, so that no domain has to shrink.
     """
-    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("string").alias("domain"), F.col("text").cast("string").alias("text"))
-    counted = common.stored(with_letters(counted.withColumn("tokens", token_count(F.col("text")))).drop("text"), "letters")
-    classifier = learn(counted.where(F.coalesce(common.fold("doc_id") != 0, F.lit(False))))
+    own = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)] if keep else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("string").alias("domain"), F.col("text").cast("string").alias("text"), *own)
+    learnt_from = F.coalesce(common.fold("doc_id") != 0, F.lit(False)) & F.col("domain").isNotNull()
+    counts = {r["domain"]: r["n"] for r in rows.where(learnt_from).groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    grams = learn_grams(rows.where(learnt_from & F.col("text").isNotNull()).select("doc_id", "text", "domain"), counts) if counts else []
+    counted = common.stored(with_grams(rows.withColumn("tokens", token_count(F.col("text"))), grams).drop("text"), "grams")
+    classifier = learn(counted.where(learnt_from), grams)
+    names = ["doc_id", "tokens", "posterior", *(f"c{k}" for k in range(len(own)))]
     if classifier is None:
-        return None, Rates(least), counted.select("doc_id", "tokens", F.array().cast("array<double>").alias("posterior"))
-    rows = classifier.with_posterior(counted).select("doc_id", "tokens", "posterior")
-    cells = common.stored(rows.groupBy("posterior").agg(F.sum("tokens").alias("tokens")), "cells")
+        return None, Rates(least), counted.withColumn("posterior", F.array().cast("array<double>")).select(names)
+    rows = common.stored(classifier.with_posterior(counted).select(names), "posterior")
+    cells = common.stored(rows.groupBy(F.transform("posterior", lambda p: F.round(p, 3)).alias("posterior")).agg(F.sum("tokens").alias("tokens")), "cells")
     k = len(classifier.domains)
     if targets is None:
-        sums = cells.agg(*(F.sum(F.col("tokens") * F.element_at("posterior", j + 1)) for j in range(k))).first()
-        sums = [float(s or 0) for s in sums]
-        total = sum(sums) or 1.0
-        shares = [s / total for s in sums]
+        sums = np.zeros(k)
+        for j, v in rows.select("tokens", F.posexplode("posterior").alias("j", "p")).groupBy("j").agg(F.sum(F.col("tokens") * F.col("p"))).collect():
+            sums[j] = v or 0.0
+        shares = (sums / (sums.sum() or 1.0)).tolist()
         raised = [s**flat if s else 0.0 for s in shares]
         scale = sum(raised) or 1.0
         wanted = [r / scale for r in raised]
@@ -206,7 +268,7 @@ def weigh(docs: DataFrame, targets: dict[str, float] | None = None, least: float
             wanted = [w * up * least for w in wanted]
     else:
         wanted = [targets.get(d, 0.0) for d in classifier.domains]
-    rates = fit(cells, wanted, least)
+    rates = fit(rows.select("posterior", "tokens"), wanted, least, fit(cells, wanted, least).weights or None, 1)
     if missed := rates.missed():
         says = ", ".join(f"{classifier.domains[j]} {rates.reached[j]:.4g} of {wanted[j]:.4g}" for j in missed)
         warnings.warn(f"mixing: no rates of at least {least} meet these target shares: {says}", stacklevel=2)
@@ -221,15 +283,15 @@ def copies(rate: Column, key: Column) -> Column:
 
 def mix(docs: DataFrame, targets: dict[str, float] | None = None, least: float = 0.0, label: str = "lang", flat: float = 0.0) -> DataFrame:
     """docs, each row as often as its rate says."""
-    classifier, rates, _ = weigh(docs, targets, least, label, flat)
+    classifier, rates, rows = weigh(docs, targets, least, label, flat, keep=True)
     if classifier is None:
         return docs
-    named = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)), F.col("text").alias("_text"))
-    rated = classifier.with_posterior(with_letters(named, "_text")).withColumn("_rate", rates.of(F.col("posterior")))
-    key = F.coalesce(F.col(f"c{docs.columns.index('doc_id')}").cast("string"), F.col("_text"), F.lit(""))
+    place = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    key = F.coalesce(F.col("doc_id").cast("string"), F.col(place["text"]).cast("string"), F.lit(""))
+    rated = rows.withColumn("_rate", rates.of(F.col("posterior")))
     # An outer explode: the filter that an inner one implies would be pushed below and repeat the whole expression.
     taken = rated.withColumn("_copy", F.explode_outer(F.array_repeat(F.lit(1), copies(F.col("_rate"), key)))).where("_copy IS NOT NULL")
-    return taken.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
+    return taken.select(*(F.col(new).alias(old) for old, new in place.items()))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
