@@ -68,6 +68,26 @@ def test_word_encoder_on_odd_texts(texts):
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def thue_morse(length):
+    word = "a"
+    while len(word) < length:
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@pytest.mark.parametrize("length", [1024, 2048, 4096])
+def test_words_with_equal_hashes_keep_their_own_ids(name, length):
+    t, e = tokenizer(name), encoding.WordEncoder(public_tokenizers.path(name))
+    one, two = thue_morse(length)
+    raw = np.frombuffer(f"{one}{two}".encode(), np.uint8)
+    h = encoding.unit_hashes(raw, np.array([0, length]), np.array([length, 2 * length]))
+    assert h[0] == h[1]
+    for texts in ([f"xx {one}", f"xx {two}"], [f"xx {two} yy {one}", f"{one} {two}", two], [f"xx {one} zz"]):
+        ids, at = e.encode(*common.bytes_of(pa.array(texts)))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_packing(docs, empty):
     path, t = public_tokenizers.path("word_bpe_49k.json"), tokenizer("word_bpe_49k.json")
     rows = packing.pack_documents(docs, path, size=64).collect()
@@ -100,7 +120,17 @@ def test_shortest_pack_first_places_every_piece():
 def test_elias_fano():
     for values in ([], [0], [0, 0, 0], [5], list(range(300)), sorted(np.random.default_rng(1).integers(0, 10**9, 500).tolist())):
         code, _ = token_files.EliasFano.from_bytes(token_files.EliasFano.encode(np.array(values, np.int64)).to_bytes())
-        assert code.all().tolist() == values == [code[i] for i in range(len(values))]
+        assert code.get(np.arange(len(values))).tolist() == values == [code[i] for i in range(len(values))]
+    far = np.array([0] * 100 + [1 << 20, (1 << 40) + 7] + [1 << 41] * 70, np.int64)  # marks far apart, and runs of equal values
+    code = token_files.EliasFano.encode(far)
+    at = np.random.default_rng(2).permutation(len(far))
+    assert (code.get(at) == far[at]).all() and len(code.to_bytes()) < 40 + len(far) * (2 + 34) / 8 + 16
+
+
+def test_doc_ids_of_a_block():
+    for ids in ([], [None, None], [None, -(1 << 62), 5, 5, 9], [(1 << 62) + k for k in range(200)]):
+        code, _ = token_files.Ids.from_bytes(b"xx" + token_files.Ids.encode(ids).to_bytes(), 2)
+        assert code.get(np.arange(len(ids))).to_pylist() == ids
 
 
 def test_token_files(spark, docs, empty, tmp_path):
@@ -117,7 +147,7 @@ def test_token_files(spark, docs, empty, tmp_path):
 
 
 def test_damaged_token_file():
-    image = bytearray(token_files.pack_block(np.arange(9, dtype=np.uint16), np.array([0, 4, 9])))
+    image = bytearray(token_files.pack_block(np.arange(9, dtype=np.uint16), np.array([0, 4, 9]), [3, None][:1] + [8]))
     image[-1] ^= 1
     with pytest.raises(ValueError):
         token_files.unpack_block(bytes(image))
@@ -158,6 +188,30 @@ def test_near_duplicates(docs, empty):
     assert not simhash.near_duplicates(empty).collect()
 
 
+def test_a_row_without_id_links_others(spark, monkeypatch):
+    prints = spark.createDataFrame([(1, 0), (None, 7), (2, 63), (None, 31 << 40), (5, 0)], "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: prints)
+    rows = simhash.near_duplicates(prints).collect()
+    assert sorted((r.fp, r.doc_id or 0, r.component_id) for r in rows) == [(0, 1, 1), (0, 5, 1), (7, 0, 1), (63, 2, 1), (31 << 40, 0, None)]
+
+
+def test_hot_and_rare_classes_together(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT", 4)  # one class in four rows is hot
+    texts = ["one and the same text of some words"] * 30 + [f"text number {k * 7919} with other words {k}" for k in range(20)]
+    rows = simhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    prints = [plain_fingerprint(t) for t in texts]
+    least = {r.doc_id: r.component_id for r in rows}
+    assert len(rows) == 50 and all(least[k] == 0 for k in range(30))
+    assert all((least[i] == least[j]) for i in least for j in least if (prints[i] ^ prints[j]).bit_count() <= 3)
+
+
+def test_keep_one_with_clashing_names(spark):
+    rows = [(1, "a b c d", 7), (1, "a b c d", 8), (2, "a b c d", 9), (None, "a b c d", 1), (3, None, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _NTH int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3]
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     r = np.random.default_rng(5)
@@ -196,6 +250,20 @@ def test_stable_nearest(vectors):
     assert not stable_nn.nearest(vectors.limit(0), vectors.limit(0)).collect()
 
 
+def test_odd_vectors(spark):
+    """Null ids take no part, other lengths only meet their like, extremes stay finite, and extra columns say nothing."""
+    r = np.random.default_rng(6)
+    rows = [(k, [float(v) for v in r.normal(size=4)], 1) for k in range(60)] + [(None, [9.0] * 4, 2), (100, [1.0, 2.0], 3), (101, [2.0, 4.0], 3), (150, [3e38] * 4, 4), (151, [3e38, -3e38, 1e-40, 1.0], 4), (152, [1e-42] * 4, 4)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
+    asked = table.where("vec_id % 50 = 0")
+    for search in (bitslice.top_k, stable_nn.nearest):
+        found = search(table, asked).collect()
+        by = {q: [x.vec_id for x in sorted(found, key=lambda x: x.rank) if x.query_id == q] for q in (0, 50, 100, 150)}
+        assert [len(v) for v in by.values()] == [5, 5, 1, 5] and by[100] == [101] and all(x.vec_id is not None and np.isfinite(x.score) for x in found)
+    near = [x for x in stable_nn.nearest(table, asked).collect() if x.query_id == 150 and x.rank == 1][0]
+    assert near.vec_id == 152 and abs(near.score - 1) < 1e-12
+
+
 def test_stopping_test_law():
     samples = np.random.default_rng(0).chisquare(16, 20000)
     for x in (8.0, 16.0, 30.0):
@@ -231,6 +299,49 @@ def test_language(written, empty):
     assert not langid.identify(empty, langid.train(empty)).collect()
 
 
+def test_language_scores_by_hand(written):
+    docs, _, rows = written
+    model = langid.train(docs)
+    for _, text, *_ in rows[:6]:
+        stream = [ord(c.lower()) if c.isalpha() else 32 for c in text]
+        counts = {}
+        for order in langid.ORDERS:
+            for i in range(len(stream) - order + 1):
+                mixed = 0
+                for k, c in enumerate(stream[i : i + order]):
+                    mixed = ((mixed ^ c) * int(langid._MULTIPLIERS[k])) & 0xFFFFFFFF
+                    mixed ^= mixed >> 15
+                bucket = mixed >> (32 - langid.BUCKET_BITS)
+                counts[bucket] = counts.get(bucket, 0) + 1
+        x = {b: np.log1p(n) * model.idf[b] for b, n in counts.items()}
+        size = np.sqrt(sum(v * v for v in x.values()))
+        z = np.array([sum(v / size * model.weights[b][j] for b, v in x.items()) for j in range(len(model.languages))]) / model.temperature
+        p = np.exp(z - z.max())
+        names, scores = model.predict(*common.bytes_of(pa.array([text])))
+        assert names == [model.languages[int(p.argmax())]] and abs(scores[0] - p.max() / p.sum()) < 1e-9
+
+
+def test_rare_language_and_no_labels(spark):
+    rows = [(k, " ".join(f"the and of with {w}" for w in "house river stone".split()), "en") for k in range(300)] + [(1000 + k, "не было дома у реки", "ru") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.train(docs, most=50).languages == ["en", "ru"]
+    bare = spark.createDataFrame([(1, "some text", None), (2, "12 34", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in langid.filter_languages(bare).collect()] == [1]
+    named = bare.selectExpr("*", "1 AS lang_pred", "2 AS Score")
+    assert langid.identify(named, None).columns == langid.identify(named, langid.train(docs)).columns == ["lang_pred", "score", "doc_id", "text", "lang"]
+    assert langid.filter_languages(named).columns == named.columns
+
+
+def test_quality_scores_by_hand(written):
+    docs, labels, rows = written
+    model = quality.train(docs, labels)
+    x = quality.measured(*common.bytes_of(pa.array([r[1] for r in rows[:20]])))
+    for values, got in zip(x, model.score(x), strict=True):
+        bins = [sum(v >= e for e in edges) for v, edges in zip(values, model.edges, strict=True)]
+        z = model.base + sum(t[b] for t, b in zip(model.tables, bins, strict=True)) + sum(t[bins[i], bins[j]] for (i, j), t in zip(model.pairs, model.pair_tables, strict=True))
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-9
+
+
 def test_quality(written, empty):
     docs, labels, rows = written
     found = {r.doc_id: r.score for r in quality.score(docs, quality.train(docs, labels)).collect()}
@@ -335,6 +446,41 @@ def test_personal_data(spark, docs, empty):
     assert not pii.find(empty, model).collect()
 
 
+def test_personal_data_written_in_other_ways(spark):
+    """Spans that no pattern allows, in texts that the model has not seen, and none in texts without personal data."""
+    r = np.random.default_rng(12)
+    words = "the house by river had many windows and people came there every day with their boats old stone bridge was near".split()
+    prose = lambda n: " ".join(r.choice(words, n))
+    docs = spark.createDataFrame([(k, f"{prose(30)} call +1 (361) 555-{1000 + k} or write mail{k}@host.com {prose(30)}") for k in range(200)], "doc_id long, text string")
+    model = pii.train(docs)
+    items = [x for x in (pii._variant(k % 4, np.random.default_rng(1000 + k)) for k in range(400)) if not pii.base_spans(x[0])]
+    held = [f"{prose(25)} {item} {prose(25)}" for item, _ in items]
+    base, found = pii.text_spans(model, held)
+    caught = [any(s[0] < t.index(item) + len(item) and s[2] > t.index(item) for s in spans) for t, (item, _), spans in zip(held, items, found, strict=True)]
+    assert len(items) > 100 and not any(base) and np.mean(caught) > 0.6
+    clean = [f"{prose(20)} in the year {1900 + k} there were {k} of {prose(20)}" for k in range(100)]
+    assert sum(map(len, pii.text_spans(model, clean)[1])) <= 2
+
+
+def test_odd_digits_and_long_stretches():
+    model = tagger.Tagger(9)
+    texts = ["1234 5678 9012 345²", "+٣٤٥ 123 456 7890", "a (at) b", "1" * 200_000, "x@" + "y" * 3000]
+    base, every = pii.text_spans(model, texts)
+    assert base == [plain_spans(t) for t in texts] and all(set(b) <= set(e) for b, e in zip(base, every, strict=True))
+    assert not pii.fits(2, "1234 5678 9012 345²") and pii.fits(0, "ab (at) cd.com") and not pii.fits(1, "300.1.1.1")
+    r = np.random.default_rng(3)
+    parts = [r.integers(1, 99, n).astype(np.int16) for n in (1, 63, 64, 97, 500, 40_000)]
+    for short, long in zip(tagger.decode(model, parts), tagger.decode(model, parts, long=0), strict=True):
+        assert (short == long).all()
+
+
+def test_stretches_end_with_words():
+    text = "a" * 300 + " " + "b" * 100 + "1" + "c" * 100 + " " + "d" * 90 + " e"
+    (a, b), = pii.stretches(text)
+    assert text[a:b].startswith("b") and text[b:] .startswith(" ")
+    assert pii.stretches("no such sign") == [] and pii.stretches("7") == [(0, 1)]
+
+
 def test_tagger_gradients_and_windows():
     model = tagger.Tagger(5, seed=2)
     model.p = {k: v.astype(np.float32) for k, v in model.p.items()}
@@ -366,6 +512,44 @@ def test_mixing(spark, written, empty):
     assert not mixing.mix(empty).collect()
 
 
+def test_rates_equal_a_plain_projected_gradient(spark):
+    r = np.random.default_rng(4)
+    p = r.dirichlet([0.4] * 3, 60)
+    tokens = r.integers(1, 500, 60)
+    table = spark.createDataFrame([(x.tolist(), int(t)) for x, t in zip(p, tokens, strict=True)], "posterior array<double>, tokens long")
+    share = tokens / tokens.sum()
+    for targets, least in (([0.5, 0.3, 0.2], 0.0), ([0.05, 0.15, 0.8], 0.0), ([0.5, 0.5, 0.4], 1.0)):
+        rate = np.ones(60)
+        for _ in range(20_000):  # least squares of the misses over rates >= least, from all rates at 1
+            rate = np.maximum(least, rate - 0.5 * (p @ (share @ (rate[:, None] * p) - targets)))
+        got = mixing.fit(table, targets, least)
+        assert np.allclose(got.reached, share @ (rate[:, None] * p), rtol=3e-3)
+
+
+def test_evidence_and_posterior_by_hand(spark, written):
+    docs, _, rows = written
+    classifier, _, found = mixing.weigh(docs)
+    got = {r.doc_id: r.posterior for r in found.collect()}
+    for k, text, *_ in rows[:30]:
+        lower = f" {text.lower()} ".replace("\n", " ")
+        counts = [lower.count(g) for g in classifier.grams]
+        size = len(text.encode())
+        scale = classifier.softness[0] * max(size, 1) ** classifier.softness[1]
+        z = np.array([prior + (sum(c * np.log(x) for c, x in zip(counts, rate, strict=True)) - size * sum(rate)) / scale for prior, rate in zip(classifier.prior, classifier.rates, strict=True)])
+        want = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert np.allclose(got[k], want, atol=1e-9) and abs(sum(got[k]) - 1) < 1e-12
+    assert np.allclose(got[400], np.exp(classifier.prior))
+
+
+def test_mixing_of_many_domains_and_odd_rows(spark):
+    rows = [(k, f"w{chr(97 + k % 40)}{chr(97 + k % 26)}x word " * 5 + "text", f"d{k % 40:02d}") for k in range(800)] + [(None, None, None), (None, "abc", "d01"), (3, "", "d02"), (3, "", "d02")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 AS posterior", "2 AS c0", "'x' AS tokens")
+    out = mixing.mix(docs, least=1.0, flat=0.5)
+    assert out.columns == docs.columns and out.count() >= len(rows)
+    bare = docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
+    assert mixing.mix(bare).count() == len(rows)
+
+
 @pytest.mark.parametrize("shares", [(0.97, 0.01, 0.01, 0.01), (0.9, 0.05, 0.04, 0.01), (0.998, 0.0018, 0.0001, 0.0001)])
 @pytest.mark.parametrize("soft", [0.0, 0.1])
 def test_mixing_meets_small_domains(spark, shares, soft):
@@ -388,6 +572,50 @@ def test_mixing_says_which_targets_are_missed(spark, written):
         mixing.weigh(written[0], targets={"de": 0.01, "en": 0.5, "fr": 0.5}, least=1.0)
 
 
+def test_sql_equals_queries(spark):
+    """The SQL of the registered queries, on the smallest tables (skipped where those are not there)."""
+    import os
+
+    import duckdb
+
+    from weekloom.llm import queries
+
+    folder = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    duck = duckdb.connect()
+    for name in ("documents", "embeddings", "labels"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    assert set(queries.oracle_sql()) <= set(queries.queries()) and queries.oracle_sql()
+    for name, sql in queries.oracle_sql().items():
+        theirs = duck.sql(sql)
+        ours = queries.queries()[name](spark, folder).select(*theirs.columns)
+        assert sorted(map(tuple, ours.collect())) == sorted(theirs.fetchall()), name
+
+
+def test_operators_bear_null_ids_and_repeated_rows(spark):
+    from weekloom.llm import packing as pk
+
+    rows = [(None, "the cat sat on the mat", "en"), (None, None, None), (4, "the cat sat on the mat", "en"), (4, "the cat sat on the mat", "en"), (4, "another text", "en"), (5, "", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packed = pk.pack_documents(docs, path, size=8).collect()
+    assert sum(r.length for r in packed) == sum(len(ids_of(tokenizer("word_bpe_49k.json"), r[1], 2)) for r in rows)
+    assert sorted((r.doc_id or 0) for r in pii.find(docs, pii.train(docs)).collect()) == [0, 0, 4, 4, 4, 5]
+    assert len(langid.identify(docs, langid.train(docs)).collect()) == 6 and len(simhash.near_duplicates(docs).collect()) == 6
+    labels = spark.createDataFrame([(4, 1, 0), (4, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    assert len(quality.score(docs, quality.train(docs, labels)).collect()) == 6 and len(toxicity.score(docs, toxicity.train(docs, labels)).collect()) == 6
+
+
+def test_token_files_bear_null_and_repeated_ids(spark, tmp_path):
+    rows = [(None, "x y"), (None, None), (-5, "a"), (4, "b c"), (4, "b c"), ((1 << 63) - 1, "z"), (-(1 << 63), "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    token_files.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), f"{tmp_path}/f")
+    got = sorted(token_files.read_token_files(spark, f"{tmp_path}/f").collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, None, -(1 << 63), -5, 4, 4, (1 << 63) - 1]
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got[:-1])]).tolist()
+
+
 def test_digest(spark, tmp_path):
     text = "write to a@b.cd now"
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
