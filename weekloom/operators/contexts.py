@@ -6,48 +6,62 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import text
+from weekloom.session import stored
 
 #: Words on each side, contexts and neighbours kept, sentence weights.
 SIDE, TOP_CONTEXTS, TOP_NEIGHBOURS, TITLE_WEIGHT, DECAY, FLOOR = 2, 3, 5, 3.0, 0.8, 0.2
 
 
-def occurrences(articles: DataFrame, stopwords: list[str] = ()) -> DataFrame:
-    """(week, news_id, press, keyword, before, after): each valid word and the two words on each side of it."""
-    words = articles.select("week", "news_id", "press", F.filter(F.split("body", r"\s+"), lambda w: w != "").alias("words"))
-    at = words.select("week", "news_id", "press", "words", F.posexplode("words").alias("i", "word"))
-    rows = at.select(
-        "week", "news_id", "press", text.normalise_keyword(F.col("word")).alias("keyword"),
-        F.concat_ws(" ", F.slice("words", F.greatest(F.lit(1), F.col("i") + 1 - SIDE), F.least(F.col("i"), F.lit(SIDE)))).alias("before"),
-        F.concat_ws(" ", F.slice("words", F.col("i") + 2, F.lit(SIDE))).alias("after"),
-    )
+def _words(articles: DataFrame) -> DataFrame:
+    return articles.select("week", "news_id", "press", F.filter(F.split("body", r"\s+"), lambda w: w != "").alias("words"))
+
+
+def _valid(rows: DataFrame, stopwords: list[str]) -> DataFrame:
     rows = rows.where(text.valid_token(F.col("keyword")))
     return rows.where(~F.col("keyword").isin(list(stopwords))) if stopwords else rows
 
 
+def tokens(articles: DataFrame, stopwords: list[str] = ()) -> DataFrame:
+    """(week, news_id, press, keyword): each valid word."""
+    rows = _words(articles).select("week", "news_id", "press", F.explode("words").alias("word"))
+    return _valid(rows.select("week", "news_id", "press", text.normalise_keyword(F.col("word")).alias("keyword")), stopwords)
+
+
+def occurrences(articles: DataFrame, stopwords: list[str] = ()) -> DataFrame:
+    """(week, news_id, press, keyword, before, after): each valid word and the words on each side of it, as arrays.
+
+    A row carries its own few words: an article of n words makes n rows of at most 2 * SIDE + 1 words.
+    """
+    n = F.size("words")
+    around = F.transform("words", lambda w, i: F.struct(
+        w.alias("word"), F.slice("words", F.greatest(F.lit(1), i + 1 - SIDE), F.least(i, F.lit(SIDE))).alias("before"),
+        F.slice("words", i + 2, F.greatest(F.lit(0), F.least(F.lit(SIDE), n - i - 1))).alias("after"),
+    ))
+    rows = _words(articles).select("week", "news_id", "press", F.inline(around))
+    return _valid(rows.select("week", "news_id", "press", text.normalise_keyword(F.col("word")).alias("keyword"), "before", "after"), stopwords)
+
+
 def weekly_keywords(rows: DataFrame) -> DataFrame:
     return rows.groupBy("week", "keyword", F.coalesce(F.nullif("press", F.lit("")), F.lit("unknown")).alias("source")).agg(F.count("*").cast("int").alias("count"))
 
 
 def contexts(rows: DataFrame, keep: int = TOP_CONTEXTS) -> DataFrame:
     """The most frequent surroundings of each word and week. Counts are combined before the shuffle."""
-    counted = rows.groupBy("week", "keyword", "before", "after").agg(F.count("*").cast("int").alias("occ_count"))
+    sides = F.array_join("before", " ").alias("before"), F.array_join("after", " ").alias("after")
+    counted = rows.groupBy("week", "keyword", *sides).agg(F.count("*").cast("int").alias("occ_count"))
     rank = F.row_number().over(Window.partitionBy("week", "keyword").orderBy(F.desc("occ_count"), "before", "after"))
     return counted.withColumn("rank", rank).where(F.col("rank") <= keep)
 
 
 def neighbours(rows: DataFrame, keep: int = TOP_NEIGHBOURS) -> DataFrame:
-    """The most frequent words before and after each word."""
-    sides = _sides(rows)
+    """The most frequent words before and after each word, both sides in one pass."""
+    side = lambda name: F.transform(name, lambda w: F.struct(F.lit(name).alias("position"), w.alias("term")))
+    sides = rows.select("week", "keyword", F.inline(F.concat(side("before"), side("after"))))
     counted = sides.groupBy("week", "keyword", "position", "term").agg(F.count("*").cast("int").alias("count"))
     rank = F.row_number().over(Window.partitionBy("week", "keyword", "position").orderBy(F.desc("count"), "term"))
     return counted.withColumn("rank", rank).where(F.col("rank") <= keep)
 
 
-def _sides(rows: DataFrame) -> DataFrame:
-    one = lambda side: rows.select("week", "keyword", F.lit(side).alias("position"), F.explode(F.filter(F.split(side, " "), lambda w: w != "")).alias("term"))
-    return one("before").union(one("after"))
-
-
 def weighted_sentences(articles: DataFrame) -> DataFrame:
     """(week, sentence, weight): a title weighs 3, a body's i-th sentence decay^i, but no less than the floor."""
     title = articles.select("week", text.collapse(F.col("title")).alias("sentence"), F.lit(TITLE_WEIGHT).alias("weight"))
@@ -57,10 +71,13 @@ def weighted_sentences(articles: DataFrame) -> DataFrame:
 
 
 def distinctive_terms(words: DataFrame, group: str, keep: int) -> DataFrame:
-    """Top terms of each group by tf * (ln((1 + groups) / (1 + groups with the term)) + 1). words: group, term."""
-    tf = words.groupBy(group, "term").agg(F.count("*").alias("tf"))
+    """Top terms of each group by tf * (ln((1 + groups) / (1 + groups with the term)) + 1). words: group, term.
+
+    The words are counted once; what else is needed comes from that count, which is written.
+    """
+    tf = stored(words.groupBy(group, "term").agg(F.count("*").alias("tf")), "tf")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    n = words.select(group).distinct().agg(F.count("*").alias("n"))
+    n = tf.agg(F.count_distinct(group).alias("n"))
     scored = tf.join(df, "term").crossJoin(F.broadcast(n)).withColumn("score", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
     rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(F.round("score", 9)), "term"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= keep).select(group, "term", "tf", "score", "rank")

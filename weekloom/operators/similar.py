@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import vectors
+from weekloom.session import stored
 
 
 def cohesion(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
@@ -16,14 +17,30 @@ def cohesion(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     return whole.select(*keys, "n", F.when(F.col("n") > 1, (F.col("q") - F.col("n")) / (F.col("n") * (F.col("n") - 1))).otherwise(1.0).alias("cohesion"))
 
 
+#: So many rows of centroids are broadcast at most; more of them are joined by a shuffle.
+FEW = 10_000
+
+
+def few(df: DataFrame) -> DataFrame:
+    """df marked for a broadcast if a count shows that it is small, which a table of classes is."""
+    df = stored(df, "few")
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
+
+
 def to_centroids(df: DataFrame, centroids: DataFrame, vector: str, name: str) -> DataFrame:
-    """df with its best and second-best of a few named centroids and the margin between them. centroids: name, centroid.
+    """df with its best and second-best of some named centroids and the margin between them. centroids: name, centroid.
 
-    The centroids are broadcast: their number is that of the classes, not of the rows.
+    A row meets every centroid, as the classifier asks: they come as one broadcast array, so nothing is shuffled. They
+    are as many as there are classes; a table of more than FEW of them is refused.
     """
-    scored = df.crossJoin(F.broadcast(centroids)).withColumn("sim", vectors.cosine(F.col(vector), F.col("centroid")))
-    best = scored.groupBy(*(c for c in df.columns if c != vector)).agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("sim")).alias("o"), F.col(name).alias("name")))), 1, 2).alias("b"))
-    return best.select(*(c for c in df.columns if c != vector), F.col("b")[0]["name"].alias("best"), (-F.col("b")[0]["o"]).alias("sim"), F.try_element_at("b", F.lit(2))["name"].alias("runner_up"), (F.try_element_at("b", F.lit(2))["o"] - F.col("b")[0]["o"]).alias("margin"))
+    centroids = stored(centroids, "centroids")
+    if centroids.limit(FEW + 1).count() > FEW:
+        raise ValueError(f"more than {FEW} classes")
+    every = centroids.agg(F.collect_list(F.struct(F.col(name).alias("name"), "centroid")).alias("_all"))
+    sims = F.transform("_all", lambda c: F.struct((-vectors.cosine(F.col(vector), c["centroid"])).alias("o"), c["name"].alias("name")))
+    best = df.crossJoin(F.broadcast(every)).withColumn("b", F.slice(F.array_sort(sims), 1, 2))
+    first, second = F.try_element_at("b", F.lit(1)), F.try_element_at("b", F.lit(2))
+    return best.select(*(c for c in df.columns if c != vector), first["name"].alias("best"), (-first["o"]).alias("sim"), second["name"].alias("runner_up"), (second["o"] - first["o"]).alias("margin"))
 
 
 def nearest_rows(rows: DataFrame, queries: DataFrame, keys: list[str], vector: str, k: int) -> DataFrame:

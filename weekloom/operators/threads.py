@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekloom.functions import dates, vectors
+from weekloom.functions import dates, text, vectors
 from weekloom.operators.graph import components
 
 #: Weights of cosine and overlap, least scores and overlaps for the next week and beyond, longest gap.
@@ -96,3 +96,27 @@ def describe(members: DataFrame) -> DataFrame:
     )
     kind = F.when(F.col("n_weeks") == 1, "single").when(F.col("drift") >= REPEATED, "repeated").otherwise("evolving")
     return rows.withColumn("span_weeks", dates.gap_weeks(F.col("start_week"), F.col("end_week")) + 1).withColumn("kind", kind)
+
+
+def quality(members: DataFrame, labels: DataFrame, anchors: list[str]) -> DataFrame:
+    """One row: how coherent threads are, how pure those with an anchor keyword, how varied labels, and all in one.
+
+    members: thread_id, seq, weight, keywords. labels: label of every cluster.
+    """
+    was = F.lag("keywords").over(Window.partitionBy("thread_id").orderBy("seq"))
+    rows = members.withColumn("was", was).withColumn("j", F.when(F.col("was").isNotNull(), text.jaccard(F.col("keywords"), F.col("was"))))
+    anchored = F.arrays_overlap("keywords", F.array(*map(F.lit, anchors)))
+    per = rows.groupBy("thread_id").agg(F.count("*").alias("n"), F.avg("j").alias("j"), F.max("weight").alias("peak"), F.count_if(anchored).alias("anchored"))
+    multi, pure = F.col("n") > 1, (F.col("anchored") > 0) & (F.col("n") > 1)
+    whole = per.agg(
+        F.count("*").alias("threads"), F.count_if(multi).alias("multi_threads"),
+        F.coalesce(F.sum(F.when(multi, F.col("j") * F.col("peak"))) / F.sum(F.when(multi, F.col("peak"))), F.lit(0.0)).alias("coherence"),
+        F.coalesce(F.avg(F.when(pure, F.col("anchored") / F.col("n"))), F.lit(0.0)).alias("anchor_purity"),
+        F.count_if(F.col("anchored") > 0).alias("anchor_threads"), (F.count_if(F.col("n") == 1) / F.count("*")).alias("single_rate"),
+    )
+    described = labels.agg((F.count_distinct("label") / F.count("*")).alias("label_div"), F.avg(F.size(F.split("label", " "))).alias("avg_label_tokens"))
+    both = whole.crossJoin(described)
+    overall = 0.45 * F.col("coherence") + 0.35 * F.col("anchor_purity") + 0.2 * F.col("label_div") - F.greatest(F.lit(0.0), F.col("single_rate") - 0.6) * 0.2
+    four = ("coherence", "anchor_purity", "label_div", "single_rate", "overall", "avg_label_tokens")
+    both = both.withColumn("overall", overall)
+    return both.select("threads", "multi_threads", "anchor_threads", *(F.round(c, 4).alias(c) for c in four))

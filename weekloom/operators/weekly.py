@@ -6,6 +6,8 @@ made dense; each keyword is one window partition with one row for each week.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,16 +68,24 @@ def baseline(freq: DataFrame, min_df: int = MIN_DF, max_df: float = MAX_DF, long
 def smoothed(df: DataFrame, value: str, span: int = SPAN, short_weeks: int = SHORT_WEEKS, name: str = "ewm") -> DataFrame:
     """df with the exponentially weighted mean of `value` (seeded with the first one), by keyword in order of week_idx.
 
-    y_t = q^t (x_0 + a * sum_{i<=t} x_i q^-i) is a running sum, so no row waits for another in Python. q^-i stays
-    within a double for 1,300 weeks.
+    y_t = q^t (x_0 + a * sum_{i<=t} x_i q^-i) is a running sum, so no row waits for another in Python. It starts anew with
+    every block of weeks within which q^-i stays in the range of a double; what the block before ended with goes on.
     """
     a = 2.0 / (span + 1)
     by = Window.partitionBy("keyword").orderBy("week_idx")
     short = F.avg(value).over(by.rowsBetween(1 - short_weeks, 0))
+    if a >= 1:
+        return df.withColumn(name, short)
+    q = 1 - a
+    size = max(1, int(250 / -math.log10(q)))
     placed = df.withColumn("_t", F.row_number().over(by) - 1).withColumn("_x", short)
-    part = F.when(F.col("_t") == 0, F.col("_x")).otherwise(a * F.col("_x") * F.pow(F.lit(1 / (1 - a)), F.col("_t")))
-    running = F.sum(part).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    return placed.withColumn(name, running * F.pow(F.lit(1 - a), F.col("_t"))).drop("_t", "_x")
+    placed = placed.withColumn("_b", F.floor(F.col("_t") / size)).withColumn("_r", F.col("_t") % size)
+    part = F.when(F.col("_t") == 0, F.col("_x")).otherwise(a * F.col("_x") * F.pow(F.lit(1 / q), F.col("_r")))
+    within = Window.partitionBy("keyword", "_b").orderBy("week_idx").rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("_y", F.sum(part).over(within) * F.pow(F.lit(q), F.col("_r")))
+    ended = F.last(F.when(F.col("_r") == size - 1, F.col("_y")), ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    carried = F.coalesce(ended, F.lit(0.0)) * F.pow(F.lit(q), F.col("_r") + 1)
+    return placed.withColumn(name, F.col("_y") + carried).drop("_t", "_x", "_b", "_r", "_y")
 
 
 def z_scores(base: DataFrame, weekly: DataFrame, span: int = SPAN, short_weeks: int = SHORT_WEEKS) -> DataFrame:

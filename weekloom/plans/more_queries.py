@@ -6,12 +6,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates, text, vectors
-from weekloom.operators import contexts, enrich, graph, lifecycle, weekly
+from weekloom.operators import contexts, enrich, similar, weekly
 from weekloom.plans.registry import define, query
 from weekloom.plans.vector_queries import clusters as weekly_clusters
 from weekloom.plans.vector_queries import vec
-from weekloom.plans.view_queries import occurrences
-from weekloom.plans.weekly_queries import R, facts, freq, stored_z, z
+from weekloom.plans.view_queries import article_words, ctx
+from weekloom.plans.weekly_queries import R, facts, freq, trend, z
+from weekloom.session import stored
 from weekloom.sources import html, tables
 
 
@@ -21,9 +22,9 @@ def flt06(spark, d):
     return rows.where(F.col("date").between("20240108", "20240114") | ((F.col("date") <= "20240114") & (F.col("until") >= "20240108"))).select("news_id")
 
 
-@query("flt15_any_of", "SELECT p_partkey FROM part WHERE contains(p_type, 'STEEL') OR contains(p_type, 'BRASS') OR contains(p_type, 'red')")
+@query("flt15_any_of", "SELECT p_partkey FROM part WHERE contains(p_type, 'ECON') OR contains(p_type, 'STAND') OR contains(p_type, 'red')")
 def flt15(spark, d):
-    wanted = F.array(*map(F.lit, ("STEEL", "BRASS", "red")))
+    wanted = F.array(*map(F.lit, ("ECON", "STAND", "red")))
     return tables.table(spark, d, "part").where(F.exists(wanted, lambda v: F.contains(F.col("p_type"), v))).select("p_partkey")
 
 
@@ -51,7 +52,7 @@ define("title_hits", "SELECT * FROM (SELECT a.news_id, a.title, w.keyword, w.pla
 
 
 def top_words(spark, d):
-    counted = occurrences(spark, d).where("length(keyword) >= 6").groupBy("keyword").agg(F.count("*").alias("n"))
+    counted = article_words(spark, d).where("length(keyword) >= 6").groupBy("keyword").agg(F.sum("count").alias("n"))
     top = counted.orderBy(F.desc("n"), "keyword").limit(30)
     return top.select("keyword", F.row_number().over(Window.orderBy(F.desc("n"), "keyword")).alias("place"))
 
@@ -87,23 +88,20 @@ def join20(spark, d):
 @query("join18_shared_keywords", f"""SELECT a.week, a.label AS label, b.week AS prev_week, b.label AS prev_label, round(CAST((CASE WHEN a.label = b.label THEN 2 ELSE 1 END) AS DOUBLE) / (CASE WHEN a.label = b.label THEN 4 ELSE 5 END), {R}) AS overlap
   FROM members a JOIN members b ON CAST(b.week[7:8] AS INTEGER) = CAST(a.week[7:8] AS INTEGER) - 1 AND (a.thread_id = b.thread_id OR (a.thread_id + 1) % 10 = b.thread_id OR (b.thread_id + 1) % 10 = a.thread_id)""", "members")
 def join18(spark, d):
-    c = graph.stored(weekly_clusters(spark, d).select("week", F.substring("week", 7, 2).cast("int").alias("nr"), "label", "keywords"), "clusters")
+    c = stored(weekly_clusters(spark, d).select("week", F.substring("week", 7, 2).cast("int").alias("nr"), "label", "keywords"), "clusters")
     now, before = c.withColumn("k", F.explode("keywords")), c.select((F.col("nr") + 1).alias("nr"), F.col("week").alias("prev_week"), F.col("label").alias("prev_label"), F.size("keywords").alias("m"), F.explode("keywords").alias("k"))
     shared = now.join(before, ["nr", "k"]).groupBy("week", "label", "prev_week", "prev_label").agg(F.count("*").alias("s"), F.first(F.size("keywords")).alias("n"), F.first("m").alias("m"))
     return shared.select("week", "label", "prev_week", "prev_label", F.round(F.col("s") / (F.col("n") + F.col("m") - F.col("s")), R).alias("overlap"))
 
 
-@query("agg08_status_counts")
+@query("agg08_status_counts", "SELECT week, status, count(*) AS n FROM trend GROUP BY ALL", "trend")
 def agg08(spark, d):
-    wk = facts(spark, d)
-    f = weekly.frequencies(wk)
-    return lifecycle.lifecycle(weekly.z_scores(weekly.baseline(f), wk), f, weekly.week_index(f)).groupBy("week", "status").agg(F.count("*").alias("n"))
+    return trend(spark, d).groupBy("week", "status").agg(F.count("*").alias("n"))
 
 
 @query("agg26_sentence_terms", f"SELECT press, keyword, cf, round(cf * ln(1 + CAST((SELECT count(DISTINCT news_id) FROM occ) AS DOUBLE) / df), {R}) AS score FROM (SELECT press, keyword, count(*) AS cf FROM occ GROUP BY ALL) JOIN (SELECT keyword AS k, count(DISTINCT news_id) AS df FROM occ GROUP BY ALL) ON k = keyword WHERE cf >= 5", "occ")
 def agg26(spark, d):
-    occ = occurrences(spark, d)
-    per_doc = occ.groupBy("press", "keyword", "news_id").agg(F.count("*").alias("c"))
+    per_doc = stored(contexts.tokens(tables.articles(spark, d)).groupBy("press", "keyword", "news_id").agg(F.count("*").alias("c")), "per_doc")
     cf = per_doc.groupBy("press", "keyword").agg(F.sum("c").alias("cf")).where("cf >= 5")
     df = per_doc.groupBy("keyword").agg(F.count_distinct("news_id").alias("df"))
     n = per_doc.agg(F.count_distinct("news_id").alias("n"))
@@ -119,7 +117,7 @@ def agg28(spark, d):
 @query("agg33_cohesion_percentiles", f"SELECT v.label, round(quantile_cont(s, 0.5), {R}) AS p50, round(quantile_cont(s, 0.1), {R}) AS p10, round(quantile_cont(s, 0.25), {R}) AS p25, round(min(s), {R}) AS low, round(avg(CASE WHEN s >= 0.3 THEN 1.0 ELSE 0.0 END), {R}) AS share FROM (SELECT v.label, list_cosine_similarity(v.e, c.c) AS s FROM vec v JOIN label_cent c ON c.label = v.label) v GROUP BY v.label", "vec", "label_cent")
 def agg33(spark, d):
     v = vec(spark, d)
-    near = v.join(F.broadcast(vectors.mean_vector(v, ["label"], "e")), "label").select("label", vectors.cosine(F.col("e"), F.col("centroid")).alias("s"))
+    near = v.join(similar.few(vectors.mean_vector(v, ["label"], "e")), "label").select("label", vectors.cosine(F.col("e"), F.col("centroid")).alias("s"))
     return near.groupBy("label").agg(*(F.round(F.percentile("s", p), R).alias(n) for n, p in (("p50", 0.5), ("p10", 0.1), ("p25", 0.25))), F.round(F.min("s"), R).alias("low"), F.round(F.avg(F.when(F.col("s") >= 0.3, 1.0).otherwise(0.0)), R).alias("share"))
 
 
@@ -141,12 +139,12 @@ def top03(spark, d):
 
 @query("top07_sense_gate", "SELECT week, keyword, sense_id, count FROM (SELECT *, sum(count) OVER (PARTITION BY week, keyword) AS total FROM senses) WHERE sense_id = 0 OR (count >= greatest(1, total * 0.12) AND sense_id < 4)", "senses")
 def top07(spark, d):
-    rows = contexts.contexts(occurrences(spark, d)).select("week", "keyword", (F.col("rank") - 1).alias("sense_id"), F.col("occ_count").alias("count"))
+    rows = ctx(spark, d).select("week", "keyword", (F.col("rank") - 1).alias("sense_id"), F.col("occ_count").alias("count"))
     total = F.sum("count").over(Window.partitionBy("week", "keyword"))
     return rows.withColumn("total", total).where((F.col("sense_id") == 0) | ((F.col("count") >= F.greatest(F.lit(1.0), F.col("total") * 0.12)) & (F.col("sense_id") < 4))).drop("total")
 
 
-@query("top13_extractive_summary")
+@query("top13_extractive_summary", r"""SELECT news_id, nr, s, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY news_id ORDER BY score DESC, i) AS INTEGER) AS nr FROM (SELECT news_id, i, s, 3 * len(list_intersect(list_distinct(regexp_extract_all(lower(s), '[가-힣A-Za-z0-9]{2,}')), list_distinct(regexp_extract_all(lower(coalesce(title, '')), '[가-힣A-Za-z0-9]{2,}')))) + least(length(s) // 40, 3) AS score FROM sents WHERE length(s) >= 12)) WHERE nr <= 2""", "sents")
 def top13(spark, d):
     """The two best sentences of each article: three points for each title word, one for each 40 characters up to three."""
     rows = tables.articles(spark, d).select("news_id", F.array_distinct(text.tokens(F.lower("title"))).alias("ks"), F.posexplode(text.sentences(F.col("body"))).alias("i", "s"))
@@ -235,15 +233,14 @@ def sta07(spark, d):
 
 @query("api02_summary", "SELECT f.week, keywords, coalesce(spikes, 0) AS spikes FROM (SELECT week, count(*) AS keywords FROM freq GROUP BY week) f LEFT JOIN (SELECT week, count(*) AS spikes FROM z WHERE z_score >= 2.0 GROUP BY week) s ON s.week = f.week", "freq", "z")
 def api02(spark, d):
-    wk = facts(spark, d)
-    f = weekly.frequencies(wk)
-    spikes = weekly.high(weekly.z_scores(weekly.baseline(f), wk)).groupBy("week").agg(F.count("*").alias("spikes"))
+    f = freq(spark, d)
+    spikes = weekly.high(z(spark, d)).groupBy("week").agg(F.count("*").alias("spikes"))
     return f.groupBy("week").agg(F.count("*").alias("keywords")).join(spikes, "week", "left").select("week", "keywords", F.coalesce("spikes", F.lit(0)).alias("spikes"))
 
 
-@query("msc01_history", f"SELECT week, keyword, round(z_score, {R}) + 0.0 AS z_score FROM z WHERE week <= '1996-W20' AND keyword IN (SELECT keyword FROM z WHERE week = '1996-W20' AND z_score >= 1.5)", "z")
+@query("msc01_history", f"SELECT week, keyword, round(z_score, {R}) + 0.0 AS z_score FROM (SELECT *, max(z_score) FILTER (WHERE week = '1996-W20') OVER (PARTITION BY keyword) AS z_end FROM z) WHERE week <= '1996-W20' AND z_end >= 1.5", "z")
 def msc01(spark, d):
-    scores = stored_z(spark, d)
+    scores = z(spark, d)
     wanted = scores.where("week = '1996-W20' AND z_score >= 1.5").select("keyword")
     return scores.where("week <= '1996-W20'").join(wanted, "keyword", "left_semi").select("week", "keyword", (F.round("z_score", R) + 0.0).alias("z_score"))
 

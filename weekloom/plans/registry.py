@@ -14,6 +14,8 @@ SQL: dict[str, str] = {}
 
 #: Logical tables as DuckDB SQL: name -> (tables it needs, body).
 WITH: dict[str, tuple[tuple[str, ...], str]] = {}
+#: Those that DuckDB computes once even where they are read more than once.
+COSTLY = {"weekly_keywords", "freq", "z", "occ", "cent_flat"}
 
 
 def define(name: str, body: str, *needs: str) -> None:
@@ -33,7 +35,8 @@ def with_tables(select: str, *needs: str) -> str:
         return select
     names = _ordered(needs, [])
     kind = "WITH RECURSIVE " if any("RECURSIVE" in WITH[n][1] for n in names) else "WITH "
-    return kind + ",\n".join(f"{n} AS ({WITH[n][1].replace('/*RECURSIVE*/', '')})" for n in names) + "\n" + select
+    how = lambda n: " MATERIALIZED" if n in COSTLY else ""
+    return kind + ",\n".join(f"{n} AS{how(n)} ({WITH[n][1].replace('/*RECURSIVE*/', '')})" for n in names) + "\n" + select
 
 
 def query(name: str, sql: str | None = None, *needs: str) -> Callable[[Query], Query]:

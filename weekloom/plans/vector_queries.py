@@ -9,6 +9,7 @@ from weekloom.functions import text, vectors
 from weekloom.operators import graph, similar, threads
 from weekloom.plans.registry import define, query
 from weekloom.plans.weekly_queries import R
+from weekloom.session import stored
 from weekloom.sources import html, sinks, tables
 from weekloom.streaming import weekly as stream
 
@@ -58,13 +59,13 @@ def vec10(spark, d):
 @query("vec13_tail_trim", f"SELECT v.id, v.label, CASE WHEN list_cosine_similarity(v.e, c.c) < 0.3 THEN -1 ELSE v.label END AS kept FROM vec v JOIN label_cent c ON c.label = v.label", "vec", "label_cent")
 def vec13(spark, d):
     v = vec(spark, d)
-    return v.join(F.broadcast(vectors.mean_vector(v, ["label"], "e")), "label").select("id", "label", F.when(vectors.cosine(F.col("e"), F.col("centroid")) < 0.3, -1).otherwise(F.col("label")).alias("kept"))
+    return v.join(similar.few(vectors.mean_vector(v, ["label"], "e")), "label").select("id", "label", F.when(vectors.cosine(F.col("e"), F.col("centroid")) < 0.3, -1).otherwise(F.col("label")).alias("kept"))
 
 
 @query("vec14_representatives", f"SELECT label, arg_max(id, (round(s, 9), -id)) AS id, round(max(s), {R}) AS sim FROM (SELECT v.id, v.label, list_cosine_similarity(v.e, c.c) AS s FROM vec v JOIN label_cent c ON c.label = v.label) GROUP BY label", "vec", "label_cent")
 def vec14(spark, d):
     v = vec(spark, d)
-    near = v.join(F.broadcast(vectors.mean_vector(v, ["label"], "e")), "label").withColumn("s", vectors.cosine(F.col("e"), F.col("centroid")))
+    near = v.join(similar.few(vectors.mean_vector(v, ["label"], "e")), "label").withColumn("s", vectors.cosine(F.col("e"), F.col("centroid")))
     return near.groupBy("label").agg(F.max_by("id", F.struct(F.round("s", 9), -F.col("id"))).alias("id"), F.round(F.max("s"), R).alias("sim"))
 
 
@@ -77,7 +78,7 @@ def vec16(spark, d):
 
 @query("join17_previous_group", f"""SELECT week, label, prev_label, round(sim, {R}) AS sim FROM (SELECT a.week, a.label, b.label AS prev_label, list_cosine_similarity(a.c, b.c) AS sim, row_number() OVER (PARTITION BY a.week, a.label ORDER BY round(list_cosine_similarity(a.c, b.c), 9) DESC, b.label) AS rank FROM cent a JOIN cent b ON CAST(b.week[7:8] AS INTEGER) = CAST(a.week[7:8] AS INTEGER) - 1) WHERE rank = 1 AND sim >= 0.3""", "cent")
 def join17(spark, d):
-    c = graph.stored(vectors.mean_vector(vec(spark, d), ["week", "label"], "e"), "centroids").withColumn("nr", F.substring("week", 7, 2).cast("int"))
+    c = stored(vectors.mean_vector(vec(spark, d), ["week", "label"], "e"), "centroids").withColumn("nr", F.substring("week", 7, 2).cast("int"))
     before = c.select((F.col("nr") + 1).alias("nr"), F.col("label").alias("prev_label"), F.col("centroid").alias("p"))
     scored = c.join(before, "nr").withColumn("sim", vectors.cosine(F.col("centroid"), F.col("p")))
     best = scored.groupBy("week", "label").agg(F.max_by(F.struct("prev_label", "sim"), F.struct(F.round("sim", 9), -F.col("prev_label"))).alias("b"))
@@ -88,7 +89,7 @@ def join17(spark, d):
   e AS (SELECT a.node AS a, b.node AS b FROM c a JOIN c b ON list_cosine_similarity(a.c, b.c) >= 0.45),
   r(node, seen) AS (SELECT node, node FROM c UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen) SELECT node, min(seen) AS component FROM r GROUP BY node""")
 def vec09(spark, d):
-    c = graph.stored(vectors.mean_vector(vec(spark, d), ["week", "label"], "e").select(F.concat_ws(":", "week", F.col("label").cast("string")).alias("node"), "centroid"), "groups")
+    c = stored(vectors.mean_vector(vec(spark, d), ["week", "label"], "e").select(F.concat_ws(":", "week", F.col("label").cast("string")).alias("node"), "centroid"), "groups")
     other = c.select(F.col("node").alias("b"), F.col("centroid").alias("q"))
     links = c.join(other, F.col("node") < F.col("b")).where(vectors.cosine(F.col("centroid"), F.col("q")) >= 0.45).select(F.col("node").alias("a"), "b")
     return graph.components(c.select("node"), links)
@@ -105,7 +106,7 @@ def vec11(spark, d):
 
 @query("sta03_threads")
 def sta03(spark, d):
-    return threads.link(graph.stored(clusters(spark, d), "clusters")).withColumn("link_score", F.round("link_score", R))
+    return threads.link(stored(clusters(spark, d), "clusters")).withColumn("link_score", F.round("link_score", R))
 
 
 define("members", "SELECT label AS thread_id, week, CAST(count(*) AS INTEGER) AS weight, 't' || label AS label FROM vec GROUP BY ALL", "vec")
@@ -148,7 +149,11 @@ def scl15(spark, d):
 # Products, categories, hierarchies.
 @query("agg21_price_stats", f"SELECT p_brand, count(*) AS total, round(min(p_retailprice), 2) AS low, round(avg(p_retailprice), 0) AS mean, round(max(p_retailprice), 2) AS high, array_to_string(list_sort(list(DISTINCT p_name))[1:10], '|') AS titles FROM part GROUP BY p_brand")
 def agg21(spark, d):
-    return tables.table(spark, d, "part").groupBy("p_brand").agg(F.count("*").alias("total"), F.round(F.min("p_retailprice"), 2).alias("low"), F.round(F.avg("p_retailprice"), 0).alias("mean"), F.round(F.max("p_retailprice"), 2).alias("high"), F.array_join(F.slice(F.sort_array(F.collect_set("p_name")), 1, 10), "|").alias("titles"))
+    part = tables.table(spark, d, "part")
+    nth = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_name"))
+    titles = part.select("p_brand", "p_name").distinct().withColumn("nth", nth).where("nth <= 10").groupBy("p_brand").agg(F.array_join(F.sort_array(F.collect_list("p_name")), "|").alias("titles"))
+    stats = part.groupBy("p_brand").agg(F.count("*").alias("total"), F.round(F.min("p_retailprice"), 2).alias("low"), F.round(F.avg("p_retailprice"), 0).alias("mean"), F.round(F.max("p_retailprice"), 2).alias("high"))
+    return stats.join(titles, "p_brand")
 
 
 define("toks", "SELECT DISTINCT p_name AS name, unnest(list_distinct(regexp_extract_all(lower(p_name), '[가-힣A-Za-z0-9]{2,}'))) AS t FROM part")
@@ -171,8 +176,7 @@ def join16(spark, d):
 def src21(spark, d):
     region = tables.table(spark, d, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("id"), F.lit(None).cast("string").alias("parent"), F.col("r_name").alias("name"))
     nation = tables.table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("parent"), F.col("n_name").alias("name"))
-    region.union(nation).createOrReplaceTempView("weekloom_node")
-    return spark.sql("WITH RECURSIVE tree AS (SELECT id, name AS full_path, 1 AS level FROM weekloom_node WHERE parent IS NULL UNION ALL SELECT n.id, concat(t.full_path, '>', n.name), t.level + 1 FROM weekloom_node n JOIN tree t ON n.parent = t.id) SELECT t.id, t.full_path, t.level, c.parent IS NULL AS leaf FROM tree t LEFT JOIN (SELECT DISTINCT parent FROM weekloom_node WHERE parent IS NOT NULL) c ON c.parent = t.id")
+    return spark.sql("WITH RECURSIVE tree AS (SELECT id, name AS full_path, 1 AS level FROM {node} WHERE parent IS NULL UNION ALL SELECT n.id, concat(t.full_path, '>', n.name), t.level + 1 FROM {node} n JOIN tree t ON n.parent = t.id) SELECT t.id, t.full_path, t.level, c.parent IS NULL AS leaf FROM tree t LEFT JOIN (SELECT DISTINCT parent FROM {node} WHERE parent IS NOT NULL) c ON c.parent = t.id", node=region.union(nation))
 
 
 @query("src09_stable_ids", "SELECT doc_id, sha256(coalesce(CAST(doc_id AS VARCHAR), '') || '||' || coalesce(source, '') || '||' || coalesce(text, '')) AS point_id FROM documents")
@@ -183,14 +187,16 @@ def src09(spark, d):
 @query("src12_upsert", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT o_orderkey, 'X', o_totalprice + 1 FROM orders WHERE o_orderkey % 3 = 0")
 def src12(spark, d):
     orders = tables.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    new = orders.where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
-    return sinks.upserted(orders, new, ["o_orderkey"])
+    new = orders.where("o_orderkey % 3 = 0").select("o_orderkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("at"), "o_totalprice")
+    new = new.select("o_orderkey", F.when(F.col("at") == 2, "X").otherwise("Y").alias("o_orderstatus"), (F.col("o_totalprice") + F.col("at") - 1).alias("o_totalprice"), "at")
+    return sinks.upserted(orders.withColumn("at", F.lit(0)), new, ["o_orderkey"], "at").drop("at")
 
 
 @query("src13_insert_ignore", "SELECT user_id, arg_min(event_id, event_id) AS event_id FROM events GROUP BY user_id")
 def src13(spark, d):
     events = tables.table(spark, d, "events").select("user_id", "event_id")
-    return sinks.inserted(events.limit(0), events, ["user_id"], ["event_id"])
+    known = events.where("user_id % 2 = 0").groupBy("user_id").agg(F.min("event_id").alias("event_id"))
+    return sinks.inserted(known, events, ["user_id"], ["event_id"])
 
 
 # Events: the weekly rollup that the stream keeps, and sequential rules in batch form.

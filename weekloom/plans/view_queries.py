@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import text
-from weekloom.operators import contexts, graph, signals, weekly
+from weekloom.operators import contexts, signals, weekly
 from weekloom.plans.registry import define, query
-from weekloom.plans.weekly_queries import AS_OF, R, facts, freq, long_term, period, stored_z, z
+from weekloom.plans.stages import stage
+from weekloom.plans.weekly_queries import AS_OF, R, facts, freq, long_term, period, z
 from weekloom.sources import tables
 
 define("cluster_keywords", "SELECT week, CAST(length(keyword) % 4 AS INTEGER) AS cluster_id, keyword, z_score FROM z WHERE z_score >= 1.2", "z")
@@ -37,16 +38,15 @@ def agg15(spark, d):
 
 @query("agg14_cluster_series", f"SELECT k.week, k.cluster_id, CAST(sum(coalesce(f.count, 0)) AS BIGINT) AS volume, round(avg(k.z_score), {R}) AS intensity, count(*) AS keyword_count, avg(k.z_score) >= 0.5 AS is_active, false AS stop_tracking FROM cluster_keywords k LEFT JOIN freq f ON f.week = k.week AND f.keyword = k.keyword GROUP BY ALL", "cluster_keywords", "freq")
 def agg14(spark, d):
-    wk = facts(spark, d)
-    f = weekly.frequencies(wk)
-    members = cluster_keywords(weekly.z_scores(weekly.baseline(f), wk)).join(f, ["week", "keyword"], "left")
+    f = freq(spark, d)
+    members = cluster_keywords(z(spark, d)).join(f, ["week", "keyword"], "left")
     rows = members.groupBy("week", "cluster_id").agg(F.sum(F.coalesce("count", F.lit(0))).alias("volume"), F.avg("z_score").alias("intensity"), F.count("*").alias("keyword_count"))
     return rows.select("week", "cluster_id", "volume", F.round("intensity", R).alias("intensity"), "keyword_count", (F.col("intensity") >= 0.5).alias("is_active"), F.lit(False).alias("stop_tracking"))
 
 
 @query("join02_keyword_enriched", f"SELECT k.week, k.keyword, k.cluster_id, c.cluster_theme, round(k.z_score, {R}) AS z_score, round(l.long_term_score, {R}) AS long_term_score, l.selected_for_tracking, p.label AS window_primary_label, p.macro_up, round(p.wow_7d_pct, {R}) AS wow_7d_pct FROM cluster_keywords k LEFT JOIN clusters c ON c.week = k.week AND c.cluster_id = k.cluster_id LEFT JOIN lt_sel l ON l.week = k.week AND l.keyword = k.keyword LEFT JOIN pt p ON p.as_of_week = k.week AND p.keyword = k.keyword", "cluster_keywords", "clusters", "lt_sel", "pt")
 def join02(spark, d):
-    members = graph.stored(cluster_keywords(z(spark, d)), "members")
+    members = cluster_keywords(z(spark, d))
     lt = long_term(spark, d).select("week", "keyword", F.round("long_term_score", R).alias("long_term_score"), "selected_for_tracking")
     pt = period(spark, d).select(F.col("as_of_week").alias("week"), "keyword", F.col("label").alias("window_primary_label"), "macro_up", F.round("wow_7d_pct", R).alias("wow_7d_pct"))
     named = members.join(clusters(members).select("week", "cluster_id", "cluster_theme"), ["week", "cluster_id"], "left")
@@ -56,7 +56,7 @@ def join02(spark, d):
 @query("join03_cluster_enriched", f"""SELECT c.week, c.cluster_id, c.cluster_theme, c.keyword_count, round(r.avg_lt, {R}) AS avg_long_term_score, round(r.max_lt, {R}) AS max_long_term_score, r.tracked AS tracked_keyword_count, r.members AS member_keywords FROM clusters c LEFT JOIN LATERAL (
   SELECT avg(l.long_term_score) AS avg_lt, max(l.long_term_score) AS max_lt, count(*) FILTER (WHERE l.selected_for_tracking) AS tracked, string_agg(k.keyword, '|' ORDER BY round(k.z_score, 9) DESC NULLS LAST, k.keyword) AS members FROM cluster_keywords k LEFT JOIN lt_sel l ON l.week = k.week AND l.keyword = k.keyword WHERE k.week = c.week AND k.cluster_id = c.cluster_id) r ON true""", "clusters", "cluster_keywords", "lt_sel")
 def join03(spark, d):
-    members = graph.stored(cluster_keywords(z(spark, d)), "members")
+    members = cluster_keywords(z(spark, d))
     lt = long_term(spark, d).select("week", "keyword", "long_term_score", "selected_for_tracking")
     order = F.sort_array(F.collect_list(F.struct((-F.round("z_score", 9)).alias("o"), "keyword")))
     rolled = members.join(lt, ["week", "keyword"], "left").groupBy("week", "cluster_id").agg(F.round(F.avg("long_term_score"), R).alias("avg_long_term_score"), F.round(F.max("long_term_score"), R).alias("max_long_term_score"), F.count_if("selected_for_tracking").alias("tracked_keyword_count"), F.array_join(F.transform(order, lambda s: s["keyword"]), "|").alias("member_keywords"))
@@ -65,23 +65,21 @@ def join03(spark, d):
 
 @query("join04_review_excluded", f"SELECT z.week, z.keyword, round(z.z_score, {R}) AS z_score, string_agg(DISTINCT k.class, '|' ORDER BY k.class) AS noise_classes FROM z JOIN keyword_class k ON k.keyword = z.keyword WHERE z.z_score >= 2.0 GROUP BY z.week, z.keyword, z.z_score", "z", "keyword_class")
 def join04(spark, d):
-    wk = facts(spark, d)
-    f = weekly.frequencies(wk)
-    high = weekly.high(weekly.z_scores(weekly.baseline(f), wk))
+    f = freq(spark, d)
+    high = weekly.high(z(spark, d))
     return high.join(keyword_class(f), "keyword").groupBy("week", "keyword", F.round("z_score", R).alias("z_score")).agg(F.concat_ws("|", F.sort_array(F.collect_set("class"))).alias("noise_classes"))
 
 
 @query("flt08_exclusion", f"SELECT week, keyword, round(z_score, {R}) AS z_score FROM z WHERE z_score >= 1.2 AND keyword NOT IN (SELECT keyword FROM keyword_class WHERE class IN ('seasonal') UNION SELECT keyword FROM exclusions)", "z", "keyword_class", "exclusions")
 def flt08(spark, d):
-    wk = facts(spark, d)
-    f = weekly.frequencies(wk)
+    f = freq(spark, d)
     out = keyword_class(f).where(F.col("class").isin("seasonal")).select("keyword").union(f.where(F.col("keyword").endswith("#1")).select("keyword")).distinct()
-    return weekly.high(weekly.z_scores(weekly.baseline(f), wk), 1.2).join(out, "keyword", "left_anti").select("week", "keyword", F.round("z_score", R).alias("z_score"))
+    return weekly.high(z(spark, d), 1.2).join(out, "keyword", "left_anti").select("week", "keyword", F.round("z_score", R).alias("z_score"))
 
 
 @query("set04_candidates", f"SELECT DISTINCT keyword FROM (SELECT keyword FROM cluster_keywords WHERE week = '{AS_OF}' UNION SELECT keyword FROM z WHERE week = '{AS_OF}' AND z_score >= 0.5) WHERE keyword NOT IN (SELECT keyword FROM exclusions)", "cluster_keywords", "z", "exclusions")
 def set04(spark, d):
-    scores = stored_z(spark, d)
+    scores = z(spark, d)
     out = scores.where(F.col("keyword").endswith("#1")).select("keyword").distinct()
     return signals.candidates(scores, AS_OF, 0.5, cluster_keywords(scores), out)
 
@@ -110,7 +108,7 @@ def api01(spark, d):
 
 @query("api06_range_zscore", f"SELECT week, keyword, round(z_score, {R}) + 0.0 AS z_score FROM z WHERE week BETWEEN '1997-W01' AND '1997-W26' AND keyword IN (SELECT keyword FROM z WHERE week BETWEEN '1997-W01' AND '1997-W26' GROUP BY keyword ORDER BY round(max(z_score), 9) DESC, keyword LIMIT 20)", "z")
 def api06(spark, d):
-    scores = stored_z(spark, d).where(F.col("week").between("1997-W01", "1997-W26"))
+    scores = z(spark, d).where(F.col("week").between("1997-W01", "1997-W26"))
     top = scores.groupBy("keyword").agg(F.max("z_score").alias("m")).orderBy(F.desc(F.round("m", 9)), "keyword").limit(20)
     return scores.join(F.broadcast(top), "keyword", "left_semi").select("week", "keyword", (F.round("z_score", R) + 0.0).alias("z_score"))
 
@@ -148,8 +146,17 @@ define("words", r"SELECT week, news_id, press, list_filter(string_split_regex(bo
 define("occ", f"SELECT * FROM (SELECT week, news_id, press, {_NORM} AS keyword, array_to_string(ws[greatest(1, i - 2):i - 1], ' ') AS before, array_to_string(ws[i + 1:i + 2], ' ') AS after FROM (SELECT *, ws[i] AS w FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM words))) WHERE length(keyword) >= 2 AND (regexp_matches(keyword, '[가-힣]') OR regexp_matches(keyword, '[A-Za-z].*[A-Za-z]'))", "words")
 
 
-def occurrences(spark, d):
-    return contexts.occurrences(tables.articles(spark, d))
+def article_words(spark, d):
+    """(week, keyword, source, count) of the words of all articles."""
+    return stage(spark, d, "article_keywords", lambda s, f: contexts.weekly_keywords(contexts.tokens(tables.articles(s, f))), "documents")
+
+
+def ctx(spark, d):
+    return stage(spark, d, "weekly_keyword_context", lambda s, f: contexts.contexts(contexts.occurrences(tables.articles(s, f))), "documents")
+
+
+def nbr(spark, d):
+    return stage(spark, d, "weekly_keyword_neighbor", lambda s, f: contexts.neighbours(contexts.occurrences(tables.articles(s, f))), "documents")
 
 
 @query("src01_week_articles", "SELECT news_id, date, week, press, title FROM articles WHERE date BETWEEN '20240108' AND '20240114'", "articles")
@@ -160,7 +167,7 @@ def src01(spark, d):
 
 @query("msc11_article_keywords", "SELECT week, keyword, coalesce(nullif(press, ''), 'unknown') AS source, CAST(count(*) AS INTEGER) AS count FROM occ GROUP BY ALL", "occ")
 def msc11(spark, d):
-    return contexts.weekly_keywords(occurrences(spark, d))
+    return article_words(spark, d)
 
 
 define("ctx", "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY week, keyword ORDER BY occ_count DESC, before, after) AS INTEGER) AS rank FROM (SELECT week, keyword, before, after, CAST(count(*) AS INTEGER) AS occ_count FROM occ GROUP BY ALL)) WHERE rank <= 3", "occ")
@@ -168,7 +175,7 @@ define("ctx", "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY wee
 
 @query("agg23_contexts", "SELECT week, keyword, before, after, occ_count, rank FROM ctx", "ctx")
 def agg23(spark, d):
-    return contexts.contexts(occurrences(spark, d))
+    return ctx(spark, d)
 
 
 define("nbr", "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY week, keyword, position ORDER BY count DESC, term) AS INTEGER) AS rank FROM (SELECT week, keyword, position, term, CAST(count(*) AS INTEGER) AS count FROM (SELECT week, keyword, 'before' AS position, unnest(string_split(before, ' ')) AS term FROM occ UNION ALL SELECT week, keyword, 'after', unnest(string_split(after, ' ')) FROM occ) WHERE term <> '' GROUP BY ALL)) WHERE rank <= 5", "occ")
@@ -176,26 +183,24 @@ define("nbr", "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY wee
 
 @query("top04_neighbours", "SELECT week, keyword, position, term, count, rank FROM nbr", "nbr")
 def top04(spark, d):
-    return contexts.neighbours(occurrences(spark, d))
+    return nbr(spark, d)
 
 
 @query("join05_with_context", """SELECT w.week, w.keyword, w.source, w.count, c.shown, n.around FROM (SELECT week, keyword, coalesce(nullif(press, ''), 'unknown') AS source, CAST(count(*) AS INTEGER) AS count FROM occ GROUP BY ALL) w
   JOIN (SELECT week, keyword, string_agg('…' || before || ' [' || keyword || '] ' || after || '… (×' || occ_count || ')', chr(10) ORDER BY rank) AS shown FROM ctx GROUP BY ALL) c ON c.week = w.week AND c.keyword = w.keyword
   LEFT JOIN (SELECT week, keyword, coalesce(string_agg(term, ', ' ORDER BY rank) FILTER (WHERE position = 'before'), '-') || ' / ' || coalesce(string_agg(term, ', ' ORDER BY rank) FILTER (WHERE position = 'after'), '-') AS around FROM nbr GROUP BY ALL) n ON n.week = w.week AND n.keyword = w.keyword""", "occ", "ctx", "nbr")
 def join05(spark, d):
-    occ = occurrences(spark, d)
     line = F.concat(F.lit("…"), "before", F.lit(" ["), "keyword", F.lit("] "), "after", F.lit("… (×"), F.col("occ_count").cast("string"), F.lit(")"))
-    shown = contexts.contexts(occ).groupBy("week", "keyword").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", line.alias("t")))), lambda s: s["t"]), "\n").alias("shown"))
+    shown = ctx(spark, d).groupBy("week", "keyword").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", line.alias("t")))), lambda s: s["t"]), "\n").alias("shown"))
     side = lambda p: F.coalesce(F.nullif(F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("position") == p, F.struct("rank", "term")))), lambda s: s["term"]), ", "), F.lit("")), F.lit("-"))
-    around = contexts.neighbours(occ).groupBy("week", "keyword").agg(F.concat(side("before"), F.lit(" / "), side("after")).alias("around"))
-    return contexts.weekly_keywords(occ).join(shown, ["week", "keyword"]).join(around, ["week", "keyword"], "left")
+    around = nbr(spark, d).groupBy("week", "keyword").agg(F.concat(side("before"), F.lit(" / "), side("after")).alias("around"))
+    return article_words(spark, d).join(shown, ["week", "keyword"]).join(around, ["week", "keyword"], "left")
 
 
 @query("join06_without_context", "SELECT f.week, f.keyword, f.count FROM freq f WHERE NOT EXISTS (SELECT 1 FROM cluster_keywords c WHERE c.week = f.week AND c.keyword = f.keyword)", "freq", "cluster_keywords")
 def join06(spark, d):
-    wk = facts(spark, d)
-    f = weekly.frequencies(wk)
-    return f.join(cluster_keywords(weekly.z_scores(weekly.baseline(f), wk)), ["week", "keyword"], "left_anti")
+    f = freq(spark, d)
+    return f.join(cluster_keywords(z(spark, d)), ["week", "keyword"], "left_anti")
 
 
 # Senses: one for each side word of a keyword's best contexts.
@@ -203,7 +208,7 @@ define("senses", "SELECT week, keyword, CAST(rank - 1 AS INTEGER) AS sense_id, o
 
 
 def senses(spark, d):
-    return contexts.contexts(occurrences(spark, d)).select("week", "keyword", (F.col("rank") - 1).alias("sense_id"), F.col("occ_count").alias("count"), F.nullif(F.split("after", " ")[0], F.lit("")).alias("label"), "before", "after")
+    return ctx(spark, d).select("week", "keyword", (F.col("rank") - 1).alias("sense_id"), F.col("occ_count").alias("count"), F.nullif(F.split("after", " ")[0], F.lit("")).alias("label"), "before", "after")
 
 
 @query("agg06_multi_sense", "SELECT week, keyword, count(*) AS senses, string_agg('▸' || coalesce(label, '(?)') || ' ' || count, '   ' ORDER BY sense_id) AS shown, sum(count)::BIGINT AS total FROM senses GROUP BY ALL HAVING count(*) >= 2", "senses")
@@ -222,7 +227,7 @@ def join07(spark, d):
 
 @query("agg27_distinctive_terms", f"""SELECT week, term, tf, round(score, {R}) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY week ORDER BY round(score, 9) DESC, term) AS INTEGER) AS rank FROM (SELECT t.week, t.term, tf, tf * (ln((1 + (SELECT count(DISTINCT week) FROM occ)) / CAST(1 + df AS DOUBLE)) + 1) AS score FROM (SELECT week, keyword AS term, count(*) AS tf FROM occ GROUP BY ALL) t JOIN (SELECT keyword AS term, count(DISTINCT week) AS df FROM occ GROUP BY ALL) f ON f.term = t.term)) WHERE rank <= 10""", "occ")
 def agg27(spark, d):
-    words = occurrences(spark, d).select("week", F.col("keyword").alias("term"))
+    words = contexts.tokens(tables.articles(spark, d)).select("week", F.col("keyword").alias("term"))
     return contexts.distinctive_terms(words, "week", 10).withColumn("score", F.round("score", R))
 
 
@@ -237,9 +242,14 @@ def scl05(spark, d):
     return tables.table(spark, d, "documents").select("doc_id", F.size(found).cast("long").alias("n"), F.try_element_at(found, F.lit(1)).alias("first_token"))
 
 
-@query("win16_sentence_weights")
+# A sentence ends behind one of six signs before white space. DuckDB has no look-behind, so the end is marked first.
+define("sents", r"""SELECT week, news_id, title, CAST(unnest(range(0, len(p))) AS INTEGER) AS i, unnest(p) AS s FROM (SELECT week, news_id, title, list_filter(list_transform(string_split(regexp_replace(trim(coalesce(body, '')), '([.!?。！？])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS p FROM articles)""", "articles")
+
+
+@query("win16_sentence_weights", r"""SELECT week, sentence, round(sum(weight), 6) AS weight FROM (SELECT week, trim(regexp_replace(coalesce(title, ''), '\s+', ' ', 'g')) AS sentence, CAST(3.0 AS DOUBLE) AS weight FROM articles
+  UNION ALL SELECT week, trim(regexp_replace(s, '\s+', ' ', 'g')), greatest(pow(CAST(0.8 AS DOUBLE), i), CAST(0.2 AS DOUBLE)) FROM sents) WHERE sentence <> '' GROUP BY ALL""", "articles", "sents")
 def win16(spark, d):
-    return contexts.weighted_sentences(tables.articles(spark, d))
+    return contexts.weighted_sentences(tables.articles(spark, d)).withColumn("weight", F.round("weight", R))
 
 
 @query("flt11_boilerplate", r"SELECT doc_id FROM documents WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z]{2,}') OR contains(lower(text), 'licensed under') OR contains(lower(text), 'copyright')")
@@ -250,4 +260,4 @@ def flt11(spark, d):
 
 @query("flt10_valid_tokens", "SELECT keyword, count(*) AS n FROM occ GROUP BY keyword", "occ")
 def flt10(spark, d):
-    return occurrences(spark, d).groupBy("keyword").agg(F.count("*").alias("n"))
+    return article_words(spark, d).groupBy("keyword").agg(F.sum("count").alias("n"))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates, text
-from weekloom.operators import graph, lifecycle, signals, weekly
+from weekloom.operators import lifecycle, signals, weekly
 from weekloom.plans.registry import define, query
+from weekloom.plans.stages import stage
 from weekloom.sources import tables
 
 R = 6  # places to which compared doubles are rounded
@@ -35,22 +36,23 @@ define("spike_weeks", "SELECT DISTINCT keyword, CAST(week[1:4] AS INTEGER) AS ye
 define("top5", "SELECT week, keyword FROM (SELECT *, row_number() OVER (PARTITION BY week ORDER BY round(z_score, 9) DESC, keyword) AS place FROM z) WHERE place <= 5", "z")
 
 
+_SOURCES = "lineitem", "part", "supplier"
+
+
 def facts(spark: SparkSession, d: str) -> DataFrame:
-    return tables.weekly_keywords(spark, d)
+    return stage(spark, d, "weekly_keywords", tables.weekly_keywords, *_SOURCES)
 
 
 def freq(spark: SparkSession, d: str) -> DataFrame:
-    return weekly.frequencies(facts(spark, d))
+    return stage(spark, d, "weekly_keyword_freq", lambda s, f: weekly.frequencies(facts(s, f)), *_SOURCES)
 
 
-def z(spark: SparkSession, d: str) -> DataFrame:
-    wk = facts(spark, d)
-    return weekly.z_scores(weekly.baseline(weekly.frequencies(wk)), wk)
+def base(spark: SparkSession, d: str) -> DataFrame:
+    return stage(spark, d, "base_calculation", lambda s, f: weekly.baseline(freq(s, f)), *_SOURCES)
 
 
-def stored_z(spark: SparkSession, d: str) -> DataFrame:
-    """z as a written stage, for queries that read it more than once."""
-    return graph.stored(z(spark, d), "z")
+def z(spark: SparkSession, d: str) -> DataFrame:
+    return stage(spark, d, "z_score_keywords", lambda s, f: weekly.z_scores(base(s, f), facts(s, f)), *_SOURCES)
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -130,12 +132,12 @@ def set09(spark, d):
 
 @query("win01_base_calculation", f"SELECT week, keyword, round(tfidf, {R}) AS tfidf, round(base_mean, {R}) AS base_mean, round(base_std, {R}) AS base_std FROM base", "base")
 def win01(spark, d):
-    return rounded(weekly.baseline(freq(spark, d)).drop("week_idx"), "tfidf", "base_mean", "base_std")
+    return rounded(base(spark, d).drop("week_idx"), "tfidf", "base_mean", "base_std")
 
 
 @query("win04_ewm", f"SELECT keyword, CAST(week_idx AS INTEGER) AS week_idx, round(ewm, {R}) AS ewm FROM ewm", "ewm")
 def win04(spark, d):
-    return rounded(weekly.smoothed(weekly.baseline(freq(spark, d)), "tfidf").select("keyword", "week_idx", "ewm"), "ewm")
+    return rounded(weekly.smoothed(base(spark, d), "tfidf").select("keyword", "week_idx", "ewm"), "ewm")
 
 
 @query("z_score_keywords", f"SELECT week, keyword, round(z_score, {R}) + 0.0 AS z_score, sources FROM z", "z")
@@ -188,14 +190,13 @@ define("lt_sel", f"""SELECT '{AS_OF}' AS week, keyword, window_weeks, active_wee
 
 
 def long_term(spark, d):
-    scores = stored_z(spark, d)
+    scores = z(spark, d)
     return signals.long_term(scores, signals.candidates(scores, AS_OF, 0.5), AS_OF)
 
 
 def period(spark, d):
-    wk = facts(spark, d)
-    f = weekly.frequencies(wk)
-    return signals.period(f, signals.candidates(weekly.z_scores(weekly.baseline(f), wk), AS_OF, 0.5), AS_OF)
+    f = freq(spark, d)
+    return signals.period(f, signals.candidates(z(spark, d), AS_OF, 0.5), AS_OF)
 
 
 _LT = ("active_ratio", "mean_z", "median_z", "p75_z", "slope", "peak_week_z", "long_term_score")
@@ -226,11 +227,25 @@ def agg18(spark, d):
     return df.withColumns({c: F.round(c, R) + 0.0 for c in _PT})
 
 
-@query("sta02_lifecycle")
+# What a week follows: states of a keyword go on from week to week.
+define("lc_rows", "SELECT r.keyword, r.week, w.week_idx, r.s AS z, coalesce(f.count, 0) AS n, r.place <= 5 AS anchored FROM (SELECT week, keyword, round(z_score, 9) AS s, row_number() OVER (PARTITION BY week ORDER BY round(z_score, 9) DESC, keyword) AS place FROM z) r JOIN week_dim w ON w.week = r.week LEFT JOIN freq f ON f.week = r.week AND f.keyword = r.keyword WHERE r.keyword IN (SELECT keyword FROM top5)", "z", "week_dim", "freq", "top5")
+define("followed", """/*RECURSIVE*/ SELECT DISTINCT keyword, CAST(0 AS INTEGER) AS week_idx, '' AS week, false AS picked, '' AS anchor, CAST(NULL AS VARCHAR) AS status, CAST(0 AS DOUBLE) AS ratio, CAST(0 AS DOUBLE) AS z, CAST(0 AS INTEGER) AS n, CAST(0 AS DOUBLE) AS prev_z, CAST(0 AS INTEGER) AS prev_n, CAST(0 AS INTEGER) AS streak, false AS seen, false AS carried FROM lc_rows
+  UNION ALL SELECT keyword, week_idx, week, picked, anchor, CASE WHEN picked THEN now ELSE status END, ratio, z, n, prev_z, prev_n, CASE WHEN picked THEN CASE WHEN now = 'Fading' THEN streak + 1 ELSE 0 END ELSE streak END, seen OR picked, picked AND NOT (now = 'Fading' AND streak + 1 >= 2)
+  FROM (SELECT *, CASE WHEN z >= 2.0 AND NOT seen THEN 'Emerging' WHEN z <= 0.8 AND ratio <= 0.4 THEN 'Fading' WHEN ratio >= 0.7 OR (status IN ('Emerging', 'Active') AND n > 0) THEN 'Active' ELSE 'Fading' END AS now FROM (
+    SELECT r.keyword, r.week_idx, r.week, r.anchored OR t.carried AS picked, concat_ws('+', CASE WHEN r.anchored THEN 'A' END, CASE WHEN t.carried THEN 'B' END) AS anchor, t.status, CASE WHEN t.n > 0 THEN CAST(r.n AS DOUBLE) / t.n WHEN r.n > 0 THEN 1.0 ELSE 0.0 END AS ratio, r.z, r.n, t.z AS prev_z, t.n AS prev_n, t.streak, t.seen, t.carried
+    FROM followed t JOIN lc_rows r ON r.keyword = t.keyword AND r.week_idx = t.week_idx + 1))""", "lc_rows")
+define("trend", "SELECT week, keyword, week_idx, anchor, status, CASE status WHEN 'Emerging' THEN 'create_slot' WHEN 'Active' THEN 'update_slot' ELSE 'close_slot_archive' END AS action, status <> 'Fading' AS is_major, z AS z_score, n AS count, prev_n AS prev_count, ratio AS count_ratio, z - prev_z AS delta_z, n - prev_n AS delta_count, streak AS fading_streak, carried FROM followed WHERE picked", "followed")
+
+
+def trend(spark, d):
+    """The weekly time series of followed keywords."""
+    rounded_z = lambda s, f: z(s, f).withColumn("z_score", F.round("z_score", 9))
+    return stage(spark, d, "trend_timeseries", lambda s, f: lifecycle.lifecycle(rounded_z(s, f), freq(s, f), weekly.week_index(freq(s, f))), *_SOURCES)
+
+
+@query("sta02_lifecycle", f"SELECT week, keyword, week_idx, anchor, status, action, is_major, round(z_score, {R}) + 0.0 AS z_score, count, prev_count, round(count_ratio, {R}) AS count_ratio, round(delta_z, {R}) + 0.0 AS delta_z, delta_count, fading_streak, carried FROM trend", "trend")
 def sta02(spark, d):
-    wk = facts(spark, d)
-    f = weekly.frequencies(wk)
-    return lifecycle.lifecycle(weekly.z_scores(weekly.baseline(f), wk), f, weekly.week_index(f))
+    return trend(spark, d).withColumns({"z_score": F.round("z_score", R) + 0.0, "count_ratio": F.round("count_ratio", R), "delta_z": F.round("delta_z", R) + 0.0})
 
 
 @query("win13_deltas", f"""SELECT week, keyword, count, count - prev AS delta_count, CASE WHEN prev > 0 THEN round(CAST(count AS DOUBLE) / prev, {R}) WHEN count > 0 THEN 1.0 ELSE 0.0 END AS count_ratio FROM (SELECT *, coalesce(lag(count) OVER (PARTITION BY keyword ORDER BY week_idx), 0) AS prev FROM dense)""", "dense")
@@ -278,10 +293,9 @@ def set01(spark, d):
 
 @query("set03_anchor_union", """SELECT week, keyword, string_agg(tag, '+' ORDER BY tag) AS anchor FROM (SELECT week, keyword, 'A' AS tag FROM top5 UNION ALL SELECT n.week, t.keyword, 'B' AS tag FROM top5 t JOIN week_dim w ON w.week = t.week JOIN week_dim n ON n.week_idx = w.week_idx + 1) GROUP BY ALL""", "top5", "week_dim")
 def set03(spark, d):
-    wk = facts(spark, d)
-    f = weekly.frequencies(wk)
+    f = freq(spark, d)
     idx = F.broadcast(weekly.week_index(f).select("week", "week_idx"))
-    top = lifecycle.ranked(weekly.z_scores(weekly.baseline(f), wk).withColumn("z_score", F.round("z_score", 9))).where("place <= 5").select("week", "keyword").join(idx, "week")
+    top = lifecycle.ranked(z(spark, d).withColumn("z_score", F.round("z_score", 9))).where("place <= 5").select("week", "keyword").join(idx, "week")
     after = top.select("keyword", (F.col("week_idx") + 1).alias("week_idx"), F.lit("B").alias("tag")).join(idx, "week_idx")
     both = top.select("week", "keyword", F.lit("A").alias("tag")).union(after.select("week", "keyword", "tag"))
     return both.groupBy("week", "keyword").agg(F.concat_ws("+", F.sort_array(F.collect_set("tag"))).alias("anchor"))

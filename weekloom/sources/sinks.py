@@ -13,9 +13,10 @@ def replace_partitions(df: DataFrame, path: str, *keys: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*(keys or ("week",))).parquet(path)
 
 
-def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """old with new's rows put in by key; of several new rows with a key, one stays."""
-    fresh = new.dropDuplicates(keys)
+def upserted(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """old with new's rows put in by key; of several new rows with a key, the one with the largest `order` stays."""
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))
+    fresh = new.withColumn("_nth", last).where("_nth = 1").drop("_nth")
     return old.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
 
 
@@ -30,6 +31,18 @@ def without(old: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(gone.select(*keys).distinct(), keys, "left_anti")
 
 
+def replaced_range(old: DataFrame, new: DataFrame, meta: DataFrame, low: str, high: str) -> tuple[DataFrame, DataFrame]:
+    """Members with those of a range of weeks replaced by new ones, and the metas of threads that had no member there."""
+    inside = F.col("week").between(low, high)
+    return old.where(~inside).unionByName(new), without(meta, old.where(inside), ["thread_id"])
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """df with null for every double that isn't a number."""
+    doubles = [f.name for f in df.schema if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in doubles})
+
+
 def write_new_version(df: DataFrame, path: str, version: int) -> str:
     """A full result as a new folder, so that readers of the old one never see it half written."""
     out = f"{path}/v{version:06d}"
