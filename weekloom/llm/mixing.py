@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from weekloom.llm import common
 
 #: Rows that n-grams are learnt from, at most, about, and rows of each domain (if there are); n-grams in all and of each domain.
-LEARN_ROWS, ROWS_EACH, GRAMS, GRAMS_EACH = 10000, 100, 24, 2
+LEARN_ROWS, ROWS_EACH, GRAMS, GRAMS_EACH = 4000, 100, 20, 2
 #: The fold that sets how far evidence counts: evidence is divided by T * size^G for one of these T and G.
 CALIBRATION_FOLD, SOFTNESS = 1, [(t, g) for g in (0.0, 0.5) for t in (0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)]
 #: Most steps, the miss relative to a target share that counts as met, the share below which targets count as this
@@ -52,8 +52,9 @@ def learn_grams(rows: DataFrame, counts: dict[str, int], most: int = LEARN_ROWS,
     wanted = F.create_map(*(F.lit(x) for d, n in counts.items() for x in (d, int(min(1.0, max(share, each / n)) * (1 << 31)))))
     sample = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 31)) < F.element_at(wanted, F.col("domain")))
     sizes = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.sum(F.octet_length("text")).cast("double").alias("n")).collect()}
-    words = sample.select("domain", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{1,20}"), F.lit(0))).alias("word"))
-    padded = words.groupBy("domain", "word").agg(F.count("*").alias("n")).select("domain", "n", F.concat(F.lit(" "), "word", F.lit(" ")).alias("word"))
+    words = sample.select("domain", F.explode(F.split(F.lower("text"), "[ \n]")).alias("word")).groupBy("domain", "word").agg(F.count("*").alias("n"))
+    plain = F.regexp_extract("word", r"^(\p{L}{1,20})[.,;:!?]?$", 1)
+    padded = words.select("domain", "n", plain.alias("word")).where("word <> ''").select("domain", "n", F.concat(F.lit(" "), "word", F.lit(" ")).alias("word"))
     cut = lambda k: F.transform(F.sequence(F.lit(1), F.length("word") - k + 1), lambda i: F.substr("word", i, F.lit(k)))
     every = F.concat(F.filter(cut(1), lambda g: g != " "), cut(2), cut(3))
     grams = padded.select("domain", "n", F.explode(every).alias("gram")).groupBy("domain", "gram").agg(F.sum("n").alias("n"))
@@ -144,7 +145,8 @@ def learn(rows: DataFrame, grams: list[str]) -> Classifier | None:
 
     whole, part = table(found), table([r for r in found if not r["tested"]])
     if any(r["tested"] for r in found) and not all(r["tested"] for r in found):
-        tested = rows.where("tested").withColumn("evidence", part.evidence()).withColumn("y", F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int"))
+        few = common.drawn(sum(r["n"] for r in found if r["tested"]), LEARN_ROWS, "doc_id")
+        tested = rows.where(F.col("tested") & few).withColumn("evidence", part.evidence()).withColumn("y", F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int"))
 
         def loss(softness: tuple[float, float]) -> Column:
             chance = F.element_at(_soft(part.scores(F.col("evidence"), softness)), F.col("y"))
