@@ -72,3 +72,15 @@ def in_weeks(week: Column, start: str | None, end: str | None) -> Column:
     if end:
         out = out & (week <= end)
     return out
+
+
+def recent(day: Column, as_of: Column, least: int = 0, most: int = 28) -> Column:
+    """Whether a day lies `least` to `most` days before another."""
+    return F.datediff(as_of, day).between(least, most)
+
+
+def file_range(name: Column) -> Column:
+    """struct<low, high> of the days in a file name, YYYYMMDD-YYYYMMDD or one day; nulls where it has none."""
+    first = F.nullif(F.regexp_extract(name, r"(\d{8})", 1), F.lit(""))
+    last = F.coalesce(F.nullif(F.regexp_extract(name, r"\d{8}-(\d{8})", 1), F.lit("")), first)
+    return F.struct(F.least(first, last).alias("low"), F.greatest(first, last).alias("high"))

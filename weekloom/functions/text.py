@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What a keyword keeps, what a token is, and marks of boilerplate.
@@ -100,3 +102,37 @@ def page_url(url: Column, page: Column) -> Column:
     by_path = F.regexp_replace(url, F.lit(r"/page/\d+"), F.concat(F.lit("/page/"), number))
     added = F.concat(url, F.when(F.contains(url, F.lit("?")), "&page=").otherwise("?page="), number)
     return F.when(url.rlike(parameter), by_parameter).when(url.rlike(r"/page/\d+"), by_path).otherwise(added)
+
+
+def normalise_noun(text: Column) -> Column:
+    """A noun without signs."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9A-Za-z가-힣]+", "")
+
+
+def product_line(line: Column) -> Column:
+    """struct<name, reason> of a line that names a product and why, or of a bullet `name: reason`; null for other lines."""
+    pattern = r"추천\s*상품군\s*\d+\s*:\s*(.+?)\s*/\s*선정\s*이유\s*:\s*(.+)"
+    plain = F.trim(F.regexp_replace(line, "^[- ]+|[- ]+$", ""))
+    parts = F.split(plain, ":", 2)
+    named = F.struct(F.trim(F.regexp_extract(line, pattern, 1)).alias("name"), F.trim(F.regexp_extract(line, pattern, 2)).alias("reason"))
+    bullet = F.struct(F.trim(F.element_at(parts, 1)).alias("name"), F.trim(F.try_element_at(parts, F.lit(2))).alias("reason"))
+    return F.when(line.rlike(pattern), named).when(F.contains(line, F.lit(":")), bullet)
+
+
+def label_of(words: Column, is_action: Callable[[Column], Column]) -> Column:
+    """An entity and an action, the first of each; or the first two of the kind that there is."""
+    entities, actions = F.filter(words, lambda w: ~is_action(w)), F.filter(words, is_action)
+    both = (F.size(entities) > 0) & (F.size(actions) > 0)
+    one = F.when(F.size(entities) > 0, F.slice(entities, 1, 2)).otherwise(F.slice(actions, 1, 2))
+    return F.array_join(F.when(both, F.array(F.try_element_at(entities, F.lit(1)), F.try_element_at(actions, F.lit(1)))).otherwise(one), " ")
+
+
+def context_sentence(*parts: str) -> Column:
+    """Parts that aren't empty, with blanks between them."""
+    return F.trim(F.array_join(F.filter(F.array(*parts), lambda p: p != ""), " "))
+
+
+def word_list(lines: DataFrame) -> DataFrame:
+    """(word) of a text table with a word a line; lines that start with # and empty ones are left out."""
+    word = F.trim("value")
+    return lines.select(word.alias("word")).where("word <> '' AND NOT startswith(word, '#')").distinct()

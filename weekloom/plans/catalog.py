@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weekloom.plans import more_queries, reader_queries, registry, vector_queries, view_queries, weekly_queries  # noqa: F401
+from weekloom.plans import more_queries, reader_queries, registry, retrieval_queries, scalar_queries, vector_queries, view_queries, weekly_queries  # noqa: F401
 
 
 def queries() -> dict[str, registry.Query]:

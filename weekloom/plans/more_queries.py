@@ -37,7 +37,7 @@ def flt19(spark, d):
 @query("flt20_clean_items")
 def flt20(spark, d):
     items = html.records(tables.table(spark, d, "pages"), "a").where(~F.lower("title").isin("home", "more"))
-    return html.distinct_items(items.withColumn("url", F.nullif("url", F.lit("")))).select("url", "title")
+    return html.distinct_items(items.withColumn("url", F.nullif("url", F.lit(""))), order=("page_id", "nr")).select("url", "title")
 
 
 @query("join12_year_ago", "SELECT week, keyword, count, lag(count, 52) OVER (PARTITION BY keyword ORDER BY week_idx) AS year_ago FROM dense", "dense")

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -71,6 +71,66 @@ def link_pattern(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, "[0-9a-f]{8,}", "*"), "[0-9]+", "*")
 
 
-def distinct_items(items: DataFrame, key: str = "url") -> DataFrame:
-    """Items with one row for each url, the first by its place; items without url all stay."""
-    return items.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(items.where(F.col(key).isNull()))
+def distinct_items(items: DataFrame, key: str = "url", order: tuple[str, ...] = ()) -> DataFrame:
+    """Items with one row for each url, the first by `order` (by all columns if none is given); items without url all stay."""
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*(order or items.columns)))
+    first = items.where(F.col(key).isNotNull()).withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    return first.unionByName(items.where(F.col(key).isNull()))
+
+
+#: Tags whose text a summary keeps, how deep it looks, and how much of a text it shows.
+SHOWN, DEEPEST, LONGEST = frozenset(("h1", "h2", "h3", "p", "a", "li", "td", "th", "button", "label")), 12, 200
+
+
+class _Summary(HTMLParser):
+    """A line for each shown element: its tag and its own text."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.open: list[tuple[str, list[str]]] = []
+        self.lines: list[str] = []
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in VOID:
+            self.open.append((tag, []))
+
+    def handle_data(self, data: str) -> None:
+        if self.open:
+            self.open[-1][1].append(data)
+
+    def handle_endtag(self, tag: str) -> None:
+        while any(t == tag for t, _ in self.open):
+            name, parts = self.open.pop()
+            text = " ".join("".join(parts).split())
+            if name in SHOWN and text and len(self.open) < DEEPEST:
+                self.lines.append(f"{name}: {text[:LONGEST]}")
+            if name == tag:
+                break
+
+
+def summaries(pages: DataFrame, most: int = 4000) -> DataFrame:
+    """(page_id, n_lines, summary): what a page shows, a line an element, in so many characters at most."""
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for page, html in zip(batch["page_id"], batch["html"], strict=True):
+                parser = _Summary()
+                parser.feed(html or "")
+                parser.close()
+                rows.append((page, len(parser.lines), "\n".join(parser.lines)[:most]))
+            yield pd.DataFrame(rows, columns=["page_id", "n_lines", "summary"])
+
+    return pages.select("page_id", "html").mapInPandas(parse, "page_id long, n_lines long, summary string")
+
+
+ITEM = "struct<title: string, source_url: string, selector: string, raw_snippet: string>"
+
+
+def checked_items(body: Column) -> Column:
+    """struct<ok, items> of a scraped result: items only if it has a list of them, each with four texts that aren't empty."""
+    found = F.from_json(body, f"items array<{ITEM}>")["items"]
+    clean = F.transform(found, lambda i: F.struct(*(F.trim(i[c]).alias(c) for c in ("title", "source_url", "selector", "raw_snippet"))))
+    whole = F.forall(clean, lambda i: (F.coalesce(i["title"], F.lit("")) != "") & (F.coalesce(i["source_url"], F.lit("")) != "") & (F.coalesce(i["selector"], F.lit("")) != "") & (F.coalesce(i["raw_snippet"], F.lit("")) != ""))
+    ok = F.coalesce(F.get_json_object(body, "$.items").rlike(r"^\[") & whole, F.lit(False))
+    return F.struct(ok.alias("ok"), F.when(ok, clean).alias("items"))
