@@ -10,7 +10,7 @@ from weekloom.plans import catalog
 
 FOLDER = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"join05_with_context", "agg23_contexts", "top04_neighbours", "agg06_multi_sense", "join07_single_sense", "agg27_distinctive_terms", "vec10_cohesion"}
+SLOW = {"join05_with_context", "agg23_contexts", "top04_neighbours", "agg06_multi_sense", "join07_single_sense", "agg27_distinctive_terms", "vec10_cohesion"} if FOLDER.endswith("sf0.001") else set()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
