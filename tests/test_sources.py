@@ -1,8 +1,11 @@
 """Writers, pages, graph components and streams."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from weekloom import session
 from weekloom.operators import graph, similar
+from weekloom.plans import stages
 from weekloom.sources import html, sinks
 from weekloom.streaming import weekly as stream
 
@@ -20,8 +23,8 @@ def test_upsert_and_insert(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     new = spark.createDataFrame([("b", 3), ("c", 5), ("c", 4)], "k string, v int")
     assert sorted(tuple(r) for r in sinks.inserted(old, new, ["k"], ["v"]).collect()) == [("a", 1), ("b", 2), ("c", 4)]
-    got = {r.k: r.v for r in sinks.upserted(old, new, ["k"]).collect()}
-    assert got["a"] == 1 and got["b"] == 3 and len(got) == 3
+    got = {r.k: r.v for r in sinks.upserted(old, new, ["k"], "v").collect()}
+    assert got == {"a": 1, "b": 3, "c": 5}
     assert [r.k for r in sinks.without(old, new, ["k"]).collect()] == ["a"]
 
 
@@ -71,3 +74,64 @@ def test_stream_equals_batch(spark, tmp_path):
     first = stream.first_of_key(source, ["user_id", "event_type"], "100 days")
     stream.run_to_table(first, str(tmp_path / "first"), str(tmp_path / "cp2"))
     assert spark.read.parquet(str(tmp_path / "first")).count() == 6
+
+
+def test_range_replace_and_not_a_number(spark):
+    old = spark.createDataFrame([(1, "w1"), (1, "w2"), (2, "w2"), (3, "w4")], "thread_id int, week string")
+    new = spark.createDataFrame([(9, "w2")], old.schema)
+    meta = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "thread_id int, kind string")
+    members, left = sinks.replaced_range(old, new, meta, "w2", "w3")
+    assert sorted(map(tuple, members.collect())) == [(1, "w1"), (3, "w4"), (9, "w2")] and [r.thread_id for r in left.collect()] == [3]
+    rows = spark.createDataFrame([(float("nan"), 1), (None, 2), (1.5, 3)], "x double, k int")
+    assert [r.x for r in sinks.without_nan(rows).orderBy("k").collect()] == [None, None, 1.5]
+
+
+def test_items_held_to_their_schema_and_distinct_by_place(spark):
+    bodies = ['{"items": [{"title": " a ", "source_url": "u", "selector": "s", "raw_snippet": "r"}]}', '{"items": [{"title": "a"}]}', '{"items": {}}', "x", None, '{"items": []}']
+    rows = spark.createDataFrame(list(enumerate(bodies)), "k int, body string").select("k", html.checked_items(F.col("body")).alias("c")).orderBy("k").collect()
+    assert [r.c.ok for r in rows] == [True, False, False, False, False, True] and rows[0].c["items"][0].title == "a"
+    page = [("t", "https://x/1"), ("u", "https://x/2"), ("t", "https://x/1")]
+    items = spark.createDataFrame([(n, *i) for n in range(3) for i in page] + [(9, "no", None), (9, "no", None)], "page_id int, title string, url string")
+    got = html.distinct_items(items, order=("page_id",)).collect()
+    assert sorted((r.page_id, r.url or "") for r in got) == [(0, "https://x/1"), (0, "https://x/2"), (9, ""), (9, "")]
+
+
+def test_page_summary(spark):
+    pages = spark.createDataFrame([(1, "<html><body><script>x</script><h1>A  b</h1><p>c<br>d <a href='u'>e</a></p><div>no</div></body></html>"), (2, None), (3, "<p>open")], "page_id long, html string")
+    got = {r.page_id: r.summary for r in html.summaries(pages).collect()}
+    assert got == {1: "h1: A b\na: e\np: cd", 2: "", 3: ""}
+
+
+def test_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
+
+
+def test_stages_follow_their_sources(spark, tmp_path):
+    path, calls = f"{tmp_path}/events.parquet", []
+
+    def make(s, folder):
+        calls.append(folder)
+        return s.read.parquet(f"{folder}/events.parquet").groupBy().count()
+
+    spark.range(5).write.parquet(path)
+    count = lambda: stages.stage(spark, str(tmp_path), "counted", make, "events").first()["count"]
+    assert [count(), count()] == [5, 5] and len(calls) == 1
+    spark.range(7).write.mode("overwrite").parquet(path)
+    assert [count(), count()] == [7, 7] and len(calls) == 2

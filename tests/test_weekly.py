@@ -3,11 +3,12 @@
 import datetime
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates, text
-from weekloom.operators import lifecycle, signals, threads, weekly
+from weekloom.operators import enrich, graph, lifecycle, predicates, signals, similar, threads, weekly
 
 COUNTS = {"a": (4, 0, 2, 2), "b": (1, 1, 0, 0), "c": (0, 3, 0, 9)}
 
@@ -121,7 +122,6 @@ def plain_senses(x, threshold):
 
 @pytest.mark.parametrize("block", [7, 1024])
 def test_senses_of_all_rows_against_average_linkage(spark, block):
-    from weekloom.operators import enrich
 
     r = np.random.default_rng(4)
     x = np.repeat(r.normal(size=(9, 6)), 9, axis=0) + 0.6 * r.normal(size=(81, 6))
@@ -142,3 +142,107 @@ def test_senses_query_covers_every_embedding(spark):
     ids = {r.vec_id for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
     rows = __spark_entry__.queries()["vec12_senses"](spark, folder).collect()
     assert len(rows) == len(ids) and {r.id for r in rows} == ids
+
+
+def _overlap(a: set, b: set) -> float:
+    return len(a & b) / len(a | b) if a and b else 0.0
+
+
+def _cosine(a: np.ndarray, b: np.ndarray) -> float:
+    size = float(np.linalg.norm(a) * np.linalg.norm(b))
+    return float(a @ b) / size if size else 0.0
+
+
+def plain_links(group: pd.DataFrame) -> list:
+    """Greedy links of one component: weeks in order, heavier clusters first, each to the best thread that is still free."""
+    open_: list[dict] = []
+    out = []
+    for (day, week), rows in group.sort_values(["monday", "weight", "cluster_id"], ascending=[True, False, True]).groupby(["monday", "week"], sort=True):
+        free = set(range(len(open_)))
+        for r in rows.itertuples():
+            words, centroid = set(r.keywords), np.asarray(r.centroid, float)
+            best, best_score = None, 0.0
+            for k in sorted(free):
+                t = open_[k]
+                gap = (day - t["day"]).days // 7
+                overlap = _overlap(words, t["words"])
+                if not 1 <= gap <= threads.GAP or overlap < (threads.NEAR_OVERLAP if gap == 1 else threads.FAR_OVERLAP):
+                    continue
+                score = threads.ALPHA * _cosine(centroid, t["centroid"]) + threads.BETA * overlap
+                if score >= (threads.NEAR if gap == 1 else threads.FAR) and (best is None or score > best_score):
+                    best, best_score, kind = k, score, "near" if gap == 1 else "gap"
+            if best is None:
+                open_.append({"seed": (week, r.cluster_id), "n": 1, "day": day, "words": words, "centroid": centroid})
+                out.append((week, r.cluster_id, week, r.cluster_id, 0, 0.0, "seed"))
+            else:
+                t = open_[best]
+                out.append((week, r.cluster_id, *t["seed"], t["n"], best_score, kind))
+                t.update(n=t["n"] + 1, day=day, words=t["words"] | words, centroid=centroid)
+                free.discard(best)
+    return out
+
+
+def test_threads_against_one_by_one(spark):
+    r = np.random.default_rng(3)
+    rows = []
+    for w in (1, 2, 3, 5, 6, 40):
+        for c in range(14):
+            rows.append((f"2024-W{w:02d}", c, int(r.integers(1, 6)), sorted({f"k{int(x)}" for x in r.integers(0, 12, 4)}), [float(x) for x in r.normal(size=4)]))
+    clusters = spark.createDataFrame(rows, "week string, cluster_id int, weight int, keywords array<string>, centroid array<double>")
+    frame = pd.DataFrame(rows, columns=["week", "cluster_id", "weight", "keywords", "centroid"])
+    frame["monday"] = pd.to_datetime(frame["week"] + "-1", format="%G-W%V-%u")
+    want = {(w, c): (sw, sc, seq, round(score, 9), kind) for w, c, sw, sc, seq, score, kind in plain_links(frame)}
+    linked = threads.link(clusters).collect()
+    seed = {x.thread_id: (x.week, x.cluster_id) for x in linked if x.seq == 0}
+    assert {(x.week, x.cluster_id): (*seed[x.thread_id], x.seq, round(x.link_score, 9), x.link_type) for x in linked} == want
+    assert len({v[4] for v in want.values()}) == 3 and not threads.link(clusters.limit(0)).collect()
+
+
+def test_smoothing_over_more_weeks_than_a_double_spans(spark):
+    r = np.random.default_rng(1)
+    x = r.gamma(1.0, 2.0, 3000)
+    x[1000:2600] = 0.0
+    df = spark.createDataFrame([("k", i, float(v)) for i, v in enumerate(x)], "keyword string, week_idx int, x double")
+    for span in (1, 2, 4, 50):
+        want, y = [], None
+        for v in x:
+            y = v if y is None else y + 2 / (span + 1) * (v - y)
+            want.append(y)
+        got = [r.ewm for r in weekly.smoothed(df, "x", span=span).orderBy("week_idx").collect()]
+        assert np.allclose(got, want, rtol=1e-9, atol=1e-100)
+
+
+def test_token_bucket_across_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        r = np.random.default_rng(2)
+        rows = [(k, int(r.integers(0, 3)), datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=int(r.integers(0, 5000)))) for k in range(200)]
+        got = {x.event_id: x.allowed for x in enrich.token_bucket(spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp"), "user_id", "ts", 3, 1 / 60).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for user in range(3):
+        left, last = 3.0, None
+        for k, _, at in sorted((x for x in rows if x[1] == user), key=lambda x: (x[2], x[0])):
+            left = min(3.0, left + (at - last).total_seconds() / 60) if last else left
+            last = at
+            assert got[k] == (left >= 1)
+            left -= left >= 1
+
+
+def test_links_between_blocks(spark):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(90, 3))
+    rows = spark.createDataFrame([(f"n{k:02d}", [float(v) for v in row]) for k, row in enumerate(x)], "node string, v array<double>")
+    found = {(c.node): c.component for c in graph.components(rows.select("node"), similar.links_above(rows, "node", "v", 0.97, block=16)).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.97
+    for _ in range(90):
+        near = (near.astype(int) @ near.astype(int)) > 0
+    assert all((found[f"n{i:02d}"] == found[f"n{j:02d}"]) == near[i, j] for i in range(90) for j in range(90))
+
+
+def test_names_captions_and_words_before_titles(spark):
+    words = spark.createDataFrame([(w,) for w in ("홍길동", "김치전골", "도핑", "박대", "red")], "w string")
+    assert [x.w for x in words.where(predicates.name_like(F.col("w"))).collect()] == ["홍길동"]
+    lines = spark.createDataFrame([(1, "어제 홍길동 회장은 말했다"), (2, "홍길동 회장, 홍길동 대표"), (3, "홍길동회장")], "k int, line string")
+    assert [tuple(x) for x in predicates.before_titles(lines, "k", "line", words, "w").collect()] == [("홍길동", 1)]

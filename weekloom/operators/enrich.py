@@ -131,17 +131,24 @@ def split_senses(df: DataFrame, keys: list[str], id_col: str, vector: str, thres
 
 
 def token_bucket(events: DataFrame, key: str, ts: str, capacity: float, per_second: float) -> DataFrame:
-    """Whether each event of a key finds a token: tokens refill with time up to the capacity."""
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([ts, "event_id"])
-        left, last, allowed = capacity, None, []
-        for at in group[ts]:
-            left = min(capacity, left + ((at - last).total_seconds() * per_second if last is not None else 0))
-            last = at
-            allowed.append(left >= 1)
-            left -= left >= 1
-        return group[["event_id", key]].assign(allowed=allowed)
+    """Whether each event of a key finds a token: tokens refill with time up to the capacity.
+
+    Events are sorted by key and time and go by as a stream; a task holds one batch and the bucket of one key.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, left, last = None, capacity, None
+        for batch in batches:
+            allowed = []
+            for name, at in zip(batch[key], batch[ts], strict=True):
+                if name != own:
+                    own, left, last = name, capacity, None
+                left = min(capacity, left + ((at - last).total_seconds() * per_second if last is not None else 0))
+                last = at
+                allowed.append(left >= 1)
+                left -= left >= 1
+            yield batch[["event_id", key]].assign(allowed=allowed)
 
     kind = events.schema[key].dataType.simpleString()
-    return events.select("event_id", key, F.col(ts).cast("timestamp").alias(ts)).groupBy(key).applyInPandas(run, f"event_id long, {key} {kind}, allowed boolean")
+    rows = events.select("event_id", key, F.col(ts).cast("timestamp").alias(ts)).where(F.col(key).isNotNull())
+    return rows.repartition(key).sortWithinPartitions(key, ts, "event_id").mapInPandas(run, f"event_id long, {key} {kind}, allowed boolean")

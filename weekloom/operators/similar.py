@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,3 +51,34 @@ def nearest_rows(rows: DataFrame, queries: DataFrame, keys: list[str], vector: s
     scored = rows.join(asked, keys).where("id <> query_id").select("query_id", "id", vectors.cosine(F.col(vector), F.col("_q")).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "id"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def links_above(df: DataFrame, node: str, vector: str, least: float, block: int = 512) -> DataFrame:
+    """(a, b): links between rows whose cosine is `least` or more, as many as their components need.
+
+    Rows are dealt by a hash into blocks; two blocks meet in one task, which multiplies two small matrices and names each
+    row's links by the first row of its component there. No pair of rows is ever a row of a table, and no task holds
+    more than two blocks.
+    """
+    rows = df.select(F.col(node).alias("node"), F.col(vector).cast("array<double>").alias("v"))
+    n = rows.count()
+    blocks = max(1, -(-n // block))
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.lit(blocks))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    dealt = dealt.select("node", "v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    kind = df.schema[node].dataType.simpleString()
+
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("node")
+        x = np.stack(group["v"].to_numpy())
+        x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+        near, first = x @ x.T >= least, np.full(len(x), -1)
+        for k in range(len(x)):
+            if first[k] < 0:
+                front = np.array([k])
+                while len(front):
+                    first[front] = k
+                    front = np.flatnonzero(near[front].any(axis=0) & (first < 0))
+        name = group["node"].to_numpy()
+        return pd.DataFrame({"a": name, "b": name[first]})
+
+    return dealt.groupBy("lo", "hi").applyInPandas(link, f"a {kind}, b {kind}").where("a <> b")

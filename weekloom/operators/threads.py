@@ -1,75 +1,84 @@
 """Stage 1b: clusters of successive weeks linked to threads, and what a thread looks like.
 
-A link needs shared keywords, so clusters that no chain of shared keywords joins never compete: they are linked apart,
-one ordered group for each connected component of the keyword graph.
+Weeks go one after the other; what a week needs of those before it is a table of open threads, with those that had a
+member in the last GAP weeks. Within a week all is joins: candidates share a keyword, and clusters and threads that are
+each other's best are linked until none is left, which gives what clusters would take one by one, heaviest first.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates, text, vectors
-from weekloom.operators.graph import components
+from weekloom.session import stored
 
 #: Weights of cosine and overlap, least scores and overlaps for the next week and beyond, longest gap.
 ALPHA, BETA, NEAR, FAR, GAP, FAR_OVERLAP, NEAR_OVERLAP = 0.15, 0.85, 0.42, 0.47, 30, 0.25, 0.10
 REPEATED = 0.88
-SCHEMA = "week string, cluster_id int, seed_week string, seed_cluster int, seq int, link_score double, link_type string"
-
-
-def _overlap(a: set, b: set) -> float:
-    return len(a & b) / len(a | b) if a and b else 0.0
-
-
-def _cosine(a: np.ndarray, b: np.ndarray) -> float:
-    size = float(np.linalg.norm(a) * np.linalg.norm(b))
-    return float(a @ b) / size if size else 0.0
-
-
-def link_group(group: pd.DataFrame) -> pd.DataFrame:
-    """Greedy links of one component: weeks in order, heavier clusters first, each to the best thread that is still free."""
-    threads: list[dict] = []
-    out = []
-    for (day, week), rows in group.sort_values(["monday", "weight", "cluster_id"], ascending=[True, False, True]).groupby(["monday", "week"], sort=True):
-        free = set(range(len(threads)))
-        for r in rows.itertuples():
-            words, centroid = set(r.keywords), np.asarray(r.centroid, float)
-            best, best_score = None, 0.0
-            for k in sorted(free):
-                t = threads[k]
-                gap = (day - t["day"]).days // 7
-                overlap = _overlap(words, t["words"])
-                if not 1 <= gap <= GAP or overlap < (NEAR_OVERLAP if gap == 1 else FAR_OVERLAP):
-                    continue
-                score = ALPHA * _cosine(centroid, t["centroid"]) + BETA * overlap
-                if score >= (NEAR if gap == 1 else FAR) and (best is None or score > best_score):
-                    best, best_score, kind = k, score, "near" if gap == 1 else "gap"
-            if best is None:
-                threads.append({"seed": (week, r.cluster_id), "n": 1, "day": day, "words": words, "centroid": centroid})
-                out.append((week, r.cluster_id, week, r.cluster_id, 0, 0.0, "seed"))
-            else:
-                t = threads[best]
-                out.append((week, r.cluster_id, *t["seed"], t["n"], best_score, kind))
-                t.update(n=t["n"] + 1, day=day, words=t["words"] | words, centroid=centroid)
-                free.discard(best)
-    return pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+_STATE = ("seed_week", "seed_cluster", "seed_weight", "n", "last_week", "words", "centroid")
+
+
+def _candidates(now: DataFrame, state: DataFrame) -> DataFrame:
+    """Edges (cluster_id, weight, seed_week, seed_cluster, seed_weight, n, score, link_type) that pass the gates."""
+    ours = now.select("week", "cluster_id", F.explode(F.array_distinct("keywords")).alias("word"))
+    theirs = state.select("seed_week", "seed_cluster", F.explode("words").alias("word"))
+    shared = ours.join(theirs, "word").groupBy("week", "cluster_id", "seed_week", "seed_cluster").agg(F.count("*").alias("shared"))
+    rows = shared.join(now, ["week", "cluster_id"]).join(state.withColumnRenamed("centroid", "_c"), ["seed_week", "seed_cluster"])
+    gap = dates.gap_weeks(F.col("week"), F.col("last_week"))
+    overlap = F.col("shared") / (F.size(F.array_distinct("keywords")) + F.size("words") - F.col("shared"))
+    score = ALPHA * vectors.cosine(F.col("centroid"), F.col("_c")) + BETA * F.col("overlap")
+    rows = rows.withColumns({"gap": gap, "overlap": overlap}).withColumn("score", score)
+    near = (F.col("gap") == 1) & (F.col("overlap") >= NEAR_OVERLAP) & (F.col("score") >= NEAR)
+    far = F.col("gap").between(2, GAP) & (F.col("overlap") >= FAR_OVERLAP) & (F.col("score") >= FAR)
+    kept = rows.where(near | far).withColumn("link_type", F.when(F.col("gap") == 1, "near").otherwise("gap"))
+    return kept.select("cluster_id", "weight", "seed_week", "seed_cluster", "seed_weight", "n", "score", "link_type")
+
+
+def _matched(edges: DataFrame) -> DataFrame:
+    """The edges that clusters would take, heavier clusters first, each its best thread that is free; of threads with one
+    score the older one. Each round takes all pairs that are each other's first choice."""
+    best = F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.desc("score"), "seed_week", F.desc("seed_weight"), "seed_cluster"))
+    first = F.row_number().over(Window.partitionBy("seed_week", "seed_cluster").orderBy(F.desc("weight"), "cluster_id"))
+    out = None
+    while True:
+        pairs = stored(edges.withColumn("_b", best).withColumn("_f", first).where("_b = 1 AND _f = 1").drop("_b", "_f"), "pairs")
+        if not pairs.limit(1).count():
+            return pairs if out is None else out
+        out = pairs if out is None else out.union(pairs)
+        edges = stored(edges.join(pairs.select("cluster_id"), "cluster_id", "left_anti").join(pairs.select("seed_week", "seed_cluster"), ["seed_week", "seed_cluster"], "left_anti"), "edges")
 
 
 def link(clusters: DataFrame) -> DataFrame:
     """(thread_id, week, cluster_id, seq, link_score, link_type). clusters: week, cluster_id, weight, keywords, centroid.
 
-    Threads are numbered by the week, weight and id of their first cluster.
+    Threads are numbered by the week, weight and id of their first cluster. There is one round of jobs a week; each is
+    as large as the week's clusters and the open threads that share a keyword with them.
     """
-    named = clusters.withColumn("node", F.concat_ws(":", "week", "cluster_id"))
-    words = named.select("node", F.explode("keywords").alias("word"))
-    first = words.groupBy("word").agg(F.min("node").alias("a"))
-    found = components(named.select("node"), words.join(first, "word").select("a", F.col("node").alias("b")))
-    rows = named.join(found, "node").withColumn("monday", F.to_timestamp(dates.monday(F.col("week"))))
-    linked = rows.select("component", "monday", "week", "cluster_id", "weight", "keywords", "centroid").groupBy("component").applyInPandas(link_group, SCHEMA)
-    seeds = clusters.select(F.col("week").alias("seed_week"), F.col("cluster_id").alias("seed_cluster"), "weight").join(linked.where("seq = 0").select("seed_week", "seed_cluster"), ["seed_week", "seed_cluster"])
+    rows = clusters.select("week", F.col("cluster_id").cast("int").alias("cluster_id"), F.col("weight").cast("long").alias("weight"), "keywords", F.col("centroid").cast("array<double>").alias("centroid"))
+    weeks = sorted(r["week"] for r in rows.select("week").distinct().collect())
+    state, linked = None, None
+    for week in weeks:
+        now = rows.where(F.col("week") == week)
+        fresh = now.select(F.col("week").alias("seed_week"), F.col("cluster_id").alias("seed_cluster"), F.col("weight").alias("seed_weight"), F.lit(1).alias("n"), F.col("week").alias("last_week"), F.array_distinct("keywords").alias("words"), "centroid")
+        if state is None:
+            part = fresh.select(F.lit(week).alias("week"), F.col("seed_cluster").alias("cluster_id"), "seed_week", "seed_cluster", F.lit(0).alias("seq"), F.lit(0.0).alias("link_score"), F.lit("seed").alias("link_type"))
+            state = stored(fresh, "open-threads")
+        else:
+            taken = _matched(stored(_candidates(now, state), "edges"))
+            opened = fresh.join(taken.select(F.col("cluster_id").alias("seed_cluster")), "seed_cluster", "left_anti")
+            part = taken.select(F.lit(week).alias("week"), "cluster_id", "seed_week", "seed_cluster", F.col("n").alias("seq"), F.col("score").alias("link_score"), "link_type")
+            part = part.union(opened.select(F.lit(week).alias("week"), F.col("seed_cluster").alias("cluster_id"), "seed_week", "seed_cluster", F.lit(0).alias("seq"), F.lit(0.0).alias("link_score"), F.lit("seed").alias("link_type")))
+            went = taken.select("seed_week", "seed_cluster", "cluster_id").join(now.select("cluster_id", F.col("keywords").alias("_k"), F.col("centroid").alias("_c")), "cluster_id")
+            old = state.join(went, ["seed_week", "seed_cluster"], "left").where(dates.gap_weeks(F.lit(week), F.coalesce(F.when(F.col("_k").isNotNull(), F.lit(week)), "last_week")) < GAP)
+            moved = F.col("_k").isNotNull()
+            old = old.select("seed_week", "seed_cluster", "seed_weight", F.when(moved, F.col("n") + 1).otherwise(F.col("n")).alias("n"), F.when(moved, F.lit(week)).otherwise(F.col("last_week")).alias("last_week"), F.when(moved, F.array_union("words", "_k")).otherwise(F.col("words")).alias("words"), F.when(moved, F.col("_c")).otherwise(F.col("centroid")).alias("centroid"))
+            state = stored(old.unionByName(opened.select(*_STATE)), "open-threads")
+        linked = part if linked is None else linked.union(part)
+    if linked is None:
+        return rows.select(F.lit(0).alias("thread_id"), "week", "cluster_id", F.lit(0).alias("seq"), F.lit(0.0).alias("link_score"), F.lit("").alias("link_type"))
+    linked = stored(linked, "links")
+    seeds = linked.where("seq = 0").select("seed_week", "seed_cluster").join(rows.select(F.col("week").alias("seed_week"), F.col("cluster_id").alias("seed_cluster"), "weight"), ["seed_week", "seed_cluster"])
     # Numbers by week first and then within the week, so that no task sorts all threads.
     per_week = seeds.groupBy("seed_week").count()
     start = F.coalesce(F.sum("count").over(Window.orderBy("seed_week").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

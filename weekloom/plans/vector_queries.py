@@ -89,10 +89,9 @@ def join17(spark, d):
   e AS (SELECT a.node AS a, b.node AS b FROM c a JOIN c b ON list_cosine_similarity(a.c, b.c) >= 0.45),
   r(node, seen) AS (SELECT node, node FROM c UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen) SELECT node, min(seen) AS component FROM r GROUP BY node""")
 def vec09(spark, d):
-    c = stored(vectors.mean_vector(vec(spark, d), ["week", "label"], "e").select(F.concat_ws(":", "week", F.col("label").cast("string")).alias("node"), "centroid"), "groups")
-    other = c.select(F.col("node").alias("b"), F.col("centroid").alias("q"))
-    links = c.join(other, F.col("node") < F.col("b")).where(vectors.cosine(F.col("centroid"), F.col("q")) >= 0.45).select(F.col("node").alias("a"), "b")
-    return graph.components(c.select("node"), links)
+    c = vectors.mean_vector(vec(spark, d), ["week", "label"], "e").select(F.concat_ws(":", "week", F.col("label").cast("string")).alias("node"), "centroid")
+    c = stored(c, "groups")
+    return graph.components(c.select("node"), similar.links_above(c, "node", "centroid", 0.45))
 
 
 @query("vec11_kmeans")
