@@ -542,10 +542,13 @@ def test_evidence_and_posterior_by_hand(spark, written):
 
 
 def test_mixing_of_many_domains_and_odd_rows(spark):
-    rows = [(k, f"w{chr(97 + k % 40)}{chr(97 + k % 26)}x word " * 5 + "text", f"d{k % 40:02d}") for k in range(800)] + [(None, None, None), (None, "abc", "d01"), (3, "", "d02"), (3, "", "d02")]
+    rows = [(k, f"w{chr(97 + k % 34)}{chr(97 + k % 26)}x word " * 5 + "text", f"d{k % 34:02d}") for k in range(340)] + [(None, None, None), (None, "abc", "d01"), (3, "", "d02"), (3, "", "d02")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 AS posterior", "2 AS c0", "'x' AS tokens")
-    out = mixing.mix(docs, least=1.0, flat=0.5)
-    assert out.columns == docs.columns and out.count() >= len(rows)
+    classifier, rates, found = mixing.weigh(docs, flat=0.9)
+    assert len(classifier.domains) == 34 and found.count() == len(rows)
+    few = docs.where("lang IN ('d01', 'd02') OR lang IS NULL")
+    out = mixing.mix(few, least=1.0, flat=0.5)
+    assert out.columns == docs.columns and out.count() >= few.count()
     bare = docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
     assert mixing.mix(bare).count() == len(rows)
 
