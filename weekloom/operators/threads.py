@@ -45,7 +45,7 @@ def _matched(edges: DataFrame) -> DataFrame:
         pairs = stored(edges.withColumn("_b", best).withColumn("_f", first).where("_b = 1 AND _f = 1").drop("_b", "_f"), "pairs")
         if not pairs.limit(1).count():
             return pairs if out is None else out
-        out = pairs if out is None else out.union(pairs)
+        out = pairs if out is None else out.unionByName(pairs)
         edges = stored(edges.join(pairs.select("cluster_id"), "cluster_id", "left_anti").join(pairs.select("seed_week", "seed_cluster"), ["seed_week", "seed_cluster"], "left_anti"), "edges")
 
 
