@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import text
@@ -21,24 +21,27 @@ def _valid(rows: DataFrame, stopwords: list[str]) -> DataFrame:
     return rows.where(~F.col("keyword").isin(list(stopwords))) if stopwords else rows
 
 
+def _keys(words: Column) -> Column:
+    """The normalised form of each word of an array, by one pass over them all: a filter on it can't repeat that work."""
+    whole = F.regexp_replace(F.lower(F.array_join(words, " ")), "[^0-9a-z가-힣 ]+", "")
+    return F.split(whole, " ")
+
+
 def tokens(articles: DataFrame, stopwords: list[str] = ()) -> DataFrame:
     """(week, news_id, press, keyword): each valid word."""
-    rows = _words(articles).select("week", "news_id", "press", F.explode("words").alias("word"))
-    return _valid(rows.select("week", "news_id", "press", text.normalise_keyword(F.col("word")).alias("keyword")), stopwords)
+    return _valid(_words(articles).select("week", "news_id", "press", F.explode(_keys(F.col("words"))).alias("keyword")), stopwords)
 
 
 def occurrences(articles: DataFrame, stopwords: list[str] = ()) -> DataFrame:
-    """(week, news_id, press, keyword, before, after): each valid word and the words on each side of it, as arrays.
+    """(week, news_id, press, keyword, b2, b1, a1, a2): each valid word and the two words on each side of it, null at the ends.
 
-    A row carries its own few words: an article of n words makes n rows of at most 2 * SIDE + 1 words.
+    The words are zipped with themselves, shifted, and a row carries its own few words: an article of n words makes n
+    rows of five words, within generated code.
     """
-    n = F.size("words")
-    around = F.transform("words", lambda w, i: F.struct(
-        w.alias("word"), F.slice("words", F.greatest(F.lit(1), i + 1 - SIDE), F.least(i, F.lit(SIDE))).alias("before"),
-        F.slice("words", i + 2, F.greatest(F.lit(0), F.least(F.lit(SIDE), n - i - 1))).alias("after"),
-    ))
-    rows = _words(articles).select("week", "news_id", "press", F.inline(around))
-    return _valid(rows.select("week", "news_id", "press", text.normalise_keyword(F.col("word")).alias("keyword"), "before", "after"), stopwords)
+    none, w, n = F.lit(None).cast("string"), F.col("words"), F.size("words")
+    shifted = F.arrays_zip(_keys(w).alias("keyword"), F.concat(F.array(none, none), w).alias("b2"), F.concat(F.array(none), w).alias("b1"), F.slice(w, 2, n).alias("a1"), F.slice(w, 3, n).alias("a2"))
+    rows = _words(articles).where(n > 0).select("week", "news_id", "press", F.inline(shifted).alias("keyword", "b2", "b1", "a1", "a2")).where("keyword IS NOT NULL")
+    return _valid(rows, stopwords)
 
 
 def weekly_keywords(rows: DataFrame) -> DataFrame:
@@ -47,7 +50,7 @@ def weekly_keywords(rows: DataFrame) -> DataFrame:
 
 def contexts(rows: DataFrame, keep: int = TOP_CONTEXTS) -> DataFrame:
     """The most frequent surroundings of each word and week. Counts are combined before the shuffle."""
-    sides = F.array_join("before", " ").alias("before"), F.array_join("after", " ").alias("after")
+    sides = F.concat_ws(" ", "b2", "b1").alias("before"), F.concat_ws(" ", "a1", "a2").alias("after")
     counted = rows.groupBy("week", "keyword", *sides).agg(F.count("*").cast("int").alias("occ_count"))
     rank = F.row_number().over(Window.partitionBy("week", "keyword").orderBy(F.desc("occ_count"), "before", "after"))
     return counted.withColumn("rank", rank).where(F.col("rank") <= keep)
@@ -55,8 +58,9 @@ def contexts(rows: DataFrame, keep: int = TOP_CONTEXTS) -> DataFrame:
 
 def neighbours(rows: DataFrame, keep: int = TOP_NEIGHBOURS) -> DataFrame:
     """The most frequent words before and after each word, both sides in one pass."""
-    side = lambda name: F.transform(name, lambda w: F.struct(F.lit(name).alias("position"), w.alias("term")))
-    sides = rows.select("week", "keyword", F.inline(F.concat(side("before"), side("after"))))
+    term = lambda position, c: F.struct(F.lit(position).alias("position"), F.col(c).alias("term"))
+    four = F.array(term("before", "b2"), term("before", "b1"), term("after", "a1"), term("after", "a2"))
+    sides = rows.select("week", "keyword", F.inline(four)).where("term IS NOT NULL")
     counted = sides.groupBy("week", "keyword", "position", "term").agg(F.count("*").cast("int").alias("count"))
     rank = F.row_number().over(Window.partitionBy("week", "keyword", "position").orderBy(F.desc("count"), "term"))
     return counted.withColumn("rank", rank).where(F.col("rank") <= keep)

@@ -12,6 +12,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where it comes from fewer files than there are cores, whose row groups may be few as well.
+
+    A table of many files is left as it is read: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def weekly_keywords(spark: SparkSession, folder: str) -> DataFrame:
     """(week, keyword, source, count): quantities shipped, by ISO week, part name and brand, and supplier.
 
@@ -27,6 +36,6 @@ def weekly_keywords(spark: SparkSession, folder: str) -> DataFrame:
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as dated articles: id, date (YYYYMMDD), week, press, title (first line), body."""
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents"))
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 70).cast("int"))
     return docs.select(F.col("doc_id").alias("news_id"), F.date_format(day, "yyyyMMdd").alias("date"), dates.iso_week(day).alias("week"), F.col("source").alias("press"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("text").alias("body"))
