@@ -150,7 +150,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest doc_id of each component, once; rows without doc_id stay."""
+    """The document with the smallest doc_id of each component, once; rows without doc_id stay.
+
+    A doc_id names one document: of rows that share one, the smallest text stays, also where their texts differ.
+    """
     found = near_duplicates(docs, words, radius)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
     nth = common.unused(docs.columns, "_nth")
