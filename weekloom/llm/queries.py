@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from weekloom.llm.bitslice import SQL as OP2_SQL
 from weekloom.llm.bitslice import op2_bitslice_topk
 from weekloom.llm.langid import op4_langid
+from weekloom.llm.lexical import SQL as OP11_SQL
+from weekloom.llm.lexical import op11_lexical
 from weekloom.llm.merkle import SQL as OP13_SQL
 from weekloom.llm.merkle import op13_merkle
 from weekloom.llm.mixing import op10_mixing
@@ -33,9 +35,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_toxicity": op9_toxicity,
         "op10_mixing": op10_mixing,
+        "op11_lexical": op11_lexical,
         "op13_merkle": op13_merkle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_bitslice_topk": OP2_SQL, "op13_merkle": OP13_SQL}
+    return {"op2_bitslice_topk": OP2_SQL, "op11_lexical": OP11_SQL, "op13_merkle": OP13_SQL}
