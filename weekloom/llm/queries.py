@@ -11,6 +11,7 @@ from weekloom.llm.bitslice import op2_bitslice_topk
 from weekloom.llm.langid import op4_langid
 from weekloom.llm.lexical import SQL as OP11_SQL
 from weekloom.llm.lexical import op11_lexical
+from weekloom.llm.main_text import op12_main_text
 from weekloom.llm.merkle import SQL as OP13_SQL
 from weekloom.llm.merkle import op13_merkle
 from weekloom.llm.mixing import op10_mixing
@@ -36,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op10_mixing": op10_mixing,
         "op11_lexical": op11_lexical,
+        "op12_main_text": op12_main_text,
         "op13_merkle": op13_merkle,
     }
 
