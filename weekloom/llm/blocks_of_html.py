@@ -142,7 +142,7 @@ def leaf_blocks(html: str, paths: Paths) -> list[Block]:
         at = found.end()
         tag = found[1].lower()
         inline = tag in INLINE
-        if not inline:
+        if not inline and tag not in RAW:
             flush()
         if nxt == "/":
             if open_tags.get(tag):
