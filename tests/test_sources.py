@@ -68,9 +68,9 @@ def test_stream_equals_batch(spark, tmp_path):
     events.repartition(3).write.parquet(str(tmp_path / "in"))
     source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 10).parquet(str(tmp_path / "in"))
     for _ in range(2):
-        stream.changed_weeks(spark, stream.weekly_rollup(source), str(tmp_path / "out"), str(tmp_path / "cp"))
+        table = stream.changed_weeks(spark, source, str(tmp_path / "out"), str(tmp_path / "cp"))
     shown = lambda df: sorted((r.week, r.keyword, r.source, r["count"]) for r in df.collect())
-    assert shown(spark.read.parquet(str(tmp_path / "out"))) == shown(stream.weekly_rollup(events))
+    assert shown(table.read()) == shown(stream.weekly_rollup(events))
     first = stream.first_of_key(source, ["user_id", "event_type"], "100 days")
     stream.run_to_table(first, str(tmp_path / "first"), str(tmp_path / "cp2"))
     assert spark.read.parquet(str(tmp_path / "first")).count() == 6
@@ -135,3 +135,13 @@ def test_stages_follow_their_sources(spark, tmp_path):
     assert [count(), count()] == [5, 5] and len(calls) == 1
     spark.range(7).write.mode("overwrite").parquet(path)
     assert [count(), count()] == [7, 7] and len(calls) == 2
+
+
+def test_stages_follow_files_within_partitions(spark, tmp_path):
+    """A file that is put into a partition's folder is seen, also where the table's own folder keeps its time."""
+    path = f"{tmp_path}/parted.parquet"
+    spark.range(4).selectExpr("id", "id % 2 AS part").write.partitionBy("part").parquet(path)
+    before = session.state_of(spark, path)
+    assert session.state_of(spark, path) == before
+    spark.range(9, 10).write.mode("append").parquet(f"{path}/part=1")
+    assert session.state_of(spark, path) != before

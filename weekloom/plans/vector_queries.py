@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from weekloom import session
 from weekloom.functions import text, vectors
 from weekloom.operators import graph, similar, threads
 from weekloom.plans.registry import define, query
@@ -204,6 +205,17 @@ def sta05(spark, d):
     return stream.weekly_rollup(tables.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")))
 
 
+@query("sta05_weekly_stream", "SELECT strftime(ts, '%G-W%V') AS week, event_type AS keyword, CAST(user_id AS VARCHAR) AS source, CAST(count(*) AS INTEGER) AS count FROM events GROUP BY ALL")
+def sta05_stream(spark, d):
+    """The same, kept by a stream over three arrivals whose times interleave, with a restart after each."""
+    into, mark, out = (session.new_path(spark, n) for n in ("arrivals", "arrivals-mark", "weekly-facts"))
+    events = tables.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    for k in range(3):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == k).write.mode("append").parquet(into)
+        table = stream.changed_weeks(spark, spark.readStream.schema(events.schema).parquet(into), out, mark)
+    return table.read()
+
+
 @query("sta08_breaker", "SELECT event_id, n, fails, n >= 5 AND fails * 2 >= n AS open FROM (SELECT event_id, count(*) OVER w AS n, count(*) FILTER (WHERE event_type IN ('error', 'purchase')) OVER w AS fails FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW))")
 def sta08(spark, d):
     w = Window.partitionBy("user_id").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-86_400_000_000, 0)

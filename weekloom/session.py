@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from hashlib import sha256
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,13 +72,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names within a folder; none if it isn't there."""
+    files, at = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
 def state_of(spark: SparkSession, path: str) -> str:
-    """Names, sizes and times of the files of a table: another text once the table has been written anew."""
+    """Names, sizes and times of all files of a table, in folders of partitions too: another text once any was written anew.
+
+    The text is a digest, so it stays small for any number of files.
+    """
     files, at = _file_system(spark, path)
-    return ",".join(sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in files.listStatus(at)))
+    found = files.listFiles(at, True)
+    seen = []
+    while found.hasNext():
+        s = found.next()
+        seen.append(f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}")
+    return sha256("\n".join(sorted(seen)).encode()).hexdigest()
 
 
 def clear(spark: SparkSession) -> None:
     """Deletes all that this application has stored. Results that still read it must have been written before."""
-    files, at = _file_system(spark, shared_folder(spark))
-    files.delete(at, True)
+    delete(spark, shared_folder(spark))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates
+from weekloom.streaming.versioned import WeekTable
 
 
 def week_window(ts: str) -> Column:
@@ -31,11 +32,24 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
     query.awaitTermination()
 
 
-def changed_weeks(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Keeps a weekly table up to date: each micro-batch replaces the weeks that it touches."""
-    from weekloom.sources import sinks
+FACTS = "week string, keyword string, source string, count int"
 
-    def replace(batch: DataFrame, _: int) -> None:
-        sinks.replace_partitions(batch, path, "week")
 
-    stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(replace).start().awaitTermination()
+def fact_table(spark: SparkSession, path: str) -> WeekTable:
+    """The weekly facts as a table that streams keep up to date."""
+    return WeekTable(spark, path, FACTS, ["week", "keyword", "source"], add=("count",))
+
+
+def changed_weeks(spark: SparkSession, events: DataFrame, path: str, checkpoint: str) -> WeekTable:
+    """Adds the events that have arrived to the weekly facts: each micro-batch rewrites the weeks that it touches, once.
+
+    A batch is counted by itself and added to what the table has, so no state is held between batches, and an event counts
+    however late it comes.
+    """
+    table = fact_table(spark, path)
+
+    def add(batch: DataFrame, number: int) -> None:
+        table.merge(weekly_rollup(batch), number)
+
+    events.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(add).start().awaitTermination()
+    return table
