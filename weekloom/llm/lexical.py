@@ -158,12 +158,16 @@ def search(shards: DataFrame, queries: DataFrame, n: int, k: int = 10, block: in
                 ids, impacts = of("ids", "<i8"), of("impacts", "<u4").astype(np.int64)
                 starts = np.concatenate([[0], np.cumsum(batch.column("sizes")[row].values.to_numpy())]).astype(np.int64)
                 tree = wavelet.Shard(starts, impacts, of("bits", "<u8").reshape(-1, len(impacts) // 64 + 1), ids, int((ids == NAMELESS).sum()))
-                for query in batch.column("asked")[row].as_py():
-                    weights = np.array([r * weight(d, n) for r, d in zip(query["repeats"], query["dfs"], strict=True)], np.int64)
-                    at = pc.index_in(pa.array(query["terms"], pa.string()), value_set=names)
-                    have = at.is_valid().to_numpy(zero_copy_only=False) & (weights > 0)
+                queries = batch.column("asked")[row].as_py()
+                at = pc.index_in(pa.array([t for q in queries for t in q["terms"]], pa.string()), value_set=names).fill_null(-1).to_numpy()
+                weights = np.array([r * weight(d, n) for q in queries for r, d in zip(q["repeats"], q["dfs"], strict=True)], np.int64)
+                end = 0
+                for query in queries:
+                    end += len(query["terms"])
+                    own, w = at[end - len(query["terms"]) : end], weights[end - len(query["terms"]) : end]
+                    have = (own >= 0) & (w > 0)
                     found = held.setdefault(query["query"], wavelet.Found(k, np.zeros(0, np.int64), np.zeros(0, np.int64)))
-                    tree.search(at.fill_null(0).to_numpy()[have].astype(np.int64), weights[have], found)
+                    tree.search(own[have].astype(np.int64), w[have], found)
                 if len(held) > HELD:
                     yield results()
                     held = {}

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Nodes of a query that are opened at a time, at first and at most: the best ones, by their bounds.
-FIRST, MOST = 8, 2048
+FIRST, MOST = 64, 2048
 
 
 def ordered(term: np.ndarray, impact: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -132,4 +132,5 @@ class Shard:
                 at = np.arange(int(nodes[4].sum())) + np.repeat(nodes[3] - np.cumsum(nodes[4]) + nodes[4], nodes[4])
                 pool = [x[at] for x in pool]
                 nodes[3] = np.cumsum(nodes[4]) - nodes[4]
-            many = min(MOST, many * 2)
+            if len(found.scores) == found.k:  # until then only the best go on, so that a bound to prune by is found soon
+                many = min(MOST, many * 2)
