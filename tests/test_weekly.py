@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates, text
-from weekloom.operators import enrich, graph, lifecycle, predicates, signals, similar, threads, weekly
+from weekloom.operators import enrich, graph, lifecycle, linkage, predicates, signals, similar, threads, weekly
 
 COUNTS = {"a": (4, 0, 2, 2), "b": (1, 1, 0, 0), "c": (0, 3, 0, 9)}
 
@@ -120,14 +120,14 @@ def plain_senses(x, threshold):
     return {k: n for n, c in enumerate(sorted(clusters, key=lambda c: (-len(c), min(c)))) for k in c}
 
 
-@pytest.mark.parametrize("block", [7, 1024])
-def test_senses_of_all_rows_against_average_linkage(spark, block):
+@pytest.mark.parametrize(("block", "small"), [(7, 1000), (1024, 1000), (16, 1), (1024, 1)])
+def test_senses_of_all_rows_against_average_linkage(spark, block, small):
 
     r = np.random.default_rng(4)
     x = np.repeat(r.normal(size=(9, 6)), 9, axis=0) + 0.6 * r.normal(size=(81, 6))
     x[20:45] = x[20]
     rows = [(k, "ab"[k % 2], [float(v) for v in x[k]]) for k in range(81)]
-    found = enrich.split_senses(spark.createDataFrame(rows, "id long, word string, e array<double>"), ["word"], "id", "e", 0.3, block=block)
+    found = linkage.split_senses(spark.createDataFrame(rows, "id long, word string, e array<double>"), ["word"], "id", "e", 0.3, block=block, small=small)
     got = {r.id: r.sense_id for r in found.collect()}
     want = {}
     for word in range(2):

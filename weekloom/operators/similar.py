@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions import vectors
@@ -45,27 +45,19 @@ def to_centroids(df: DataFrame, centroids: DataFrame, vector: str, name: str) ->
     return best.select(*(c for c in df.columns if c != vector), first["name"].alias("best"), (-first["o"]).alias("sim"), second["name"].alias("runner_up"), (second["o"] - first["o"]).alias("margin"))
 
 
-def nearest_rows(rows: DataFrame, queries: DataFrame, keys: list[str], vector: str, k: int) -> DataFrame:
-    """The k nearest rows of each query among the rows with the query's keys (a filter such as the week): exact search."""
-    asked = queries.select(*keys, F.col("id").alias("query_id"), F.col(vector).alias("_q"))
-    scored = rows.join(asked, keys).where("id <> query_id").select("query_id", "id", vectors.cosine(F.col(vector), F.col("_q")).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+def links_within(df: DataFrame, keys: list[str], node: str, vector: str, least: float, block: int = 512) -> DataFrame:
+    """(a, b): links between rows of a group whose cosine is `least` or more, as many as their components need.
 
-
-def links_above(df: DataFrame, node: str, vector: str, least: float, block: int = 512) -> DataFrame:
-    """(a, b): links between rows whose cosine is `least` or more, as many as their components need.
-
-    Rows are dealt by a hash into blocks; two blocks meet in one task, which multiplies two small matrices and names each
-    row's links by the first row of its component there. No pair of rows is ever a row of a table, and no task holds
-    more than two blocks.
+    Rows of a group are dealt by a hash into blocks; two blocks meet in one task, which multiplies two small matrices and
+    names each row's links by the first row of its component there. No pair of rows is ever a row of a table, and no task
+    holds more than two blocks.
     """
-    rows = df.select(F.col(node).alias("node"), F.col(vector).cast("array<double>").alias("v"))
-    n = rows.count()
-    blocks = max(1, -(-n // block))
-    dealt = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.lit(blocks))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    dealt = dealt.select("node", "v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
     kind = df.schema[node].dataType.simpleString()
+    rows = df.select(*keys, F.col(node).alias("node"), F.col(vector).cast("array<double>").alias("v"))
+    blocks = F.ceil(F.count("*") / block).alias("blocks")
+    dealt = rows.join(few(rows.groupBy(*keys).agg(blocks)), keys) if keys else rows.withColumn("blocks", F.lit(rows.agg(blocks).first()[0]).cast("long"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select(*keys, "node", "v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
 
     def link(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node")
@@ -81,4 +73,9 @@ def links_above(df: DataFrame, node: str, vector: str, least: float, block: int
         name = group["node"].to_numpy()
         return pd.DataFrame({"a": name, "b": name[first]})
 
-    return dealt.groupBy("lo", "hi").applyInPandas(link, f"a {kind}, b {kind}").where("a <> b")
+    return dealt.groupBy(*keys, "lo", "hi").applyInPandas(link, f"a {kind}, b {kind}").where("a <> b")
+
+
+def links_above(df: DataFrame, node: str, vector: str, least: float, block: int = 512) -> DataFrame:
+    """The same for all rows as one group."""
+    return links_within(df, [], node, vector, least, block)

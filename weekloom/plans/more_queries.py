@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates, text, vectors
-from weekloom.operators import contexts, enrich, similar, weekly
+from weekloom.operators import contexts, enrich, linkage, similar, weekly
 from weekloom.plans.registry import define, query
 from weekloom.plans.vector_queries import clusters as weekly_clusters
 from weekloom.plans.vector_queries import vec
@@ -223,7 +223,7 @@ def enr03(spark, d):
 
 @query("vec12_senses")
 def vec12(spark, d):
-    return enrich.split_senses(vec(spark, d), ["week", "label"], "id", "e", 0.8)
+    return linkage.split_senses(vec(spark, d), ["week", "label"], "id", "e", 0.8)
 
 
 @query("sta07_token_bucket")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weekloom import session
 from weekloom.functions import dates, text, vectors
-from weekloom.operators import enrich, similar
+from weekloom.operators import blocked, density, enrich, similar
 from weekloom.plans.reader_queries import groups, keysentences, products, tc
 from weekloom.plans.registry import define, query
 from weekloom.plans.scalar_queries import made
@@ -108,7 +108,7 @@ define("q20", "SELECT id AS query_id, e AS q, week AS qweek, label AS qlabel FRO
 def top05(spark, d):
     """The ten best of a wide first search: three times as many hits, 30 at least, of the query's week."""
     v = vec(spark, d)
-    wide = similar.nearest_rows(v, v.where("id % 20 = 0"), ["week"], "e", max(30, 3 * 10))
+    wide = blocked.nearest(v, v.where("id % 20 = 0"), ["week"], "e", max(30, 3 * 10))
     return wide.where("rank <= 10").withColumn("score", F.round("score", R))
 
 
@@ -130,11 +130,13 @@ define("first_hit", f"SELECT query_id, arg_max(id, (round({_SIM.format('e', 'q')
 def vec08(spark, d):
     """A second search from what the first one found best."""
     v = vec(spark, d)
-    first = similar.nearest_rows(v, v.where("id % 20 = 0"), ["week"], "e", 1).select("query_id", F.col("id").alias("seed"))
-    seeded = v.join(first, F.col("id") == F.col("seed")).select("week", "query_id", "seed", F.col("e").alias("q"))
-    scored = v.join(seeded, "week").where("id <> seed AND id <> query_id").select("query_id", "seed", "id", vectors.cosine(F.col("e"), F.col("q")).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "id"))
-    return scored.withColumn("rank", rank).where("rank <= 5").select("query_id", "seed", "id", F.round("score", R).alias("score"))
+    first = blocked.nearest(v, v.where("id % 20 = 0"), ["week"], "e", 1).select("query_id", F.col("id").alias("seed"))
+    seeds = stored(v.join(first, F.col("id") == F.col("seed")).select("week", "query_id", "seed", "e"), "seeds")
+    # One hit more than asked, as the first query itself may be among them; a seed never finds itself.
+    hits = blocked.nearest(v, seeds.select("week", F.col("seed").alias("id"), "e").distinct(), ["week"], "e", 6)
+    own = hits.withColumnRenamed("query_id", "seed").join(seeds.select("query_id", "seed"), "seed").where("id <> query_id")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))
+    return own.withColumn("nr", rank).where("nr <= 5").select("query_id", "seed", "id", F.round("score", R).alias("score"))
 
 
 @query("vec18_sense_gate", f"SELECT label, n, round(coh, {R}) AS cohesion, coh >= 0.4 OR n < 3 AS single FROM (SELECT label, count(*) AS n, avg(s) AS coh FROM (SELECT v.label, {_SIM.format('v.e', 'c.c')} AS s FROM vec v JOIN label_cent c ON c.label = v.label) GROUP BY label)", "vec", "label_cent")
@@ -163,18 +165,8 @@ def vec21(spark, d):
 
 @query("vec15_density_components")
 def vec15(spark, d):
-    """Groups of a week by shared near neighbours, as a density clustering has them; a row that nobody names is noise (-1).
-
-    Two rows are linked if each is one of the other's three nearest of the week.
-    """
-    from weekloom.operators import graph
-
-    v = vec(spark, d)
-    near = stored(similar.nearest_rows(v, v, ["week"], "e", 3).select("query_id", "id"), "near")
-    links = near.join(near.select(F.col("id").alias("query_id"), F.col("query_id").alias("id")), ["query_id", "id"]).where("query_id < id")
-    found = graph.components(v.select(F.col("id").alias("node")), links.select(F.col("query_id").alias("a"), F.col("id").alias("b")))
-    size = F.count("*").over(Window.partitionBy("component"))
-    return found.withColumn("size", size).select(F.col("node").alias("id"), F.when(F.col("size") > 1, F.col("component")).otherwise(-1).alias("cluster_id"))
+    """Density clusters of each week's vectors: at least five rows each, the nearest row as the core distance."""
+    return density.clusters(vec(spark, d), ["week"], "e", 5, 1)
 
 
 # Enrichment: prompts, and rows parsed from replies.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weekloom import session
 from weekloom.functions import text, vectors
-from weekloom.operators import graph, similar, threads
+from weekloom.operators import blocked, graph, similar, threads
 from weekloom.plans.registry import define, query
 from weekloom.plans.weekly_queries import R
 from weekloom.session import stored
@@ -49,7 +49,7 @@ def vec04(spark, d):
 @query("vec05_exact_knn", f"SELECT query_id, id, round(score, {R}) AS score, rank FROM (SELECT q.id AS query_id, v.id AS id, list_cosine_similarity(v.e, q.e) AS score, CAST(row_number() OVER (PARTITION BY q.id ORDER BY round(list_cosine_similarity(v.e, q.e), 9) DESC, v.id) AS INTEGER) AS rank FROM vec v JOIN vec q ON q.week = v.week AND q.id <> v.id WHERE q.id % 20 = 0) WHERE rank <= 10", "vec")
 def vec05(spark, d):
     v = vec(spark, d)
-    return similar.nearest_rows(v, v.where("id % 20 = 0"), ["week"], "e", 10).withColumn("score", F.round("score", R))
+    return blocked.nearest(v, v.where("id % 20 = 0"), ["week"], "e", 10).withColumn("score", F.round("score", R))
 
 
 @query("vec10_cohesion", f"SELECT week, label, count(*) AS n, round(coalesce((SELECT avg(list_cosine_similarity(a.e, b.e)) FROM vec a JOIN vec b ON a.week = b.week AND a.label = b.label AND a.id < b.id WHERE a.week = v.week AND a.label = v.label), 1.0), {R}) + 0.0 AS cohesion FROM vec v GROUP BY week, label", "vec")
