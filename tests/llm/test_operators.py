@@ -189,7 +189,7 @@ def test_near_duplicates(docs, empty):
 
 
 def test_a_row_without_id_links_others(spark, monkeypatch):
-    prints = spark.createDataFrame([(1, 0), (None, 7), (2, 63), (None, 31 << 40), (5, 0)], "doc_id long, fp long")
+    prints = spark.createDataFrame([(1, "", 0), (None, "", 7), (2, "", 63), (None, "", 31 << 40), (5, "", 0)], "doc_id long, mark string, fp long")
     monkeypatch.setattr(simhash, "fingerprints", lambda *_: prints)
     rows = simhash.near_duplicates(prints).collect()
     assert sorted((r.fp, r.doc_id or 0, r.component_id) for r in rows) == [(0, 1, 1), (0, 5, 1), (7, 0, 1), (63, 2, 1), (31 << 40, 0, None)]
@@ -212,6 +212,15 @@ def test_keep_one_with_clashing_names(spark):
     assert kept.columns == docs.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3]
 
 
+def test_keep_one_chooses_rows(spark):
+    """An id that two texts share: the one with a near copy goes, the other one stays; no text is lost with its id."""
+    one, two = "The first of two quite different texts that share an id", "Something else that nobody has copied at all, ever"
+    kept = lambda rows: sorted(tuple(r) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept([(3, one), (5, one), (5, two)]) == [(3, one), (5, two)]
+    assert kept([(3, one), (3, two), (3, one), (4, two)]) == sorted([(3, one), (3, two)])
+    assert kept([(7, None), (7, ""), (8, one)]) in ([(7, None), (8, one)], [(7, ""), (8, one)])
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     r = np.random.default_rng(5)
@@ -380,7 +389,7 @@ def test_restoration_of_every_disguise(spark):
     words = ["idiot", "stupid", "asshole", "ass", "scum", "moron", "stone", "see"]
     docs = spark.createDataFrame([(k, " ".join(words)) for k in range(50)], "doc_id long, text string")
     restorer = toxicity.Restorer(toxicity.fit_language(docs))
-    written = {"asshol3": "asshole", "you idio7.": "you idiot.", "a55": "ass", "a$$": "ass", "s....c....u....m": "scum", "s t u p 1 d": "stupid", "m 0 r 0 n": "moron", "see s  t  u p i d": "see stupid", '"$tone': '"stone', "5 c u m": "scum"}
+    written = {"asshol3": "asshole", "you idio7.": "you idiot.", "a55": "ass", "a$$": "ass", "s....c....u....m": "scum", "s t u p 1 d": "stupid", "m 0 r 0 n": "moron", "see s  t  u p i d": "see stupid", '"$tone': '"stone', "5 c u m": "scum", "!diot": "idiot", "see stuupid": "see stupid", "sc#m": "scum", "mor*n": "moron", "stu\u00adpid": "stupid", "ｉｄｉｏｔ": "idiot", "id!0t!": "idiot!"}
     plain = ["stone", "see stone!", "1 0 5", "455", "see. stone", "a b", "stone (see)"]
     texts = [*written, *plain, "s", ".tone", ""]
     raw = ["".join(texts), np.cumsum([0, *map(len, texts)])]
@@ -396,9 +405,16 @@ def test_restoration_finds_the_cheapest_reading():
     model = toxicity.LanguageModel(np.array([], np.int64), np.array([], np.float32), 20)
     table = {}
     model.cost = lambda context, letter: table.setdefault((context, letter), float(r.gamma(1.0, 3.0)))
-    for word in ("a0183!", "b7@$10"):
+    def choices(word, i):
+        c = word[i]
+        if c.isalpha():
+            return [(c, 0.0)] + ([("", toxicity.REPEAT)] if word[i - 1 : i] == c else [])
+        drop = toxicity.FILL if c in toxicity.FILLERS else toxicity.DROP
+        return [*((x, toxicity.READ) for x in toxicity.CHANNEL.get(c, "") + (toxicity.MASKS.get(c, "") if 0 < i < len(word) - 1 else "")), ("", drop)]
+
+    for word in ("a0183!", "b7@$10", "aabb-b", "s..t0p", "ffu*k#", "o-o.oo"):
         every = []
-        for parts in itertools.product(*([(c, 0.0)] if c.isalpha() else [*((x, toxicity.READ) for x in toxicity.CHANNEL[c]), ("", toxicity.DROP)] for c in word)):
+        for parts in itertools.product(*(choices(word, i) for i in range(len(word)))):
             context, cost = "^^^", sum(p for _, p in parts)
             for letter, _ in parts:
                 if letter:
@@ -624,3 +640,25 @@ def test_digest(spark, tmp_path):
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     row = pii.op1_pii(spark, str(tmp_path)).first()
     assert (row.n_email, row.n_phone, row.spans) == (1, 0, "email:9:15") and row.base_sha256 == hashlib.sha256(b"email:9:15").hexdigest()
+
+
+def test_mixing_learns_from_texts_without_blanks(spark):
+    """Two scripts whose words are not set apart, with no letter in common."""
+    r = np.random.default_rng(8)
+    write = lambda first: "".join(chr(first + int(k)) for k in r.integers(0, 40, 300))
+    rows = [(k, write(0x4E00 if k % 2 else 0x3042), "zh" if k % 2 else "ja") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    classifier, _, weighed = mixing.weigh(docs)
+    assert classifier.domains == ["ja", "zh"] and any(len(g.strip()) and g.strip() in write(0x4E00) * 50 or ord(g.strip()[0]) > 0x3000 for g in classifier.grams)
+    likely = {x.doc_id: x.posterior[1] for x in weighed.collect()}
+    assert all((likely[k] > 0.99) == (k % 2 == 1) and (likely[k] < 0.01) == (k % 2 == 0) for k in range(200))
+
+
+def test_sums_of_columns_equal_sums_of_rows(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    rows = [([float(x) for x in r.dirichlet([0.2] * 5)], int(n)) for n in r.integers(1, 90, 200)]
+    cells = spark.createDataFrame(rows, "posterior array<double>, tokens long")
+    wide = mixing.fit(cells, [0.2] * 5, 0.0)
+    monkeypatch.setattr(mixing, "COLUMNS", 2)
+    long = mixing.fit(cells, [0.2] * 5, 0.0)
+    assert np.allclose(wide.weights, long.weights, atol=1e-6) and np.allclose(wide.reached, [0.2] * 5, rtol=2e-3)

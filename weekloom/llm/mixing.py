@@ -5,7 +5,8 @@ byte of text, and gives every document a posterior over the domains. The n-grams
 documented sample of labelled rows (LEARN_ROWS) that tell most about each domain. How far evidence counts is set on a
 fold that the table has not seen. Rates, one for each document and never below `least`, are then fitted by
 projected-gradient least squares: the expected tokens of each domain, summed over documents as rate * tokens *
-posterior, are to meet the target weights. A step needs a few numbers for each pair of domains, summed by Spark. First
+posterior, are to meet the target weights. A step needs a few numbers for each pair of domains, summed by Spark; it is scaled by
+their matrix, which is a damped Newton method on one multiplier for each domain, and rates are the projection of it. First
 steps run over a table of posteriors rounded to three places and their tokens, aggregated once; the last ones over all
 documents with their exact posteriors, until the shares of these are met. The shares that were reached come with the
 rates, and a warning names the domains whose targets no rates can meet.
@@ -31,6 +32,8 @@ from weekloom.llm import common
 LEARN_ROWS, ROWS_EACH, GRAMS, GRAMS_EACH = 4000, 100, 20, 2
 #: The fold that sets how far evidence counts: evidence is divided by T * size^G for one of these T and G.
 CALIBRATION_FOLD, SOFTNESS = 1, [(t, g) for g in (0.0, 0.5) for t in (0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)]
+#: Up to so many domains, a step sums columns; for more it sums the pairs of domains that a document has as rows.
+COLUMNS = 24
 #: Most steps, the miss relative to a target share that counts as met, the share below which targets count as this
 #: share for that, the pull of rates toward a centre (1 at first), and how often the centre moves.
 STEPS, NEAR, TINY, PULL, ROUNDS = 100, 1e-3, 1e-6, 1e-8, 6
@@ -42,7 +45,9 @@ def _plain(text: Column) -> Column:
 
 
 def learn_grams(rows: DataFrame, counts: dict[str, int], most: int = LEARN_ROWS, each: int = ROWS_EACH) -> list[str]:
-    """N-grams of one to three characters within words and their edges: of each domain those that tell most about it.
+    """N-grams of one to three letters within words and their edges: of each domain those that tell most about it.
+
+    A word is what stands between blanks or line ends, however long; a text without blanks is cut like one word.
 
     rows: doc_id, text, domain. An n-gram belongs to the domain where it is most frequent for a byte of text; it tells
     the sum over domains of frequency * log(frequency / mean frequency). Words are counted before they are cut, so a
@@ -53,11 +58,11 @@ def learn_grams(rows: DataFrame, counts: dict[str, int], most: int = LEARN_ROWS,
     sample = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 31)) < F.element_at(wanted, F.col("domain")))
     sizes = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.sum(F.octet_length("text")).cast("double").alias("n")).collect()}
     words = sample.select("domain", F.explode(F.split(F.lower("text"), "[ \n]")).alias("word")).groupBy("domain", "word").agg(F.count("*").alias("n"))
-    plain = F.regexp_extract("word", r"^(\p{L}{1,20})[.,;:!?]?$", 1)
-    padded = words.select("domain", "n", plain.alias("word")).where("word <> ''").select("domain", "n", F.concat(F.lit(" "), "word", F.lit(" ")).alias("word"))
+    bare = words.groupBy("domain", F.regexp_replace("word", "[.,;:!?]$", "").alias("word")).agg(F.sum("n").alias("n")).where("word <> ''")
+    padded = bare.select("domain", "n", F.concat(F.lit(" "), "word", F.lit(" ")).alias("word"))
     cut = lambda k: F.transform(F.sequence(F.lit(1), F.length("word") - k + 1), lambda i: F.substr("word", i, F.lit(k)))
-    every = F.concat(F.filter(cut(1), lambda g: g != " "), cut(2), cut(3))
-    grams = padded.select("domain", "n", F.explode(every).alias("gram")).groupBy("domain", "gram").agg(F.sum("n").alias("n"))
+    grams = padded.select("domain", "n", F.explode(F.concat(cut(1), cut(2), cut(3))).alias("gram")).groupBy("domain", "gram").agg(F.sum("n").alias("n"))
+    grams = grams.where(F.rlike("gram", F.lit(r"^ ?\p{L}+ ?$")))
     size = F.create_map(*(F.lit(x) for d, n in sizes.items() for x in (d, float(max(n or 0, 1)))))
     rated = grams.withColumn("rate", F.col("n") / F.element_at(size, F.col("domain"))) if sizes else grams.withColumn("rate", F.lit(0.0))
     told = rated.groupBy("gram").agg(F.sum("rate").alias("s"), F.sum(F.col("rate") * F.log("rate")).alias("e"), F.max_by("domain", F.struct("rate", "domain")).alias("domain"))
@@ -79,7 +84,7 @@ def with_grams(df: DataFrame, grams: list[str], text: str = "text") -> DataFrame
 
 
 def token_count(text: Column) -> Column:
-    """Words of a text: its blanks and line ends, plus one."""
+    """Words of a text: its blanks and line ends, plus one; each of several blanks in a row counts."""
     whole = F.coalesce(text, F.lit(""))
     gaps = F.octet_length(whole) - F.octet_length(F.replace(F.replace(whole, F.lit(" "), F.lit("")), F.lit("\n"), F.lit("")))
     return F.when(F.length(whole) > 0, gaps + 1).otherwise(0).cast("long")
@@ -199,13 +204,22 @@ def fit(cells: DataFrame, targets: list[float], least: float, start: list[float]
         free = cells.select("posterior", (F.col("tokens") / F.lit(float(total))).alias("share"), _dot(F.col("posterior"), _doubles(weights)).alias("pull"))
         free = free.withColumn("moves", F.col("pull") + 1 >= least).withColumn("rate", F.greatest(F.lit(float(least)), F.col("pull") + 1))
         area = F.when(F.col("moves"), F.col("pull") + F.col("pull") * F.col("pull") / 2).otherwise(least * F.col("pull") - (least - 1) ** 2 / 2)
+        value, shares, gram = 0.0, np.zeros(k), np.zeros((k, k))
+        if k <= COLUMNS:
+            p = [F.get("posterior", F.lit(i)) for i in range(k)]
+            two = [(i, j) for i in range(k) for j in range(i, k)]
+            sums = [F.col("share") * area, *(F.col("share") * F.col("rate") * x for x in p), *(F.when(F.col("moves"), F.col("share") * p[i] * p[j]).otherwise(0.0) for i, j in two)]
+            got = list(free.agg(*(F.sum(x).alias(f"s{n}") for n, x in enumerate(sums))).first())
+            value, shares = got[0], np.array(got[1 : k + 1])
+            for (i, j), v in zip(two, got[k + 1 :], strict=True):
+                gram[i, j] = gram[j, i] = v
+            return value - wanted @ weights, shares, gram
         entry = lambda i, j, v: F.struct(i.alias("i"), j.alias("j"), v.alias("v"))
         none, p = F.lit(-1), F.col("posterior")
         of_one = F.transform(p, lambda x, j: entry(none, j, F.col("share") * F.col("rate") * x))
         of_two = F.flatten(F.transform(p, lambda x, i: F.transform(p, lambda y, j: entry(i, j, F.when(F.col("moves"), F.col("share") * x * y).otherwise(0.0)))))
-        entries = F.concat(F.array(entry(none, none, F.col("share") * area)), of_one, of_two)
-        value, shares, gram = 0.0, np.zeros(k), np.zeros((k, k))
-        for i, j, v in free.select(F.inline(entries)).groupBy("i", "j").agg(F.sum("v")).collect():  # k * k + k + 1 rows
+        entries = F.concat(F.array(entry(none, none, F.col("share") * area)), of_one, F.filter(of_two, lambda e: e["v"] != 0))
+        for i, j, v in free.select(F.inline(entries)).groupBy("i", "j").agg(F.sum("v")).collect():  # k * k + k + 1 rows at most
             if j < 0:
                 value = v
             elif i < 0:

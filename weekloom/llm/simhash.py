@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.llm import common
@@ -83,17 +83,22 @@ def fingerprint_batch(raw: np.ndarray, at: np.ndarray, words: int = WORDS, seed:
     return np.packbits(2 * counts > total[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
+def mark_of(text: Column) -> Column:
+    """A digest that tells the texts of one id apart; a null text isn't an empty one."""
+    return F.coalesce(F.md5(text.cast("string")), F.lit(""))
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+    """doc_id, mark (a digest of the text), and fp, the fingerprint as a signed long."""
     common.small_batches(docs.sparkSession)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = fingerprint_batch(*common.bytes_of(batch.column("text")), words, seed)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(fp.view(np.int64))], names=["doc_id", "mark", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(make, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark_of(F.col("text")).alias("mark"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(make, "doc_id long, mark string, fp long")
 
 
 def segments(classes: int, radius: int = RADIUS) -> list[tuple[int, int, int]]:
@@ -133,15 +138,24 @@ def links_between(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return joined.select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """Per row of docs: doc_id, fp, component_id (the smallest doc_id that it reaches by links, itself included)."""
+def rooted(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and of each different one: fp, n rows, root (of its component), first.
+
+    first: the smallest doc_id of its rows, and of that id's texts the one with the smallest mark. Both are stored.
+    """
     prints = common.stored(fingerprints(docs, words), "fingerprints")
-    classes = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "classes")
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))
+    classes = common.stored(prints.groupBy("fp").agg(F.min(named).alias("first"), F.count("*").alias("n")), "classes")
     # Classes are linked by their fingerprints, so one without any doc_id still joins those around it.
     roots = components(links_between(classes.select("fp", F.col("fp").alias("rep")), radius)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    rooted = common.stored(classes.join(roots, "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")), "rooted")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    whole = common.stored(rooted.join(named, "root").select("fp", "n", "component_id"), "components")
+    return prints, common.stored(classes.join(roots, "fp", "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """Per row of docs: doc_id, fp, component_id (the smallest doc_id that it reaches by links, itself included)."""
+    prints, classes = rooted(docs, words, radius)
+    named = classes.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
+    whole = common.stored(classes.join(named, "root").select("fp", "n", "component_id"), "components")
     # A class with a thousandth of all rows or more (there are a thousand at most) is broadcast, so it is in no one task.
     rows = whole.agg(F.sum("n")).first()[0] or 0
     hot = F.broadcast(whole.where(F.col("n") * HOT >= rows).select("fp", "component_id"))
@@ -150,16 +164,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest doc_id of each component, once; rows without doc_id stay.
+    """One row of each component: that with the smallest doc_id; rows without doc_id stay.
 
-    A doc_id names one document: of rows that share one, the smallest text stays, also where their texts differ.
+    Rows are chosen, not ids: where an id has several texts, each is in the component of its own fingerprint, and the
+    row of a text without a near copy stays, whatever its id. Of texts of one id in one component, that with the smallest
+    digest stays; of rows that agree in id and text, one.
     """
-    found = near_duplicates(docs, words, radius)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    nth = common.unused(docs.columns, "_nth")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    once = docs.join(kept, "doc_id", "left_semi").withColumn(nth, first).where(F.col(nth) == 1).drop(nth)
-    return once.union(docs.where("doc_id IS NULL"))
+    _, classes = rooted(docs, words, radius)
+    kept = classes.groupBy("root").agg(F.min("first").alias("first")).where("first IS NOT NULL").select("first.doc_id", "first.mark")
+    mark, key = common.unused(docs.columns, "_mark"), common.unused(docs.columns, "_key")
+    # Equal rows are combined where they lie; both steps then need the same partitioning, so texts are shuffled once.
+    once = docs.where("doc_id IS NOT NULL").withColumns({mark: mark_of(F.col("text")), key: F.col("doc_id").cast("long")}).dropDuplicates([key, mark])
+    chosen = once.join(kept.select(F.col("doc_id").alias(key), F.col("mark").alias(mark)), [key, mark], "left_semi").select(docs.columns)
+    return chosen.union(docs.where("doc_id IS NULL"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

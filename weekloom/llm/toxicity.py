@@ -3,7 +3,10 @@
 A word may be written with digits and signs for letters, with blanks or dots between letters, or with letters repeated.
 Such words span a lattice: each character may stand for some letters (CHANNEL), be dropped, or repeat the one before it,
 at a cost; a Viterbi search finds the cheapest reading under a character language model of training words. Words of
-letters alone without such signs have one reading, themselves, and skip the search. The restored text is scored by the
+letters alone have one reading, themselves, and skip the search, unless a letter comes three times, or twice where the
+language model knows the word's part with one of them RARE times better. Full-width letters and signs are read as their
+narrow forms. Words that look like a mail address (a letter or digit, @, a host with a dot) or hold `://` are left as they
+are, so a word that is disguised as one is not restored. The restored text is scored by the
 character n-grams of its words: a logistic model (follow-the-regularised-leader with L1) over the n-grams that training
 rows show to be tied to the label.
 
@@ -32,7 +35,11 @@ THRESHOLD = 0.5
 #: Letters that a sign may stand for.
 CHANNEL = {"0": "ou", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "¡": "i", "£": "l"}
 #: Signs that may stand between letters and mean nothing.
-FILLERS = " .-_*~'`^,:;/\\​‌‍﻿"
+FILLERS = " .-_*~'`^,:;/\\#\u00ad​‌‍﻿"
+#: Signs that may hide a letter within a word, and the letters.
+MASKS = {"*": "aeiou", "#": "aeiou"}
+#: A doubled letter is looked at where its surroundings with one of them are so many times as frequent.
+RARE = 20
 #: Costs in nats: a sign read as a letter, a sign dropped, a filler dropped, a letter dropped as a repetition, anything kept as it is.
 READ, DROP, FILL, REPEAT, KEEP = 0.7, 3.0, 0.3, 0.4, 0.0
 #: Order of the language model, weight of the longer context at each step, and bits of the hash of its n-grams.
@@ -75,6 +82,9 @@ class LanguageModel:
         self.__dict__.update(state)
         self._ready()
 
+    def count(self, gram: str) -> float:
+        return float(self._counts[gram_key(gram)])
+
     def cost(self, context: str, letter: str) -> float:
         got = self._costs.get((context, letter))
         if got is None:
@@ -110,8 +120,8 @@ def restore(word: str, model: LanguageModel) -> str:
         if sign.isalpha():
             readings = [(sign, KEEP)]
         else:
-            readings = [(c, READ) for c in CHANNEL.get(sign, "")]
-        again = i > 0 and word[i - 1] == sign and (word[i - 2 : i - 1] == sign or word[i + 1 : i + 2] == sign)
+            readings = [(c, READ) for c in CHANNEL.get(sign, "") + (MASKS.get(sign, "") if 0 < i < len(word) - 1 else "")]
+        again = i > 0 and word[i - 1] == sign
         drop = (FILL if sign in FILLERS else DROP) if not sign.isalpha() else REPEAT if again else None
         after: dict[str, tuple[float, tuple | None]] = {}
         for context, (cost, back) in paths.items():
@@ -140,11 +150,11 @@ _READ_AS, _FILL = _signs("".join(CHANNEL)), _signs(FILLERS.replace(" ", "").repl
 _LAST = _signs("".join(c for c in CHANNEL if c not in "!("))
 
 
-def disguised(points: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+def disguised(points: np.ndarray, at: np.ndarray, rare=None) -> list[tuple[int, int]]:
     """(start, end) of the words that may hide another.
 
-    These have signs between letters, a sign for a first or last letter, or a letter three times in a row; or they are
-    three single characters or more, letters and signs for letters, with blanks between them. A word needs a letter, as
+    These have signs between letters, a sign for a first or last letter, or a letter three times in a row, or twice where
+    rare(letter before, letter, letter behind) says that one is far more frequent; or they are three single characters or more, letters and signs for letters, with blanks between them. A word needs a letter, as
     signs alone are a number, and three characters.
     """
     letter, lower = characters.tables()
@@ -167,6 +177,14 @@ def disguised(points: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
     small = lower[points]
     triple = is_letter[2:] & (small[2:] == small[1:-1]) & (small[1:-1] == small[:-2])
     mark[2:][triple] = True
+    if rare is not None:
+        twice = np.flatnonzero(is_letter[1:] & (small[1:] == small[:-1]) & ~edge[1:-1]) + 1
+        before = np.where((twice > 1) & ~edge[twice - 1] & is_letter[twice - 2], small[twice - 2], ord("^")).astype(np.int64)
+        last = np.minimum(twice + 1, len(points) - 1)
+        behind = np.where((twice + 1 < len(points)) & ~edge[twice + 1] & is_letter[last], small[last], ord("$")).astype(np.int64)
+        each, of = np.unique(before << 42 | small[twice].astype(np.int64) << 21 | behind, return_inverse=True)
+        odd = np.array([rare(chr(k >> 42), chr(k >> 21 & 0x1FFFFF), chr(k & 0x1FFFFF)) for k in each.tolist()], bool)
+        mark[twice[odd[of]]] = True
     where = np.flatnonzero(mark)
     breaks = np.flatnonzero(blank | edge[:-1])
     spans = set()
@@ -195,19 +213,42 @@ def disguised(points: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
 _ADDRESS = re.compile(r"[a-z0-9]@[a-z0-9-]+\.[a-z]|://")
 
 
+def narrow(points: np.ndarray) -> np.ndarray:
+    """Full-width forms of ASCII as ASCII."""
+    wide = (points >= 0xFF01) & (points <= 0xFF5E)
+    return np.where(wide, points - np.uint32(0xFEE0), points) if wide.any() else points
+
+
 class Restorer:
     def __init__(self, model: LanguageModel):
         self.model = model
         self.known: dict[str, str] = {}
+        self.odd: dict[tuple[str, str, str], bool] = {}
+
+    def rare(self, before: str, letter: str, behind: str) -> bool:
+        """Whether a doubled letter between these two is far less frequent than a single one."""
+        key = before, letter, behind
+        got = self.odd.get(key)
+        if got is None:
+            if len(self.odd) > 500_000:
+                self.odd.clear()
+            got = self.odd[key] = self.model.count(before + letter * 2 + behind) * RARE < self.model.count(before + letter + behind)
+        return got
 
     def word(self, written: str) -> str:
         got = self.known.get(written)
         if got is None:
             lower = written.lower()
-            core = lower.strip("\"'()[]{}<>.,;:?!*_-~#%&=")
+            # What stands for no letter there: a first `!` or `(` may be one, a last one ends a sentence or a bracket.
+            core = lower.lstrip("\"')[]{}<>.,;:?*_-~#%&=").rstrip("\"'()[]{}<>.,;:?!*_-~#%&=")
             core = core if any(c.isalpha() for c in core) else lower
             at = lower.find(core)
-            got = written if _ADDRESS.search(core) or not any(c.isalpha() for c in core) else lower[:at] + restore(core, self.model) + lower[at + len(core) :]
+            if _ADDRESS.search(core) or not any(c.isalpha() for c in core):
+                got = written
+            else:
+                read = restore(core, self.model)
+                # A first sign that stood for no letter stays where it was.
+                got = written if read == core.lstrip("(!") else lower[:at] + read + lower[at + len(core) :]
             if len(self.known) > 100_000:
                 self.known.clear()
             if len(written) <= KEPT_LENGTH:
@@ -216,7 +257,8 @@ class Restorer:
 
     def texts(self, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The texts with their disguised words restored."""
-        spans = disguised(points, at)
+        points = narrow(points)
+        spans = disguised(points, at, self.rare)
         if not spans:
             return points, at
         parts, moved, last = [], np.zeros(len(points) + 1, np.int64), 0
