@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates, text, vectors
-from weekloom.operators import contexts, enrich, linkage, similar, weekly
+from weekloom.operators import contained, contexts, enrich, linkage, similar, weekly
 from weekloom.plans.registry import define, query
 from weekloom.plans.vector_queries import clusters as weekly_clusters
 from weekloom.plans.vector_queries import vec
@@ -76,6 +77,69 @@ def join14(spark, d):
     return title_hits(spark, d).withColumn("used", used).where("used <= 2000").select("news_id", "keyword")
 
 
+# Many keywords of a week in its titles and articles: an index of the words' parts, then the rules of order.
+KEYWORDS, PER_KEYWORD, TITLES, CHARS = 60, 15, 8000, 20_000
+define("week_words", f"SELECT week, keyword, place FROM (SELECT week, keyword, CAST(row_number() OVER (PARTITION BY week ORDER BY count(*) DESC, keyword) AS INTEGER) AS place FROM occ WHERE length(keyword) >= 5 GROUP BY week, keyword) WHERE place <= {KEYWORDS}", "occ")
+define("week_title_hits", "SELECT a.week, a.news_id, list(w.place ORDER BY w.place) AS places FROM (SELECT week, lower(title) AS title, min(news_id) AS news_id FROM articles GROUP BY ALL) a JOIN week_words w ON a.week = w.week AND contains(a.title, w.keyword) GROUP BY a.week, a.news_id", "articles", "week_words")
+define("week_title_order", "SELECT *, row_number() OVER (PARTITION BY week ORDER BY news_id) AS nr FROM week_title_hits", "week_title_hits")
+_TAKEN = f"list_filter(o.places, lambda p: c.counts[p] < {PER_KEYWORD})[1]"
+define("week_claims", f"""/*RECURSIVE*/SELECT week, CAST(0 AS BIGINT) AS nr, CAST(NULL AS BIGINT) AS news_id, CAST(NULL AS INTEGER) AS place, list_transform(range({KEYWORDS}), lambda x: 0) AS counts FROM (SELECT DISTINCT week FROM week_title_order)
+  UNION ALL SELECT o.week, o.nr, o.news_id, {_TAKEN}, list_transform(c.counts, lambda n, i: n + CASE WHEN i = {_TAKEN} THEN 1 ELSE 0 END) FROM week_claims c JOIN week_title_order o ON o.week = c.week AND o.nr = c.nr + 1""", "week_title_order")
+
+
+def week_words(spark, d):
+    """(week, keyword, place): the most frequent words of each week, of five letters or more."""
+    counted = article_words(spark, d).where("length(keyword) >= 5").groupBy("week", "keyword").agg(F.sum("count").alias("n"))
+    place = F.row_number().over(Window.partitionBy("week").orderBy(F.desc("n"), "keyword"))
+    return counted.withColumn("place", place).where(F.col("place") <= KEYWORDS).select("week", "keyword", "place")
+
+
+def week_hits(spark, d, rows):
+    """(week, id, keyword, place): the words of its week that each of some texts (week, id, text) contains."""
+    words = stored(week_words(spark, d), "words")
+    found = contained.contained(rows.select("id", "text"), words.select(F.col("keyword").alias("word")))
+    return found.join(rows.select("id", "week"), "id").join(similar.few(words.withColumnRenamed("keyword", "word")), ["week", "word"]).select("week", "id", F.col("word").alias("keyword"), "place")
+
+
+@query("join13_claimed_titles", f"SELECT week, c.news_id, w.keyword FROM week_claims c JOIN week_words w USING (week, place) WHERE c.news_id IS NOT NULL", "week_claims", "week_words")
+def join13_claimed(spark, d):
+    """Titles of a week in order, each claimed by its first keyword that has had fewer than fifteen; at most 8,000 a week.
+
+    Until a keyword is full, every title with it is claimed by some keyword, and there are fifteen claims a keyword in
+    all: so no more than that many first titles of a keyword matter, and a week's order rule sees no more rows.
+    """
+    titles = tables.articles(spark, d).groupBy("week", F.lower("title").alias("text")).agg(F.min("news_id").alias("id"))
+    hits = week_hits(spark, d, stored(titles, "titles"))
+    nth = F.row_number().over(Window.partitionBy("week", "keyword").orderBy("id"))
+    near = hits.withColumn("nth", nth).where(F.col("nth") <= min(TITLES, PER_KEYWORD * KEYWORDS)).drop("nth")
+
+    def claim(group):
+        had, rows = {}, []
+        for id_, own in group.sort_values(["id", "place"]).groupby("id", sort=False):
+            for place, keyword in zip(own["place"], own["keyword"], strict=True):
+                if had.get(place, 0) < PER_KEYWORD:
+                    had[place] = had.get(place, 0) + 1
+                    rows.append((group["week"].iloc[0], id_, keyword))
+                    break
+            if len(rows) >= TITLES:
+                break
+        return pd.DataFrame(rows, columns=["week", "news_id", "keyword"])
+
+    return near.groupBy("week").applyInPandas(claim, "week string, news_id long, keyword string")
+
+
+@query("join14_context_budget", f"SELECT week, keyword, CAST(count(*) AS BIGINT) AS n, CAST(sum(least(size, {CHARS} - before)) AS BIGINT) AS chars, min(news_id) AS first_id FROM (SELECT *, coalesce(sum(size) OVER (PARTITION BY week, keyword ORDER BY news_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT a.week, w.keyword, a.news_id, length(trim(a.title || ' ' || a.body)) AS size FROM articles a JOIN week_words w ON a.week = w.week AND contains(lower(a.title || chr(10) || a.body), w.keyword))) WHERE before < {CHARS} GROUP BY week, keyword", "articles", "week_words")
+def join14_budget(spark, d):
+    """How many articles of a week fill a keyword's 20,000 characters of context, in order, the last one cut to fit."""
+    rows = tables.articles(spark, d).select("week", F.col("news_id").alias("id"), F.lower(F.concat("title", F.lit("\n"), "body")).alias("text"), F.length(F.trim(F.concat_ws(" ", "title", "body"))).alias("size"))
+    hits = week_hits(spark, d, rows).join(rows.select("id", "size"), "id")
+    by = Window.partitionBy("week", "keyword").orderBy("id")
+    # Every article has a character at least, so later ones can't be needed.
+    hits = hits.withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= CHARS)
+    used = hits.withColumn("before", F.coalesce(F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("before") < CHARS)
+    return used.groupBy("week", "keyword").agg(F.count("*").alias("n"), F.sum(F.least("size", CHARS - F.col("before"))).alias("chars"), F.min("id").alias("first_id"))
+
+
 @query("join20_interval_overlap", "SELECT strftime(w.monday, '%G-W%V') AS week, count(*) AS open_orders FROM (SELECT DISTINCT date_trunc('week', o_orderdate) AS monday FROM orders) w JOIN orders o ON o.o_orderdate < w.monday + INTERVAL 7 DAY AND o.o_orderdate + INTERVAL 20 DAY >= w.monday GROUP BY ALL")
 def join20(spark, d):
     # Each interval is dealt to the weeks that it touches, so the overlap is an equi-join on the week.

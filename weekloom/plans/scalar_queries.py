@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates, text
-from weekloom.operators import predicates
+from weekloom.operators import predicates, setjoin
 from weekloom.plans.registry import define, query
 from weekloom.plans.view_queries import ctx
 from weekloom.plans.weekly_queries import R, freq
@@ -177,6 +177,14 @@ def set08(spark, d):
     return both.select("name", "other", F.round(text.jaccard(F.col("ts"), F.col("us")), R).alias("jaccard"))
 
 
+@query("set08_similar_names", f"SELECT a.name AS name, b.name AS other, round(CAST(count(*) AS DOUBLE) / (any_value(a.n) + any_value(b.n) - count(*)), {R}) AS jaccard FROM (SELECT *, count(*) OVER (PARTITION BY name) AS n FROM toks) a JOIN (SELECT *, count(*) OVER (PARTITION BY name) AS n FROM toks) b ON a.t = b.t AND a.name < b.name GROUP BY a.name, b.name HAVING CAST(count(*) AS DOUBLE) / (any_value(a.n) + any_value(b.n) - count(*)) >= 0.3 - 1e-9", "toks")
+def set08_similar(spark, d):
+    """Names that share three tenths of their tokens: found by their rarest tokens, so that a common one pairs nobody."""
+    names = tables.table(spark, d, "part").select(F.col("p_name").alias("id")).distinct().withColumn("items", F.array_distinct(text.tokens(F.lower("id"))))
+    found = setjoin.similar_sets(names, names, 0.3)
+    return found.where("a < b").select(F.col("a").alias("name"), F.col("b").alias("other"), F.round("jaccard", R).alias("jaccard"))
+
+
 @query("msc09_parsed_weeks", "SELECT DISTINCT week, CAST(week[1:4] AS INTEGER) AS year, CAST(week[7:8] AS INTEGER) AS nr FROM freq", "freq")
 def msc09(spark, d):
     return freq(spark, d).select("week").distinct().select("week", dates.week_year(F.col("week")).alias("year"), dates.week_number(F.col("week")).alias("nr"))

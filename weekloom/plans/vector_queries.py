@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weekloom import session
 from weekloom.functions import text, vectors
-from weekloom.operators import blocked, graph, similar, threads
+from weekloom.operators import blocked, graph, setjoin, similar, threads
 from weekloom.plans.registry import define, query
 from weekloom.plans.weekly_queries import R
 from weekloom.session import stored
@@ -163,13 +163,11 @@ define("cats", "SELECT DISTINCT p_type || ' ' || p_name AS cat, unnest(list_dist
 @query("join16_category_grounding", f"""SELECT name, cat, round(score, {R}) AS score FROM (SELECT s.name, s.cat, CAST(shared AS DOUBLE) / (a.n + b.n - shared) AS score, row_number() OVER (PARTITION BY s.name ORDER BY round(CAST(shared AS DOUBLE) / (a.n + b.n - shared), 9) DESC, s.cat) AS rank
   FROM (SELECT name, cat, count(*) AS shared FROM toks JOIN cats ON toks.t = cats.t GROUP BY ALL) s JOIN (SELECT name, count(*) AS n FROM toks GROUP BY ALL) a ON a.name = s.name JOIN (SELECT cat, count(*) AS n FROM cats GROUP BY ALL) b ON b.cat = s.cat) WHERE rank = 1""", "toks", "cats")
 def join16(spark, d):
+    """The nearest category of each product name by its tokens."""
     part = tables.table(spark, d, "part")
-    named = lambda c, n: part.select(c.alias(n)).distinct().withColumn("ts", F.array_distinct(text.tokens(F.lower(n)))).withColumn(f"n_{n}", F.size("ts")).select(n, f"n_{n}", F.explode("ts").alias("t"))
-    names, cats = named(F.col("p_name"), "name"), named(F.concat_ws(" ", "p_type", "p_name"), "cat")
-    shared = names.join(cats, "t").groupBy("name", "cat").agg(F.count("*").alias("s"), F.first("n_name").alias("a"), F.first("n_cat").alias("b"))
-    scored = shared.withColumn("score", F.col("s") / (F.col("a") + F.col("b") - F.col("s")))
-    rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc(F.round("score", 9)), "cat"))
-    return scored.withColumn("rank", rank).where("rank = 1").select("name", "cat", F.round("score", R).alias("score"))
+    sets = lambda c: part.select(c.alias("id")).distinct().withColumn("items", F.array_distinct(text.tokens(F.lower("id"))))
+    best = setjoin.best_match(sets(F.col("p_name")), sets(F.concat_ws(" ", "p_type", "p_name")))
+    return best.select(F.col("a").alias("name"), F.col("b").alias("cat"), F.round("jaccard", R).alias("score"))
 
 
 @query("src21_category_tree", """WITH RECURSIVE node AS (SELECT 'r' || r_regionkey AS id, CAST(NULL AS VARCHAR) AS parent, r_name AS name FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, n_name FROM nation), tree AS (SELECT id, name AS full_path, 1 AS level FROM node WHERE parent IS NULL UNION ALL SELECT n.id, t.full_path || '>' || n.name, t.level + 1 FROM node n JOIN tree t ON n.parent = t.id) SELECT id, full_path, level, NOT EXISTS (SELECT 1 FROM node c WHERE c.parent = tree.id) AS leaf FROM tree""")
