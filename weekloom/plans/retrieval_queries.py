@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weekloom import session
 from weekloom.functions import dates, text, vectors
-from weekloom.operators import blocked, density, enrich, similar
+from weekloom.operators import blocked, density, enrich, retrieval, similar
 from weekloom.plans.reader_queries import groups, keysentences, products, tc
 from weekloom.plans.registry import define, query
 from weekloom.plans.scalar_queries import made
@@ -123,6 +123,56 @@ def vec06(spark, d):
     return rows.withColumn("best", best).where("tier = best").groupBy("query_id", "tier").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
 
+# The whole chain: points are vectors with their articles; one query in three has no vector.
+_NORM = "regexp_replace(lower({0}), '[^0-9a-z가-힣]+', '', 'g')"
+define("points", f"SELECT v.id, v.e, strptime(a.date, '%Y%m%d') AS day, {_NORM.format("a.title || ' ' || a.body")} AS norm FROM vec v JOIN articles a ON a.news_id = v.id", "vec", "articles")
+define("asked_points", "SELECT p.id AS query_id, date_trunc('week', p.day) AS monday, w.keyword AS word, CASE WHEN p.id % 60 <> 0 THEN p.e END AS q, p.id % 40 = 0 AS active FROM points p JOIN week_words w ON w.week = strftime(p.day, '%G-W%V') AND w.place = p.id % 7 + 1 WHERE p.id % 20 = 0", "points", "week_words")
+
+
+def _chain(asked: str, vector: str) -> str:
+    """The chain in SQL over a table of queries: query_id, monday, word, and the vector."""
+    return f"""inside AS (SELECT q.query_id, q.word, q.{vector} AS q, p.id, p.e, p.norm FROM {asked} q JOIN points p ON p.id <> q.query_id AND (date_trunc('week', p.day) = q.monday OR (date_trunc('month', p.day) < q.monday + INTERVAL 7 DAY AND date_trunc('month', p.day) + INTERVAL 9 DAY >= q.monday))),
+    wide AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, id) AS nr FROM (SELECT *, list_cosine_similarity(e, q) AS s FROM inside WHERE q IS NOT NULL)),
+    bumped AS (SELECT query_id, id, nr, s + CASE WHEN contains(norm, word) THEN 0.005 ELSE 0 END AS score FROM wide WHERE nr <= 30),
+    near AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, nr) AS rank, 'vector' AS path FROM bumped),
+    scan AS (SELECT query_id, id, CASE WHEN contains(norm, word) THEN 1.0 ELSE 0.0 END AS score, row_number() OVER (PARTITION BY query_id ORDER BY contains(norm, word) DESC, CAST(id AS VARCHAR)) AS rank, 'scan' AS path FROM inside WHERE q IS NULL),
+    chain AS (SELECT * FROM near WHERE rank <= 10 UNION ALL SELECT * FROM scan WHERE rank <= 10)"""
+
+
+def points(spark, d):
+    a = tables.articles(spark, d).withColumn("day", F.to_date("date", "yyyyMMdd"))
+    start = F.trunc("day", "month")
+    low, high = (F.date_trunc("week", x).cast("date") for x in (start, F.date_add(start, 9)))
+    of_file = F.transform(F.sequence(low, high, F.expr("interval 7 days")), dates.iso_week)
+    rows = a.select(F.col("news_id").alias("id"), "week", F.array_union(F.array("week"), of_file).alias("weeks"), F.concat_ws(" ", "title", "body").alias("text"))
+    return rows.join(vec(spark, d).select("id", "e"), "id")
+
+
+def asked_points(spark, d, rows):
+    from weekloom.plans.more_queries import week_words
+
+    q = rows.where("id % 20 = 0").select(F.col("id").alias("query_id"), "week", (F.col("id") % 7 + 1).alias("place"), F.when(F.col("id") % 60 != 0, F.col("e")).alias("e"), (F.col("id") % 40 == 0).alias("active"))
+    return q.join(week_words(spark, d), ["week", "place"]).select("query_id", "week", "keyword", "e", "active")
+
+
+@query("vec06_retrieval_chain", f"SELECT query_id, id, round(score, {R}) AS score, CAST(rank AS INTEGER) AS rank, path FROM (WITH {_chain('asked_points', 'q')} SELECT * FROM chain)", "points", "asked_points")
+def vec06_chain(spark, d):
+    """Ten contexts for each query: its week's rows by vector with the keyword's bump, or a scan where it has no vector."""
+    rows = stored(points(spark, d), "points")
+    found = retrieval.contexts(rows, stored(asked_points(spark, d, rows), "asked"), "e")
+    return found.withColumn("score", F.round("score", R))
+
+
+@query("vec08_summary_search", f"""SELECT query_id, id, round(score, {R}) AS score, CAST(rank AS INTEGER) AS rank, path FROM (WITH active AS (SELECT * FROM asked_points WHERE active), {_chain('active', 'q')},
+    means AS (SELECT query_id, list(m ORDER BY i) AS m FROM (SELECT query_id, i, avg(x) AS m FROM (SELECT c.query_id, unnest(p.e) AS x, unnest(range(1, len(p.e) + 1)) AS i FROM chain c JOIN points p USING (id) WHERE c.rank <= 3) GROUP BY ALL) GROUP BY ALL),
+    seeded AS (SELECT a.query_id, a.monday, a.word, coalesce(m.m, a.q) AS q FROM active a LEFT JOIN means m USING (query_id)) SELECT * FROM (WITH {_chain('seeded', 'q')} SELECT * FROM chain))""", "points", "asked_points")
+def vec08_summary(spark, d):
+    """The second phase: contexts found with the mean of the first three; carried-over queries that aren't active are skipped."""
+    rows = stored(points(spark, d), "points")
+    found = retrieval.two_phases(rows, stored(asked_points(spark, d, rows), "asked"), "e")
+    return found.withColumn("score", F.round("score", R))
+
+
 define("first_hit", f"SELECT query_id, arg_max(id, (round({_SIM.format('e', 'q')}, 9), -id)) AS seed FROM q20 JOIN vec ON week = qweek AND id <> query_id GROUP BY query_id", "q20", "vec")
 
 
