@@ -15,7 +15,7 @@ SQL: dict[str, str] = {}
 #: Logical tables as DuckDB SQL: name -> (tables it needs, body).
 WITH: dict[str, tuple[tuple[str, ...], str]] = {}
 #: Those that DuckDB computes once even where they are read more than once.
-COSTLY = {"weekly_keywords", "freq", "z", "occ", "cent_flat"}
+COSTLY = {"weekly_keywords", "freq", "z", "occ", "cent_flat", "features", "members_of", "week_groups", "group_links"}
 
 
 def define(name: str, body: str, *needs: str) -> None:

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from weekloom import session
 from weekloom.functions import dates, text, vectors
 from weekloom.operators import blocked, density, enrich, retrieval, similar
+from weekloom.operators import groups as groups_of
 from weekloom.plans.reader_queries import groups, keysentences, products, tc
 from weekloom.plans.registry import define, query
 from weekloom.plans.scalar_queries import made
+from weekloom.plans.stages import stage
 from weekloom.plans.vector_queries import vec
 from weekloom.plans.view_queries import cluster_keywords
 from weekloom.plans.view_queries import clusters as keyword_clusters
@@ -219,6 +221,58 @@ def vec15(spark, d):
     return density.clusters(vec(spark, d), ["week"], "e", 5, 1)
 
 
+# Groups of keywords by what their articles are about, and the slots that groups keep.
+define("word_stats", "SELECT week, keyword, n, CASE WHEN stddev_pop(n) OVER k > 0 THEN (n - avg(n) OVER k) / stddev_pop(n) OVER k ELSE 0.0 END AS z FROM (SELECT week, keyword, count(*) AS n FROM occ WHERE length(keyword) >= 5 GROUP BY ALL) WINDOW k AS (PARTITION BY keyword)", "occ")
+define("word_rows", "SELECT w.week, w.keyword, w.place, v.e FROM week_words w JOIN articles a ON a.week = w.week AND contains(lower(a.title || chr(10) || a.body), w.keyword) JOIN vec v ON v.id = a.news_id", "week_words", "articles", "vec")
+define("word_means", "SELECT week, keyword, place, list(m ORDER BY i) AS v FROM (SELECT week, keyword, place, i, avg(x) AS m FROM (SELECT week, keyword, place, unnest(e) AS x, unnest(range(1, len(e) + 1)) AS i FROM word_rows) GROUP BY ALL) GROUP BY ALL", "word_rows")
+define("features", "SELECT m.week, CAST(m.week[1:4] AS BIGINT) * 1000000 + CAST(m.week[7:8] AS BIGINT) * 10000 + m.place AS node, m.keyword, s.z, s.n AS count, c.ctx, m.v FROM word_means m JOIN word_stats s USING (week, keyword) JOIN (SELECT r.week, r.keyword, avg(list_cosine_similarity(r.e, m.v)) AS ctx FROM word_rows r JOIN word_means m USING (week, keyword) GROUP BY ALL) c USING (week, keyword)", "word_means", "word_stats", "word_rows")
+define("alike", "SELECT a.node AS a, b.node AS b FROM features a JOIN features b ON a.week = b.week AND list_cosine_similarity(a.v, b.v) >= 0.72", "features")
+define("reach", "/*RECURSIVE*/SELECT node, node AS seen FROM features UNION SELECT r.node, e.b FROM reach r JOIN alike e ON e.a = r.seen", "features", "alike")
+define("members_of", "SELECT f.*, c.component FROM features f JOIN (SELECT node, min(seen) AS component FROM reach GROUP BY node) c USING (node)", "features", "reach")
+define("group_cent", "SELECT week, component, list(m ORDER BY i) AS c FROM (SELECT week, component, i, avg(x) AS m FROM (SELECT week, component, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM members_of) GROUP BY ALL) GROUP BY ALL", "members_of")
+define("group_scores", """SELECT *, sum_z + 1.2 * sqrt(sum_count + 1) + mean_ctx + cohesion AS score FROM (SELECT week, component, sum(greatest(z, 0.0)) AS sum_z, CAST(sum(count) AS BIGINT) AS sum_count, avg(ctx) AS mean_ctx, string_agg(keyword, ', ' ORDER BY round(z, 9) DESC, keyword) AS keywords FROM members_of GROUP BY ALL)
+  JOIN (SELECT m.component, coalesce(avg(list_cosine_similarity(m.v, o.v)), 1.0) AS cohesion FROM members_of m LEFT JOIN members_of o ON o.component = m.component AND o.node > m.node GROUP BY m.component) USING (component)""", "members_of")
+define("week_groups", "SELECT *, dense_rank() OVER (ORDER BY week) AS nr FROM (SELECT *, row_number() OVER (PARTITION BY week ORDER BY round(score, 9) DESC, component) AS rank FROM group_scores) WHERE rank <= 5", "group_scores")
+define("group_links", "SELECT component, prev, sim FROM (SELECT g.component, p.component AS prev, list_cosine_similarity(c.c, d.c) AS sim, row_number() OVER (PARTITION BY g.component ORDER BY round(list_cosine_similarity(c.c, d.c), 9) DESC, p.rank) AS nth FROM week_groups g JOIN week_groups p ON p.nr = g.nr - 1 JOIN group_cent c ON c.component = g.component JOIN group_cent d ON d.component = p.component) WHERE nth = 1 AND sim >= 0.75", "week_groups", "group_cent")
+define("group_slots", "/*RECURSIVE*/SELECT component, 'trendgrp_' || lpad(CAST(row_number() OVER (ORDER BY nr, rank) AS VARCHAR), 6, '0') AS slot_id FROM week_groups WHERE component NOT IN (SELECT component FROM group_links) UNION ALL SELECT l.component, s.slot_id FROM group_slots s JOIN group_links l ON l.prev = s.component", "week_groups", "group_links")
+
+
+def features(spark, d):
+    """A week's words with the mean vector of the articles that hold them, how close these lie to it, and their z and count."""
+    from weekloom.plans.more_queries import week_hits, week_words
+    from weekloom.plans.view_queries import article_words
+
+    counts = article_words(spark, d).where("length(keyword) >= 5").groupBy("week", "keyword").agg(F.sum("count").alias("count"))
+    by = Window.partitionBy("keyword")
+    far = F.stddev_pop("count").over(by)
+    stats = counts.withColumn("z", F.when(far > 0, (F.col("count") - F.avg("count").over(by)) / far).otherwise(0.0))
+    texts = tables.articles(spark, d).select("week", F.col("news_id").alias("id"), F.lower(F.concat("title", F.lit("\n"), "body")).alias("text"))
+    rows = stored(week_hits(spark, d, texts).join(vec(spark, d).select("id", "e"), "id"), "word_rows")
+    means = stored(vectors.mean_vector(rows, ["week", "keyword", "place"], "e", "v"), "means")
+    close = rows.join(means, ["week", "keyword", "place"]).groupBy("week", "keyword").agg(F.avg(vectors.cosine(F.col("e"), F.col("v"))).alias("ctx"))
+    node = dates.week_year(F.col("week")).cast("long") * 1_000_000 + dates.week_number(F.col("week")) * 10_000 + F.col("place")
+    return means.join(close, ["week", "keyword"]).join(stats, ["week", "keyword"]).select("week", node.alias("node"), "keyword", "z", "count", "ctx", "v")
+
+
+def week_groups(spark, d):
+    return stage(spark, d, "keyword_groups", lambda s, f: groups_of.slotted(stored(groups_of.linked(groups_of.scored(stored(groups_of.grouped(stored(features(s, f), "features")), "members"))), "linked")), "documents", "embeddings")
+
+
+@query("agg29_keyword_groups", f"SELECT week, rank, keywords, round(sum_z, {R}) AS sum_z, sum_count, round(mean_ctx, {R}) AS mean_ctx, round(cohesion, {R}) AS cohesion, round(score, {R}) AS score FROM (SELECT week, CAST(rank AS INTEGER) AS rank, keywords, sum_z, sum_count, mean_ctx, cohesion, score FROM week_groups)", "week_groups")
+def agg29_groups(spark, d):
+    """The five best groups of each week by z, counts, contexts and closeness."""
+    four = {c: F.round(c, R) for c in ("sum_z", "mean_ctx", "cohesion", "score")}
+    return week_groups(spark, d).select("week", "rank", F.array_join("keywords", ", ").alias("keywords"), "sum_z", "sum_count", "mean_ctx", "cohesion", "score").withColumns(four)
+
+
+@query("sta04_group_slots", f"SELECT g.week, CAST(g.rank AS INTEGER) AS rank, g.week || '_g' || g.rank AS group_id, s.slot_id, p.week || '_g' || p.rank AS prev_group_id, round(l.sim, {R}) AS prev_sim FROM week_groups g JOIN group_slots s USING (component) LEFT JOIN group_links l USING (component) LEFT JOIN week_groups p ON p.component = l.prev", "week_groups", "group_slots", "group_links")
+def sta04_slots(spark, d):
+    """Slots of groups: inherited along the links to the nearest group of the week before, or new."""
+    rows = week_groups(spark, d)
+    named = rows.select(F.col("component").alias("prev"), F.concat("week", F.lit("_g"), F.col("rank").cast("string")).alias("prev_group_id"))
+    return rows.join(named, "prev", "left").select("week", "rank", F.concat("week", F.lit("_g"), F.col("rank").cast("string")).alias("group_id"), "slot_id", "prev_group_id", F.round("prev_sim", R).alias("prev_sim"))
+
+
 # Enrichment: prompts, and rows parsed from replies.
 @query("enr02_group_prompts", "SELECT week, cluster_id, group_rank, keywords, CASE WHEN group_rank = 1 THEN 'Emerging' ELSE 'Active' END AS status, 'Group ' || group_rank || ' of ' || week || ': ' || keywords AS prompt FROM groups WHERE group_rank <= 3", "groups")
 def enr02(spark, d):
