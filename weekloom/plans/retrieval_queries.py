@@ -18,7 +18,7 @@ from weekloom.plans.view_queries import cluster_keywords
 from weekloom.plans.view_queries import clusters as keyword_clusters
 from weekloom.plans.weekly_queries import AS_OF, R, freq, z
 from weekloom.session import stored
-from weekloom.sources import tables
+from weekloom.sources import ingest, tables
 from weekloom.streaming import weekly as stream
 
 WEEK = "2024-W02"
@@ -369,3 +369,38 @@ def sta09(spark, d):
     out, mark = session.new_path(spark, "first-out"), session.new_path(spark, "first-mark")
     stream.run_to_table(stream.first_of_key(_events_stream(spark, d), ["user_id", "event_type"], "3650 days"), out, mark)
     return spark.read.parquet(out).agg(F.count("*").alias("n"))
+
+
+_TTL = 43_200
+
+
+@query("sta09_keys_with_ttl", f"""WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) / 1e6 AS t, event_id FROM events), opened AS (SELECT user_id, arg_min(event_id, struct_pack(a := t, b := event_id)) AS event_id, min(t) AS t FROM e GROUP BY user_id
+  UNION ALL SELECT e.user_id, arg_min(e.event_id, struct_pack(a := e.t, b := e.event_id)), min(e.t) FROM opened f JOIN e ON e.user_id = f.user_id AND e.t >= f.t + {_TTL} GROUP BY e.user_id, f.t)
+  SELECT CAST(e.user_id AS VARCHAR) AS key, e.event_id, e.event_id = f.event_id AS is_first, f.event_id AS first_id FROM e ASOF JOIN (SELECT * FROM opened ORDER BY t) f ON e.user_id = f.user_id AND e.t >= f.t""")
+def sta09_ttl(spark, d):
+    """Which events of a user open half a day and which come within one, from a stream whose files come in the order of time."""
+    into, out, mark = (session.new_path(spark, n) for n in ("timed-in", "timed-out", "timed-mark"))
+    events = tables.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    for low, high in ((None, "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", None)):
+        part = events.where(F.col("ts") >= low) if low else events
+        (part.where(F.col("ts") < high) if high else part).write.mode("append").parquet(into)
+        arrived = spark.readStream.schema(events.schema).parquet(into)
+        stream.run_to_table(stream.first_within(arrived, F.col("user_id"), _TTL), out, mark)
+    return spark.read.parquet(out)
+
+
+@query("src08_loaded_files", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 1 THEN upper(c_mktsegment) || '!' ELSE c_mktsegment END AS segment, c_custkey % 5 = 4 OR c_custkey % 5 = 1 AS later FROM customer")
+def src08_loaded(spark, d):
+    """Rows of files after three arrivals: four files, then one of them changed and a new one, then the same again."""
+    rows = tables.table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), (F.col("c_custkey") % 5).alias("part"))
+    first = rows.where("part < 4").withColumn("later", F.lit(False))
+    second = rows.where("part IN (1, 4)").select("c_custkey", F.when(F.col("part") == 1, F.concat(F.upper("segment"), F.lit("!"))).otherwise(F.col("segment")).alias("segment"), "part", F.lit(True).alias("later"))
+    into, schema = session.new_path(spark, "files-in"), "c_custkey long, segment string, later boolean"
+    table = ingest.FileTable(spark, session.new_path(spark, "files"), f"source_file string, {schema}", ingest.json_lines(schema))
+    for part in (first, second, None):
+        if part is not None:
+            part = part.select("part", F.to_json(F.struct("c_custkey", "segment", "later")).alias("value"))
+            # One file for each part: the new text of a part takes the place of the old one.
+            part.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").text(into)
+        table.load(into, gone=True)
+    return table.read().drop("source_file")
