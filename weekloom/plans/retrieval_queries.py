@@ -11,7 +11,7 @@ from weekloom.operators import blocked, density, enrich, retrieval, similar
 from weekloom.operators import groups as groups_of
 from weekloom.plans.reader_queries import groups, keysentences, products, tc
 from weekloom.plans.registry import define, query
-from weekloom.plans.scalar_queries import made
+from weekloom.plans.scalar_queries import said
 from weekloom.plans.stages import stage
 from weekloom.plans.vector_queries import vec
 from weekloom.plans.view_queries import cluster_keywords
@@ -332,17 +332,15 @@ def msc19(spark, d):
     return keysentences(spark, d).select("week", "keyword", F.round(F.least(F.lit(1.0), F.log10(F.greatest(F.lit(1), F.col("evidence_count"))) / 8), R).alias("v"), F.length("sentence").cast("long").alias("n"))
 
 
-ENVELOPES = ('{"tool": "search", "args": {"q": "x"}, "evidence": ["a"]}', '{"tool": "", "args": {}}', '{"args": {"q": "x"}}', "nothing", '{"tool": "open", "args": {"q": null}, "evidence": []}')
-define("made_envelopes", "SELECT nr, tool, missing FROM (VALUES " + ", ".join(f"({k}, {v})" for k, v in enumerate(("'search', ''", "NULL, 'tool|q|evidence'", "NULL, 'tool|evidence'", "NULL, 'tool|q|evidence'", "'open', 'q|evidence'"))) + ") t(nr, tool, missing)")
-
-
-@query("msc22_contracts", "SELECT nr, tool, missing FROM made_envelopes", "made_envelopes")
+@query("msc22_contracts", "SELECT conv_id, turn, tool, concat_ws('|', CASE WHEN tool IS NULL THEN 'tool' END, CASE WHEN turn % 2 = 1 THEN 'q' END, CASE WHEN turn % 4 = 3 THEN 'evidence' END) AS missing FROM (SELECT conv_id, turn, CASE WHEN turn % 3 <> 2 THEN role END AS tool FROM said)", "said")
 def msc22(spark, d):
     """Which required fields an envelope lacks: a tool's name, an argument, and one piece of evidence."""
-    body = F.from_json("body", "tool string, args struct<q: string>, evidence array<string>")
-    rows = made(spark, ENVELOPES, "body").withColumn("b", body).select("nr", F.nullif("b.tool", F.lit("")).alias("tool"), F.col("b.args.q").alias("q"), F.size(F.coalesce("b.evidence", F.array())).alias("k"))
+    args = F.struct(F.when(F.col("turn") % 2 == 0, F.concat(F.lit("x"), "a")).alias("q"))
+    sent = F.struct(F.when(F.col("turn") % 3 != 2, F.col("role")).otherwise(F.lit("")).alias("tool"), args.alias("args"), F.when(F.col("turn") % 4 != 3, F.array("b")).otherwise(F.array()).alias("evidence"))
+    rows = said(spark, d).select("conv_id", "turn", F.to_json(sent).alias("body")).withColumn("b", F.from_json("body", "tool string, args struct<q: string>, evidence array<string>"))
+    rows = rows.select("conv_id", "turn", F.nullif("b.tool", F.lit("")).alias("tool"), F.col("b.args.q").alias("q"), F.size(F.coalesce("b.evidence", F.array())).alias("k"))
     lacks = F.array_compact(F.array(F.when(F.col("tool").isNull(), "tool"), F.when(F.col("q").isNull(), "q"), F.when(F.col("k") == 0, "evidence")))
-    return rows.select("nr", "tool", F.array_join(lacks, "|").alias("missing"))
+    return rows.select("conv_id", "turn", "tool", F.array_join(lacks, "|").alias("missing"))
 
 
 # Streams that have a batch answer.

@@ -15,12 +15,10 @@ from weekloom.sources import html, tables
 #: Made-up Korean words and lines, since the tables have Latin text only: as a table for both engines.
 WORDS = ("홍길동", "김철수", "김치", "도핑", "박영", "경찰청", "이순신씨", "red", "최a", "정부", "강원", "윤")
 LINES = ("[부고] 홍길동 별세", "새로 뽑힌 김철수 회장.", "사진은 연합뉴스", "정부는 오늘 새 정책을 길게 발표했다고 밝혔다", "짧다", "시장 상황이 좋아지고 있다는 말이 나온다")
-REPLIES = ("1. 추천 상품군 1: 우산 / 선정 이유: 장마", "추천 상품군 2 : 장화 / 선정이유 : 비", "- 모자: 햇빛", "no product here", "2) fan - hot days", 'text ```json\n[{"a": 1}]\n``` end', "before {\"k\": [1, 2]} after", "{broken")
 
 _rows = lambda values: ", ".join("(" + str(k) + ", '" + v.replace("'", "''").replace("\n", "' || chr(10) || '") + "')" for k, v in enumerate(values))
 define("made_words", f"SELECT nr, word FROM (VALUES {_rows(WORDS)}) t(nr, word)")
 define("made_lines", f"SELECT nr, line FROM (VALUES {_rows(LINES)}) t(nr, line)")
-define("made_replies", f"SELECT nr, reply FROM (VALUES {_rows(REPLIES)}) t(nr, reply)")
 
 
 def made(spark, values, name):
@@ -42,11 +40,29 @@ def flt12(spark, d):
     return lines.select("line", predicates.caption(F.col("line"), 8).alias("caption"))
 
 
-@query("agg34_title_adjacent", f"SELECT word, count(*) AS hits FROM (SELECT w.word, l.nr FROM made_words w JOIN made_lines l ON regexp_matches(l.line, '(^|\\s)' || w.word || '\\s+({'|'.join(predicates.TITLES)})(\\W|$)') GROUP BY ALL) GROUP BY word", "made_words", "made_lines")
+# Lines of the kinds that models reply with, made from the words of conversations.
+_W = "regexp_replace(split_part(text, ' ', {0}), '[^0-9A-Za-zÀ-ÿ]+', '', 'g')"
+_LINE = "CASE turn % 4 WHEN 0 THEN (turn + 1) || '. ' || a || ' - ' || b WHEN 1 THEN '- ' || a || ': ' || b WHEN 2 THEN '추천 상품군 1: ' || a || ' / 선정 이유: ' || b ELSE a || ' ' || b END"
+define("said", f"SELECT conv_id, turn, role, a, b, {_LINE} AS line FROM (SELECT conv_id, turn, role, {_W.format(1)} AS a, {_W.format(2)} AS b FROM conversations)")
+
+
+def said(spark, d):
+    """conv_id, turn, role, a and b (the first two words of a turn), line."""
+    word = lambda k: F.regexp_replace(F.split_part("text", F.lit(" "), F.lit(k)), "[^0-9A-Za-zÀ-ÿ]+", "")
+    rows = tables.table(spark, d, "conversations").select("conv_id", "turn", "role", word(1).alias("a"), word(2).alias("b"))
+    number = (F.col("turn") + 1).cast("string")
+    kinds = (F.concat(number, F.lit(". "), "a", F.lit(" - "), "b"), F.concat(F.lit("- "), "a", F.lit(": "), "b"), F.concat(F.lit("추천 상품군 1: "), "a", F.lit(" / 선정 이유: "), "b"), F.concat_ws(" ", "a", "b"))
+    return rows.withColumn("line", F.get(F.array(*kinds), (F.col("turn") % 4).cast("int")))
+
+
+@query("agg34_title_adjacent", f"SELECT word, count(*) AS hits FROM (SELECT DISTINCT word, nr FROM (SELECT conv_id * 1000 + turn AS nr, a AS word, conv_id FROM said WHERE turn % 2 = 0 AND length(a) >= 2) WHERE word IN (SELECT a FROM said WHERE turn = 0)) GROUP BY word", "said")
 def agg34(spark, d):
-    """In how many lines a word stands right before a title."""
-    words, lines = made(spark, WORDS, "word").select("word"), made(spark, LINES, "line")
-    return predicates.before_titles(lines, "nr", "line", words, "word")
+    """In how many lines a word stands right before a title: here every other turn opens with a word and a title."""
+    rows = said(spark, d).where("length(a) >= 2")
+    title = F.get(F.array(*map(F.lit, predicates.TITLES)), (F.col("conv_id") % len(predicates.TITLES)).cast("int"))
+    line = F.when(F.col("turn") % 2 == 0, F.concat_ws(" ", "a", title, "b")).otherwise(F.concat_ws(" ", "a", "b"))
+    words = rows.where("turn = 0").select(F.col("a").alias("word")).distinct()
+    return predicates.before_titles(rows.select((F.col("conv_id") * 1000 + F.col("turn")).alias("nr"), line.alias("line")), "nr", "line", words, "word")
 
 
 @query("scl03_nouns", "SELECT DISTINCT keyword, regexp_replace(keyword, '[^0-9A-Za-z가-힣]+', '', 'g') AS noun FROM freq", "freq")
@@ -71,17 +87,16 @@ def scl09(spark, d):
     return html.summaries(tables.table(spark, d, "pages"))
 
 
-@query("scl10_list_items", r"SELECT nr, trim(string_split_regex(item, '\s+-\s+')[1]) AS name, coalesce(trim(string_split_regex(item, '\s+-\s+')[2]), '') AS reason FROM (SELECT nr, trim(regexp_replace(reply, '^\s*(?:[-*•]|\d+[.)])\s*', '')) AS item FROM made_replies)", "made_replies")
+@query("scl10_list_items", r"SELECT conv_id, turn, trim(string_split_regex(item, '\s+-\s+')[1]) AS name, coalesce(trim(string_split_regex(item, '\s+-\s+')[2]), '') AS reason FROM (SELECT *, trim(regexp_replace(line, '^\s*(?:[-*•]|\d+[.)])\s*', '')) AS item FROM said)", "said")
 def scl10(spark, d):
-    item = text.name_and_reason(F.col("reply"))
-    return made(spark, REPLIES, "reply").select("nr", item["name"].alias("name"), item["reason"].alias("reason"))
+    item = text.name_and_reason(F.col("line"))
+    return said(spark, d).select("conv_id", "turn", item["name"].alias("name"), item["reason"].alias("reason"))
 
 
-@query("scl11_product_lines", r"""SELECT nr, CASE WHEN m THEN trim(regexp_extract(reply, '추천\s*상품군\s*\d+\s*:\s*(.+?)\s*/\s*선정\s*이유\s*:\s*(.+)', 1)) ELSE trim(string_split(trim(trim(reply, '- ')), ':')[1]) END AS name, CASE WHEN m THEN trim(regexp_extract(reply, '추천\s*상품군\s*\d+\s*:\s*(.+?)\s*/\s*선정\s*이유\s*:\s*(.+)', 2)) ELSE trim(string_split(trim(trim(reply, '- ')), ':')[2]) END AS reason FROM (SELECT *, regexp_matches(reply, '추천\s*상품군\s*\d+\s*:\s*(.+?)\s*/\s*선정\s*이유\s*:\s*(.+)') AS m FROM made_replies WHERE NOT contains(reply, chr(10))) WHERE m OR (contains(reply, ':') AND NOT contains(reply, '{'))""", "made_replies")
+@query("scl11_product_lines", r"""SELECT conv_id, turn, CASE WHEN m THEN trim(regexp_extract(line, '추천\s*상품군\s*\d+\s*:\s*(.+?)\s*/\s*선정\s*이유\s*:\s*(.+)', 1)) ELSE trim(string_split(trim(trim(line, '- ')), ':')[1]) END AS name, CASE WHEN m THEN trim(regexp_extract(line, '추천\s*상품군\s*\d+\s*:\s*(.+?)\s*/\s*선정\s*이유\s*:\s*(.+)', 2)) ELSE trim(string_split(trim(trim(line, '- ')), ':')[2]) END AS reason FROM (SELECT *, regexp_matches(line, '추천\s*상품군\s*\d+\s*:\s*(.+?)\s*/\s*선정\s*이유\s*:\s*(.+)') AS m FROM said) WHERE m OR contains(line, ':')""", "said")
 def scl11(spark, d):
-    lines = made(spark, REPLIES, "reply").where(~F.contains("reply", F.lit("\n")))
-    item = text.product_line(F.col("reply"))
-    return lines.where(~F.contains("reply", F.lit("{")) & item.isNotNull()).select("nr", item["name"].alias("name"), item["reason"].alias("reason"))
+    item = text.product_line(F.col("line"))
+    return said(spark, d).where(item.isNotNull()).select("conv_id", "turn", item["name"].alias("name"), item["reason"].alias("reason"))
 
 
 @query("scl13_labels", "SELECT week, keyword, CASE WHEN len(e) > 0 AND len(a) > 0 THEN e[1] || ' ' || a[1] WHEN len(e) > 0 THEN array_to_string(e[1:2], ' ') ELSE array_to_string(a[1:2], ' ') END AS label FROM (SELECT week, keyword, list_filter(ws, lambda w: NOT ends_with(w, 'ed')) AS e, list_filter(ws, lambda w: ends_with(w, 'ed')) AS a FROM (SELECT week, keyword, list_filter(string_split(before || ' ' || after, ' '), lambda w: w <> '') AS ws FROM ctx WHERE rank = 1))", "ctx")
@@ -144,9 +159,17 @@ def scl43(spark, d):
     return rows.select("keyword", F.to_json(F.struct("weeks", "first")).alias("detail"))
 
 
-@query("scl44_json_in_text", "SELECT nr, CASE WHEN json_valid(part) THEN part END AS part FROM (SELECT nr, nullif(regexp_extract(CASE WHEN fenced <> '' THEN fenced ELSE reply END, '(?s)(\\{.*\\}|\\[.*\\])', 1), '') AS part FROM (SELECT nr, reply, regexp_extract(reply, '(?s)```(?:json)?\\s*(.*?)```', 1) AS fenced FROM made_replies))", "made_replies")
+define("said_json", "SELECT *, CASE turn % 3 WHEN 0 THEN 'so:' || chr(10) || '```json' || chr(10) || '{\"a\": \"' || a || '\"}' || chr(10) || '``` yes' WHEN 1 THEN a || ' [\"' || b || '\"] ' || b ELSE a || ' {' || b END AS reply FROM said", "said")
+
+
+@query("scl44_json_in_text", "SELECT conv_id, turn, CASE turn % 3 WHEN 2 THEN NULL ELSE CASE WHEN json_valid(part) THEN part END END AS part FROM (SELECT *, nullif(regexp_extract(CASE WHEN fenced <> '' THEN fenced ELSE reply END, '(?s)(\\{.*\\}|\\[.*\\])', 1), '') AS part FROM (SELECT *, regexp_extract(reply, '(?s)```(?:json)?\\s*(.*?)```', 1) AS fenced FROM said_json))", "said_json")
 def scl44(spark, d):
-    return made(spark, REPLIES, "reply").select("nr", text.json_part(F.col("reply")).alias("part"))
+    """The JSON in replies: fenced, within a sentence, or none that can be read."""
+    nr = F.col("turn") % 3
+    fenced = F.concat(F.lit('so:\n```json\n{"a": "'), "a", F.lit('"}\n``` yes'))
+    inside = F.concat("a", F.lit(' ["'), "b", F.lit('"] '), "b")
+    rows = said(spark, d).withColumn("reply", F.when(nr == 0, fenced).when(nr == 1, inside).otherwise(F.concat("a", F.lit(" {"), "b")))
+    return rows.select("conv_id", "turn", text.json_part(F.col("reply")).alias("part"))
 
 
 @query("scl45_ordered_distinct", "SELECT news_id, array_to_string(list_transform(list_filter(range(1, len(ws) + 1), lambda i: list_position(ws, ws[i]) = i), lambda i: ws[i]), ' ') AS words FROM (SELECT news_id, list_filter(string_split_regex(title, '\\s+'), lambda w: w <> '') AS ws FROM articles WHERE title IS NOT NULL)", "articles")
@@ -156,15 +179,14 @@ def scl45(spark, d):
     return tables.articles(spark, d).where("title IS NOT NULL").select("news_id", F.array_join(F.array_distinct(words), " ").alias("words"))
 
 
-ITEMS = ('{"items": [{"title": " a ", "source_url": "u", "selector": "s", "raw_snippet": "r"}], "meta": {"section": "x"}}', '{"items": [{"title": "", "source_url": "u", "selector": "s", "raw_snippet": "r"}]}', '{"items": 5}', "[]", "no json", '{"items": []}')
-define("made_items", "SELECT nr, ok, first_title FROM (VALUES " + ", ".join(f"({k}, {v})" for k, v in enumerate(("true, 'a'", "false, NULL", "false, NULL", "false, NULL", "false, NULL", "true, NULL"))) + ") t(nr, ok, first_title)")
-
-
-@query("scl46_item_schema", "SELECT nr, ok, first_title FROM made_items", "made_items")
+@query("scl46_item_schema", "SELECT page_id, page_id % 5 <> 0 AND title <> '' AS ok, CASE WHEN page_id % 5 <> 0 AND title <> '' THEN title END AS first_title FROM (SELECT page_id, trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)) AS title FROM pages)")
 def scl46(spark, d):
-    """Scraped results held to their schema: a list of items, each with four texts that aren't empty."""
+    """Scraped results held to their schema: a list of items, each with four texts that aren't empty. A fifth lacks one."""
+    title = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
+    item = F.struct(title.alias("title"), F.col("url").alias("source_url"), F.when(F.col("page_id") % 5 != 0, "h1").alias("selector"), F.lit("text").alias("raw_snippet"))
     checked = html.checked_items(F.col("body"))
-    return made(spark, ITEMS, "body").select("nr", checked["ok"].alias("ok"), F.try_element_at(checked["items"], F.lit(1))["title"].alias("first_title"))
+    rows = tables.table(spark, d, "pages").select("page_id", F.to_json(F.struct(F.array(item).alias("items"))).alias("body"))
+    return rows.select("page_id", checked["ok"].alias("ok"), F.try_element_at(checked["items"], F.lit(1))["title"].alias("first_title"))
 
 
 @query("set08_jaccard", f"SELECT a.name AS name, b.name AS other, round(CAST(count(*) AS DOUBLE) / (any_value(a.n) + any_value(b.n) - count(*)), {R}) AS jaccard FROM (SELECT *, count(*) OVER (PARTITION BY name) AS n FROM toks) a JOIN (SELECT *, count(*) OVER (PARTITION BY name) AS n FROM toks) b ON a.t = b.t AND a.name < b.name GROUP BY ALL HAVING count(*) >= 1", "toks")
@@ -231,19 +253,27 @@ def msc17(spark, d):
     return rows.groupBy("week", "cluster_id").agg(F.concat(F.lit("Terms: "), F.array_join(terms, ", ")).alias("prompt"), F.substring(F.array_join(terms, " "), 1, 30).alias("theme"))
 
 
-FILES = ("NewsResult_20240101-20240107.xlsx", "NewsResult_20240108-20240114.xlsx", "NewsResult_20240120.xlsx", "notes.txt", "x_20240201-20240131.csv")
-define("made_files", f"SELECT nr, file FROM (VALUES {_rows(FILES)}) t(nr, file)")
-define("file_ranges", r"SELECT file, least(a, b) AS low, greatest(a, b) AS high FROM (SELECT file, nullif(regexp_extract(file, '(\d{8})', 1), '') AS a, coalesce(nullif(regexp_extract(file, '\d{8}-(\d{8})', 1), ''), nullif(regexp_extract(file, '(\d{8})', 1), '')) AS b FROM made_files)", "made_files")
+# Names of files as the collector writes them: a range of days, one day, days the wrong way round, or none.
+define("files", "SELECT DISTINCT CASE WHEN press = 'src1' THEN 'notes_' || press || '.txt' WHEN press = 'src2' THEN 'NewsResult_' || date || '_x.xlsx' WHEN press = 'src3' THEN 'x_' || strftime(d + INTERVAL 6 DAY, '%Y%m%d') || '-' || date || '.csv' ELSE 'NewsResult_' || date || '-' || strftime(d + INTERVAL 6 DAY, '%Y%m%d') || '.xlsx' END AS file FROM (SELECT press, date, strptime(date, '%Y%m%d') AS d FROM articles)", "articles")
+define("file_ranges", r"SELECT file, least(a, b) AS low, greatest(a, b) AS high FROM (SELECT file, nullif(regexp_extract(file, '(\d{8})', 1), '') AS a, coalesce(nullif(regexp_extract(file, '\d{8}-(\d{8})', 1), ''), nullif(regexp_extract(file, '(\d{8})', 1), '')) AS b FROM files)", "files")
+
+
+def files(spark, d):
+    until = F.date_format(F.date_add(F.to_date("date", "yyyyMMdd"), 6), "yyyyMMdd")
+    press = F.col("press")
+    name = F.when(press == "src1", F.concat(F.lit("notes_"), press, F.lit(".txt"))).when(press == "src2", F.concat(F.lit("NewsResult_"), "date", F.lit("_x.xlsx")))
+    name = name.when(press == "src3", F.concat(F.lit("x_"), until, F.lit("-"), "date", F.lit(".csv"))).otherwise(F.concat(F.lit("NewsResult_"), "date", F.lit("-"), until, F.lit(".xlsx")))
+    return tables.articles(spark, d).select(name.alias("file")).distinct()
 
 
 @query("msc15_file_ranges", "SELECT file, low, high FROM file_ranges", "file_ranges")
 def msc15(spark, d):
     span = dates.file_range(F.col("file"))
-    return made(spark, FILES, "file").select("file", span["low"].alias("low"), span["high"].alias("high"))
+    return files(spark, d).select("file", span["low"].alias("low"), span["high"].alias("high"))
 
 
 @query("src07_pruned_files", "SELECT file FROM file_ranges WHERE low IS NULL OR (low <= '20240114' AND high >= '20240106')", "file_ranges")
 def src07(spark, d):
     """Files whose name has no range, or one that meets the days that are asked for."""
     span = dates.file_range(F.col("file"))
-    return made(spark, FILES, "file").where(span["low"].isNull() | ((span["low"] <= "20240114") & (span["high"] >= "20240106"))).select("file")
+    return files(spark, d).where(span["low"].isNull() | ((span["low"] <= "20240114") & (span["high"] >= "20240106"))).select("file")
