@@ -59,8 +59,9 @@ def learn_grams(rows: DataFrame, counts: dict[str, int], most: int = LEARN_ROWS,
     sizes = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.sum(F.octet_length("text")).cast("double").alias("n")).collect()}
     words = sample.select("domain", F.explode(F.split(F.lower("text"), "[ \n]")).alias("word")).groupBy("domain", "word").agg(F.count("*").alias("n"))
     bare = words.groupBy("domain", F.regexp_replace("word", "[.,;:!?]$", "").alias("word")).agg(F.sum("n").alias("n")).where("word <> ''")
-    padded = bare.select("domain", "n", F.concat(F.lit(" "), "word", F.lit(" ")).alias("word"))
-    cut = lambda k: F.transform(F.sequence(F.lit(1), F.length("word") - k + 1), lambda i: F.substr("word", i, F.lit(k)))
+    # Characters as an array: a substring is found by counting from the start, which is slow in a text without blanks.
+    padded = bare.select("domain", "n", F.split(F.concat(F.lit(" "), "word", F.lit(" ")), "").alias("signs")).withColumn("signs", F.filter("signs", lambda c: c != ""))
+    cut = lambda k: F.transform(F.sequence(F.lit(0), F.size("signs") - k), lambda i: F.concat(*(F.get("signs", i + j) for j in range(k))))
     grams = padded.select("domain", "n", F.explode(F.concat(cut(1), cut(2), cut(3))).alias("gram")).groupBy("domain", "gram").agg(F.sum("n").alias("n"))
     grams = grams.where(F.rlike("gram", F.lit(r"^ ?\p{L}+ ?$")))
     size = F.create_map(*(F.lit(x) for d, n in sizes.items() for x in (d, float(max(n or 0, 1)))))
