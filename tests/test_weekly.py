@@ -182,7 +182,8 @@ def plain_links(group: pd.DataFrame) -> list:
     return out
 
 
-def test_threads_against_one_by_one(spark):
+@pytest.mark.parametrize("small", [0, threads.SMALL])
+def test_threads_against_one_by_one(spark, small):
     r = np.random.default_rng(3)
     rows = []
     for w in (1, 2, 3, 5, 6, 40):
@@ -192,10 +193,22 @@ def test_threads_against_one_by_one(spark):
     frame = pd.DataFrame(rows, columns=["week", "cluster_id", "weight", "keywords", "centroid"])
     frame["monday"] = pd.to_datetime(frame["week"] + "-1", format="%G-W%V-%u")
     want = {(w, c): (sw, sc, seq, round(score, 9), kind) for w, c, sw, sc, seq, score, kind in plain_links(frame)}
-    linked = threads.link(clusters).collect()
+    linked = threads.link(clusters, small=small).collect()
     seed = {x.thread_id: (x.week, x.cluster_id) for x in linked if x.seq == 0}
     assert {(x.week, x.cluster_id): (*seed[x.thread_id], x.seq, round(x.link_score, 9), x.link_type) for x in linked} == want
-    assert len({v[4] for v in want.values()}) == 3 and not threads.link(clusters.limit(0)).collect()
+    assert len({v[4] for v in want.values()}) == 3 and not threads.link(clusters.limit(0), small=small).collect()
+
+
+def test_grid_search_scores_what_each_setting_links(spark):
+    r = np.random.default_rng(6)
+    rows = [(f"2024-W{w:02d}", c, int(r.integers(1, 6)), sorted({f"k{int(x)}" for x in r.integers(0, 9, 4)}), [float(x) for x in r.normal(size=3)], f"l{c % 3} x") for w in (1, 2, 3, 5) for c in range(8)]
+    clusters = spark.createDataFrame(rows, "week string, cluster_id int, weight int, keywords array<string>, centroid array<double>, label string")
+    found = threads.grid_search(clusters, ["k1", "k2"]).collect()
+    assert len(threads.GRID) == 36 and sorted(x.nr for x in found) == list(range(36)) and [x.overall for x in found] == sorted((x.overall for x in found), reverse=True)
+    for x in found[::12]:
+        members = threads.link(clusters, threads.GRID[x.nr]).join(clusters, ["week", "cluster_id"]).select("thread_id", "seq", "weight", "keywords")
+        one = threads.quality(members, clusters.select("label"), ["k1", "k2"]).first().asDict()
+        assert one == {k: v for k, v in x.asDict().items() if k in one}
 
 
 def test_smoothing_over_more_weeks_than_a_double_spans(spark):

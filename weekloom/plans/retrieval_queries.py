@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weekloom import session
 from weekloom.functions import dates, text, vectors
-from weekloom.operators import blocked, density, enrich, retrieval, similar
+from weekloom.operators import blocked, density, enrich, retrieval, similar, threads
 from weekloom.operators import groups as groups_of
 from weekloom.plans.reader_queries import groups, keysentences, products, tc
 from weekloom.plans.registry import define, query
@@ -215,6 +215,12 @@ def vec21(spark, d):
     return steps.crossJoin(F.broadcast(grid)).groupBy("alpha", "beta", "least").agg(F.count_if(score >= F.col("least")).alias("links"), F.round(F.avg(score), R).alias("mean_score"))
 
 
+@query("vec21_best_setting")
+def vec21_best(spark, d):
+    """The 36 settings of the linker by the quality of the threads that each makes of the weekly clusters, the best first."""
+    return threads.grid_search(tc(spark, d), ["k1", "k3", "k5"])
+
+
 @query("vec15_density_components")
 def vec15(spark, d):
     """Density clusters of each week's vectors: at least five rows each, the nearest row as the core distance."""
