@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from weekloom.operators import blocked, density
+from weekloom.operators import blocked, density, percentiles
 
 
 def vectors_of(n, seed, dim=4, repeats=True):
@@ -126,3 +126,18 @@ def test_nearest_equals_all_scores(spark, block):
         want += [(q, i + 1, k) for i, (_, k) in enumerate(hits[:4])]
     assert got == sorted(want)
     assert blocked.nearest(df.limit(0), asked, ["week"], "e", 4).count() == 0
+
+
+def test_percentiles_equal_sorted_values(spark):
+    rng = np.random.default_rng(8)
+    groups = {"a": rng.normal(size=501), "b": np.repeat([1.0, 2.0, 2.0000000001], 50), "c": np.array([7.0]), "d": np.concatenate([rng.normal(size=90) * 1e-12, [1e300, -1e308, 1e308]]), "e": np.zeros(40)}
+    rows = [(k, float(v)) for k, x in groups.items() for v in x] + [("a", None), ("b", float("nan")), ("f", None)]
+    points = {"low": 0.0, "p10": 0.1, "p50": 0.5, "p93": 0.93, "high": 1.0}
+    got = {r.k: r for r in percentiles.percentiles(spark.createDataFrame(rows, "k string, x double"), ["k"], "x", points, bins=4).collect()}
+    assert set(got) == set(groups)
+    for k, x in groups.items():
+        x = np.sort(x)
+        for name, p in points.items():
+            at = p * (len(x) - 1)
+            low, high = x[int(np.floor(at))], x[int(np.ceil(at))]
+            assert np.isclose(got[k][name], low + (high - low) * (at - np.floor(at)), rtol=1e-12, atol=0) or not np.isfinite(high - low)

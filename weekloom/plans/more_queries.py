@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import dates, text, vectors
-from weekloom.operators import contained, contexts, enrich, linkage, similar, weekly
+from weekloom.operators import contained, contexts, enrich, linkage, percentiles, similar, weekly
 from weekloom.plans.registry import define, query
 from weekloom.plans.vector_queries import clusters as weekly_clusters
 from weekloom.plans.vector_queries import vec
@@ -182,7 +182,10 @@ def agg28(spark, d):
 def agg33(spark, d):
     v = vec(spark, d)
     near = v.join(similar.few(vectors.mean_vector(v, ["label"], "e")), "label").select("label", vectors.cosine(F.col("e"), F.col("centroid")).alias("s"))
-    return near.groupBy("label").agg(*(F.round(F.percentile("s", p), R).alias(n) for n, p in (("p50", 0.5), ("p10", 0.1), ("p25", 0.25))), F.round(F.min("s"), R).alias("low"), F.round(F.avg(F.when(F.col("s") >= 0.3, 1.0).otherwise(0.0)), R).alias("share"))
+    near = stored(near, "closeness")
+    marks = percentiles.percentiles(near, ["label"], "s", {"p50": 0.5, "p10": 0.1, "p25": 0.25})
+    rest = near.groupBy("label").agg(F.round(F.min("s"), R).alias("low"), F.round(F.avg(F.when(F.col("s") >= 0.3, 1.0).otherwise(0.0)), R).alias("share"))
+    return marks.withColumns({c: F.round(c, R) for c in ("p50", "p10", "p25")}).join(rest, "label")
 
 
 @query("agg36_describability", f"SELECT press, count(*) AS n, round(avg(len(regexp_extract_all(title, '[가-힣A-Za-z0-9]{{2,}}'))), {R}) AS tokens, round(CAST(count(DISTINCT title) AS DOUBLE) / count(*), {R}) AS distinct_ratio FROM articles GROUP BY press", "articles")
