@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from weekloom.operators import blocked, density, percentiles
+from weekloom.operators import blocked, density, percentiles, similar
 
 
 def vectors_of(n, seed, dim=4, repeats=True):
@@ -141,3 +141,13 @@ def test_percentiles_equal_sorted_values(spark):
             at = p * (len(x) - 1)
             low, high = x[int(np.floor(at))], x[int(np.ceil(at))]
             assert np.isclose(got[k][name], low + (high - low) * (at - np.floor(at)), rtol=1e-12, atol=0) or not np.isfinite(high - low)
+
+
+def test_many_centroids_as_few(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = spark.createDataFrame([(k, [float(x) for x in rng.normal(size=5)]) for k in range(40)], "id long, e array<double>")
+    cents = spark.createDataFrame([(f"c{k:02d}", [float(x) for x in rng.normal(size=5)]) for k in range(30)], "name string, centroid array<double>")
+    shown = lambda: sorted((r.id, r.best, round(r.sim, 9), r.runner_up, round(r.margin, 9)) for r in similar.to_centroids(rows, cents, "e", "name").collect())
+    want = shown()
+    monkeypatch.setattr(similar, "FEW", 10)
+    assert shown() == want and len(want) == 40

@@ -32,12 +32,12 @@ def few(df: DataFrame) -> DataFrame:
 def to_centroids(df: DataFrame, centroids: DataFrame, vector: str, name: str) -> DataFrame:
     """df with its best and second-best of some named centroids and the margin between them. centroids: name, centroid.
 
-    A row meets every centroid, as the classifier asks: they come as one broadcast array, so nothing is shuffled. They
-    are as many as there are classes; a table of more than FEW of them is refused.
+    A row meets every centroid, as the classifier asks: up to FEW of them come as one broadcast array, so nothing is
+    shuffled. More of them are a table that rows search in blocks.
     """
     centroids = stored(centroids, "centroids")
     if centroids.limit(FEW + 1).count() > FEW:
-        raise ValueError(f"more than {FEW} classes")
+        return _to_many(df, centroids, vector, name)
     every = centroids.agg(F.collect_list(F.struct(F.col(name).alias("name"), "centroid")).alias("_all"))
     sims = F.transform("_all", lambda c: F.struct((-vectors.cosine(F.col(vector), c["centroid"])).alias("o"), c["name"].alias("name")))
     best = df.crossJoin(F.broadcast(every)).withColumn("b", F.slice(F.array_sort(sims), 1, 2))
@@ -45,6 +45,20 @@ def to_centroids(df: DataFrame, centroids: DataFrame, vector: str, name: str) ->
     return best.select(*(c for c in df.columns if c != vector), first["name"].alias("best"), (-first["o"]).alias("sim"), second["name"].alias("runner_up"), (second["o"] - first["o"]).alias("margin"))
 
 
+def _to_many(df: DataFrame, centroids: DataFrame, vector: str, name: str) -> DataFrame:
+    """The same for any number of centroids: the two nearest by an exact search in blocks. Rows without a vector have none."""
+    from weekloom.operators import blocked
+
+    place = F.monotonically_increasing_id()
+    order = stored(centroids.select(F.col(name).alias("name"), "centroid").withColumn("id", -1 - place), "named")  # never an id of a row
+    rows = stored(df.withColumn("_row", place), "rows")
+    near = blocked.nearest(order.select("id", F.col("centroid").alias(vector)), rows.select(F.col("_row").alias("id"), vector), [], vector, 2)
+    pairs = near.join(order.select("id", "name"), "id").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "name", "score"))).alias("b"))
+    first, second = F.try_element_at("b", F.lit(1)), F.try_element_at("b", F.lit(2))
+    found = rows.join(pairs, F.col("_row") == F.col("query_id"), "left")
+    return found.select(*(c for c in df.columns if c != vector), first["name"].alias("best"), first["score"].alias("sim"), second["name"].alias("runner_up"), (first["score"] - second["score"]).alias("margin"))
+
+
 def links_within(df: DataFrame, keys: list[str], node: str, vector: str, least: float, block: int = 512) -> DataFrame:
     """(a, b): links between rows of a group whose cosine is `least` or more, as many as their components need.
 
