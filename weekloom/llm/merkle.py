@@ -179,7 +179,8 @@ def fold(h: str, left: list[str], right: list[str]) -> str:
 
 def forest(rows: DataFrame, fanout: int = FANOUT, levels: int = LEVELS) -> tuple[Manifest, Manifest, str | None]:
     """The manifest of the sources' rows, that of the sources, and the root (null for an empty table). rows: as from leaves()."""
-    trees = Manifest(numbered(rows, ["doc_id", "h"]), fanout, levels)
+    # Stored first: dealing by range looks at the rows twice, and texts are to be hashed once.
+    trees = Manifest(numbered(common.stored(rows, "hashes"), ["doc_id", "h"]), fanout, levels)
     tops = trees.roots().select(F.lit("").alias("key"), F.col("key").alias("source"), "h")
     whole = Manifest(numbered(tops, ["source"]), fanout, levels)
     root = whole.roots().first()
