@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from weekloom.operators import blocked, density, percentiles, similar
+from weekloom.operators import blocked, density, kmeans, percentiles, similar
 
 
 def vectors_of(n, seed, dim=4, repeats=True):
@@ -151,3 +151,31 @@ def test_many_centroids_as_few(spark, monkeypatch):
     want = shown()
     monkeypatch.setattr(similar, "FEW", 10)
     assert shown() == want and len(want) == 40
+
+
+def test_mini_batches_as_a_plain_loop(spark):
+    """The same draws and starts in numpy, one centre after the other."""
+    x = vectors_of(300, 21, repeats=False)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)] + [(900, None), (None, [0.0] * 4)], "id long, e array<double>").repartition(3)
+    found, centres = kmeans.clusters(df, "e", 5, starts=2, steps=4, batch=60)
+    got = {r.id: (r.cluster_id, round(r.distance, 6)) for r in found.collect()}
+    rows = df.where("id IS NOT NULL AND e IS NOT NULL").selectExpr("id", "e AS v")
+    runs = []
+    for s in range(2):
+        c = np.array([r.v for r in rows.selectExpr("v", "id", f"xxhash64(id, {-1 - s}, 0) AS h").orderBy("h", "id").limit(5).collect()])
+        given = np.zeros(5)
+        for step in range(4):
+            batch = np.array([r.v for r in kmeans.drawn(rows, 300, step, 60, 0).collect()])
+            own = np.linalg.norm(batch[:, None] - c[None], axis=2).argmin(1)
+            for j in set(own.tolist()):
+                part = batch[own == j]
+                given[j] += len(part)
+                c[j] = c[j] + (part.sum(0) - len(part) * c[j]) / given[j]
+        runs.append((np.square(np.linalg.norm(x[:, None] - c[None], axis=2).min(1)).sum(), c))
+    best = min(runs, key=lambda r: r[0])[1]
+    far = np.linalg.norm(x[:, None] - best[None], axis=2)
+    sizes = np.bincount(far.argmin(1), minlength=5)
+    order = sorted(range(5), key=lambda c: (-sizes[c], c))
+    assert np.allclose(centres, best[order])
+    assert got == {k: (order.index(int(far[k].argmin())), round(float(far[k].min()), 6)) for k in range(300)}
+    assert kmeans.clusters(df.limit(0), "e", 5)[0].count() == 0 and kmeans.clamp(500, 2, 40, 50) == 10 and kmeans.clamp(1, 2, 40, 50) == 1

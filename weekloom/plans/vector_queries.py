@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weekloom import session
 from weekloom.functions import text, vectors
-from weekloom.operators import blocked, graph, setjoin, similar, threads
+from weekloom.operators import blocked, graph, kmeans, setjoin, similar, threads
 from weekloom.plans.registry import define, query
 from weekloom.plans.weekly_queries import R
 from weekloom.session import stored
@@ -97,11 +97,9 @@ def vec09(spark, d):
 
 @query("vec11_kmeans")
 def vec11(spark, d):
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    rows = vec(spark, d).select("id", array_to_vector("e").alias("features"))
-    return KMeans(k=10, seed=0, maxIter=10).fit(rows).transform(rows).select("id", F.col("prediction").alias("cluster_id"))
+    """Clusters of all vectors by mini-batches: one for every fifty rows, ten at least and forty at most."""
+    rows = stored(vec(spark, d).select("id", "e"), "vectors")
+    return kmeans.clusters(rows, "e", kmeans.clamp(rows.count(), 10, 40, 50))[0].select("id", "cluster_id")
 
 
 @query("sta03_threads")
