@@ -19,9 +19,9 @@ from weekloom.sources import sinks, tables
 
 _SOURCES = "lineitem", "part", "supplier"
 
-# Threads: weekly clusters of one label, with their keywords, weights and links.
+# Threads: weekly clusters of one label, with their keywords, weights and centroids, as the linker links them.
 define("tc", "SELECT week, CAST(label AS INTEGER) AS cluster_id, CAST(count(*) AS INTEGER) AS weight, 't' || label AS label, ['k' || label, 'k' || ((label + 1) % 10), 'w' || week[7:8] || '-' || label] AS keywords FROM vec GROUP BY week, label", "vec")
-define("threads", "SELECT cluster_id AS thread_id, week, cluster_id, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY week) - 1 AS INTEGER) AS seq FROM tc", "tc")
+define("threads", "SELECT thread AS thread_id, week, cluster_id, seq FROM link_walk WHERE nr > 0", "link_walk")
 define("thread_meta", "SELECT thread_id, count(*) AS n_weeks, min(t.week) AS start_week, max(t.week) AS end_week, max(weight) AS peak_weight, CASE WHEN count(*) = 1 THEN 'single' ELSE 'multi' END AS kind FROM threads t JOIN tc ON tc.week = t.week AND tc.cluster_id = t.cluster_id WHERE thread_id < 8 GROUP BY thread_id", "threads", "tc")
 
 
@@ -30,8 +30,8 @@ def tc(spark, d):
 
 
 def thread_rows(spark, d):
-    seq = F.row_number().over(Window.partitionBy("cluster_id").orderBy("week")) - 1
-    return tc(spark, d).select(F.col("cluster_id").alias("thread_id"), "week", "cluster_id", seq.alias("seq"))
+    """The weekly clusters as the linker links them."""
+    return stage(spark, d, "threads", lambda s, f: threads.link(tc(s, f)), "embeddings").select("thread_id", "week", "cluster_id", "seq")
 
 
 def thread_meta(spark, d):
@@ -82,11 +82,12 @@ def msc02(spark, d):
     return tc(spark, d).where(F.col("week").between("2024-W03", "2024-W05")).orderBy("week", F.desc("weight"), "cluster_id").select("week", "cluster_id", "weight", "label")
 
 
-@query("api09_cluster_display", "SELECT week, cluster_id, weight, label, array_to_string(keywords, ', ') AS keywords, m.kind FROM tc LEFT JOIN thread_meta m ON m.thread_id = tc.cluster_id WHERE week = '2024-W04'", "tc", "thread_meta")
+@query("api09_cluster_display", "SELECT week, cluster_id, weight, label, array_to_string(keywords, ', ') AS keywords, m.kind FROM tc JOIN threads t USING (week, cluster_id) LEFT JOIN thread_meta m ON m.thread_id = t.thread_id WHERE week = '2024-W04'", "tc", "threads", "thread_meta")
 def api09(spark, d):
     """The clusters of a week as the reader shows them, with the kind of their thread."""
     rows = tc(spark, d).where("week = '2024-W04'").select("week", "cluster_id", "weight", "label", F.array_join("keywords", ", ").alias("keywords"))
-    return rows.join(thread_meta(spark, d).select(F.col("thread_id").alias("cluster_id"), "kind"), "cluster_id", "left").select("week", "cluster_id", "weight", "label", "keywords", "kind")
+    linked = rows.join(thread_rows(spark, d).select("week", "cluster_id", "thread_id"), ["week", "cluster_id"])
+    return linked.join(thread_meta(spark, d).select("thread_id", "kind"), "thread_id", "left").select("week", "cluster_id", "weight", "label", "keywords", "kind")
 
 
 @query("src17_replaced_threads", "SELECT thread_id, week, seq, replaced, m.kind FROM (SELECT thread_id, week, seq, false AS replaced FROM threads WHERE week NOT BETWEEN '2024-W03' AND '2024-W05' UNION ALL SELECT thread_id + 100, week, seq, true FROM threads WHERE week BETWEEN '2024-W03' AND '2024-W05' AND thread_id % 2 = 0) r LEFT JOIN (SELECT * FROM thread_meta WHERE thread_id NOT IN (SELECT thread_id FROM threads WHERE week BETWEEN '2024-W03' AND '2024-W05')) m USING (thread_id)", "threads", "thread_meta")

@@ -10,12 +10,13 @@ from weekloom import session
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+#: Query -> SQL and the tables that it needs; these may be defined in modules that are read later.
+SQL: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 #: Logical tables as DuckDB SQL: name -> (tables it needs, body).
 WITH: dict[str, tuple[tuple[str, ...], str]] = {}
 #: Those that DuckDB computes once even where they are read more than once.
-COSTLY = {"weekly_keywords", "freq", "z", "occ", "cent_flat", "features", "members_of", "week_groups", "group_links"}
+COSTLY = {"weekly_keywords", "freq", "z", "occ", "cent_flat", "features", "members_of", "week_groups", "group_links", "link_walk"}
 
 
 def define(name: str, body: str, *needs: str) -> None:
@@ -45,7 +46,7 @@ def query(name: str, sql: str | None = None, *needs: str) -> Callable[[Query], Q
     def add(f: Query) -> Query:
         QUERIES[name] = lambda spark, folder: f(session.prepare(spark), folder)
         if sql:
-            SQL[name] = with_tables(sql, *needs)
+            SQL[name] = sql, needs
         return f
 
     return add

@@ -102,7 +102,17 @@ def vec11(spark, d):
     return kmeans.clusters(rows, "e", kmeans.clamp(rows.count(), 10, 40, 50))[0].select("id", "cluster_id")
 
 
-@query("sta03_threads")
+# The linker as one walk over the clusters, weeks in order and heavier ones first; threads are numbered as they open.
+define("link_order", "SELECT row_number() OVER (ORDER BY t.week, t.weight DESC, t.cluster_id) AS nr, t.week, t.cluster_id, CAST(date_diff('day', DATE '1970-01-05', CAST(strptime(t.week || '-1', '%G-W%V-%u') AS DATE)) // 7 AS INTEGER) AS wk, t.keywords AS ws, c.c AS c FROM tc t JOIN cent c ON c.week = t.week AND c.label = t.cluster_id", "tc", "cent")
+define("link_walk", """/*RECURSIVE*/SELECT CAST(0 AS BIGINT) AS nr, CAST(NULL AS VARCHAR) AS week, CAST(NULL AS INTEGER) AS cluster_id, CAST(0 AS INTEGER) AS thread, CAST(0 AS INTEGER) AS seq, CAST(0 AS DOUBLE) AS score, '' AS kind, CAST([] AS STRUCT(last INTEGER, n INTEGER, ws VARCHAR[], c DOUBLE[])[]) AS open
+  UNION ALL SELECT nr, week, cluster_id, CAST(coalesce(b.i - 1, len(open)) AS INTEGER), CASE WHEN b IS NULL THEN 0 ELSE open[b.i].n END, coalesce(-b.s, 0.0), CASE WHEN b IS NULL THEN 'seed' WHEN b.gap = 1 THEN 'near' ELSE 'gap' END,
+    CASE WHEN b IS NULL THEN list_append(open, struct_pack(last := wk, n := 1, ws := list_distinct(ws), c := c)) ELSE list_transform(open, lambda t, i: CASE WHEN i = b.i THEN struct_pack(last := wk, n := t.n + 1, ws := list_distinct(list_concat(t.ws, ws)), c := c) ELSE t END) END
+  FROM (SELECT nr, week, cluster_id, wk, ws, c, open, list_sort(list_filter(list_transform(list_transform(open, lambda t, i: struct_pack(i := i, gap := wk - t.last, cos := list_cosine_similarity(c, t.c), ov := CAST(len(list_intersect(ws, t.ws)) AS DOUBLE) / len(list_distinct(list_concat(ws, t.ws))))), lambda x: struct_pack(s := -(0.15 * x.cos + 0.85 * x.ov), i := x.i, gap := x.gap, ov := x.ov)),
+      lambda x: (x.gap = 1 AND x.ov >= 0.10 AND -x.s >= 0.42) OR (x.gap BETWEEN 2 AND 30 AND x.ov >= 0.25 AND -x.s >= 0.47)))[1] AS b
+    FROM (SELECT o.nr, o.week, o.cluster_id, o.wk, o.ws, o.c, w.open FROM link_walk w JOIN link_order o ON o.nr = w.nr + 1))""", "link_order")
+
+
+@query("sta03_threads", f"SELECT thread AS thread_id, week, cluster_id, seq, round(score, {R}) AS link_score, kind AS link_type FROM link_walk WHERE nr > 0", "link_walk")
 def sta03(spark, d):
     return threads.link(stored(clusters(spark, d), "clusters")).withColumn("link_score", F.round("link_score", R))
 
