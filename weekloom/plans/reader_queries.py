@@ -367,12 +367,16 @@ def src15(spark, d):
     return spark.read.schema(rows.schema).parquet(path).select("week", "cluster_id", "keyword", "z_score")
 
 
-@query("src16_class_replaced", "SELECT keyword, class, CASE WHEN class = 'person' THEN 'rules' ELSE 'recurrence' END AS method FROM keyword_class", "keyword_class")
+@query("src16_class_replaced", "SELECT keyword, class, 'recurrence' AS method FROM keyword_class WHERE class <> 'person' OR length(keyword) % 2 = 0 UNION ALL SELECT keyword, class, 'rules' FROM keyword_class WHERE class = 'person'", "keyword_class")
 def src16(spark, d):
-    """Classes written by class and method; where two methods name one keyword, the later one stays."""
-    rows = keyword_class(freq(spark, d))
-    old = rows.select("keyword", "class", F.lit("recurrence").alias("method"), F.lit(1).alias("at"))
-    return sinks.upserted(old, old.where("class = 'person'").withColumns({"method": F.lit("rules"), "at": F.lit(2)}), ["keyword", "class"], "at").select("keyword", "class", "method")
+    """Classes in a table by class and method: a second run of one method replaces its rows of that class and no others."""
+    rows, path = keyword_class(freq(spark, d)), session.new_path(spark, "classes")
+    named = lambda part, method: part.withColumn("method", F.lit(method))
+    sinks.replace_partitions(named(rows, "recurrence"), path, "class", "method")
+    person = rows.where("class = 'person'")
+    sinks.replace_partitions(named(person.where("length(keyword) % 2 = 0"), "recurrence"), path, "class", "method")
+    sinks.replace_partitions(named(person, "rules"), path, "class", "method")
+    return spark.read.schema("keyword string, class string, method string").parquet(path)
 
 
 @query("src18_categories_replaced", "SELECT DISTINCT p_type AS name, p_brand AS parent FROM part")
