@@ -16,7 +16,7 @@ from weekloom.plans.stages import stage
 from weekloom.plans.vector_queries import vec
 from weekloom.plans.view_queries import cluster_keywords
 from weekloom.plans.view_queries import clusters as keyword_clusters
-from weekloom.plans.weekly_queries import AS_OF, R, freq, z
+from weekloom.plans.weekly_queries import R, freq, z
 from weekloom.session import stored
 from weekloom.sources import ingest, tables
 from weekloom.streaming import weekly as stream
