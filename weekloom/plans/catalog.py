@@ -10,4 +10,4 @@ def queries() -> dict[str, registry.Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: registry.with_tables(sql, *needs) for name, (sql, needs) in registry.SQL.items()}
+    return {name: registry.with_tables(sql() if callable(sql) else sql, *needs) for name, (sql, needs) in registry.SQL.items()}

@@ -10,8 +10,8 @@ from weekloom import session
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: Query -> SQL and the tables that it needs; these may be defined in modules that are read later.
-SQL: dict[str, tuple[str, tuple[str, ...]]] = {}
+#: Query -> SQL, or what makes it, and the tables that it needs; these may be defined in modules that are read later.
+SQL: dict[str, tuple[str | Callable[[], str], tuple[str, ...]]] = {}
 
 #: Logical tables as DuckDB SQL: name -> (tables it needs, body).
 WITH: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -40,7 +40,7 @@ def with_tables(select: str, *needs: str) -> str:
     return kind + ",\n".join(f"{n} AS{how(n)} ({WITH[n][1].replace('/*RECURSIVE*/', '')})" for n in names) + "\n" + select
 
 
-def query(name: str, sql: str | None = None, *needs: str) -> Callable[[Query], Query]:
+def query(name: str, sql: str | Callable[[], str] | None = None, *needs: str) -> Callable[[Query], Query]:
     """Registers a query under its inventory name."""
 
     def add(f: Query) -> Query:

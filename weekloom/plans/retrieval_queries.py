@@ -349,6 +349,51 @@ def msc22(spark, d):
     return rows.select("conv_id", "turn", "tool", F.array_join(lacks, "|").alias("missing"))
 
 
+# All that is known of a week, part by part: query, key, value, whether it has a week, and how many rows are shown.
+PARTS = {
+    "keyword_enriched": ("join02_keyword_enriched", "keyword", "z_score", True, None),
+    "cluster_enriched": ("join03_cluster_enriched", "cluster_id", "avg_long_term_score", True, None),
+    "clusters": ("agg15_cluster_meta", "cluster_theme", "avg_z_score", True, None),
+    "cluster_interpretation": ("enr05_cluster_prompts", "prompt", "cluster_id", True, None),
+    "related_products": ("msc05_products_of_week", "name", "rank", False, None),
+    "search_queries": ("enr06_cluster_queries", "search_query", "rank", True, None),
+    "video_signals": ("msc19_signal_rows", "keyword", "v", True, None),
+    "market_competition": ("enr07_market_report", "p_brand", "mean", False, None),
+    "long_term_signals": ("agg16_long_term_signals", "keyword", "long_term_score", True, 50),
+    "period_trend_signals": ("agg18_period_trend_signals", "keyword", "z_baseline", False, 50),
+    "product_grounding": ("join16_category_grounding", "name", "score", False, None),
+}
+PART_WEEK = "1997-W26"
+
+
+def _parts_sql() -> str:
+    from weekloom.plans import registry
+
+    def one(part: str, source: str, key: str, value: str, weekly: bool, most: int | None) -> str:
+        body, needs = registry.SQL[source]
+        where = f"WHERE week = '{PART_WEEK}'" if weekly else ""
+        shown = f"SELECT '{part}' AS part, row_number() OVER (ORDER BY round(value, 6) DESC NULLS LAST, key) AS nr, key, value FROM (SELECT CAST({key} AS VARCHAR) AS key, CAST({value} AS DOUBLE) AS value FROM ({registry.with_tables(body, *needs)}) {where})"
+        return f"SELECT * FROM ({shown})" + (f" WHERE nr <= {most}" if most else "")
+
+    return f"SELECT part, CAST(nr AS INTEGER) AS nr, key, round(value, {R}) + 0.0 AS value FROM (" + " UNION ALL ".join(one(part, *spec) for part, spec in PARTS.items()) + ")"
+
+
+@query("api08_enrichment_rows", _parts_sql)
+def api08_rows(spark, d):
+    """The rows of every part of a week's enrichment, each part in the order of its value; signals are the first fifty."""
+    from weekloom.plans import registry
+
+    out = None
+    for part, (source, key, value, weekly, most) in PARTS.items():
+        rows = registry.QUERIES[source](spark, d)
+        rows = (rows.where(F.col("week") == PART_WEEK) if weekly else rows).select(F.lit(part).alias("part"), F.col(key).cast("string").alias("key"), F.col(value).cast("double").alias("value"))
+        nr = F.row_number().over(Window.partitionBy("part").orderBy(F.round("value", 6).desc_nulls_last(), "key"))
+        rows = rows.withColumn("nr", nr)
+        rows = rows.where(F.col("nr") <= most) if most else rows
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("part", "nr", "key", (F.round("value", R) + 0.0).alias("value"))
+
+
 # Streams that have a batch answer.
 def _events_stream(spark, d):
     """The events as a file stream with their time in UTC."""
