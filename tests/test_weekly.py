@@ -259,3 +259,10 @@ def test_names_captions_and_words_before_titles(spark):
     assert [x.w for x in words.where(predicates.name_like(F.col("w"))).collect()] == ["홍길동"]
     lines = spark.createDataFrame([(1, "어제 홍길동 회장은 말했다"), (2, "홍길동 회장, 홍길동 대표"), (3, "홍길동회장")], "k int, line string")
     assert [tuple(x) for x in predicates.before_titles(lines, "k", "line", words, "w").collect()] == [("홍길동", 1)]
+
+
+def test_sentences_keep_their_digits(spark):
+    """A sentence that begins or ends with digits of its own place keeps them; blanks around it go."""
+    body = "  0 is first. 1 is 11 or 1. 2 twos, 22. 148.9.179.13 ends in 3! 4  "
+    got = spark.createDataFrame([(body,)], "t string").select(text.sentences(F.col("t")).alias("s")).first().s
+    assert got == ["0 is first.", "1 is 11 or 1.", "2 twos, 22.", "148.9.179.13 ends in 3!", "4"]
