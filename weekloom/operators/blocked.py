@@ -101,12 +101,8 @@ def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-def nearest(rows: DataFrame, queries: DataFrame, keys: list[str], vector: str, k: int, measure: Measure = cosines, tag: str | None = None, block: int = BLOCK) -> DataFrame:
-    """(query_id, id, score, rank): the k best rows of each query among the rows of its keys, exactly.
-
-    rows, queries: keys, id, the vector, and the tag. With a tag, a query with one (not null) asks for rows of that tag
-    alone: the tags of a block are compared with it as a bitmap. A row is never its own hit. Ties go to the smaller id.
-    """
+def met(rows: DataFrame, queries: DataFrame, keys: list[str], vector: str, tag: str | None = None, block: int = BLOCK) -> DataFrame:
+    """Every block of queries beside every block of rows of its keys: ids, tags, extra and x, and the same with q_."""
     there = session.stored(prepared(rows, keys, vector, tag), "rows")
     counts = session.stored(sizes(there, keys, block), "sizes")
     asked = session.stored(prepared(queries, keys, vector, tag), "asked")
@@ -115,7 +111,15 @@ def nearest(rows: DataFrame, queries: DataFrame, keys: list[str], vector: str, k
     ours = packed(asked, keys, sizes(asked, keys, block)).drop("blocks").withColumnRenamed("block", "_own")
     ours = ours.join(few(counts), [*keys, "dim"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     ours = ours.select(*keys, "dim", "block", *(F.col(c).alias(f"q_{c}") for c in ("ids", "tags", "extra", "x")))
+    return index.drop("blocks").join(ours.hint("shuffle_merge"), [*keys, "dim", "block"])
+
+
+def nearest(rows: DataFrame, queries: DataFrame, keys: list[str], vector: str, k: int, measure: Measure = cosines, tag: str | None = None, block: int = BLOCK) -> DataFrame:
+    """(query_id, id, score, rank): the k best rows of each query among the rows of its keys, exactly.
 
+    rows, queries: keys, id, the vector, and the tag. With a tag, a query with one (not null) asks for rows of that tag
+    alone: the tags of a block are compared with it as a bitmap. A row is never its own hit. Ties go to the smaller id.
+    """
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -128,7 +132,26 @@ def nearest(rows: DataFrame, queries: DataFrame, keys: list[str], vector: str, k
                 place = np.concatenate(at) if at else np.zeros(0, int)
                 yield pa.RecordBatch.from_arrays([pa.array(query.ids[own]), pa.array(here.ids[place]), pa.array(scores[own, place])], names=["query_id", "id", "score"])
 
-    met = index.drop("blocks").join(ours.hint("shuffle_merge"), [*keys, "dim", "block"])
-    found = met.mapInArrow(find, "query_id long, id long, score double")
+    found = met(rows, queries, keys, vector, tag, block).mapInArrow(find, "query_id long, id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", PLACES)), "id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def tiers(rows: DataFrame, queries: DataFrame, keys: list[str], vector: str, tag: str, least: float, block: int = BLOCK) -> DataFrame:
+    """(query_id, tier, n, first_id) by pair of blocks: how many rows of a query's keys are near it (a cosine of `least`) and of
+    its tag (tier 0), near it (1), or neither (2), and the smallest id of these. A row is never its own hit."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                here, query = Image(batch, row), Image(batch, row, "q_")
+                near = cosines(query.x, here.x) >= least
+                tagged = (query.tags[:, None] == here.tags[None, :]) & (query.tags[:, None] != -1)
+                tier = np.where(query.ids[:, None] == here.ids[None, :], -1, np.where(near & tagged, 0, np.where(near, 1, 2)))
+                for k in range(3):
+                    is_k = tier == k
+                    n = is_k.sum(axis=1)
+                    some = n > 0  # ids of a block ascend
+                    yield pa.RecordBatch.from_arrays([pa.array(query.ids[some]), pa.array(np.full(some.sum(), k, np.int32)), pa.array(n[some].astype(np.int64)), pa.array(here.ids[is_k.argmax(axis=1)[some]])], names=["query_id", "tier", "n", "first_id"])
+
+    return met(rows, queries, keys, vector, tag, block).mapInArrow(count, "query_id long, tier int, n long, first_id long")
