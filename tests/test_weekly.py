@@ -266,3 +266,9 @@ def test_sentences_keep_their_digits(spark):
     body = "  0 is first. 1 is 11 or 1. 2 twos, 22. 148.9.179.13 ends in 3! 4  "
     got = spark.createDataFrame([(body,)], "t string").select(text.sentences(F.col("t")).alias("s")).first().s
     assert got == ["0 is first.", "1 is 11 or 1.", "2 twos, 22.", "148.9.179.13 ends in 3!", "4"]
+
+
+def test_dropped_signs_are_those_outside_the_kept_class(spark):
+    every = spark.createDataFrame(pd.DataFrame({"c": [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000]}))
+    for kept, dropped in ((text.KEPT, text.DROPPED), ("[^0-9a-z가-힣 ]+", text.DROPPED_IN_LINE)):
+        assert every.where(F.regexp_replace("c", kept, "") != F.regexp_replace("c", dropped, "")).count() == 0
