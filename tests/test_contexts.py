@@ -42,3 +42,13 @@ def test_surroundings_are_shuffled_once_in_blocks(spark):
     for made in (contexts.contexts(df, buckets=4), contexts.neighbours(df, buckets=4)):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning(bucket") == 1 and plan.count("Exchange") == 1 and "Window" not in plan
+
+
+def test_blocks_name_each_text_once(spark):
+    """What is shuffled holds numbers for the words around a word, whatever their lengths: their texts come once a block."""
+    rng = random.Random(7)
+    known = [f"w{rng.getrandbits(160):x}" for _ in range(300)]
+    bodies = [(" ".join(rng.choices(known, k=500)),) for _ in range(40)]
+    df = spark.createDataFrame(bodies, "body string").selectExpr("'w' AS week", "body").coalesce(1)
+    sent = df.transform(lambda d: contexts.packed(d, 1)).selectExpr("sum(length(block)) AS n").first()["n"]
+    assert sent < 12 * 40 * 500  # a word has 40 characters
