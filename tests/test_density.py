@@ -179,3 +179,20 @@ def test_mini_batches_as_a_plain_loop(spark):
     assert np.allclose(centres, best[order])
     assert got == {k: (order.index(int(far[k].argmin())), round(float(far[k].min()), 6)) for k in range(300)}
     assert kmeans.clusters(df.limit(0), "e", 5)[0].count() == 0 and kmeans.clamp(500, 2, 40, 50) == 10 and kmeans.clamp(1, 2, 40, 50) == 1
+
+
+def test_linkage_in_rounds_ends_in_one_task(spark, monkeypatch):
+    """Once few clusters are left, no more rounds over all pairs are made, and the clusters are those of whole linkage."""
+    from weekloom.operators import blocked, linkage
+
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(60, 5)) + [2, 0, 0, 0, 0]
+    rows = spark.createDataFrame([(k % 2, k, v.tolist(), 1) for k, v in enumerate(x)], "group long, node long, v array<double>, n long")
+    rounds, nearest = [], blocked.nearest
+    monkeypatch.setattr(blocked, "nearest", lambda *a, **k: rounds.append(1) or nearest(*a, **k))
+    found = {r["node"]: r["first"] for r in linkage.in_rounds(rows, 0.3, small=25).collect()}
+    for g in (0, 1):
+        nodes = np.arange(g, 60, 2)
+        label = linkage.average_linkage(x[nodes], 0.3)
+        assert [found[n] for n in nodes] == [nodes[label == k].min() for k in label]
+    assert len(rounds) == 1

@@ -18,8 +18,8 @@ from weekloom.operators import blocked, graph
 from weekloom.operators.similar import few, links_within
 from weekloom.session import stored
 
-#: A component of so many distinct vectors at most is linked in one task; larger ones in rounds.
-SMALL = 1000
+#: So many clusters of a component at most are linked in one task; more of them in rounds, until so many are left.
+SMALL = 2500
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -31,10 +31,15 @@ def average_linkage(x: np.ndarray, threshold: float, weights: np.ndarray | None
 
     weights: how many equal rows each row stands for; larger clusters have smaller labels.
     """
-    n = len(x)
-    unit = unit_rows(x)
-    size = np.ones(n) if weights is None else np.array(weights, float)
-    far = 1 - unit @ unit.T
+    return linked(unit_rows(x), threshold, np.ones(len(x)) if weights is None else weights)
+
+
+def linked(means: np.ndarray, threshold: float, weights: np.ndarray) -> np.ndarray:
+    """The same for clusters: rows are means of unit vectors, weights how many vectors each one has."""
+    n = len(means)
+    size = np.array(weights, float)
+    far = means @ means.T
+    np.subtract(1, far, out=far)
     np.fill_diagonal(far, np.inf)
     members = {k: [k] for k in range(n)}
     nearest, least = far.argmin(axis=1), far.min(axis=1)
@@ -61,17 +66,34 @@ def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
-def in_rounds(rows: DataFrame, threshold: float, block: int = blocked.BLOCK) -> DataFrame:
+def in_rounds(rows: DataFrame, threshold: float, block: int = blocked.BLOCK, small: int = 0) -> DataFrame:
     """(node, first): the smallest node of each node's cluster. rows: group, node (long), v, n (how many rows it stands for).
 
     Each round finds every cluster's nearest other one of its group in blocks, and merges the pairs that chose each other.
-    A cluster without another one below the threshold never gets one, so it takes no part in later rounds.
+    A cluster without another one below the threshold never gets one, so it takes no part in later rounds. A group of up to
+    `small` clusters is linked to its end in one task: what has merged by then would have merged there as well.
     """
+
+    def finish(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("id")
+        label = linked(np.stack(group["v"].to_numpy()), threshold, group["n"].to_numpy())
+        return pd.DataFrame({"was": group["id"], "to": group["id"].groupby(label).transform("min")}).query("was != to")
+
+    def led(goes: DataFrame) -> DataFrame:
+        return stored(homes.join(goes, F.col("first") == F.col("was"), "left").select("node", F.coalesce("to", "first").alias("first")), "homes")
+
     size = vectors.norm(F.col("v"))
     unit = F.transform(F.col("v").cast("array<double>"), lambda x: x / F.greatest(F.col("_size"), F.lit(1e-12)))
     open_ = stored(rows.withColumn("_size", size).select("group", F.col("node").alias("id"), unit.alias("v"), F.col("n").cast("double").alias("n")), "clusters")
     homes = stored(rows.select("node", F.col("node").alias("first")), "homes")
     while True:
+        counted = open_.join(few(open_.groupBy("group").agg(F.count("*").alias("_many"))), "group")
+        done = counted.where(F.col("_many") <= small)
+        if done.limit(1).count():
+            homes = led(done.groupBy("group").applyInPandas(finish, "was long, to long"))
+            open_ = stored(counted.where(F.col("_many") > small).drop("_many"), "clusters")
+            if not open_.limit(1).count():
+                return homes
         near = blocked.nearest(open_, open_, ["group"], "v", 1, inner, block=block).where(F.round(F.col("score"), blocked.PLACES) > 1 - threshold)
         near = stored(near.select("query_id", "id"), "near")
         other = near.select(F.col("id").alias("query_id"), F.col("query_id").alias("id"))
@@ -79,7 +101,7 @@ def in_rounds(rows: DataFrame, threshold: float, block: int = blocked.BLOCK) ->
         if not pairs.limit(1).count():
             return homes
         goes = pairs.select(F.col("id").alias("was"), F.col("query_id").alias("to"))
-        homes = stored(homes.join(goes, F.col("first") == F.col("was"), "left").select("node", F.coalesce("to", "first").alias("first")), "homes")
+        homes = led(goes)
         live = open_.join(near.select(F.col("query_id").alias("id")), "id", "left_semi")
         moved = live.join(goes, F.col("id") == F.col("was"))
         kept = live.join(goes.select(F.col("was").alias("id")), "id", "left_anti")
@@ -108,7 +130,7 @@ def split_senses(df: DataFrame, keys: list[str], id_col: str, vector: str, thres
 
     few_rows = placed.where(F.col("_many") <= small).groupBy("component").applyInPandas(cluster, "node long, first long")
     large = placed.where(F.col("_many") > small).select(F.col("component").alias("group"), "node", F.col("_v").alias("v"), "n")
-    firsts = few_rows.unionByName(in_rounds(large, threshold, block)) if large.limit(1).count() else few_rows
+    firsts = few_rows.unionByName(in_rounds(large, threshold, block, small)) if large.limit(1).count() else few_rows
     clustered = stored(distinct.join(firsts, "node"), "senses")
     nr = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("size"), "first"))
     ranked = clustered.groupBy(*keys, "first").agg(F.sum("n").alias("size")).withColumn("sense_id", nr - 1).drop("size")
