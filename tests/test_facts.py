@@ -29,3 +29,22 @@ def test_facts_are_dealt_by_key_before_they_are_summed(spark, tmp_path, monkeypa
     dealt = max(k for k, line in enumerate(above) if "Exchange" in line)
     assert "hashpartitioning(monday" in above[dealt] and ", 8)" in above[dealt]
     assert not any("Aggregate" in line for line in above[dealt:])
+
+
+def test_sums_by_name_are_dealt_as_their_number_asks_for(spark, tmp_path, monkeypatch):
+    """Facts, weekly sums and what ranks them: no step rests on the session's four partitions or on the size of a split."""
+    from weekloom.operators import weekly
+    from weekloom.plans import catalog, weekly_queries
+
+    _tables(spark, tmp_path, 400)
+    folder, plan = str(tmp_path), lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(tables, "IN_TASK", 50)
+    assert ", 8), REPARTITION_BY_NUM" in plan(tables.weekly_keywords(spark, folder)).split("Join")[0]
+    monkeypatch.setattr(tables, "IN_TASK", 1)
+    f = weekly_queries.freq(spark, folder)
+    n = f.count()
+    assert n > 4
+    prompts = catalog.queries()["enr01_prompts"](spark, folder)
+    assert f", {n}), REPARTITION_BY_NUM" in plan(prompts)
+    assert ", 9), REPARTITION_BY_NUM" in plan(weekly.baseline(f, tasks=9))
+    assert sorted(map(tuple, weekly.baseline(f, 1, 1.0, tasks=9).collect())) == sorted(map(tuple, weekly.baseline(f, 1, 1.0).collect()))

@@ -53,13 +53,17 @@ def dense(freq: DataFrame, keywords: DataFrame) -> DataFrame:
     return grid.join(freq, ["keyword", "week"], "left").select("keyword", "week", "week_idx", F.coalesce("count", F.lit(0)).alias("count"))
 
 
-def baseline(freq: DataFrame, min_df: int = MIN_DF, max_df: float = MAX_DF, long_weeks: int = LONG_WEEKS) -> DataFrame:
-    """(week, keyword, week_idx, tfidf, base_mean, base_std). The idf is of the week, over the surviving keywords."""
+def baseline(freq: DataFrame, min_df: int = MIN_DF, max_df: float = MAX_DF, long_weeks: int = LONG_WEEKS, tasks: int | None = None) -> DataFrame:
+    """(week, keyword, week_idx, tfidf, base_mean, base_std). The idf is of the week, over the surviving keywords.
+
+    tasks: into how many partitions of whole keywords the weeks are dealt; the session's number if none.
+    """
     kept = filtered_keywords(freq, min_df, max_df)
     full = dense(freq, kept)
     idf = full.groupBy("week").agg(F.count("*").alias("n"), F.count_if(F.col("count") > 0).alias("df"))
     idf = idf.select("week", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
     scored = full.join(F.broadcast(idf), "week").withColumn("tfidf", F.col("count") * F.col("idf"))
+    scored = scored.repartition(tasks, "keyword") if tasks else scored
     w = Window.partitionBy("keyword").orderBy("week_idx").rowsBetween(1 - long_weeks, 0)
     deviation = F.stddev_pop("tfidf").over(w)
     return scored.select("week", "keyword", "week_idx", "tfidf", F.avg("tfidf").over(w).alias("base_mean"), F.when(deviation > NO_DEVIATION, deviation).alias("base_std"))
