@@ -52,3 +52,16 @@ def test_blocks_name_each_text_once(spark):
     df = spark.createDataFrame(bodies, "body string").selectExpr("'w' AS week", "body").coalesce(1)
     sent = df.transform(lambda d: contexts.packed(d, 1)).selectExpr("sum(length(block)) AS n").first()["n"]
     assert sent < 12 * 40 * 500  # a word has 40 characters
+
+
+def test_single_senses_go_once_through_the_shuffle(spark, tmp_path):
+    from weekloom.plans import catalog
+
+    rows = [(0, "one two", "p"), (1, "one six", "p"), (7, "one", "p")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    made = catalog.queries()["join07_single_sense"](spark, str(tmp_path))
+    assert sorted(map(tuple, made.collect()), key=str) == sorted(
+        [("2024-W01", "two", 1, None, "…one [two] …"), ("2024-W01", "six", 1, None, "…one [six] …"), ("2024-W02", "one", 1, None, "… [one] …")], key=str
+    )
+    plan = made._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and plan.count("Scan parquet") == 1
