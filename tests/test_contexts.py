@@ -65,3 +65,26 @@ def test_single_senses_go_once_through_the_shuffle(spark, tmp_path):
     )
     plan = made._jdf.queryExecution().sparkPlan().toString()
     assert "Join" not in plan and plan.count("Scan parquet") == 1
+
+
+def test_neighbours_send_each_pair_of_a_block_once(spark):
+    """Surroundings of four words hardly ever repeat, words beside a word do: a word beside it is sent once, with its count."""
+    rng = random.Random(5)
+    known = [f"w{k}x" for k in range(60)]
+    bodies = [(" ".join(rng.choices(known, k=500)),) for _ in range(100)]
+    df = spark.createDataFrame(bodies, "body string").selectExpr("'w' AS week", "body").coalesce(1)
+    sent = lambda what: contexts.packed(df, 1, what=what).selectExpr("sum(length(block)) AS n").first()["n"]
+    assert 10 * sent(contexts._pairs) < sent(contexts._surroundings)  # 50,000 words, of 60 beside each of 60
+    assert sent(contexts._pairs) < 50_000
+
+
+def test_checksums_are_of_the_text_alone():
+    """Buckets of a keyword must be the same in every block: neither slices nor other texts nor nulls change a checksum."""
+    import pyarrow as pa
+
+    texts = ["", "ab", "ba", "abc", "가나", "x" * 5000, None, "ab\0"]
+    whole = contexts._checksums(pa.array(texts)).tolist()
+    assert whole[6] == whole[0] and len({*whole}) == len(texts) - 1
+    assert contexts._checksums(pa.array(["z", *texts, "y"]).slice(1, len(texts))).tolist() == whole
+    assert [contexts._checksums(pa.array([t], pa.string()))[0] for t in texts] == whole
+    assert len(contexts._checksums(pa.array([], pa.string()))) == 0
