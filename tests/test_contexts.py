@@ -88,3 +88,26 @@ def test_checksums_are_of_the_text_alone():
     assert contexts._checksums(pa.array(["z", *texts, "y"]).slice(1, len(texts))).tolist() == whole
     assert [contexts._checksums(pa.array([t], pa.string()))[0] for t in texts] == whole
     assert len(contexts._checksums(pa.array([], pa.string()))) == 0
+
+
+def test_blocks_take_few_bytes_for_an_occurrence(spark):
+    """Frequent words are numbers in a block, without their texts, and their bytes are compressed by place."""
+    rng = random.Random(11)
+    known = [f"{'abcdefgh'[k % 8]}{k:x}zz" for k in range(4000)]
+    share = [1 / (k + 3) for k in range(4000)]
+    bodies = [(" ".join(rng.choices(known, share, k=500)),) for _ in range(100)]
+    df = spark.createDataFrame(bodies, "body string").selectExpr("'w' AS week", "body").coalesce(1)
+    sent = contexts.packed(df, 8).selectExpr("sum(length(block)) AS n").first()["n"]
+    assert sent < 7.5 * 50_000
+
+
+def test_known_words_change_no_result(spark, monkeypatch):
+    """Words that blocks name by number alone are a table of codes: any size of it gives the same contexts and neighbours."""
+    rng = random.Random(13)
+    bodies = [(k % 2, " ".join(rng.choice(["aa", "bb", "c,c", "Dd", "ee ff", f"g{rng.randrange(40)}h"]) for _ in range(30))) for k in range(60)]
+    df = spark.createDataFrame([(str(w), b) for w, b in bodies], "week string, body string")
+    found = []
+    for known in (0, 3, 65_536):
+        monkeypatch.setattr(contexts, "KNOWN", known)
+        found.append([sorted(map(tuple, made(df, 3, buckets=5).collect())) for made in (contexts.contexts, contexts.neighbours)])
+    assert found[0] == found[1] == found[2] and found[0][0] == plain([(str(w), b) for w, b in bodies], 3, None)
