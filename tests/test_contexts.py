@@ -90,6 +90,14 @@ def test_checksums_are_of_the_text_alone():
     assert len(contexts._checksums(pa.array([], pa.string()))) == 0
 
 
+def test_partitions_of_blocks_follow_from_buckets(spark):
+    """A task holds the blocks of its buckets: few partitions of the session would make it hold, and spill, more of them."""
+    df = spark.createDataFrame([("w", 1, "p", "aa bb cc")], "week string, news_id long, press string, body string")
+    for made in (contexts.contexts(df, buckets=9), contexts.neighbours(df, buckets=9)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"Exchange hashpartitioning\(bucket#\d+, 9\)", plan)
+
+
 def test_blocks_take_few_bytes_for_an_occurrence(spark):
     """Frequent words are numbers in a block, without their texts, and their bytes are compressed by place."""
     rng = random.Random(11)
