@@ -119,3 +119,25 @@ def test_known_words_change_no_result(spark, monkeypatch):
         monkeypatch.setattr(contexts, "KNOWN", known)
         found.append([sorted(map(tuple, made(df, 3, buckets=5).collect())) for made in (contexts.contexts, contexts.neighbours)])
     assert found[0] == found[1] == found[2] and found[0][0] == plain([(str(w), b) for w, b in bodies], 3, None)
+
+
+def test_counts_contexts_and_neighbours_come_from_one_shuffle(spark, tmp_path):
+    """They have one key: join05 deals blocks once, joins nothing, and says what the three tables say."""
+    from weekloom.plans import catalog
+
+    rng = random.Random(17)
+    rows = [(rng.randrange(70), " ".join(rng.choice(["aa", "Bb,", "cc dd", "가나", "-", "x1"]) for _ in range(rng.choice([1, 2, 40]))), rng.choice(["p", "q\nr", "", None])) for _ in range(60)]
+    spark.createDataFrame([*rows, (None, "aa bb", "p"), (3, "solo", "p"), (4, None, "p")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    made = catalog.queries()["join05_with_context"](spark, str(tmp_path))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange") <= 2  # one may spread the only file
+    words, ctx, nbr = (catalog.queries()[name](spark, str(tmp_path)).collect() for name in ("msc11_article_keywords", "agg23_contexts", "top04_neighbours"))
+    lines, sides = {}, {}
+    for r in sorted(ctx, key=lambda r: r["rank"]):
+        lines.setdefault((r.week, r.keyword), []).append(f"…{r.before} [{r.keyword}] {r.after}… (×{r.occ_count})")
+    for r in sorted(nbr, key=lambda r: r["rank"]):
+        sides.setdefault((r.week, r.keyword), {}).setdefault(r.position, []).append(r.term)
+    around = {k: " / ".join(", ".join(v.get(p, [])) or "-" for p in ("before", "after")) for k, v in sides.items()}
+    want = [(r.week, r.keyword, r.source, r["count"], "\n".join(lines[r.week, r.keyword]), around.get((r.week, r.keyword))) for r in words if r.week]
+    assert any(w[5] is None for w in want) and {w[2] for w in want} == {"p", "q\nr", "unknown"}
+    assert sorted(map(tuple, made.collect()), key=str) == sorted(want, key=str)
