@@ -141,3 +141,20 @@ def test_counts_contexts_and_neighbours_come_from_one_shuffle(spark, tmp_path):
     want = [(r.week, r.keyword, r.source, r["count"], "\n".join(lines[r.week, r.keyword]), around.get((r.week, r.keyword))) for r in words if r.week]
     assert any(w[5] is None for w in want) and {w[2] for w in want} == {"p", "q\nr", "unknown"}
     assert sorted(map(tuple, made.collect()), key=str) == sorted(want, key=str)
+
+
+def test_senses_of_a_keyword_are_not_dealt_again(spark, tmp_path):
+    """Contexts of a week and keyword lie in one row of their table: what is said of a keyword's senses needs no shuffle."""
+    from weekloom.plans import catalog
+
+    rows = [(0, "one two one six one two", "p"), (1, "one six", "p"), (7, "one", "p")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    made = {name: catalog.queries()[name](spark, str(tmp_path)) for name in ("agg06_multi_sense", "join07_single_sense")}
+    for df in made.values():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" not in plan and "Aggregate" not in plan
+    assert dict(made["agg06_multi_sense"].dtypes) == {"week": "string", "keyword": "string", "senses": "bigint", "shown": "string", "total": "bigint"}
+    assert sorted(map(tuple, made["agg06_multi_sense"].collect()), key=str) == sorted(
+        [("2024-W01", "one", 3, "▸six 1   ▸two 1   ▸two 1", 3), ("2024-W01", "six", 2, "▸(?) 1   ▸one 1", 2), ("2024-W01", "two", 2, "▸one 1   ▸(?) 1", 2)], key=str
+    )
+    assert sorted(map(tuple, made["join07_single_sense"].collect()), key=str) == [("2024-W02", "one", 1, None, "… [one] …")]
