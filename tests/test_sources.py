@@ -145,3 +145,33 @@ def test_stages_follow_files_within_partitions(spark, tmp_path):
     assert session.state_of(spark, path) == before
     spark.range(9, 10).write.mode("append").parquet(f"{path}/part=1")
     assert session.state_of(spark, path) != before
+
+
+def test_few_files_are_spread_only_where_row_groups_are_few(spark, tmp_path):
+    """A shuffle of all texts is for tables that too few tasks would read: large files of many row groups go to all cores."""
+    import random
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from weekloom.operators import contexts
+    from weekloom.sources import tables
+
+    rng = random.Random(19)
+    rows = pa.table({"doc_id": list(range(800)), "source": ["p"] * 800, "text": [" ".join(f"{rng.getrandbits(60):x}" for _ in range(40)) for _ in range(800)]})
+    for name, in_group in (("many", 50), ("one", 800)):
+        (tmp_path / name / "documents.parquet").mkdir(parents=True)
+        pq.write_table(rows, tmp_path / name / "documents.parquet" / "part-0.parquet", row_group_size=in_group)
+    small = {"spark.sql.files.maxPartitionBytes": "60000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan(tables.articles(spark, str(tmp_path / "many")))
+        assert "Exchange RoundRobin" in plan(tables.articles(spark, str(tmp_path / "one")))
+        assert plan(contexts.contexts(tables.articles(spark, str(tmp_path / "many"), spread_out=False))).count("Exchange") == 1
+        assert "Exchange" not in plan(tables.articles(spark, str(tmp_path / "one"), spread_out=False))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
